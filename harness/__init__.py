@@ -1,0 +1 @@
+"""Views over the test tables and the registered queries with their SQL counterparts."""

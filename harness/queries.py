@@ -1,0 +1,426 @@
+"""Registered queries: every operator over whole tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from daybridge.functions.jsontext import clean_nulls, json_scalar
+from daybridge.functions.times import day_text, month_text, second_text
+from daybridge.functions.xmltext import iso_text
+from daybridge.operators import catalogue, filters, finance, ranges
+from daybridge.operators.conform import conform, conform_losses, sanitize
+from daybridge.plans.backfill import backfill
+from daybridge.plans.datasets import DATASETS
+from daybridge.plans.exports import export_financial, export_partner_events, export_snapshot
+from daybridge.session import prepare, shared_folder
+from daybridge.sinks.catalogue import catalogue_xml
+from daybridge.sinks.files import write_json
+from daybridge.sinks.landing import land
+from daybridge.sinks.partitions import write_partition, write_split
+from daybridge.sources.envelope import unwrap_envelope
+from daybridge.sources.landed import landed_files, parse_log_lines, read_log_lines, unwrap_parquet
+from daybridge.sources.scans import snapshot, table_scan
+from harness.views import AGENT, APP, table, view
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# The test tables span these days; the ranges below cover them whole.
+FIRST, LAST = "1990-01-01", "2030-12-31"
+DAY, MONTH = "1995-03-15", "1995-03-15"
+EVENT_FIRST, EVENT_LAST = "2024-01-01", "2024-01-31"
+
+QUERIES: dict[str, Query] = {}
+
+
+def registered(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(prepare(spark), sf_dir)
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    QUERIES[query.__name__] = run
+    return query
+
+
+def _orders(spark, sf_dir):
+    return view(spark, sf_dir, "mart_orders")
+
+
+def _text_dates(df: DataFrame) -> DataFrame:
+    """Dates as text: the form compares the same on both sides."""
+    return df.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DateType)
+                       else second_text(f.name).alias(f.name)
+                       if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f.name)
+                       for f in df.schema])
+
+
+def _money_as_double(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema])
+
+
+def _order_rows(df: DataFrame) -> DataFrame:
+    return _text_dates(_money_as_double(df))
+
+
+# --- aggregates -------------------------------------------------------------------------------
+
+@registered
+def financial_daily(spark, sf_dir):
+    return _text_dates(finance.financial_daily(_orders(spark, sf_dir), FIRST, LAST))
+
+
+@registered
+def financial_monthly(spark, sf_dir):
+    return _text_dates(finance.financial_monthly(_orders(spark, sf_dir), FIRST, LAST))
+
+
+@registered
+def financial_month(spark, sf_dir):
+    return _text_dates(finance.financial_month(_orders(spark, sf_dir), MONTH))
+
+
+@registered
+def raw_orders(spark, sf_dir):
+    return _order_rows(finance.raw_orders(_orders(spark, sf_dir), FIRST, LAST))
+
+
+@registered
+def raw_refunds(spark, sf_dir):
+    return _order_rows(finance.raw_refunds(view(spark, sf_dir, "refunds"), FIRST, LAST))
+
+
+# --- scans and filters ------------------------------------------------------------------------
+
+@registered
+def table_scan_predicate(spark, sf_dir):
+    return _text_dates(table_scan(table(spark, sf_dir, "lineitem"), "l_returnflag <> 'N' AND l_quantity > 10"))
+
+
+@registered
+def snapshot_scan(spark, sf_dir):
+    return _text_dates(snapshot(table(spark, sf_dir, "supplier"), "2026-01-05"))
+
+
+@registered
+def on_day(spark, sf_dir):
+    return _order_rows(filters.on_day(_orders(spark, sf_dir), "created_at", DAY))
+
+
+@registered
+def on_day_events(spark, sf_dir):
+    return _text_dates(filters.on_day(table(spark, sf_dir, "events"), "ts", "2024-01-15"))
+
+
+@registered
+def in_month(spark, sf_dir):
+    return _order_rows(filters.in_month(_orders(spark, sf_dir), "created_at", MONTH))
+
+
+@registered
+def exclude_status(spark, sf_dir):
+    return _order_rows(filters.exclude_status(_orders(spark, sf_dir)))
+
+
+@registered
+def exclude_full_refunds(spark, sf_dir):
+    return _order_rows(filters.exclude_full_refunds(_orders(spark, sf_dir)))
+
+
+@registered
+def partner_events(spark, sf_dir):
+    events = view(spark, sf_dir, "analytics_events")
+    return _text_dates(filters.partner_events(events, EVENT_FIRST, AGENT, APP, EVENT_LAST))
+
+
+# --- scalar functions -------------------------------------------------------------------------
+
+@registered
+def json_extract_scalar(spark, sf_dir):
+    events = view(spark, sf_dir, "analytics_events")
+    return events.select("event_id", *[json_scalar("event_properties", k).alias(k)
+                                       for k in ("user_agent", "currentApp", "session", "k")])
+
+
+@registered
+def time_formats(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", day_text("ts").alias("day"), month_text("ts").alias("month"),
+                         second_text("ts").alias("second"),
+                         iso_text(F.col("ts"), events.schema["ts"].dataType).alias("iso"))
+
+
+@registered
+def json_null_cleaning(spark, sf_dir):
+    lines = view(spark, sf_dir, "log_lines")
+    return lines.select("event_id", clean_nulls("line").alias("cleaned"))
+
+
+# --- schema conformance -----------------------------------------------------------------------
+
+def _cancelled(spark, sf_dir, as_array: bool) -> DataFrame:
+    item = ("named_struct('quantity', l_quantity, 'id', l_partkey, 'name', l_returnflag, "
+            "'price', l_extendedprice, 'tax', l_tax)")
+    cart = f"array({item}, {item})" if as_array else item
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{cart} AS cart", "CAST(l_orderkey AS STRING) AS order_id", "l_suppkey AS user_id",
+        "l_shipdate AS order_creation_time", "l_linenumber AS min_promised_delivery_time",
+        "l_linestatus AS currency", "l_discount AS not_declared")
+
+
+def _flat(df: DataFrame, item: str) -> DataFrame:
+    return _text_dates(df.select(
+        "order_id", "user_id", "order_creation_time", "min_promised_delivery_time", "currency", "cancel_reason",
+        *[F.col(f"{item}.{n}").alias(f"item_{n}") for n in ("name", "id", "price", "original_price", "quantity")]))
+
+
+@registered
+def conform_struct(spark, sf_dir):
+    schema = DATASETS["cancelled_orders"].schema(nested_as="struct")
+    return _flat(conform(_cancelled(spark, sf_dir, False), schema), "cart")
+
+
+@registered
+def conform_array(spark, sf_dir):
+    done = conform(_cancelled(spark, sf_dir, True), DATASETS["cancelled_orders"].schema())
+    return _flat(done.withColumn("item", F.explode("cart")), "item")
+
+
+def _odd_parts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id", "p_name AS name", "p_type AS weight", "CAST(p_size AS STRING) AS max_quantity",
+        "CASE WHEN p_size > 25 THEN 'true' WHEN p_size > 10 THEN 'no idea' END AS is_active", "p_retailprice AS depth")
+
+
+@registered
+def conform_permissive(spark, sf_dir):
+    done = conform(_odd_parts(spark, sf_dir), DATASETS["product_catalogue"].schema(), "permissive")
+    return done.select("id", "name", "weight", "max_quantity", "is_active", "depth", "brand_name")
+
+
+@registered
+def conform_nulled(spark, sf_dir):
+    return conform_losses(_odd_parts(spark, sf_dir), DATASETS["product_catalogue"].schema())
+
+
+@registered
+def sanitize_untyped(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.lit(None).alias("untyped"), F.array(F.lit(None)).alias("items"))
+    done = conform(parts, sanitize(parts.schema))
+    return done.select("p_partkey", "untyped", F.typeof("untyped").alias("untyped_type"),
+                       F.size("items").cast("long").alias("items_size"), F.typeof("items").alias("items_type"))
+
+
+# --- ranges -----------------------------------------------------------------------------------
+
+@registered
+def day_spine(spark, sf_dir):
+    return _text_dates(ranges.spine_of(table(spark, sf_dir, "orders"), "o_orderdate"))
+
+
+@registered
+def month_spine(spark, sf_dir):
+    return _text_dates(ranges.spine_of(table(spark, sf_dir, "orders"), "o_orderdate", "month"))
+
+
+@registered
+def range_report(spark, sf_dir):
+    daily = finance.financial_daily(_orders(spark, sf_dir), FIRST, LAST)
+    return _text_dates(ranges.range_report(daily, ranges.spine_of(table(spark, sf_dir, "orders"), "o_orderdate")))
+
+
+@registered
+def backfill_months(spark, sf_dir):
+    """Export of every month as one job, then the outcome per month."""
+    path = shared_folder(spark)
+    orders = _orders(spark, sf_dir)
+    bounds = orders.agg(F.min("created_at").alias("a"), F.max("created_at").alias("b")).first()
+    done = backfill(spark, lambda a, b: export_financial(orders, "financial_monthly", path, a, b),
+                    bounds.a, bounds.b, step="month")
+    return _text_dates(done.select("period", "rows", "status"))
+
+
+# --- sinks ------------------------------------------------------------------------------------
+
+def _event_rows(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("dt", F.to_date("ts"))
+
+
+def _read_back(spark, path: str) -> DataFrame:
+    return _text_dates(spark.read.parquet(path))
+
+
+@registered
+def partition_replace(spark, sf_dir):
+    """Two loads of all days, the second without the views, then what the table holds."""
+    path = shared_folder(spark)
+    spine = ranges.day_spine(spark, EVENT_FIRST, EVENT_LAST)
+    write_partition(_event_rows(spark, sf_dir), path, spine=spine)
+    write_partition(_event_rows(spark, sf_dir).where("event_type <> 'view'"), path, spine=spine)
+    return _read_back(spark, path)
+
+
+@registered
+def partition_append(spark, sf_dir):
+    """The whole supplier table appended twice to the folder of one day."""
+    path = shared_folder(spark)
+    rows = snapshot(table(spark, sf_dir, "supplier"), "2026-01-05")
+    spine = ranges.day_spine(spark, "2026-01-05", "2026-01-05")
+    write_partition(rows, path, mode="append", spine=spine)
+    write_partition(rows, path, mode="append", spine=spine)
+    return _read_back(spark, path)
+
+
+@registered
+def partition_report(spark, sf_dir):
+    spine = ranges.day_spine(spark, EVENT_FIRST, EVENT_LAST)
+    return _text_dates(write_partition(_event_rows(spark, sf_dir), shared_folder(spark), spine=spine))
+
+
+@registered
+def size_bounded_split(spark, sf_dir):
+    path = shared_folder(spark)
+    write_split(_event_rows(spark, sf_dir), path, 64 * 1024, spine=ranges.day_spine(spark, EVENT_FIRST, EVENT_LAST))
+    return _read_back(spark, path)
+
+
+@registered
+def json_export(spark, sf_dir):
+    path = shared_folder(spark)
+    events = table(spark, sf_dir, "documents")
+    write_json(events, path)
+    return spark.read.schema(events.schema).json(path)
+
+
+@registered
+def export_partner_day_files(spark, sf_dir):
+    """Filter, conform and split the partner's events of every day, then read the table."""
+    path = shared_folder(spark)
+    export_partner_events(view(spark, sf_dir, "analytics_events"), path, EVENT_FIRST, EVENT_LAST, AGENT, APP,
+                          max_bytes=5 * 1024 * 1024)
+    done = spark.read.parquet(path)
+    return _text_dates(done.select("dt", "event_id", "event_time", "event_properties", "adid", "uuid"))
+
+
+@registered
+def export_catalogue_snapshot(spark, sf_dir):
+    path = shared_folder(spark)
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id", "p_name AS name", "p_brand AS brand_name", "p_size AS weight", "p_retailprice AS depth")
+    export_snapshot(parts, "product_catalogue", path, "2026-01-05")
+    done = spark.read.parquet(path)
+    return _text_dates(done.select("dt", "id", "name", "brand_name", "weight", "depth", "country"))
+
+
+# --- landing ----------------------------------------------------------------------------------
+
+def _write_logs(spark, sf_dir) -> str:
+    """The log lines as gzip text below one folder per day."""
+    path = shared_folder(spark)
+    lines = view(spark, sf_dir, "log_lines").select(F.to_date("ts").alias("dt"), F.col("line").alias("value"))
+    lines.hint("rebalance", "dt").write.partitionBy("dt").option("compression", "gzip").text(path)
+    return path
+
+
+@registered
+def landed_log_files(spark, sf_dir):
+    files = landed_files(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz")
+    return _text_dates(files.groupBy("dt").agg((F.min("length") > 0).alias("has_bytes")))
+
+
+@registered
+def log_line_scan(spark, sf_dir):
+    lines = read_log_lines(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz")
+    return _text_dates(lines.select("dt", "line"))
+
+
+@registered
+def log_records(spark, sf_dir):
+    parsed = parse_log_lines(read_log_lines(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz"))
+    return _text_dates(parsed.select("dt", "record", "error"))
+
+
+@registered
+def land_log_records(spark, sf_dir):
+    parsed = parse_log_lines(read_log_lines(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz"))
+    path = shared_folder(spark)
+    land(parsed.where("error IS NULL"), path)
+    return _text_dates(spark.read.parquet(path).select(
+        "dt", "raw_data", "created_at", (F.length("id") == 36).alias("has_id")))
+
+
+def _wrap(rows: DataFrame) -> DataFrame:
+    """Rows as gzip-wrapped Parquet files held in a column, one per batch of a task."""
+    def files(batches):
+        import gzip
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            if batch.num_rows:
+                sink = io.BytesIO()
+                pq.write_table(pa.Table.from_batches([batch]), sink)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"rows-{batch.num_rows}"]), pa.array([gzip.compress(sink.getvalue(), 1)], pa.binary())],
+                    names=["path", "content"])
+    return rows.mapInArrow(files, "path string, content binary")
+
+
+@registered
+def wrapped_parquet(spark, sf_dir):
+    files = _wrap(table(spark, sf_dir, "customer"))
+    schema = T.StructType.fromDDL(
+        "c_name STRING, c_custkey BIGINT, c_nationkey BIGINT, c_acctbal DOUBLE, c_comment STRING")
+    return unwrap_parquet(files, schema).drop("source_file")
+
+
+@registered
+def api_envelope(spark, sf_dir):
+    return unwrap_envelope(view(spark, sf_dir, "responses"), "body", on_error="reject")
+
+
+@registered
+def land_api_records(spark, sf_dir):
+    records = unwrap_envelope(view(spark, sf_dir, "responses"), "body", on_error="reject")
+    path = shared_folder(spark)
+    land(records.where("error IS NULL"), path, dt.datetime(2026, 1, 5, 10, 30), on_empty="error")
+    return _text_dates(spark.read.parquet(path).select("dt", "raw_data", "created_at"))
+
+
+# --- catalogue --------------------------------------------------------------------------------
+
+@registered
+def catalogue_offer_elements(spark, sf_dir):
+    return catalogue.catalogue_offers(view(spark, sf_dir, "merchant_products"))
+
+
+@registered
+def catalogue_documents(spark, sf_dir):
+    """All documents written as files and their offers read back as XML."""
+    path = shared_folder(spark)
+    catalogue_xml(view(spark, sf_dir, "merchant_products"), path, generated_at=dt.datetime(2026, 2, 2, 10, 0),
+                  max_offers=1000)
+    schema = T.StructType.fromDDL("_id STRING, name STRING, price STRING, oldprice STRING, path STRING, city STRING")
+    offers = spark.read.schema(schema).option("rowTag", "offer").option("basePath", path).xml(path)
+    return offers.select("mercant_id", F.col("_id").alias("offer_id"), "name", "price", "oldprice", "path",
+                         F.coalesce("city", F.lit("")).alias("city"))
+
+
+@registered
+def catalogue_envelopes(spark, sf_dir):
+    """Whole documents' first and last lines: envelope, merchant, company."""
+    offers = catalogue.catalogue_offers(view(spark, sf_dir, "merchant_products"))
+    known = catalogue.merchants(offers, 1000)
+    return known.select("mercant_id", "offers", "fragments",
+                        catalogue.document_open(F.lit(dt.datetime(2026, 2, 2, 10, 0))).alias("opening"))
+
+
+@registered
+def catalogue_small_document(spark, sf_dir):
+    products = view(spark, sf_dir, "merchant_products")
+    return catalogue.catalogue_lite(products, dt.datetime(2026, 2, 2, 10, 0), order_by="id")
