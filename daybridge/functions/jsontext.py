@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,14 +14,30 @@ from pyspark.sql import types as T
 _NULL_OUTSIDE_STRINGS = r'\G((?:[^"nN]++|"(?:[^"\\]++|\\.)*+")*+)(?:null|NaN)'
 
 
+def _is_nested(document: Column, key: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(document, f"$.{key}", "variant")).rlike("^(OBJECT|ARRAY)")
+
+
 def json_scalar(text: str | Column, key: str) -> Column:
     """Scalar under a top-level key as text.
 
     NULL for an object, an array, JSON null, a missing key and unparseable text.
     """
-    found = F.try_variant_get(F.try_parse_json(text), f"$.{key}", "variant")
-    is_nested = F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)")
-    return F.when(~is_nested, F.try_variant_get(found, "$", "string"))
+    document = F.try_parse_json(text)
+    return F.when(~_is_nested(document, key), F.try_variant_get(document, f"$.{key}", "string"))
+
+
+def any_scalar(text: Column, tests: dict[str, Callable[[Column], Column]]) -> Column:
+    """True when the scalar under any of the keys passes its test; the text is parsed once.
+
+    A filter evaluates each mention of an expression anew, so the parsed document is bound as the
+    one item of an array. The type is looked up only for values that pass.
+    """
+    def passes(document: Column) -> Column:
+        found = [test(F.try_variant_get(document, f"$.{key}", "string")) & ~_is_nested(document, key)
+                 for key, test in tests.items()]
+        return reduce(Column.__or__, found)
+    return F.exists(F.array(F.try_parse_json(text)), passes)
 
 
 def clean_nulls(text: str | Column) -> Column:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.functions.jsontext import json_scalar
+from daybridge.functions.jsontext import any_scalar
 from daybridge.functions.times import between_days, between_months
 
 CANCELLED = 8  # fixed value: the order status left out of the aggregates
@@ -41,8 +41,10 @@ def from_partner(properties: str | Column, agent: str, app: str) -> Column:
     """
     text = F.col(properties) if isinstance(properties, str) else properties
     agent = agent.lower()
-    matches = F.contains(F.lower(json_scalar(text, "user_agent")), F.lit(agent)) | (
-        json_scalar(text, "currentApp") == app)
+    matches = any_scalar(text, {
+        "user_agent": lambda value: F.contains(F.lower(value), F.lit(agent)),
+        "currentApp": lambda value: value == app,
+    })
     # Lower-casing depends on the neighbouring letters only outside ASCII.
     if not agent.isascii():
         return matches

@@ -37,8 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where that is unset, as in a bare test session, is a temporary folder made and set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="daybridge-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/daybridge-{uuid.uuid4().hex}"

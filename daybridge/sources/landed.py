@@ -75,8 +75,9 @@ def read_log_lines(spark: SparkSession, path: str | Sequence[str], pattern: str
     lines = _load(spark, "text", path, pattern, ignoreCorruptFiles=str(unreadable == "skip").lower())
     if lines is None:
         return spark.createDataFrame([], "source_file string, dt date, line string")
-    lines = lines.select(F.col("_metadata.file_path").alias("source_file"),
-                         F.regexp_replace("value", _BLANKS, "").alias("line"))
+    # Bytes that are no text stay as they are for the parser to reject.
+    stripped = F.when(F.is_valid_utf8("value"), F.regexp_replace("value", _BLANKS, "")).otherwise(F.col("value"))
+    lines = lines.select(F.col("_metadata.file_path").alias("source_file"), stripped.alias("line"))
     return lines.where(F.length("line") > 0).select("source_file", _file_day(F.col("source_file")).alias("dt"), "line")
 
 

@@ -1,0 +1,229 @@
+import datetime as dt
+import gzip
+import io
+import json
+import os
+from types import SimpleNamespace
+
+import pandas as pd
+import pytest
+from pyspark.sql import types as T
+
+from daybridge.plans.landing import file_records, land_days, land_files, land_responses
+from daybridge.session import shared_folder
+from daybridge.sinks.files import EmptyExport
+from daybridge.sinks.landing import land
+from daybridge.sources.envelope import unwrap_envelope
+from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, read_wrapped_parquet,
+                                      wrapped_schema)
+
+D = dt.date
+
+
+def log(folder, name, lines, day="2026-01-01"):
+    path = f"{folder}/in/{day}/{name}"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with gzip.open(path, "wt", encoding="utf-8") as file:
+        file.write("\n".join(lines) + "\n")
+    return path
+
+
+def wrapped(folder, name, frame, day="2026-01-01"):
+    path = f"{folder}/in/{day}/{name}"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    sink = io.BytesIO()
+    frame.to_parquet(sink)
+    with gzip.open(path, "wb") as file:
+        file.write(sink.getvalue())
+    return path
+
+
+def landed(spark, path):
+    return sorted((r.dt.isoformat(), r.raw_data) for r in spark.read.parquet(path).collect())
+
+
+LINES = ['  {"id":1,"v":null} ', "", "   ", '{"id":2', '{"id":3,"s":"null"}', ' {"id":4} ', "[1,NaN]"]
+RECORDS = ['[1,""]', '{"id":1,"v":""}', '{"id":3,"s":"null"}', '{"id":4}']
+
+
+def test_discovery(spark, folder):
+    log(folder, "a.log.gz", ["{}"])
+    wrapped(folder, "b.parquet.gz", pd.DataFrame({"a": [1]}))
+    log(folder, "c.txt.gz", ["{}"])
+    found = landed_files(spark, f"{folder}/in").collect()
+    assert sorted(os.path.basename(r.path) for r in found) == ["a.log.gz", "b.parquet.gz"]
+    assert {r.dt for r in found} == {D(2026, 1, 1)}
+    assert landed_files(spark, f"{folder}/nowhere").count() == 0
+
+
+def test_log_lines(spark, folder):
+    log(folder, "a.log.gz", LINES)
+    lines = read_log_lines(spark, f"{folder}/in")
+    assert lines.count() == 5
+    parsed = parse_log_lines(lines)
+    assert sorted(r.record for r in parsed.where("error IS NULL").collect()) == RECORDS
+    assert [r.line for r in parsed.where("error IS NOT NULL").collect()] == ['{"id":2']
+
+
+def test_bytes_that_are_no_text_are_rejected(spark, folder):
+    path = log(folder, "a.log.gz", ["{}"])
+    with gzip.open(path, "wb") as file:
+        file.write(b'{"a":"\xff\xfe"}\n{"b":1}\n')
+    parsed = parse_log_lines(read_log_lines(spark, f"{folder}/in"))
+    assert [r.record for r in parsed.where("error IS NULL").collect()] == ['{"b":1}']
+
+
+def test_land_files_of_a_day(spark, folder):
+    log(folder, "a.log.gz", LINES)
+    wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": [7, None], "s": ["x", None]}))
+    table, rejects = f"{folder}/table", f"{folder}/rejects"
+    found = land_files(spark, f"{folder}/in/2026-01-01/", table, "2026-04-15", rejects=rejects)
+    assert [tuple(r) for r in found.collect()] == [(D(2026, 4, 15), 6, "replaced")]
+    assert [r for _, r in landed(spark, table)] == sorted(RECORDS + ['{"id":7.0,"s":"x"}', '{"id":"","s":""}'])
+    stored = spark.read.parquet(table)
+    assert stored.select("id").distinct().count() == 6
+    assert {r.created_at for r in stored.collect()} == {dt.datetime(2026, 4, 15)}
+    assert [r.line for r in spark.read.parquet(rejects).collect()] == ['{"id":2']
+
+
+def test_land_days_is_one_load_for_the_range(spark, folder):
+    log(folder, "a.log.gz", ['{"id":1}'], "2026-01-01")
+    log(folder, "a.log.gz", ['{"id":3}'], "2026-01-03")
+    log(folder, "a.log.gz", ['{"id":9}'], "2026-01-09")
+    table = f"{folder}/table"
+    land_files(spark, f"{folder}/in/2026-01-09", table, "2026-01-02")
+    found = land_days(spark, f"{folder}/in", table, "2026-01-01", "2026-01-03")
+    assert [tuple(r) for r in found.orderBy("period").collect()] == [
+        (D(2026, 1, 1), 1, "replaced"), (D(2026, 1, 3), 1, "replaced")]
+    # A day without files keeps what it had.
+    assert landed(spark, table) == [("2026-01-01", '{"id":1}'), ("2026-01-02", '{"id":9}'), ("2026-01-03", '{"id":3}')]
+    assert land_days(spark, f"{folder}/in", table, "2026-01-03", "2026-01-01").count() == 0
+
+
+def test_landing_again_replaces_the_day(spark, folder):
+    table = f"{folder}/table"
+    for line in ('{"id":1}', '{"id":2}'):
+        log(folder, "a.log.gz", [line])
+        land_files(spark, f"{folder}/in", table, "2026-01-01")
+    assert landed(spark, table) == [("2026-01-01", '{"id":2}')]
+
+
+def test_nothing_to_land_changes_nothing(spark, folder):
+    table = f"{folder}/table"
+    log(folder, "a.log.gz", ['{"id":1}'])
+    land_files(spark, f"{folder}/in", table, "2026-01-01")
+    log(folder, "a.log.gz", ["", "{bad"])
+    assert land_files(spark, f"{folder}/in", table, "2026-01-01").count() == 0
+    assert land_files(spark, f"{folder}/nowhere", table, "2026-01-01").count() == 0
+    assert landed(spark, table) == [("2026-01-01", '{"id":1}')]
+
+
+def test_damaged_files(spark, folder):
+    wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1]}))
+    path = wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": [2]}))
+    data = open(path, "rb").read()
+    with open(path, "wb") as file:
+        file.write(data[: len(data) // 2])
+    rows = read_wrapped_parquet(spark, f"{folder}/in", T.StructType.fromDDL("id long"))
+    found = {(r.id, r.error is None) for r in rows.collect()}
+    assert found == {(1, True), (None, False)}
+    table = f"{folder}/table"
+    land_files(spark, f"{folder}/in", table, "2026-01-01", rejects=f"{folder}/rejects")
+    assert landed(spark, table) == [("2026-01-01", '{"id":1}')]
+    assert spark.read.parquet(f"{folder}/rejects").first().source_file.endswith("b.parquet.gz")
+
+
+def test_damaged_log_can_be_skipped(spark, folder):
+    log(folder, "a.log.gz", ['{"id":1}'])
+    path = log(folder, "b.log.gz", [json.dumps({"id": i, "x": os.urandom(20).hex()}) for i in range(20_000)])
+    data = open(path, "rb").read()
+    with open(path, "wb") as file:
+        file.write(data[: len(data) // 2])
+    with pytest.raises(Exception):
+        read_log_lines(spark, f"{folder}/in").count()
+    kept = read_log_lines(spark, f"{folder}/in", unreadable="skip")
+    assert 1 < kept.count() < 20_001
+    assert kept.where("line = '{\"id\":1}'").count() == 1
+
+
+def test_wrapped_parquet_types_and_columns(spark, folder):
+    wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1, 2], "t": pd.to_datetime(["2026-01-01 10:00", None], utc=True),
+                                                  "xs": [["a"], None], "s": [{"x": 1}, None]}))
+    rows = read_wrapped_parquet(spark, f"{folder}/in", T.StructType.fromDDL(
+        "xs array<string>, id long, t timestamp, more double, s struct<x: long>"))
+    found = rows.orderBy("id").collect()
+    assert [tuple(r)[:5] for r in found] == [(["a"], 1, dt.datetime(2026, 1, 1, 10), None, (1,)), (None, 2, None, None, None)]
+    assert found[0].dt == D(2026, 1, 1)
+
+
+def test_schema_of_differing_files(spark, folder):
+    wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1], "a": [1.5]}))
+    wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": [2.5], "b": ["x"]}))
+    assert dict((f.name, f.dataType.simpleString()) for f in wrapped_schema(spark, f"{folder}/in")) == {
+        "id": "double", "a": "double", "b": "string"}
+    records = file_records(spark, f"{folder}/in")
+    assert sorted(r.record for r in records.collect()) == [
+        '{"id":1.0,"a":1.5,"b":""}', '{"id":2.5,"a":"","b":"x"}']
+
+
+ENVELOPES = [
+    ('{"success":true,"data":[{"a":null},2,"x",null]}', ['{"a":""}', "2", '"x"', '""'], None),
+    ('[{"a":1}]', ['{"a":1}'], None),
+    ('{"data":[]}', [], None),
+    ('{"success":"yes","data":[1]}', ["1"], None),
+    ('{"success":false,"error":"nope"}', [], "request failed: nope"),
+    ('{"success":null,"data":[1]}', [], "request failed: success is false"),
+    ('{"success":0,"data":[1]}', [], "request failed: success is false"),
+    ('{"success":[],"data":[1]}', [], "request failed: success is false"),
+    ('{"data":{"a":1}}', [], "data is not a list"),
+    ('{"data":null}', [], "data is not a list"),
+    ('{"a":1}', [], "response has no data and is not a list"),
+    ("7", [], "response has no data and is not a list"),
+    ("{bad", [], "not a JSON response"),
+    ('[1] tail', [], "not a JSON response"),
+    (None, [], "not a JSON response"),
+]
+
+
+def test_envelopes(spark):
+    df = spark.createDataFrame([(i, body) for i, (body, _, _) in enumerate(ENVELOPES)], "i int, body string")
+    found = {}
+    for r in unwrap_envelope(df, "body", on_error="reject").collect():
+        found.setdefault(r.i, []).append((r.record, r.error))
+    for i, (body, records, error) in enumerate(ENVELOPES):
+        wanted = [(r, None) for r in records] + ([(None, error)] if error else [])
+        assert sorted(found.get(i, []), key=str) == sorted(wanted, key=str), body
+
+
+def test_bad_envelope_raises(spark):
+    df = spark.createDataFrame([('{"success":false}',)], "body string")
+    with pytest.raises(Exception, match="bad API response: request failed"):
+        unwrap_envelope(df, "body").collect()
+
+
+def test_land_responses(spark, folder):
+    at = dt.datetime(2026, 1, 5, 23, 30, tzinfo=dt.timezone(dt.timedelta(hours=-5)))
+    df = spark.createDataFrame([('{"success":true,"data":[{"id":1},{"id":2}]}',)], "body string")
+    land_responses(df, "body", f"{folder}/t", at)
+    rows = spark.read.parquet(f"{folder}/t").collect()
+    assert {(r.dt, r.created_at, r.raw_data) for r in rows} == {
+        (D(2026, 1, 6), dt.datetime(2026, 1, 6, 4, 30), f'{{"id":{i}}}') for i in (1, 2)}
+    with pytest.raises(EmptyExport):
+        land_responses(spark.createDataFrame([("[]",)], "body string"), "body", f"{folder}/t", at)
+    assert spark.read.parquet(f"{folder}/t").count() == 2
+
+
+def test_record_without_a_day(spark, folder):
+    records = spark.createDataFrame([(None, "{}")], "dt date, record string")
+    with pytest.raises(Exception, match="record without a day"):
+        land(records, f"{folder}/t")
+
+
+def test_shared_folder_follows_the_session():
+    named = SimpleNamespace(conf={"spark.checkpoint.dir": "/tmp/somewhere/"})
+    assert shared_folder(named).startswith("/tmp/somewhere/daybridge-")
+    assert shared_folder(named) != shared_folder(named)
+    chosen = []
+    bare = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None,
+                                                                 setCheckpointDir=chosen.append))
+    assert shared_folder(bare).startswith(f"{chosen[0]}/daybridge-")
