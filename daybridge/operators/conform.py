@@ -22,10 +22,24 @@ def sanitize(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, typed(f.dataType), True) for f in schema])
 
 
+def _same_shape(source: T.DataType, target: T.DataType) -> bool:
+    """True when nested types differ only in the types of their leaves."""
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        return source.names == target.names and all(
+            _same_shape(s.dataType, t.dataType) for s, t in zip(source, target))
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return _same_shape(source.elementType, target.elementType)
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    return not isinstance(source, nested) and not isinstance(target, nested)
+
+
 def _fit(value: Column, source: T.DataType, target: T.DataType, mode: str, where: str) -> Column:
     """``value`` as ``target``; struct fields pair by name at every depth."""
     if source == target:
         return value
+    if mode == "strict" and _same_shape(source, target):
+        # One cast of the whole value, which stays in generated code.
+        return value.cast(target)
     if isinstance(target, T.StructType) and isinstance(source, T.StructType):
         have = {f.name: f.dataType for f in source}
         fields = [

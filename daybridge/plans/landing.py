@@ -23,17 +23,22 @@ logger = logging.getLogger(__name__)
 REJECTED = ["dt", "source_file", "line", "error"]
 
 
+LARGE_FILE = 32 * 1024 * 1024
+
+
+def _dealt_out(rows: DataFrame, largest: int) -> DataFrame:
+    """A gzip file is read by one task. Where one is large, its rows are spread before the costly
+    part, making records, and the files written do not follow its size either."""
+    return rows.hint("rebalance") if largest > LARGE_FILE else rows
+
+
 def _log_records(spark: SparkSession, path: str, largest: int, unreadable: str) -> DataFrame:
-    lines = read_log_lines(spark, path, unreadable=unreadable)
-    # A gzip file is read by one task. Where one is large, its lines are dealt out before the
-    # costly part, parsing, and the files written do not follow its size either.
-    if largest > 32 * 1024 * 1024:
-        lines = lines.hint("rebalance")
+    lines = _dealt_out(read_log_lines(spark, path, unreadable=unreadable), largest)
     return parse_log_lines(lines).select("dt", "source_file", "line", "record", "error")
 
 
-def _parquet_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    rows = read_wrapped_parquet(spark, path, schema)
+def _parquet_records(spark: SparkSession, path: str, largest: int, schema: T.StructType) -> DataFrame:
+    rows = _dealt_out(read_wrapped_parquet(spark, path, schema), largest)
     record = F.when(F.col("error").isNull(), row_record(rows, schema.names))
     return rows.select("dt", "source_file", F.lit(None).cast("string").alias("line"), record.alias("record"), "error")
 
@@ -48,12 +53,13 @@ def file_records(spark: SparkSession, path: str, schema: T.StructType | None = N
     is_parquet = F.col("path").endswith(".parquet.gz")
     found = landed_files(spark, path).agg(
         F.count_if(~is_parquet).alias("logs"), F.count_if(is_parquet).alias("parquets"),
-        F.max(F.when(~is_parquet, F.col("length"))).alias("largest")).first()
+        F.max(F.when(~is_parquet, F.col("length"))).alias("largest_log"),
+        F.max(F.when(is_parquet, F.col("length"))).alias("largest_parquet")).first()
     parts = []
     if found.logs:
-        parts.append(_log_records(spark, path, found.largest, unreadable))
+        parts.append(_log_records(spark, path, found.largest_log, unreadable))
     if found.parquets:
-        parts.append(_parquet_records(spark, path, schema or wrapped_schema(spark, path)))
+        parts.append(_parquet_records(spark, path, found.largest_parquet, schema or wrapped_schema(spark, path)))
     if not parts:
         logger.warning("no landed files below %s", path)
         return None
@@ -94,11 +100,28 @@ def land_files(spark: SparkSession, source: str, table: str, day: dt.date | str,
 def land_days(spark: SparkSession, root: str, table: str, start: dt.date | str, end: dt.date | str,
               schema: T.StructType | None = None, rejects: str | None = None,
               unreadable: str = "fail") -> DataFrame:
-    """Load the day folders of a range below ``root`` in one job, each into its own day."""
-    days = [r.period for r in day_spine(spark, start, end).collect()]
+    """Load the day folders of a range below ``root`` in one job, each into its own day.
+
+    A day without files or records keeps what the table has and is reported as ``untouched``.
+    """
+    spine = day_spine(spark, start, end)
+    days = [r.period for r in spine.collect()]
     if not days:
         return spark.createDataFrame([], REPORT)
-    return _land_files(spark, day_folders(root, days), table, None, schema, rejects, unreadable)
+    report = _land_files(spark, day_folders(root, days), table, None, schema, rejects, unreadable)
+    return spine.join(report, "period", "left").select(
+        "period", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("status", F.lit("untouched")).alias("status"))
+
+
+def land_rows(rows: DataFrame, table: str, day: dt.date | str | None = None) -> DataFrame:
+    """Load the rows of a table, such as an export read back, as JSON records.
+
+    They land on ``day``, or each on the day in its ``dt`` column, which is then no part of the record.
+    """
+    columns = [c for c in rows.columns if day is not None or c != "dt"]
+    days = F.lit(as_date(day)) if day is not None else F.col("dt")
+    records = rows.select(row_record(rows, columns).alias("record"), days.alias("dt"))
+    return land(records, table)
 
 
 def land_responses(responses: DataFrame, column: str, table: str, at: dt.datetime) -> DataFrame:

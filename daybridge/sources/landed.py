@@ -23,7 +23,9 @@ LANDED_FILES = "*.{log,parquet}.gz"
 
 UNREADABLE = ("fail", "skip")
 
-_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters stripped from both ends of a line, Unicode whitespace.
+BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+          "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def day_folders(root: str, days: Iterable[dt.date | str]) -> str:
@@ -75,9 +77,8 @@ def read_log_lines(spark: SparkSession, path: str | Sequence[str], pattern: str
     lines = _load(spark, "text", path, pattern, ignoreCorruptFiles=str(unreadable == "skip").lower())
     if lines is None:
         return spark.createDataFrame([], "source_file string, dt date, line string")
-    # Bytes that are no text stay as they are for the parser to reject.
-    stripped = F.when(F.is_valid_utf8("value"), F.regexp_replace("value", _BLANKS, "")).otherwise(F.col("value"))
-    lines = lines.select(F.col("_metadata.file_path").alias("source_file"), stripped.alias("line"))
+    lines = lines.select(F.col("_metadata.file_path").alias("source_file"),
+                         F.btrim("value", F.lit(BLANKS)).alias("line"))
     return lines.where(F.length("line") > 0).select("source_file", _file_day(F.col("source_file")).alias("dt"), "line")
 
 

@@ -46,6 +46,14 @@ def test_nested_lists(spark):
     assert found == [[(7, None)], None]
 
 
+def test_same_shape_is_one_cast(spark, capsys):
+    df = spark.createDataFrame([([(1.5, "7")],)], "x array<struct<a: double, b: string>>")
+    found = conform(df, DDL("x array<struct<a: long, b: long>>"))
+    assert found.first().x == [(1, 7)]
+    found.explain()
+    assert "transform" not in capsys.readouterr().out
+
+
 def test_list_is_no_struct(spark):
     df = spark.createDataFrame([([(1,)],)], "s array<struct<a: int>>")
     for mode in ("strict", "permissive"):

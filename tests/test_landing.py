@@ -9,7 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
-from daybridge.plans.landing import file_records, land_days, land_files, land_responses
+from daybridge.plans import landing
+from daybridge.plans.landing import file_records, land_days, land_files, land_responses, land_rows
 from daybridge.session import shared_folder
 from daybridge.sinks.files import EmptyExport
 from daybridge.sinks.landing import land
@@ -94,7 +95,7 @@ def test_land_days_is_one_load_for_the_range(spark, folder):
     land_files(spark, f"{folder}/in/2026-01-09", table, "2026-01-02")
     found = land_days(spark, f"{folder}/in", table, "2026-01-01", "2026-01-03")
     assert [tuple(r) for r in found.orderBy("period").collect()] == [
-        (D(2026, 1, 1), 1, "replaced"), (D(2026, 1, 3), 1, "replaced")]
+        (D(2026, 1, 1), 1, "replaced"), (D(2026, 1, 2), 0, "untouched"), (D(2026, 1, 3), 1, "replaced")]
     # A day without files keeps what it had.
     assert landed(spark, table) == [("2026-01-01", '{"id":1}'), ("2026-01-02", '{"id":9}'), ("2026-01-03", '{"id":3}')]
     assert land_days(spark, f"{folder}/in", table, "2026-01-03", "2026-01-01").count() == 0
@@ -118,6 +119,28 @@ def test_nothing_to_land_changes_nothing(spark, folder):
     assert landed(spark, table) == [("2026-01-01", '{"id":1}')]
 
 
+def test_land_rows(spark, folder):
+    rows = spark.createDataFrame([(1, None, D(2026, 1, 1)), (2, 0.5, D(2026, 1, 2))], "id long, v double, dt date")
+    land_rows(rows, f"{folder}/a")
+    assert landed(spark, f"{folder}/a") == [("2026-01-01", '{"id":1,"v":""}'), ("2026-01-02", '{"id":2,"v":0.5}')]
+    land_rows(rows.drop("dt"), f"{folder}/b", "2026-03-01")
+    assert {d for d, _ in landed(spark, f"{folder}/b")} == {"2026-03-01"}
+
+
+def test_large_files_are_dealt_out(spark, folder, monkeypatch):
+    log(folder, "a.log.gz", ['{"id":%d}' % i for i in range(500)])
+    wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": range(500, 600)}))
+    monkeypatch.setattr(landing, "LARGE_FILE", 0)
+    found = land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01")
+    assert found.first().rows == 600
+    assert sorted(json.loads(r)["id"] for _, r in landed(spark, f"{folder}/t")) == list(range(600))
+
+
+def test_unicode_blanks_are_stripped(spark, folder):
+    log(folder, "a.log.gz", ["\u00a0\u2003 {} \x1f\t", "\u3000\x0b", "\u200b"])
+    assert sorted(r.line for r in read_log_lines(spark, f"{folder}/in").collect()) == ["{}", "\u200b"]
+
+
 def test_damaged_files(spark, folder):
     wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1]}))
     path = wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": [2]}))
