@@ -15,7 +15,7 @@ _NULL_OUTSIDE_STRINGS = r'\G((?:[^"nN]++|"(?:[^"\\]++|\\.)*+")*+)(?:null|NaN)'
 
 
 def _is_nested(document: Column, key: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(document, f"$.{key}", "variant")).rlike("^(OBJECT|ARRAY)")
+    return F.schema_of_variant(F.try_variant_get(document, f"$['{key}']", "variant")).rlike("^(OBJECT|ARRAY)")
 
 
 def json_scalar(text: str | Column, key: str) -> Column:
@@ -24,7 +24,7 @@ def json_scalar(text: str | Column, key: str) -> Column:
     NULL for an object, an array, JSON null, a missing key and unparseable text.
     """
     document = F.try_parse_json(text)
-    return F.when(~_is_nested(document, key), F.try_variant_get(document, f"$.{key}", "string"))
+    return F.when(~_is_nested(document, key), F.try_variant_get(document, f"$['{key}']", "string"))
 
 
 def any_scalar(text: Column, tests: dict[str, Callable[[Column], Column]]) -> Column:
@@ -34,7 +34,7 @@ def any_scalar(text: Column, tests: dict[str, Callable[[Column], Column]]) -> Co
     one item of an array. The type is looked up only for values that pass.
     """
     def passes(document: Column) -> Column:
-        found = [test(F.try_variant_get(document, f"$.{key}", "string")) & ~_is_nested(document, key)
+        found = [test(F.try_variant_get(document, f"$['{key}']", "string")) & ~_is_nested(document, key)
                  for key, test in tests.items()]
         return reduce(Column.__or__, found)
     return F.exists(F.array(F.try_parse_json(text)), passes)
@@ -61,31 +61,30 @@ def is_json(text: Column) -> Column:
     return F.coalesce(whole, F.lit(False))
 
 
-def _holds_float(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return True
+def _needs_care(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
-        return _holds_float(kind.elementType)
+        return _needs_care(kind.elementType)
     if isinstance(kind, T.StructType):
-        return any(_holds_float(f.dataType) for f in kind)
-    return False
+        return any(_needs_care(f.dataType) for f in kind)
+    return isinstance(kind, (T.FloatType, T.DoubleType, T.TimeType))
 
 
-def _nan_to_null(value: Column, kind: T.DataType) -> Column:
-    if not _holds_float(kind):
+def _recordable(value: Column, kind: T.DataType) -> Column:
+    """NaN as NULL and times of day as text, at any depth; other values as they are."""
+    if not _needs_care(kind):
         return value
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda item: _nan_to_null(item, kind.elementType))
+        return F.transform(value, lambda item: _recordable(item, kind.elementType))
     if isinstance(kind, T.StructType):
-        fields = [_nan_to_null(value.getField(f.name), f.dataType).alias(f.name) for f in kind]
+        fields = [_recordable(value.getField(f.name), f.dataType).alias(f.name) for f in kind]
         return F.when(value.isNotNull(), F.struct(*fields))
-    return F.when(~F.isnan(value), value)
+    return value.cast("string") if isinstance(kind, T.TimeType) else F.when(~F.isnan(value), value)
 
 
 def row_record(df: DataFrame, columns: list[str] | None = None) -> Column:
     """The row as cleaned JSON text: nulls and NaN become ``""``, timestamps ISO, decimals numbers."""
     names = columns or df.columns
-    fields = [_nan_to_null(F.col(f"`{n}`"), df.schema[n].dataType).alias(n) for n in names]
+    fields = [_recordable(F.col(f"`{n}`"), df.schema[n].dataType).alias(n) for n in names]
     options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx",
                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     return clean_nulls(F.to_json(F.struct(*fields), options))

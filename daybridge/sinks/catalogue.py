@@ -23,10 +23,11 @@ def _numbered(offers: DataFrame, split: DataFrame) -> DataFrame:
     if size.n == 0:
         return offers.withColumn("fragment", F.lit(0).cast("long"))
     small = size.n <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES
-    found = offers.join(F.broadcast(split) if small else split, "mercant_id", "left")
-    # Row positions deal a merchant's offers out evenly, copies of one product included.
-    position = F.monotonically_increasing_id()
-    return found.withColumn("fragment", F.coalesce(F.pmod(position, F.col("fragments")), F.lit(0).cast("long")))
+    # Row positions deal a merchant's offers out evenly, copies of one product included. They are
+    # taken before any shuffle, where a task that runs again sees its rows in the same order.
+    placed = offers.withColumn("position", F.monotonically_increasing_id())
+    found = placed.join(F.broadcast(split) if small else split, "mercant_id", "left")
+    return found.withColumn("fragment", F.coalesce(F.pmod("position", "fragments"), F.lit(0).cast("long")))
 
 
 def catalogue_lines(offers: DataFrame, known: DataFrame, generated_at: dt.datetime) -> DataFrame:

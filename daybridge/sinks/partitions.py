@@ -74,11 +74,13 @@ def _guarded(column: str, periods: list[dt.date] | None) -> Column:
 
 def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "replace",
                     spine: DataFrame | None = None, layout: str | None = None, compression: str = "gzip",
-                    max_records_per_file: int | None = None) -> DataFrame:
+                    max_records_per_file: int | None = None, mark_empty: bool = True) -> DataFrame:
     """Write rows into period folders and report rows per period.
 
     ``replace`` swaps exactly the periods written, and with a ``spine`` also every period of it
-    that has no rows: such a folder ends up with one empty file, not with its old content.
+    that has no rows: such a folder ends up with one empty file, not with its old content. Each
+    takes a small job, so a long sparse backfill may set ``mark_empty=False``: then only folders
+    that hold old rows are emptied and the others are not made.
     ``append`` only adds files and needs the spine of the periods it may add to. After the write
     the rows the table holds (or gained) are checked against the rows the job observed.
 
@@ -116,7 +118,11 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
 
     written = sorted(seen.get["periods"])
     if mode == "replace" and periods is not None:
-        _clear(spark, path, column, df.schema, sorted(set(periods) - set(written)), compression)
+        empty = sorted(set(periods) - set(written))
+        if not mark_empty:
+            old = _existing(spark, path, column, df.schema, empty)
+            empty = [day for day in empty if old.get(day)]
+        _clear(spark, path, column, df.schema, empty, compression)
     now = rows_per_period(spark, path, column, df.schema, written)
     gained = {day: now.get(day, 0) - before.get(day, 0) for day in written}
     # Others may append at the same time, so an appended table may gain more than this job wrote.

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from daybridge.plans import landing
 from daybridge.plans.landing import file_records, land_days, land_files, land_responses, land_rows
+from daybridge.plans.datasets import DATASETS
 from daybridge.session import shared_folder
 from daybridge.sinks.files import EmptyExport
 from daybridge.sinks.landing import land
@@ -179,6 +180,16 @@ def test_wrapped_parquet_types_and_columns(spark, folder):
     assert found[0].dt == D(2026, 1, 1)
 
 
+def test_wrapped_warehouses_keep_times(spark, folder):
+    wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1, 2], "opens_at": [dt.time(8, 30), None], "lat": [1.5, None]}))
+    rows = read_wrapped_parquet(spark, f"{folder}/in", DATASETS["warehouse_catalogue"].schema())
+    assert [(r.id, r.opens_at, r.lat, r.error) for r in rows.orderBy("id").collect()] == [
+        (1, dt.time(8, 30), 1.5, None), (2, None, None, None)]
+    records = [json.loads(r.record) for r in file_records(spark, f"{folder}/in").collect()]
+    assert sorted(records, key=lambda r: r["id"]) == [
+        {"id": 1, "opens_at": "08:30:00", "lat": 1.5}, {"id": 2, "opens_at": "", "lat": ""}]
+
+
 def test_schema_of_differing_files(spark, folder):
     wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1], "a": [1.5]}))
     wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": [2.5], "b": ["x"]}))

@@ -52,6 +52,17 @@ def test_replace_keeps_other_days_and_clears_empty_ones(spark, folder):
     assert len(glob.glob(f"{path}/dt=2026-01-03/*.gz.parquet")) == 1
 
 
+def test_empty_days_need_not_be_marked(spark, folder):
+    path = f"{folder}/t"
+    spine = day_spine(spark, "2026-01-01", "2026-01-04")
+    assert write_partition(days(spark, (1, "2026-01-01")).where("n > 5"), path, spine=spine, mark_empty=False).count() == 4
+    write_partition(days(spark, (1, "2026-01-01"), (2, "2026-01-02")), path)
+    found = write_partition(days(spark, (3, "2026-01-03")), path, spine=spine, mark_empty=False)
+    assert [r.status for r in found.orderBy("period").collect()] == ["empty", "empty", "replaced", "empty"]
+    assert table(spark, path) == [(3, "2026-01-03")]
+    assert not glob.glob(f"{path}/dt=2026-01-04")
+
+
 def test_replace_with_no_rows_at_all(spark, folder):
     path = f"{folder}/t"
     write_partition(days(spark, (1, "2026-01-01")), path)
