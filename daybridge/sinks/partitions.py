@@ -67,7 +67,12 @@ def _clear(spark: SparkSession, path: str, column: str, schema: T.StructType, da
 def _guarded(column: str, periods: list[dt.date] | None) -> Column:
     """The partition value; a value that is NULL or outside the spine fails the job before commit."""
     day = F.col(column).cast("date")
-    allowed = day.isNotNull() if periods is None else day.isin(periods)
+    if periods is None:
+        allowed = day.isNotNull()
+    elif (periods[-1] - periods[0]).days + 1 == len(periods):
+        allowed = day.between(periods[0], periods[-1])
+    else:
+        allowed = day.isin(periods)
     message = F.concat(F.lit(f"{column} outside the range to write: "), F.coalesce(day.cast("string"), F.lit("NULL")))
     return F.when(F.coalesce(allowed, F.lit(False)), day).otherwise(F.raise_error(message).cast("date"))
 

@@ -201,6 +201,10 @@ ORACLE: dict[str, str] = {
         SELECT {_day('event_time')} AS dt, event_id, {_second('event_time')} AS event_time, event_properties,
             CAST(NULL AS DOUBLE) AS adid, CAST(NULL AS VARCHAR) AS uuid
         FROM analytics_events WHERE {_PARTNER}""", "analytics_events"),
+    "export_day_range": f"""
+        SELECT {_day('ts')} AS dt, event_id AS id, {_second('ts')} AS created_at, user_id AS created_by,
+            CAST(trunc(value) AS BIGINT) AS quantity, event_type AS launch_id, CAST(NULL AS BOOLEAN) AS is_deleted
+        FROM events""",
     "export_catalogue_snapshot": """
         SELECT '2026-01-05' AS dt, p_partkey AS id, p_name AS name, p_brand AS brand_name,
             CAST(p_size AS BIGINT) AS weight, p_retailprice AS depth, CAST(NULL AS VARCHAR) AS country FROM part""",
@@ -211,6 +215,13 @@ ORACLE: dict[str, str] = {
     "land_log_records": with_views(f"""
         SELECT {_day('ts')} AS dt, record AS raw_data, {_day('ts')} || ' 00:00:00' AS created_at, true AS has_id
         FROM log_lines WHERE record IS NOT NULL""", "log_lines"),
+    "land_table_rows": """
+        SELECT '2026-01-05' AS dt, '2026-01-05 00:00:00' AS created_at,
+            '{"c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"c_name":"' || c_name || '","c_nationkey":'
+            || CAST(c_nationkey AS VARCHAR) || ',"c_acctbal":' || CAST(c_acctbal AS VARCHAR) || ',"c_mktsegment":"'
+            || c_mktsegment || '","note":"' || CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE '' END || '","score":'
+            || CASE WHEN c_custkey % 2 = 0 THEN '""' ELSE CAST(c_acctbal AS VARCHAR) END || '}' AS raw_data
+        FROM customer""",
     "wrapped_parquet": """
         SELECT c_name, c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
             CAST(NULL AS VARCHAR) AS c_comment, CAST(NULL AS VARCHAR) AS error FROM customer""",

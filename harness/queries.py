@@ -16,7 +16,8 @@ from daybridge.operators import catalogue, filters, finance, ranges
 from daybridge.operators.conform import conform, conform_losses, sanitize
 from daybridge.plans.backfill import backfill
 from daybridge.plans.datasets import DATASETS
-from daybridge.plans.exports import export_financial, export_partner_events, export_snapshot
+from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
+from daybridge.plans.landing import land_rows
 from daybridge.session import prepare, shared_folder
 from daybridge.sinks.catalogue import catalogue_xml
 from daybridge.sinks.files import write_json
@@ -305,6 +306,18 @@ def export_partner_day_files(spark, sf_dir):
     return _text_dates(done.select("dt", "event_id", "event_time", "event_properties", "adid", "uuid"))
 
 
+@registered
+def export_day_range(spark, sf_dir):
+    """Scan, day filter, conform and replace for every day at once, then read the table."""
+    path = shared_folder(spark)
+    source = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id", "ts AS created_at", "user_id AS created_by", "value AS quantity", "event_type AS launch_id",
+        "props AS not_declared")
+    export_days(source, "operations", path, EVENT_FIRST, EVENT_LAST)
+    done = spark.read.parquet(path)
+    return _text_dates(done.select("dt", "id", "created_at", "created_by", "quantity", "launch_id", "is_deleted"))
+
+
 @registered
 def export_catalogue_snapshot(spark, sf_dir):
     path = shared_folder(spark)
@@ -352,6 +365,16 @@ def land_log_records(spark, sf_dir):
         "dt", "raw_data", "created_at", (F.length("id") == 36).alias("has_id")))
 
 
+@registered
+def land_table_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "*", "CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS note", "CASE WHEN c_custkey % 2 = 0 THEN "
+        "CAST('NaN' AS DOUBLE) ELSE c_acctbal END AS score")
+    path = shared_folder(spark)
+    land_rows(rows, path, "2026-01-05")
+    return _text_dates(spark.read.parquet(path).select("dt", "raw_data", "created_at"))
+
+
 def _wrap(rows: DataFrame) -> DataFrame:
     """Rows as gzip-wrapped Parquet files held in a column, one per batch of a task."""
     def files(batches):
