@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.functions.times import between_days
 from daybridge.functions.xmltext import attribute, element, iso_text, number_text
+from daybridge.operators.filters import on_day
 
 # Source column and the XML tag it fills, in document order.
 OFFER_TAGS = {
@@ -43,7 +43,7 @@ def catalogue_offers(df: DataFrame, day: dt.date | str | None = None) -> DataFra
     """One offer element per product of every merchant; products without a merchant are left out."""
     if "mercant_id" not in df.columns:
         raise ValueError("the table needs a mercant_id column")
-    rows = df if day is None else df.where(between_days("pars_date_created_at", day, day))
+    rows = df if day is None else on_day(df, "pars_date_created_at", day)
     rows = rows.where(F.col("mercant_id").cast("string") != "")
     parts = [F.concat(F.lit('<offer id="'), attribute(offer_id(df)), F.lit('">'))]
     parts += [element(tag, _text(df, column)) for column, tag in OFFER_TAGS.items()]
@@ -57,11 +57,11 @@ def catalogue_offers(df: DataFrame, day: dt.date | str | None = None) -> DataFra
     )
 
 
-def document_open(generated_at: Column) -> Column:
+def document_open(generated_at: dt.datetime) -> Column:
     """The envelope above the offers of a merchant."""
     return F.concat_ws(
         "\n",
-        F.concat(F.lit('<yml_catalog date="'), F.date_format(generated_at, "yyyy-MM-dd HH:mm"), F.lit('">')),
+        F.lit(f'<yml_catalog date="{generated_at:%Y-%m-%d %H:%M}">'),
         F.lit("<shop>"),
         element("name", F.col("mercant_name")),
         element("company", F.col("mercant_id")),

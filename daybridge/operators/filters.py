@@ -6,20 +6,40 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybridge.functions.jsontext import any_scalar
 from daybridge.functions.times import between_days, between_months
+from daybridge.session import require
 
 CANCELLED = 8  # fixed value: the order status left out of the aggregates
 
 
+def _check_zone(df: DataFrame, column: str) -> None:
+    """Days of a timestamp with zone are days of the session, which has to be UTC."""
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        require(df.sparkSession, "spark.sql.session.timeZone")
+
+
+def in_days(df: DataFrame, column: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
+    """Rows of whole days, both ends included."""
+    _check_zone(df, column)
+    return df.where(between_days(column, start, end))
+
+
+def in_months(df: DataFrame, column: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
+    """Rows of the whole months the two days lie in, and of those between."""
+    _check_zone(df, column)
+    return df.where(between_months(column, start, end))
+
+
 def on_day(df: DataFrame, column: str, day: dt.date | str) -> DataFrame:
-    return df.where(between_days(column, day, day))
+    return in_days(df, column, day, day)
 
 
 def in_month(df: DataFrame, column: str, month: dt.date | str) -> DataFrame:
     """Rows of the month that holds ``month``, whichever of its days is given."""
-    return df.where(between_months(column, month, month))
+    return in_months(df, column, month, month)
 
 
 def exclude_status(df: DataFrame, code: int = CANCELLED) -> DataFrame:
@@ -56,5 +76,4 @@ def from_partner(properties: str | Column, agent: str, app: str) -> Column:
 def partner_events(df: DataFrame, start: dt.date | str, agent: str, app: str,
                    end: dt.date | str | None = None) -> DataFrame:
     """Events of the partner on one day, or on every day up to ``end``."""
-    return df.where(between_days("event_time", start, end or start)).where(
-        from_partner("event_properties", agent, app))
+    return in_days(df, "event_time", start, end or start).where(from_partner("event_properties", agent, app))

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.functions.times import (between_days, between_months, day_text, month_start,
-                                       month_text, second_text)
-from daybridge.operators.filters import CANCELLED, exclude_full_refunds, exclude_status
+from daybridge.functions.times import day_text, month_start, month_text, second_text
+from daybridge.operators.filters import (CANCELLED, exclude_full_refunds, exclude_status, in_days,
+                                         in_months)
 
 
 def _measures(period_text: Column, discounted: bool) -> list[Column]:
@@ -46,7 +46,7 @@ def financial_daily(orders: DataFrame, start: dt.date | str, end: dt.date | str,
     on (day, platform, value) before (day, platform), so a platform with a third of all orders
     is spread over its values and folded on the map side first.
     """
-    rows = orders.where(between_days("created_at", start, end))
+    rows = in_days(orders, "created_at", start, end)
     rows = exclude_full_refunds(exclude_status(rows, excluded_status))
     rows = rows.withColumn("dt", F.to_date("created_at"))
     grouped = rows.groupBy("dt", "platform").agg(
@@ -62,7 +62,7 @@ def financial_monthly(orders: DataFrame, start: dt.date | str, end: dt.date | st
     Leaves out one status only and turnover counts the undiscounted value, so this is not the sum
     of the daily rows. ``dt`` is the first day of the month.
     """
-    rows = exclude_status(orders.where(between_months("created_at", start, end)), excluded_status)
+    rows = exclude_status(in_months(orders, "created_at", start, end), excluded_status)
     rows = rows.withColumn("dt", F.to_date(F.trunc("created_at", "month")))
     grouped = rows.groupBy("dt", "platform").agg(
         *_measures(month_text(F.max("created_at")).alias("month"), discounted=False))
@@ -78,7 +78,7 @@ def financial_month(orders: DataFrame, day: dt.date | str, excluded_status: int
 
 def raw_orders(orders: DataFrame, start: dt.date | str, end: dt.date | str | None = None) -> DataFrame:
     """Order rows of one day or a range as the partner reads them; nothing is left out."""
-    rows = orders.where(between_days("created_at", start, end or start))
+    rows = in_days(orders, "created_at", start, end or start)
     return rows.select(
         F.to_date("created_at").alias("dt"),
         "platform",
@@ -98,7 +98,7 @@ def raw_orders(orders: DataFrame, start: dt.date | str, end: dt.date | str | Non
 
 def raw_refunds(refunds: DataFrame, start: dt.date | str, end: dt.date | str | None = None) -> DataFrame:
     """Refund rows of one day or a range, by the day the refund was created."""
-    rows = refunds.where(between_days("created_at", start, end or start))
+    rows = in_days(refunds, "created_at", start, end or start)
     return rows.select(
         F.to_date("created_at").alias("dt"),
         second_text("created_at").alias("created_at"),

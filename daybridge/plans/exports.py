@@ -7,10 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.functions.times import between_days
 from daybridge.operators import finance
 from daybridge.operators.conform import conform
-from daybridge.operators.filters import partner_events
+from daybridge.operators.filters import in_days, partner_events
 from daybridge.operators.ranges import day_spine, month_spine
 from daybridge.plans.datasets import DATASETS, Dataset
 from daybridge.sinks.partitions import write_partition, write_split
@@ -34,7 +33,7 @@ def export_days(source: DataFrame, name: str, path: str, start: Day, end: Day,
     dataset = DATASETS[name]
     if dataset.day_column is None:
         raise ValueError(f"{name} is a snapshot, use export_snapshot")
-    rows = table_scan(source, predicate).where(between_days(dataset.day_column, start, end))
+    rows = in_days(table_scan(source, predicate), dataset.day_column, start, end)
     rows = rows.withColumn("dt", F.to_date(dataset.day_column))
     spine = day_spine(source.sparkSession, start, end)
     return write_partition(_shape(rows, dataset, cast_mode, nested_as), path, mode=dataset.mode, spine=spine,
@@ -59,7 +58,7 @@ def export_partner_events(source: DataFrame, path: str, start: Day, end: Day, ag
     # The filter keeps few rows of many scan tasks, so files are put together even for one day.
     if max_bytes is None:
         return write_partition(rows, path, spine=spine, layout="clustered")
-    return write_split(rows, path, max_bytes, spine=spine, layout="clustered")
+    return write_split(rows, path, max_bytes, spine=spine, layout="clustered", staged=True)
 
 
 _FINANCIAL = {

@@ -13,7 +13,7 @@ from daybridge.functions.jsontext import row_record
 from daybridge.functions.times import as_date
 from daybridge.operators.ranges import day_spine
 from daybridge.sinks.landing import land
-from daybridge.sinks.partitions import REPORT
+from daybridge.sinks.partitions import REPORT, write_partition
 from daybridge.sources.envelope import unwrap_envelope
 from daybridge.sources.landed import (day_folders, landed_files, parse_log_lines, read_log_lines,
                                       read_wrapped_parquet, wrapped_schema)
@@ -66,8 +66,9 @@ def file_records(spark: SparkSession, path: str, schema: T.StructType | None = N
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _land_files(spark: SparkSession, source: str, table: str, at: dt.date | None, schema: T.StructType | None,
+def _land_files(source: str, table: str, spine: DataFrame, at: dt.date | None, schema: T.StructType | None,
                 rejects: str | None, unreadable: str) -> DataFrame:
+    spark = spine.sparkSession
     records = file_records(spark, source, schema, unreadable)
     if records is None:
         return spark.createDataFrame([], REPORT)
@@ -76,13 +77,12 @@ def _land_files(spark: SparkSession, source: str, table: str, at: dt.date | None
     report = land(watched.where("error IS NULL"), table, at)
     if seen.get["rejected"]:
         logger.warning("%s: %d records rejected", source, seen.get["rejected"])
-        if rejects is not None:
-            # Read again, but only when there is something to keep.
-            bad = records.where("error IS NOT NULL")
-            if at is not None:
-                bad = bad.withColumn("dt", F.lit(at))
-            (bad.select(*REJECTED).write.partitionBy("dt").mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").parquet(rejects))
+    if rejects is not None:
+        # Read again only when there is something to keep; old rejects of the days go either way.
+        bad = records.where("error IS NOT NULL") if seen.get["rejected"] else spark.createDataFrame([], records.schema)
+        if at is not None:
+            bad = bad.withColumn("dt", F.lit(at))
+        write_partition(bad.select(*REJECTED), rejects, spine=spine, mark_empty=False)
     return report
 
 
@@ -94,7 +94,7 @@ def land_files(spark: SparkSession, source: str, table: str, day: dt.date | str,
     No files or no records leaves the table as it was. Lines that are not JSON and files that are
     not Parquet go to ``rejects`` while the others load.
     """
-    return _land_files(spark, source, table, as_date(day), schema, rejects, unreadable)
+    return _land_files(source, table, day_spine(spark, day, day), as_date(day), schema, rejects, unreadable)
 
 
 def land_days(spark: SparkSession, root: str, table: str, start: dt.date | str, end: dt.date | str,
@@ -108,7 +108,7 @@ def land_days(spark: SparkSession, root: str, table: str, start: dt.date | str,
     days = [r.period for r in spine.collect()]
     if not days:
         return spark.createDataFrame([], REPORT)
-    report = _land_files(spark, day_folders(root, days), table, None, schema, rejects, unreadable)
+    report = _land_files(day_folders(root, days), table, spine, None, schema, rejects, unreadable)
     return spine.join(report, "period", "left").select(
         "period", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("status", F.lit("untouched")).alias("status"))
 

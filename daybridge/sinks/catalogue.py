@@ -39,7 +39,7 @@ def catalogue_lines(offers: DataFrame, known: DataFrame, generated_at: dt.dateti
     body = _numbered(offers, known.where("fragments > 1").select("mercant_id", "fragments")).select(
         "mercant_id", "fragment", F.lit(1).alias("kind"), "offer_id", F.col("offer").alias("value"))
     head = known.select("mercant_id", F.lit(0).cast("long").alias("fragment"), F.lit(0).alias("kind"),
-                        F.lit("").alias("offer_id"), document_open(F.lit(generated_at)).alias("value"))
+                        F.lit("").alias("offer_id"), document_open(generated_at).alias("value"))
     tail = known.select("mercant_id", (F.col("fragments") - 1).alias("fragment"), F.lit(2).alias("kind"),
                         F.lit("").alias("offer_id"), F.lit(OFFER_CLOSE).alias("value"))
     return body.unionByName(head).unionByName(tail)
@@ -54,7 +54,7 @@ def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
     together in fragment order are the document. No task holds more than one fragment's rows of a
     merchant at a time, and none is held in memory as a whole.
     """
-    moment = generated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    moment = generated_at or dt.datetime.now()
     offers = catalogue_offers(df, day)
     known = merchants(offers, max_offers).persist()
     try:

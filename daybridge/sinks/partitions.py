@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybridge.session import shared_folder
+
 MODES = ("replace", "append")
 LAYOUTS = ("clustered", "as_is")
 
@@ -170,11 +172,16 @@ def rows_per_file(df: DataFrame, max_bytes: int, column: str = "dt") -> int:
 
 
 def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", spine: DataFrame | None = None,
-                mode: str = "replace", layout: str | None = None) -> DataFrame:
+                mode: str = "replace", layout: str | None = None, staged: bool = False) -> DataFrame:
     """``write_partition`` with files of roughly at most ``max_bytes`` of Arrow memory each.
 
     Row sizes are measured over all rows in a pass of its own. The bound holds on average over a
-    file, as rows differ; a single row above the bound gets a file of its own.
+    file, as rows differ; a single row above the bound gets a file of its own. ``staged`` first
+    writes the rows to the shared folder, so that an expensive selection runs once, not twice.
     """
+    if staged:
+        stage = shared_folder(df.sparkSession)
+        df.write.parquet(stage)
+        df = df.sparkSession.read.schema(df.schema).parquet(stage)
     limit = rows_per_file(df, max_bytes, column)
     return write_partition(df, path, column, mode, spine, layout=layout, max_records_per_file=limit)

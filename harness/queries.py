@@ -440,7 +440,7 @@ def catalogue_envelopes(spark, sf_dir):
     offers = catalogue.catalogue_offers(view(spark, sf_dir, "merchant_products"))
     known = catalogue.merchants(offers, 1000)
     return known.select("mercant_id", "offers", "fragments",
-                        catalogue.document_open(F.lit(dt.datetime(2026, 2, 2, 10, 0))).alias("opening"))
+                        catalogue.document_open(dt.datetime(2026, 2, 2, 10, 0)).alias("opening"))
 
 
 @registered

@@ -113,6 +113,22 @@ def test_period_filters_reach_the_scan(spark, orders, folder, capsys):
     assert "payment_id" not in read
 
 
+def test_distinct_counts_spread_a_hot_platform(orders, capsys):
+    finance.financial_daily(orders, "2026-04-10", "2026-04-12").explain()
+    exchanges = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2
+    assert "order_id" in exchanges[1] and "user_id" in exchanges[1]
+
+
+def test_days_need_utc(spark, orders):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="timeZone"):
+            finance.financial_daily(orders, "2026-04-10", "2026-04-12")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 EVENTS = [
     (1, '{"user_agent":"X PartnerAPP/1"}', True),
     (2, '{"user_agent":"other","currentApp":"mini"}', True),

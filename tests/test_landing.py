@@ -110,6 +110,17 @@ def test_landing_again_replaces_the_day(spark, folder):
     assert landed(spark, table) == [("2026-01-01", '{"id":2}')]
 
 
+def test_rejects_follow_the_last_load(spark, folder):
+    table, rejects = f"{folder}/table", f"{folder}/rejects"
+    log(folder, "a.log.gz", ["{bad", "{}"], "2026-01-01")
+    log(folder, "a.log.gz", ["{worse", "{}"], "2026-01-02")
+    land_days(spark, f"{folder}/in", table, "2026-01-01", "2026-01-03", rejects=rejects)
+    assert sorted(r.line for r in spark.read.parquet(rejects).collect()) == ["{bad", "{worse"]
+    log(folder, "a.log.gz", ["{}"], "2026-01-01")
+    land_days(spark, f"{folder}/in", table, "2026-01-01", "2026-01-01", rejects=rejects)
+    assert [r.line for r in spark.read.parquet(rejects).collect()] == ["{worse"]
+
+
 def test_nothing_to_land_changes_nothing(spark, folder):
     table = f"{folder}/table"
     log(folder, "a.log.gz", ['{"id":1}'])
