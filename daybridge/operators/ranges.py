@@ -12,7 +12,7 @@ from daybridge.functions.times import as_date, day_sequence
 
 def _spine(spark: SparkSession, start: dt.date | str, end: dt.date | str, step: str) -> DataFrame:
     periods = day_sequence(F.lit(as_date(start)), F.lit(as_date(end)), step)
-    return spark.range(1).select(F.explode(periods).alias("period"))
+    return spark.range(0, 1, 1, 1).select(F.explode(periods).alias("period"))
 
 
 def day_spine(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:

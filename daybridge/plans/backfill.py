@@ -34,7 +34,7 @@ def backfill(spark: SparkSession, run: Callable[[dt.date, dt.date], DataFrame],
     Reversed bounds do nothing.
     """
     spine = month_spine if step == "month" else day_spine
-    periods = [r.period for r in spine(spark, start, end).orderBy("period").collect()]
+    periods = sorted(r.period for r in spine(spark, start, end).collect())
     outcome: list[tuple] = []
     waiting = [periods] if periods else []
     while waiting:

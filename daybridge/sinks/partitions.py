@@ -28,7 +28,7 @@ def _folder(path: str, column: str, day: dt.date) -> str:
 
 def _periods(spine: DataFrame | None) -> list[dt.date] | None:
     """The periods as a driver list: one date each, as many as the range has days or months."""
-    return None if spine is None else [r.period for r in spine.orderBy("period").collect()]
+    return None if spine is None else sorted(r.period for r in spine.collect())
 
 
 def rows_per_period(spark: SparkSession, path: str, column: str, schema: T.StructType,
