@@ -159,29 +159,55 @@ def arrow_bytes(value: Column, kind: T.DataType) -> Column:
     return validity + F.lit(float(widths.get(type(kind), 8)))
 
 
-def rows_per_file(df: DataFrame, max_bytes: int, column: str = "dt") -> int:
-    """How many rows fit ``max_bytes`` of Arrow memory, taking the period with the widest rows."""
+def rows_per_file(df: DataFrame, max_bytes: int, column: str = "dt") -> dict[dt.date, int]:
+    """For every period above ``max_bytes`` of Arrow memory, how many of its rows make up that size.
+
+    Measured over all rows; only one line per period reaches the driver.
+    """
     if max_bytes <= 0:
         raise ValueError("max_bytes must be positive")
     size = F.lit(0.0)
     for field in df.schema:
         if field.name != column:
             size = size + arrow_bytes(F.col(f"`{field.name}`"), field.dataType)
-    widest = df.groupBy(column).agg(F.avg(size).alias("bytes")).agg(F.max("bytes")).first()[0]
-    return max(1, int(max_bytes // widest)) if widest else 1
+    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"))
+    return {r[column]: max(1, int(max_bytes * r["rows"] // r["bytes"]))
+            for r in sizes.where(F.col("bytes") > max_bytes).collect()}
 
 
 def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", spine: DataFrame | None = None,
                 mode: str = "replace", layout: str | None = None, staged: bool = False) -> DataFrame:
     """``write_partition`` with files of roughly at most ``max_bytes`` of Arrow memory each.
 
-    Row sizes are measured over all rows in a pass of its own. The bound holds on average over a
-    file, as rows differ; a single row above the bound gets a file of its own. ``staged`` first
-    writes the rows to the shared folder, so that an expensive selection runs once, not twice.
+    Row sizes are measured in a pass of its own. The bound holds on average over a file, as rows
+    differ; a single row above the bound gets a file of its own. Periods whose row sizes are within
+    a factor of two share a write, normally all of them; one of much wider rows gets its own, so it
+    does not cut the files of the others small. ``staged`` first writes the rows to the shared
+    folder, so that an expensive selection runs once, not twice.
     """
+    spark = df.sparkSession
     if staged:
-        stage = shared_folder(df.sparkSession)
+        stage = shared_folder(spark)
         df.write.parquet(stage)
-        df = df.sparkSession.read.schema(df.schema).parquet(stage)
-    limit = rows_per_file(df, max_bytes, column)
-    return write_partition(df, path, column, mode, spine, layout=layout, max_records_per_file=limit)
+        df = spark.read.schema(df.schema).parquet(stage)
+    limits = rows_per_file(df, max_bytes, column)
+    alike: dict[int, list[dt.date]] = {}
+    for day, rows in limits.items():
+        alike.setdefault(rows.bit_length(), []).append(day)
+    if len(alike) < 2:
+        return write_partition(df, path, column, mode, spine, layout=layout,
+                               max_records_per_file=min(limits.values(), default=None))
+    # The periods of narrow rows take the small and the empty ones along.
+    wide = [days for _, days in sorted(alike.items())[:-1]]
+    apart = [day for days in wide for day in days]
+    narrow = min(limits[day] for day in alike[max(alike)])
+    day_of = F.col(column).cast("date")
+    rest = df.where(~F.coalesce(day_of.isin(apart), F.lit(False)))
+    others = None if spine is None else spine.where(~F.col("period").isin(apart))
+    report = write_partition(rest, path, column, mode, others, layout=layout, max_records_per_file=narrow)
+    for days in wide:
+        own = spark.createDataFrame([(day,) for day in days], "period date")
+        report = report.unionByName(write_partition(
+            df.where(day_of.isin(days)), path, column, mode, own, layout=layout,
+            max_records_per_file=min(limits[day] for day in days)))
+    return report

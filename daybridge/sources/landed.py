@@ -21,7 +21,7 @@ LOG_FILES = "*.log.gz"
 PARQUET_FILES = "*.parquet.gz"
 LANDED_FILES = "*.{log,parquet}.gz"
 
-UNREADABLE = ("fail", "skip")
+UNREADABLE = ("fail", "reject", "skip")
 
 # The characters stripped from both ends of a line, Unicode whitespace.
 BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -67,27 +67,79 @@ def landed_files(spark: SparkSession, prefix: str | Sequence[str], pattern: str
 
 def read_log_lines(spark: SparkSession, path: str | Sequence[str], pattern: str = LOG_FILES,
                    unreadable: str = "fail") -> DataFrame:
-    """Stripped, non-blank lines of gzip JSON logs with their file and the day folder they lie in.
+    """Stripped, non-blank lines of gzip JSON logs: ``(source_file, dt, line, error)``.
 
-    ``unreadable="skip"`` keeps what could be read of a damaged file and goes on with the others.
-    Spark cannot tell a damaged file from a passing read error there, so it has to be asked for.
+    ``dt`` is the day folder of the file. A damaged file fails the query, or with ``unreadable``
+    as ``"reject"`` gives its lines up to the damage and a row with ``error`` in place of a line;
+    its files are then opened by ``split_log_lines``. ``"skip"`` leaves it to Spark to read what it
+    can, which also passes over read errors that a second try would not meet.
     """
     if unreadable not in UNREADABLE:
         raise ValueError(f"unreadable must be one of {UNREADABLE}, not {unreadable!r}")
-    lines = _load(spark, "text", path, pattern, ignoreCorruptFiles=str(unreadable == "skip").lower())
-    if lines is None:
-        return spark.createDataFrame([], "source_file string, dt date, line string")
-    lines = lines.select(F.col("_metadata.file_path").alias("source_file"),
-                         F.btrim("value", F.lit(BLANKS)).alias("line"))
-    return lines.where(F.length("line") > 0).select("source_file", _file_day(F.col("source_file")).alias("dt"), "line")
+    if unreadable == "reject":
+        lines = split_log_lines(_files(spark, path, pattern))
+    else:
+        found = _load(spark, "text", path, pattern, ignoreCorruptFiles=str(unreadable == "skip").lower())
+        if found is None:
+            return spark.createDataFrame([], "source_file string, dt date, line string, error string")
+        lines = found.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"),
+                             F.lit(None).cast("string").alias("error"))
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
+    return lines.where((F.length("line") > 0) | F.col("error").isNotNull()).select(
+        "source_file", _file_day(F.col("source_file")).alias("dt"), "line", "error")
+
+
+def split_log_lines(files: DataFrame) -> DataFrame:
+    """Lines of gzip files given as ``path`` and ``content``; what cannot be read is a row with ``error``.
+
+    A file is held compressed by one task and leaves it in blocks of lines.
+    """
+    def lines(batches):
+        import gzip
+        import io
+
+        import pyarrow as pa
+
+        schema = pa.schema([("source_file", pa.string()), ("line", pa.string()), ("error", pa.string())])
+
+        def block(path, texts, errors):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([path] * len(texts), pa.string()), pa.array(texts, pa.string()),
+                 pa.array(errors, pa.string())], schema=schema)
+
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                name, texts, errors, held = path.as_py(), [], [], 0
+                try:
+                    raw = io.BytesIO(content.as_buffer())
+                    with gzip.open(raw, "rt", encoding="utf-8", errors="surrogateescape") as text:
+                        for line in text:
+                            try:
+                                line.encode()
+                                texts.append(line)
+                                errors.append(None)
+                            except UnicodeEncodeError:
+                                texts.append(None)
+                                errors.append("not text: " + ascii(line))
+                            held += len(line)
+                            if held > 4_000_000 or len(texts) >= 10_000:
+                                yield block(name, texts, errors)
+                                texts, errors, held = [], [], 0
+                except Exception as problem:  # any damage belongs to this file alone
+                    texts.append(None)
+                    errors.append(f"{type(problem).__name__}: {problem}")
+                yield block(name, texts, errors)
+
+    return files.select("path", "content").mapInArrow(lines, "source_file string, line string, error string")
 
 
 def parse_log_lines(lines: DataFrame) -> DataFrame:
-    """Add ``record``, the cleaned JSON of the line, and ``error``; exactly one of them is set."""
+    """Add ``record``, the cleaned JSON of the line; where there is none ``error`` says why."""
     cleaned = clean_nulls(F.col("line"))
     parsed = lines.withColumn("record", F.when(F.is_valid_utf8("line"), cleaned))
     parsed = parsed.withColumn("record", F.when(is_json(F.col("record")), F.col("record")))
-    return parsed.withColumn("error", F.when(F.col("record").isNull(), F.lit("not a JSON line")))
+    return parsed.withColumn("error", F.when(F.col("record").isNull(),
+                                             F.coalesce("error", F.lit("not a JSON line"))))
 
 
 def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:

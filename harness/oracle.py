@@ -212,6 +212,8 @@ ORACLE: dict[str, str] = {
     "log_line_scan": _LOGS.replace("{columns}", f"{_day('ts')} AS dt, trim(line) AS line"),
     "log_records": _LOGS.replace("{columns}", f"""{_day('ts')} AS dt, record,
         CASE WHEN record IS NULL THEN 'not a JSON line' END AS error"""),
+    "log_records_by_file": _LOGS.replace("{columns}", """record,
+        CASE WHEN record IS NULL THEN 'not a JSON line' END AS error"""),
     "land_log_records": with_views(f"""
         SELECT {_day('ts')} AS dt, record AS raw_data, {_day('ts')} || ' 00:00:00' AS created_at, true AS has_id
         FROM log_lines WHERE record IS NOT NULL""", "log_lines"),

@@ -24,7 +24,8 @@ from daybridge.sinks.files import write_json
 from daybridge.sinks.landing import land
 from daybridge.sinks.partitions import write_partition, write_split
 from daybridge.sources.envelope import unwrap_envelope
-from daybridge.sources.landed import landed_files, parse_log_lines, read_log_lines, unwrap_parquet
+from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, split_log_lines,
+                                      unwrap_parquet)
 from daybridge.sources.scans import snapshot, table_scan
 from harness.views import AGENT, APP, table, view
 
@@ -356,6 +357,29 @@ def log_records(spark, sf_dir):
     return _text_dates(parsed.select("dt", "record", "error"))
 
 
+def _gzipped(lines: DataFrame) -> DataFrame:
+    """Lines as gzip files held in a column, one per batch of a task."""
+    def files(batches):
+        import gzip
+
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                text = "\n".join(line or "" for line in batch.column("line").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"lines-{batch.num_rows}"]), pa.array([gzip.compress(text.encode(), 1)], pa.binary())],
+                    names=["path", "content"])
+    return lines.select("line").mapInArrow(files, "path string, content binary")
+
+
+@registered
+def log_records_by_file(spark, sf_dir):
+    lines = split_log_lines(_gzipped(view(spark, sf_dir, "log_lines")))
+    parsed = parse_log_lines(lines.withColumn("line", F.btrim("line")).where("line <> ''"))
+    return parsed.select("record", "error")
+
+
 @registered
 def land_log_records(spark, sf_dir):
     parsed = parse_log_lines(read_log_lines(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz"))

@@ -179,6 +179,25 @@ def test_damaged_log_can_be_skipped(spark, folder):
     kept = read_log_lines(spark, f"{folder}/in", unreadable="skip")
     assert 1 < kept.count() < 20_001
     assert kept.where("line = '{\"id\":1}'").count() == 1
+    table, rejects = f"{folder}/table", f"{folder}/rejects"
+    land_files(spark, f"{folder}/in", table, "2026-01-01", rejects=rejects, unreadable="reject")
+    ids = {json.loads(r)["id"] for _, r in landed(spark, table)}
+    assert ids >= set(range(5_000)) and max(ids) < 20_000
+    bad = spark.read.parquet(rejects).collect()
+    assert any(r.line is None and r.error.startswith("EOFError") and r.source_file.endswith("b.log.gz") for r in bad)
+
+
+def test_both_line_readers_agree(spark, folder):
+    log(folder, "a.log.gz", LINES + ["é \u2028 x", "\r{}\r\n[]"])
+    log(folder, "b.log.gz", ["x" * 1_000_000] * 10 + ['{"last":1}'])
+    with gzip.open(f"{folder}/in/2026-01-01/c.log.gz", "wb") as file:
+        file.write(b'{"a":"\xff"}\n{"b":1}')
+    native = parse_log_lines(read_log_lines(spark, f"{folder}/in"))
+    by_file = parse_log_lines(read_log_lines(spark, f"{folder}/in", unreadable="reject"))
+    def good(df):
+        return sorted((os.path.basename(r.source_file), r.dt, r.record) for r in df.where("error IS NULL").collect())
+    assert good(native) == good(by_file) and len(good(native)) == 8
+    assert native.count() == by_file.count()
 
 
 def test_wrapped_parquet_types_and_columns(spark, folder):

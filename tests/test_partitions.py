@@ -136,14 +136,28 @@ def test_split_bounds_files(spark, folder):
     assert spark.read.parquet(f"{folder}/t").distinct().count() == 50_000
 
 
-def test_a_row_above_the_bound_gets_its_own_file(spark):
-    rows = spark.createDataFrame([("x" * 1000, D(2026, 1, 1))], "s string, dt date")
-    assert rows_per_file(rows, 10) == 1
-    assert rows_per_file(rows.limit(0), 10) == 1
+def test_rows_per_file(spark):
+    rows = spark.createDataFrame([("x" * 1000, D(2026, 1, 1)), ("x", D(2026, 1, 2))], "s string, dt date")
+    assert rows_per_file(rows, 100) == {D(2026, 1, 1): 1}
+    assert rows_per_file(rows, 10_000) == {}
     with pytest.raises(ValueError, match="positive"):
         rows_per_file(rows, 0)
 
 
+@pytest.mark.parametrize("with_spine", [True, False])
+def test_one_period_of_wide_rows_leaves_the_others_alone(spark, folder, with_spine):
+    narrow = spark.range(20_000, numPartitions=2).select("id", F.lit("x").alias("s"), F.lit(D(2026, 1, 2)).alias("dt"))
+    wide = spark.range(5).select("id", F.repeat(F.lit("y"), 100_000).alias("s"), F.lit(D(2026, 1, 1)).alias("dt"))
+    small = spark.range(1).select("id", F.lit("z").alias("s"), F.lit(D(2026, 1, 3)).alias("dt"))
+    spine = day_spine(spark, "2026-01-01", "2026-01-04") if with_spine else None
+    found = write_split(narrow.union(wide).union(small), f"{folder}/t", 64 * 1024, spine=spine)
+    wanted = [(D(2026, 1, 1), 5, "replaced"), (D(2026, 1, 2), 20_000, "replaced"), (D(2026, 1, 3), 1, "replaced")]
+    assert report(found) == wanted + ([(D(2026, 1, 4), 0, "empty")] if with_spine else [])
+    assert len(glob.glob(f"{folder}/t/dt=2026-01-01/*.parquet")) == 5
+    assert 4 <= len(glob.glob(f"{folder}/t/dt=2026-01-02/*.parquet")) <= 10
+    assert spark.read.parquet(f"{folder}/t").count() == 20_006
+
+
 def test_write_json(spark, folder):
     df = spark.createDataFrame([(1, None, dt.datetime(2026, 1, 5, 10, tzinfo=dt.timezone.utc), "é \"q\"")],
                                "id long, n string, t timestamp, s string")
