@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybridge.operators.finance import financial_daily
 from daybridge.session import prepare
-from harness.queries import QUERIES
-from harness.views import view
+from bridgecheck.queries import QUERIES
+from bridgecheck.views import view
 
 HEADLINE = ["financial_daily", "financial_monthly", "raw_orders", "raw_refunds", "table_scan_predicate",
             "partner_events", "json_null_cleaning", "conform_struct", "conform_array", "range_report",

@@ -45,8 +45,8 @@ def difference(found: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> st
 
 
 def main(sf_dir: str, *only: str) -> int:
-    from harness.oracle import ORACLE
-    from harness.queries import QUERIES
+    from bridgecheck.oracle import ORACLE
+    from bridgecheck.queries import QUERIES
 
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate())

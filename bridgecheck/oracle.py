@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness.views import AGENT, APP, with_views
+from bridgecheck.views import AGENT, APP, with_views
 
 
 def _second(column: str) -> str:

@@ -27,7 +27,7 @@ from daybridge.sources.envelope import unwrap_envelope
 from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, split_log_lines,
                                       unwrap_parquet)
 from daybridge.sources.scans import snapshot, table_scan
-from harness.views import AGENT, APP, table, view
+from bridgecheck.views import AGENT, APP, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,7 +285,7 @@ def partition_report(spark, sf_dir):
 @registered
 def size_bounded_split(spark, sf_dir):
     path = shared_folder(spark)
-    write_split(_event_rows(spark, sf_dir), path, 64 * 1024, spine=ranges.day_spine(spark, EVENT_FIRST, EVENT_LAST))
+    write_split(_event_rows(spark, sf_dir), path, 16 * 1024, spine=ranges.day_spine(spark, EVENT_FIRST, EVENT_LAST))
     return _read_back(spark, path)
 
 

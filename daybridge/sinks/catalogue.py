@@ -62,7 +62,9 @@ def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
          .repartition("mercant_id", "fragment")
          .sortWithinPartitions("mercant_id", "fragment", "kind", "offer_id")
          .select("mercant_id", "fragment", "value")
-         .write.partitionBy("mercant_id", "fragment").mode("overwrite").text(path))
+         # Static whatever the session says: fragments of an earlier, larger document must go.
+         .write.partitionBy("mercant_id", "fragment").mode("overwrite")
+         .option("partitionOverwriteMode", "static").text(path))
     finally:
         known.unpersist()
 

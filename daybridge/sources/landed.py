@@ -116,7 +116,7 @@ def split_log_lines(files: DataFrame) -> DataFrame:
                         for line in text:
                             try:
                                 line.encode()
-                                texts.append(line)
+                                texts.append(line.rstrip("\n"))
                                 errors.append(None)
                             except UnicodeEncodeError:
                                 texts.append(None)

@@ -116,7 +116,11 @@ def test_a_large_merchant_is_written_by_many_tasks(spark, folder, monkeypatch, b
 def test_publishing_again_leaves_no_old_fragments(spark, folder):
     rows = spark.range(100).select(F.lit("m").alias("mercant_id"), F.col("id").alias("product_id"))
     catalogue_xml(rows, f"{folder}/x", generated_at=NOW, max_offers=10)
-    catalogue_xml(rows.limit(5), f"{folder}/x", generated_at=NOW, max_offers=10)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        catalogue_xml(rows.limit(5), f"{folder}/x", generated_at=NOW, max_offers=10)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     text, fragments = documents(f"{folder}/x")["m"]
     assert fragments == 1 and len(ET.fromstring(text).findall("shop/offers/offer")) == 5
 

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from harness.check import connect, difference
+from bridgecheck.check import connect, difference
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
