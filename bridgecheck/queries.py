@@ -423,7 +423,7 @@ def wrapped_parquet(spark, sf_dir):
     files = _wrap(table(spark, sf_dir, "customer"))
     schema = T.StructType.fromDDL(
         "c_name STRING, c_custkey BIGINT, c_nationkey BIGINT, c_acctbal DOUBLE, c_comment STRING")
-    return unwrap_parquet(files, schema).drop("source_file")
+    return unwrap_parquet(files, schema).drop("source_file", "source_bytes")
 
 
 @registered

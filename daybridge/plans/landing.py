@@ -27,9 +27,14 @@ LARGE_FILE = 32 * 1024 * 1024
 
 
 def _dealt_out(rows: DataFrame, largest: int) -> DataFrame:
-    """A gzip file is read by one task. Where one is large, its rows are spread before the costly
-    part, making records, and the files written do not follow its size either."""
-    return rows.hint("rebalance") if largest > LARGE_FILE else rows
+    """A gzip file is read by one task. Where one is large, rows are spread before the costly part,
+    making records: each file over as many parts as its size asks for, so that days of small files
+    are still written by one task."""
+    if largest <= LARGE_FILE:
+        return rows
+    parts = F.ceil(F.col("source_bytes") / F.lit(LARGE_FILE)).cast("long")
+    dealt = rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.greatest(parts, F.lit(1))))
+    return dealt.hint("rebalance", "dt", "part").drop("part")
 
 
 def _log_records(spark: SparkSession, path: str, largest: int, unreadable: str) -> DataFrame:

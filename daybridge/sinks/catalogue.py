@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,8 +59,13 @@ def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
     offers = catalogue_offers(df, day)
     known = merchants(offers, max_offers).persist()
     try:
+        # A fragment has to stay in one task, so partitions cannot be cut later: where the session's
+        # number would make them hold many full fragments, the counted offers give a larger one.
+        usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        needed = math.ceil(2 * (known.agg(F.sum("offers")).first()[0] or 0) / max_offers)
+        parts = [needed] if needed > usual else []
         (catalogue_lines(offers, known, moment)
-         .repartition("mercant_id", "fragment")
+         .repartition(*parts, "mercant_id", "fragment")
          .sortWithinPartitions("mercant_id", "fragment", "kind", "offer_id")
          .select("mercant_id", "fragment", "value")
          # Static whatever the session says: fragments of an earlier, larger document must go.

@@ -67,7 +67,7 @@ def landed_files(spark: SparkSession, prefix: str | Sequence[str], pattern: str
 
 def read_log_lines(spark: SparkSession, path: str | Sequence[str], pattern: str = LOG_FILES,
                    unreadable: str = "fail") -> DataFrame:
-    """Stripped, non-blank lines of gzip JSON logs: ``(source_file, dt, line, error)``.
+    """Stripped, non-blank lines of gzip JSON logs: ``(source_file, source_bytes, dt, line, error)``.
 
     ``dt`` is the day folder of the file. A damaged file fails the query, or with ``unreadable``
     as ``"reject"`` gives its lines up to the damage and a row with ``error`` in place of a line;
@@ -81,12 +81,14 @@ def read_log_lines(spark: SparkSession, path: str | Sequence[str], pattern: str
     else:
         found = _load(spark, "text", path, pattern, ignoreCorruptFiles=str(unreadable == "skip").lower())
         if found is None:
-            return spark.createDataFrame([], "source_file string, dt date, line string, error string")
-        lines = found.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"),
+            return spark.createDataFrame(
+                [], "source_file string, source_bytes long, dt date, line string, error string")
+        lines = found.select(F.col("_metadata.file_path").alias("source_file"),
+                             F.col("_metadata.file_size").alias("source_bytes"), F.col("value").alias("line"),
                              F.lit(None).cast("string").alias("error"))
     lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
     return lines.where((F.length("line") > 0) | F.col("error").isNotNull()).select(
-        "source_file", _file_day(F.col("source_file")).alias("dt"), "line", "error")
+        "source_file", "source_bytes", _file_day(F.col("source_file")).alias("dt"), "line", "error")
 
 
 def split_log_lines(files: DataFrame) -> DataFrame:
@@ -100,18 +102,19 @@ def split_log_lines(files: DataFrame) -> DataFrame:
 
         import pyarrow as pa
 
-        schema = pa.schema([("source_file", pa.string()), ("line", pa.string()), ("error", pa.string())])
+        schema = pa.schema([("source_file", pa.string()), ("source_bytes", pa.int64()), ("line", pa.string()),
+                            ("error", pa.string())])
 
-        def block(path, texts, errors):
+        def block(path, size, texts, errors):
             return pa.RecordBatch.from_arrays(
-                [pa.array([path] * len(texts), pa.string()), pa.array(texts, pa.string()),
-                 pa.array(errors, pa.string())], schema=schema)
+                [pa.array([path] * len(texts), pa.string()), pa.array([size] * len(texts), pa.int64()),
+                 pa.array(texts, pa.string()), pa.array(errors, pa.string())], schema=schema)
 
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
-                name, texts, errors, held = path.as_py(), [], [], 0
+                name, packed, texts, errors, held = path.as_py(), content.as_buffer(), [], [], 0
                 try:
-                    raw = io.BytesIO(content.as_buffer())
+                    raw = io.BytesIO(packed)
                     with gzip.open(raw, "rt", encoding="utf-8", errors="surrogateescape") as text:
                         for line in text:
                             try:
@@ -123,14 +126,15 @@ def split_log_lines(files: DataFrame) -> DataFrame:
                                 errors.append("not text: " + ascii(line))
                             held += len(line)
                             if held > 4_000_000 or len(texts) >= 10_000:
-                                yield block(name, texts, errors)
+                                yield block(name, packed.size, texts, errors)
                                 texts, errors, held = [], [], 0
                 except Exception as problem:  # any damage belongs to this file alone
                     texts.append(None)
                     errors.append(f"{type(problem).__name__}: {problem}")
-                yield block(name, texts, errors)
+                yield block(name, packed.size, texts, errors)
 
-    return files.select("path", "content").mapInArrow(lines, "source_file string, line string, error string")
+    return files.select("path", "content").mapInArrow(
+        lines, "source_file string, source_bytes long, line string, error string")
 
 
 def parse_log_lines(lines: DataFrame) -> DataFrame:
@@ -146,12 +150,12 @@ def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of gzip-wrapped Parquet files given as ``path`` and ``content``.
 
     Columns are taken by name, missing ones are NULL, types are cast. A file that cannot be read
-    gives one row with only ``source_file`` and ``error`` set, and the others load. Files are
-    decoded one at a time and leave the task in batches.
+    gives one row with only ``source_file``, ``source_bytes`` and ``error`` set, and the others
+    load. Files are decoded one at a time and leave the task in batches.
     """
     columns = files.sparkSession.createDataFrame([], schema).toArrow().schema
     out = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    out = out.add("source_file", "string").add("error", "string")
+    out = out.add("source_file", "string").add("source_bytes", "long").add("error", "string")
 
     def rows(batches):
         import gzip
@@ -160,25 +164,27 @@ def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:
         import pyarrow.parquet as pq
 
         fields = [pa.field(f.name, f.type) for f in columns]
-        fields += [pa.field("source_file", pa.string()), pa.field("error", pa.string())]
+        fields += [pa.field("source_file", pa.string()), pa.field("source_bytes", pa.int64()),
+                   pa.field("error", pa.string())]
         target = pa.schema(fields)
 
-        def emit(count, data, path, error):
+        def emit(count, data, path, size, error):
             arrays = [data[f.name].cast(f.type, safe=False) if f.name in data else pa.nulls(count, f.type)
                       for f in columns]
-            arrays += [pa.array([path] * count, pa.string()), pa.array([error] * count, pa.string())]
+            arrays += [pa.array([path] * count, pa.string()), pa.array([size] * count, pa.int64()),
+                       pa.array([error] * count, pa.string())]
             return pa.RecordBatch.from_arrays(arrays, schema=target)
 
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
-                name = path.as_py()
+                name, packed = path.as_py(), content.as_buffer()
                 try:
-                    parquet = pq.ParquetFile(pa.BufferReader(gzip.decompress(content.as_buffer())))
+                    parquet = pq.ParquetFile(pa.BufferReader(gzip.decompress(packed)))
                     present = [f.name for f in columns if f.name in parquet.schema_arrow.names]
                     for part in parquet.iter_batches(batch_size=10_000, columns=present):
-                        yield emit(part.num_rows, {n: part.column(n) for n in present}, name, None)
+                        yield emit(part.num_rows, {n: part.column(n) for n in present}, name, packed.size, None)
                 except Exception as problem:  # any damage belongs to this file alone
-                    yield emit(1, {}, name, f"{type(problem).__name__}: {problem}")
+                    yield emit(1, {}, name, packed.size, f"{type(problem).__name__}: {problem}")
 
     return files.select("path", "content").mapInArrow(rows, out)
 

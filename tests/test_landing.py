@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import gzip
 import io
 import json
@@ -139,13 +140,30 @@ def test_land_rows(spark, folder):
     assert {d for d, _ in landed(spark, f"{folder}/b")} == {"2026-03-01"}
 
 
-def test_large_files_are_dealt_out(spark, folder, monkeypatch):
-    log(folder, "a.log.gz", ['{"id":%d}' % i for i in range(500)])
-    wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": range(500, 600)}))
-    monkeypatch.setattr(landing, "LARGE_FILE", 0)
-    found = land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01")
-    assert found.first().rows == 600
-    assert sorted(json.loads(r)["id"] for _, r in landed(spark, f"{folder}/t")) == list(range(600))
+@pytest.mark.parametrize("unreadable", ["fail", "reject"])
+def test_large_files_are_dealt_out(spark, folder, monkeypatch, unreadable):
+    log(folder, "a.log.gz", [json.dumps({"id": i, "x": os.urandom(500).hex()}) for i in range(9_000)])
+    log(folder, "b.log.gz", ['{"id":9000}'], "2026-01-02")
+    wrapped(folder, "c.parquet.gz", pd.DataFrame({"id": range(9_001, 9_100)}), "2026-01-02")
+    monkeypatch.setattr(landing, "LARGE_FILE", 1024 * 1024)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    try:
+        found = land_days(spark, f"{folder}/in", f"{folder}/t", "2026-01-01", "2026-01-02", unreadable=unreadable)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert [(r.rows, r.status) for r in found.orderBy("period").collect()] == [(9_000, "replaced"), (100, "replaced")]
+    assert sorted(json.loads(r)["id"] for _, r in landed(spark, f"{folder}/t")) == list(range(9_100))
+    assert len(glob.glob(f"{folder}/t/dt=2026-01-01/*.parquet")) > 2
+    assert len(glob.glob(f"{folder}/t/dt=2026-01-02/*.parquet")) <= 2
+
+
+def test_only_damaged_files(spark, folder):
+    path = wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1]}))
+    with open(path, "wb") as file:
+        file.write(b"no gzip")
+    assert land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01", rejects=f"{folder}/r").count() == 0
+    bad = spark.read.parquet(f"{folder}/r").first()
+    assert bad.error.startswith("BadGzipFile") and bad.source_file.endswith("a.parquet.gz")
 
 
 def test_unicode_blanks_are_stripped(spark, folder):
