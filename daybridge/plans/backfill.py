@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybridge.functions.times import as_date
 from daybridge.operators.ranges import day_spine, month_spine
 
 logger = logging.getLogger(__name__)
@@ -24,17 +25,23 @@ class RangeFailed(RuntimeError):
         self.outcome = outcome
 
 
-def backfill(spark: SparkSession, run: Callable[[dt.date, dt.date], DataFrame], start: dt.date | str,
-             end: dt.date | str, step: str = "day", raise_on_failure: bool = True) -> DataFrame:
+LOOKBACK_DAYS = 2  # fixed value: how far before its end a range without a start begins
+
+
+def backfill(spark: SparkSession, run: Callable[[dt.date, dt.date], DataFrame], start: dt.date | str | None = None,
+             end: dt.date | str | None = None, step: str = "day", raise_on_failure: bool = True) -> DataFrame:
     """Call ``run(first, last)`` for the range and report ``(period, rows, status, error)``.
 
     ``run`` does its range in one job and returns rows per period, as ``write_partition`` does.
     When it fails, the range is halved and both halves run again, down to single periods: good
     periods are done, bad ones are named. ``raise_on_failure`` raises at the end if any failed.
-    Reversed bounds do nothing.
+    Reversed bounds do nothing. Without an end the range ends today in UTC, without a start it
+    begins two days before its end.
     """
+    last = as_date(end) if end is not None else dt.datetime.now(dt.timezone.utc).date()
+    first = as_date(start) if start is not None else last - dt.timedelta(days=LOOKBACK_DAYS)
     spine = month_spine if step == "month" else day_spine
-    periods = sorted(r.period for r in spine(spark, start, end).collect())
+    periods = sorted(r.period for r in spine(spark, first, last).collect())
     outcome: list[tuple] = []
     waiting = [periods] if periods else []
     while waiting:

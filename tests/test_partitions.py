@@ -246,6 +246,15 @@ def test_backfill_of_reversed_bounds(spark):
     assert calls == []
 
 
+def test_backfill_without_bounds_takes_the_last_three_days(spark):
+    calls = []
+    backfill(spark, _runner(spark, calls, []), end="2026-01-10")
+    backfill(spark, _runner(spark, calls, []))
+    today = dt.datetime.now(dt.timezone.utc).date()
+    assert calls[0] == (D(2026, 1, 8), D(2026, 1, 10))
+    assert calls[1][1] - calls[1][0] == dt.timedelta(days=2) and today - calls[1][1] <= dt.timedelta(days=1)
+
+
 def test_backfill_of_months_exports_each(spark, folder):
     orders = spark.createDataFrame(
         [("app", at("2026-01-31 10:00:00"), 1, 1, 1, 10.0, 9.0, 1.0, 1.0, 0.0, 1, None)],
