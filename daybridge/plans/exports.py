@@ -24,11 +24,12 @@ def _shape(rows: DataFrame, dataset: Dataset, cast_mode: str, nested_as: str) ->
 
 def export_days(source: DataFrame, name: str, path: str, start: Day, end: Day,
                 predicate: Column | str | None = None, cast_mode: str = "strict",
-                nested_as: str = "array", layout: str | None = None) -> DataFrame:
+                nested_as: str = "array", layout: str | None = None, mark_empty: bool = True) -> DataFrame:
     """Write the days of a dataset filtered by its day column; one job for the range.
 
     For a source whose files already hold one day each, ``layout="as_is"`` saves the shuffle that
-    brings the rows of a day together; see ``write_partition``.
+    brings the rows of a day together, and a long sparse range may do without empty files
+    (``mark_empty``); see ``write_partition``.
     """
     dataset = DATASETS[name]
     if dataset.day_column is None:
@@ -37,7 +38,7 @@ def export_days(source: DataFrame, name: str, path: str, start: Day, end: Day,
     rows = rows.withColumn("dt", F.to_date(dataset.day_column))
     spine = day_spine(source.sparkSession, start, end)
     return write_partition(_shape(rows, dataset, cast_mode, nested_as), path, mode=dataset.mode, spine=spine,
-                           layout=layout)
+                           layout=layout, mark_empty=mark_empty)
 
 
 def export_snapshot(source: DataFrame, name: str, path: str, day: Day, cast_mode: str = "strict") -> DataFrame:
@@ -70,9 +71,10 @@ _FINANCIAL = {
 
 
 def export_financial(source: DataFrame, name: str, path: str, start: Day, end: Day,
-                     cast_mode: str = "strict", layout: str | None = None) -> DataFrame:
+                     cast_mode: str = "strict", layout: str | None = None, mark_empty: bool = True) -> DataFrame:
     """Write one of the financial datasets for every day or month of the range; one job."""
     dataset = DATASETS[name]
     rows = _shape(_FINANCIAL[name](source, start, end), dataset, cast_mode, "array")
     spine = month_spine if dataset.step == "month" else day_spine
-    return write_partition(rows, path, spine=spine(source.sparkSession, start, end), layout=layout)
+    return write_partition(rows, path, spine=spine(source.sparkSession, start, end), layout=layout,
+                           mark_empty=mark_empty)

@@ -179,6 +179,9 @@ def test_export_days(spark, folder):
         "id int, created_at timestamp, batch_type string")
     found = export_days(source, "batches", f"{folder}/t", "2026-01-01", "2026-01-03")
     assert report(found) == [(D(2026, 1, 1), 1, "replaced"), (D(2026, 1, 2), 0, "empty"), (D(2026, 1, 3), 1, "replaced")]
+    assert glob.glob(f"{folder}/t/dt=2026-01-02/*.parquet")
+    export_days(source, "batches", f"{folder}/u", "2026-01-01", "2026-01-03", layout="as_is", mark_empty=False)
+    assert not glob.glob(f"{folder}/u/dt=2026-01-02") and spark.read.parquet(f"{folder}/u").count() == 2
     stored = spark.read.parquet(f"{folder}/t/dt=2026-01-01")
     assert stored.columns[0] == "batch_type" and len(stored.columns) == 13
     with pytest.raises(ValueError, match="snapshot"):
