@@ -111,6 +111,8 @@ def search_shard(words: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray
 
 
 def _shard_result(texts: list[bytes], blocks: list[str], cache: dict) -> list[dict]:
+    if not texts:
+        return []
     words = [plain_words(t) for t in texts]
     begins = np.r_[0, np.cumsum([len(w) + 1 for w in words])]
     items: list[set[str]] = [set() for _ in texts]

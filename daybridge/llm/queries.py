@@ -113,4 +113,69 @@ def op10_benchmark_decontamination(spark, sf_dir):
         is_contaminated(name).alias("contaminated"))
 
 
-ORACLE: dict[str, str] = {}
+# --- the same in SQL: A-Z lowered alone, words and windows as lists ---------------------------------
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = r"regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op4_line_dedup": """
+        with lines as (
+            select doc_id, source, text, i, trim(l, ' ') as line, l from (
+                select doc_id, source, text, unnest(string_split(text, chr(10))) as l,
+                       generate_subscripts(string_split(text, chr(10)), 1) as i from documents)),
+        pages as (select source, count(*) as pages from documents group by source),
+        often as (
+            select x.source, line from (
+                select source, line, count(distinct doc_id) as n from lines where line <> '' group by source, line) x
+            join pages p on p.source is not distinct from x.source where n >= 3 and n > 0.02 * pages),
+        told as (
+            select x.*, o.line is not null as gone from lines x
+            left join often o on o.line = x.line and o.source is not distinct from x.source),
+        left_over as (
+            select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+                   coalesce(string_agg(l, chr(10) order by i) filter (not gone), '') as text from told group by doc_id)
+        select d.doc_id, d.source, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped, x.text
+        from documents d left join left_over x using (doc_id)""",
+    "op6_chat_format": r"""
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+            union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        sized as (
+            select *, length(regexp_replace(replace(text, '\', '\\'),
+                '<\||</s>|<s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>', '\0 ', 'g')) as escaped from turns)
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+               sum(length('<|im_start|>') + length(role) + 1 + escaped + length('<|im_end|>') + 1)::bigint as formatted_chars
+        from sized group by conv_id""",
+    "op8_exact_dedup": r"""
+        with bare as (
+            select doc_id, length(coalesce(text, '')) as points,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as bare from documents),
+        kept as (
+            select *, first_value(doc_id) over (partition by bare order by points desc, doc_id) as keep_id,
+                   count(*) over (partition by bare) as group_size from bare)
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from kept""",
+    "op10_benchmark_decontamination": f"""
+        with d as (select doc_id, {_PLAIN} as w from documents),
+        b as (select item_id, {_PLAIN} as w from benchmark),
+        windows as (
+            select distinct item_id, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as phrase
+            from (select item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) as i from b where len(w) > 0)),
+        sizes as (select distinct n from windows),
+        places as (
+            select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as phrase
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, sizes where len(w) >= n)),
+        hits as (select doc_id, item_id, i, p.n from places p join windows w on w.phrase = p.phrase and w.n = p.n),
+        hit as (select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(range(i, i + n)) as spot from hits)
+                group by doc_id),
+        items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+                  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(items, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+        from d left join hit using (doc_id) left join items using (doc_id)""",
+}

@@ -1,0 +1,67 @@
+import os
+import random
+
+import duckdb
+import pytest
+
+import brute
+from daybridge.llm import exactdedup
+from daybridge.llm.exactdedup import CHUNK, MODULI, _POWERS, chunk_prints, combine, exact_dedup, polynomial_print
+from daybridge.llm.queries import ORACLE, QUERIES
+
+
+def test_chunks_compose():
+    data = os.urandom(3 * CHUNK + 1234)
+    for (modulus, base), powers in zip(MODULI, _POWERS):
+        parts = chunk_prints(data, modulus, base, powers)
+        left = combine(combine(parts[0], parts[1], modulus, base), combine(parts[2], parts[3], modulus, base), modulus, base)
+        plain = 0
+        padded = data + bytes(-len(data) % 4)
+        for at in range(0, len(padded), 4):
+            plain = (plain * base + int.from_bytes(padded[at:at + 4], "little")) % modulus
+        assert left[0] == plain
+    assert polynomial_print(b"") == 0
+
+
+def _expected(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(brute.normalised(t), []).append((-len(t or ""), i is None, i))
+    found = []
+    for i, t in rows:
+        own = groups[brute.normalised(t)]
+        found.append((i, min(own, key=lambda x: (x[0], x[1], x[2] or 0))[2], len(own), brute.sha(brute.normalised(t))))
+    return sorted(found, key=str), len(groups)
+
+
+@pytest.mark.parametrize("fold", [None, 5])
+def test_hostile(hostile, fold):
+    """Also with so few fingerprints that most groups hold different texts."""
+    rows = [(r.doc_id, r.text) for r in hostile.collect()]
+    found = exact_dedup(hostile, fold=fold)[0].collect()
+    expected, groups = _expected(rows)
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found), key=str) == expected
+    assert sum(r.kept for r in found) == groups
+
+
+def test_long_texts_differ_in_a_late_chunk(spark):
+    rng = random.Random(3)
+    long_text = "".join(rng.choices("abcdefgh", k=3 * CHUNK))
+    rows = [(1, long_text), (2, long_text[:-1] + "z"), (3, long_text), (4, " " + long_text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for fold in (None, 1):
+        found = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(df, fold=fold)[0].collect()}
+        assert found == {1: (4, 3, False), 3: (4, 3, False), 4: (4, 3, True), 2: (2, 1, True)}
+
+
+def test_empty(empty):
+    assert exact_dedup(empty)[0].count() == 0
+
+
+def test_query_against_sql(spark, sf):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{sf}/documents.parquet')")
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = sorted(con.execute(f"select {','.join(columns)} from ({ORACLE['op8_exact_dedup']})").fetchall())
+    assert sorted(tuple(r) for r in QUERIES["op8_exact_dedup"](spark, sf).select(*columns).collect()) == want
+    assert exactdedup.CHUNK % 4 == 0
