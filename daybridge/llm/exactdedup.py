@@ -117,8 +117,9 @@ def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text",
             .withColumn("apart", F.when(F.col("unequal"), F.col("sha")).otherwise("")).drop("unequal"))
     told = staged(told)
     best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id", *place))
-    groups = (told.groupBy("print", "size", "apart").agg(best.alias("stays"), F.count("*").alias("group_size"))
-              .where("group_size > 1"))
+    # written, so that the join deals rows out anew and can split a group with many copies
+    groups = staged(told.groupBy("print", "size", "apart").agg(best.alias("stays"), F.count("*").alias("group_size"))
+                    .where("group_size > 1"))
     is_kept = F.lit(True)
     for name in place:
         is_kept = is_kept & (F.col(name) == F.col(f"stays.{name}"))
