@@ -10,6 +10,7 @@ import datetime as dt
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -61,6 +62,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
              .config("spark.driver.memory", "12g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)

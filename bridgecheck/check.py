@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -49,6 +50,7 @@ def main(sf_dir: str, *only: str) -> int:
     from bridgecheck.queries import QUERIES
 
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="check-"))
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0

@@ -14,10 +14,9 @@ def _day(column: str) -> str:
 
 
 def _average(column: str) -> str:
-    """Mean of cents kept to six digits of the unit, then to two; halves go up at both steps."""
-    cents = f"CAST({column} * 100 AS HUGEINT)"
-    micros = f"((2 * 10000 * sum({cents}) + count({column})) // (2 * count({column})))"
-    return f"(({micros} + 5000) // 10000) / 100.0"
+    """Mean of cents, rounded once, halves away from zero."""
+    cents, n = f"sum(CAST({column} * 100 AS HUGEINT))", f"count({column})"
+    return f"sign({cents}) * ((2 * abs({cents}) + {n}) // (2 * {n})) / 100.0"
 
 
 def _double(expr: str) -> str:
@@ -244,22 +243,30 @@ ORACLE: dict[str, str] = {
         SELECT mercant_id, mercant_name, CAST(product_id AS VARCHAR) AS offer_id, {_OFFER} AS offer
         FROM merchant_products WHERE {_HAS_MERCHANT}""", "merchant_products"),
     "catalogue_documents": with_views(f"""
-        SELECT mercant_id, CAST(product_id AS VARCHAR) AS offer_id, title AS name, CAST(price AS VARCHAR) AS price,
-            coalesce(CAST(original_price AS VARCHAR), '') AS oldprice, category_full_path AS path, '' AS city
-        FROM merchant_products WHERE {_HAS_MERCHANT}""", "merchant_products"),
+        , opened AS (SELECT mercant_id, {_OPENING} AS opening, CAST(ceil(count(*) / 20.0) AS BIGINT) AS fragments
+            FROM merchant_products WHERE {_HAS_MERCHANT} GROUP BY mercant_id),
+        ends AS (SELECT mercant_id, opening, unnest(range(fragments)) AS fragment FROM opened),
+        lines AS (
+            SELECT mercant_id, unnest(string_split(offer, chr(10))) AS line FROM (
+                SELECT mercant_id, {_OFFER} AS offer FROM merchant_products WHERE {_HAS_MERCHANT})
+            UNION ALL
+            SELECT mercant_id, unnest(string_split(opening || chr(10) || '</offers>' || chr(10) || '</shop>' || chr(10)
+                || '</yml_catalog>', chr(10))) FROM ends)
+        SELECT mercant_id, line, count(*) AS n FROM lines GROUP BY mercant_id, line""", "merchant_products"),
     "catalogue_envelopes": with_views(f"""
         SELECT mercant_id, count(*) AS offers, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS fragments,
             {_OPENING} AS opening
         FROM merchant_products WHERE {_HAS_MERCHANT} GROUP BY mercant_id""", "merchant_products"),
     "catalogue_small_document": with_views(f"""
-        , picked AS (SELECT * FROM merchant_products ORDER BY id LIMIT 1000)
-        SELECT '<?xml version=''1.0'' encoding=''utf-8''?>' || chr(10)
+        , ends AS (SELECT unnest(range(CAST(ceil((SELECT count(*) FROM merchant_products) / 1000.0) AS BIGINT))) AS fragment)
+        SELECT 0 AS kind, '<?xml version=''1.0'' encoding=''utf-8''?>' || chr(10)
             || '<yml_catalog date="2026-02-02T10:00:00"><shop>'
             || (SELECT {_element('name', 'mercant_name', '<name />')} || {_element('company', 'mercant_id', '<company />')}
-                FROM picked ORDER BY id LIMIT 1)
-            || '<categories /><offers>'
-            || string_agg('<offer id="' || CAST(id AS VARCHAR) || '">' || {_element('name', 'title', '<name />')}
-                || '<price>' || CAST(CAST(trunc(price) AS BIGINT) AS VARCHAR) || '</price></offer>', '' ORDER BY id)
-            || '</offers></shop></yml_catalog>' AS document
-        FROM picked""", "merchant_products"),
+                FROM merchant_products ORDER BY id LIMIT 1)
+            || '<categories /><offers>' AS value FROM ends
+        UNION ALL
+        SELECT 1, '<offer id="' || CAST(id AS VARCHAR) || '">' || {_element('name', 'title', '<name />')}
+                || '<price>' || CAST(CAST(trunc(price) AS BIGINT) AS VARCHAR) || '</price></offer>'
+        FROM merchant_products
+        UNION ALL SELECT 2, '</offers></shop></yml_catalog>' FROM ends""", "merchant_products"),
 }

@@ -448,14 +448,12 @@ def catalogue_offer_elements(spark, sf_dir):
 
 @registered
 def catalogue_documents(spark, sf_dir):
-    """All documents written as files and their offers read back as XML."""
+    """All documents written as files, several for each merchant, and every line of them read back."""
     path = shared_folder(spark)
     catalogue_xml(view(spark, sf_dir, "merchant_products"), path, generated_at=dt.datetime(2026, 2, 2, 10, 0),
-                  max_offers=1000)
-    schema = T.StructType.fromDDL("_id STRING, name STRING, price STRING, oldprice STRING, path STRING, city STRING")
-    offers = spark.read.schema(schema).option("rowTag", "offer").option("basePath", path).xml(path)
-    return offers.select("mercant_id", F.col("_id").alias("offer_id"), "name", "price", "oldprice", "path",
-                         F.coalesce("city", F.lit("")).alias("city"))
+                  max_offers=20)
+    lines = spark.read.option("basePath", path).text(path)
+    return lines.groupBy("mercant_id", F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
 @registered
@@ -470,4 +468,5 @@ def catalogue_envelopes(spark, sf_dir):
 @registered
 def catalogue_small_document(spark, sf_dir):
     products = view(spark, sf_dir, "merchant_products")
-    return catalogue.catalogue_lite(products, dt.datetime(2026, 2, 2, 10, 0), order_by="id")
+    lines = catalogue.catalogue_lite(products, dt.datetime(2026, 2, 2, 10, 0), order_by="id", max_offers=1000)
+    return lines.select("kind", "value")

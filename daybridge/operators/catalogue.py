@@ -83,28 +83,39 @@ def merchants(offers: DataFrame, max_offers: int) -> DataFrame:
 
 
 def catalogue_lite(df: DataFrame, generated_at: dt.datetime, order_by: str | None = None,
-                   rows: int = 1000) -> DataFrame:
-    """One small document over at most ``rows`` products with name and whole price only.
+                   rows: int | None = None, max_offers: int = 200_000) -> DataFrame | None:
+    """Lines of the brief document, name and whole price of every product: ``(fragment, kind, position, value)``.
 
-    Without ``order_by`` any products may be picked, as many as the limit; no products, no row.
+    Ordered by kind and position, the values of a fragment are a complete document; products are
+    dealt to fragments of about ``max_offers`` by a hash of their content. The envelope names the first
+    product's merchant, in ``order_by`` if given. ``rows`` limits the products and needs an order. No
+    products, no lines.
     """
+    if rows is not None and order_by is None:
+        raise ValueError("a limit needs an order")
     text = {c: (F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string"))
             for c in ("mercant_name", "mercant_id", "title")}
     price = F.col("price").cast("long").cast("string") if "price" in df.columns else F.lit("0")
     offer = F.concat(F.lit('<offer id="'), attribute(_text(df, "id")), F.lit('">'),
                      element("name", text["title"], "<{} />"), element("price", price, "<{} />"), F.lit("</offer>"))
-    picked = df.orderBy(order_by).limit(rows) if order_by else df.limit(rows)
-    picked = picked.select(F.monotonically_increasing_id().alias("at"), text["mercant_name"].alias("name"),
-                           text["mercant_id"].alias("company"), offer.alias("offer"))
-    # At most `rows` offers meet here, never the table.
-    whole = picked.agg(F.sort_array(F.collect_list(F.struct("at", "name", "company", "offer"))).alias("all"))
-    first = F.col("all")[0]
-    return whole.where(F.size("all") > 0).select(F.concat(
-        F.lit("<?xml version='1.0' encoding='utf-8'?>\n"),
-        F.lit(f'<yml_catalog date="{generated_at.isoformat()}"><shop>'),
-        element("name", first["name"], "<{} />"),
-        element("company", first["company"], "<{} />"),
-        F.lit("<categories /><offers>"),
-        F.array_join(F.transform("all", lambda row: row["offer"]), ""),
-        F.lit("</offers></shop></yml_catalog>"),
-    ).alias("document"))
+    position = F.col(order_by) if order_by else offer
+    picked = df if rows is None else df.orderBy(order_by).limit(rows)
+    picked = picked.select(position.alias("position"), text["mercant_name"].alias("name"),
+                           text["mercant_id"].alias("company"), offer.alias("value"))
+    whole = picked.agg(F.count(F.lit(1)).alias("offers"),
+                       F.min(F.struct("position", "name", "company", "value")).alias("first")).first()
+    if not whole.offers:
+        return None
+    fragments = -(-whole.offers // max_offers)
+    first = {c: F.lit(whole["first"][c]).cast("string") for c in ("name", "company")}
+    opening = F.concat(F.lit("<?xml version='1.0' encoding='utf-8'?>\n"),
+                       F.lit(f'<yml_catalog date="{generated_at.isoformat()}"><shop>'),
+                       element("name", first["name"], "<{} />"), element("company", first["company"], "<{} />"),
+                       F.lit("<categories /><offers>"))
+    none = F.lit(None).cast(picked.schema["position"].dataType).alias("position")
+    numbers = df.sparkSession.range(fragments).withColumnRenamed("id", "fragment")
+    body = picked.select(F.pmod(F.xxhash64("position", "value"), F.lit(fragments)).alias("fragment"),
+                         F.lit(1).alias("kind"), "position", "value")
+    return (body.unionByName(numbers.select("fragment", F.lit(0).alias("kind"), none, opening.alias("value")))
+            .unionByName(numbers.select("fragment", F.lit(2).alias("kind"), none,
+                                        F.lit("</offers></shop></yml_catalog>").alias("value"))))

@@ -6,19 +6,32 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybridge.functions.times import day_text, month_start, month_text, second_text
 from daybridge.operators.filters import (CANCELLED, exclude_full_refunds, exclude_status, in_days,
                                          in_months)
 
 
-def _measures(period_text: Column, discounted: bool) -> list[Column]:
+def _average_of_cents(df: DataFrame, column: str) -> Column:
+    """The mean to two digits, rounded once, halves away from zero; exact for decimals."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.DecimalType):
+        return F.round(F.avg(column), 2)
+    scale = max(kind.scale, 2)
+    units = F.sum((F.col(column) * F.lit(10 ** scale)).cast("decimal(38,0)"))
+    parts = F.count(column) * F.lit(10 ** (scale - 2))
+    cents = F.call_function("div", 2 * F.abs(units) + parts, 2 * parts)
+    return F.when(F.count(column) > 0, F.signum(units) * cents / 100)
+
+
+def _measures(df: DataFrame, period_text: Column, discounted: bool) -> list[Column]:
     shared = [
         period_text,
         F.count_distinct("warehouse_id").alias("active_darkstores"),
         F.count_distinct("user_id").alias("unique_users"),
         F.count_distinct("order_id").alias("orders"),
-        F.round(F.avg("original_price"), 2).alias("aov"),
+        _average_of_cents(df, "original_price").alias("aov"),
         F.sum("original_price").alias("gmv"),
     ]
     if discounted:
@@ -50,7 +63,7 @@ def financial_daily(orders: DataFrame, start: dt.date | str, end: dt.date | str,
     rows = exclude_full_refunds(exclude_status(rows, excluded_status))
     rows = rows.withColumn("dt", F.to_date("created_at"))
     grouped = rows.groupBy("dt", "platform").agg(
-        *_measures(day_text(F.max("created_at")).alias("date"), discounted=True))
+        *_measures(rows, day_text(F.max("created_at")).alias("date"), discounted=True))
     turnover = F.col("gmv_disc") + F.col("delivery_fee_revenue") + F.col("service_fee_revenue")
     return _as_doubles(grouped.withColumn("gtv", turnover))
 
@@ -65,7 +78,7 @@ def financial_monthly(orders: DataFrame, start: dt.date | str, end: dt.date | st
     rows = exclude_status(in_months(orders, "created_at", start, end), excluded_status)
     rows = rows.withColumn("dt", F.to_date(F.trunc("created_at", "month")))
     grouped = rows.groupBy("dt", "platform").agg(
-        *_measures(month_text(F.max("created_at")).alias("month"), discounted=False))
+        *_measures(rows, month_text(F.max("created_at")).alias("month"), discounted=False))
     turnover = F.col("gmv") + F.col("delivery_fee_revenue") + F.col("service_fee_revenue")
     return _as_doubles(grouped.withColumn("gtv", turnover))
 

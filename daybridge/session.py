@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,10 +36,13 @@ def require(spark: SparkSession, *keys: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A new, unused folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in a bare test session, is a temporary folder made and set.
+    Only where that is unset and all tasks run in this process, as in tests, is a temporary folder
+    made and set; on a cluster, where each machine would have its own, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="daybridge-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/daybridge-{uuid.uuid4().hex}"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from daybridge.operators.catalogue import (OFFER_CLOSE, catalogue_lite, catalogue_offers,
                                            document_open, merchants)
+from daybridge.session import shared_folder
 
 logger = logging.getLogger(__name__)
 
@@ -19,41 +20,48 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def _numbered(offers: DataFrame, split: DataFrame) -> DataFrame:
-    """Offers with the fragment they go to; only merchants of several fragments need a lookup."""
+    """Offers with the fragment they go to; only merchants of several fragments need a lookup.
+
+    Row positions deal the offers of those out evenly, copies of one product included. They are
+    written to the shared folder first: read from there, a task that runs again sees its rows in
+    the same order, whatever the offers came from.
+    """
     size = split.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("mercant_id") + 8).alias("bytes")).first()
     if size.n == 0:
         return offers.withColumn("fragment", F.lit(0).cast("long"))
     small = size.n <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES
-    # Row positions deal a merchant's offers out evenly, copies of one product included. They are
-    # taken before any shuffle, where a task that runs again sees its rows in the same order.
-    placed = offers.withColumn("position", F.monotonically_increasing_id())
-    found = placed.join(F.broadcast(split) if small else split, "mercant_id", "left")
-    return found.withColumn("fragment", F.coalesce(F.pmod("position", "fragments"), F.lit(0).cast("long")))
+    split = F.broadcast(split) if small else split
+    stage = shared_folder(offers.sparkSession)
+    large = offers.join(split, "mercant_id")
+    large.write.parquet(stage)
+    placed = offers.sparkSession.read.schema(large.schema).parquet(stage).withColumn(
+        "fragment", F.pmod(F.monotonically_increasing_id(), "fragments")).drop("fragments")
+    return placed.unionByName(offers.join(split, "mercant_id", "left_anti").withColumn("fragment", F.lit(0).cast("long")))
 
 
 def catalogue_lines(offers: DataFrame, known: DataFrame, generated_at: dt.datetime) -> DataFrame:
     """Everything that makes up the documents: ``(mercant_id, fragment, kind, offer_id, value)``.
 
-    ``known`` is what ``merchants`` gives. Ordered by fragment, kind, offer id, the values of a
-    merchant are its document.
+    ``known`` is what ``merchants`` gives. Ordered by kind and offer id, the values of a merchant's
+    fragment are a document.
     """
     body = _numbered(offers, known.where("fragments > 1").select("mercant_id", "fragments")).select(
         "mercant_id", "fragment", F.lit(1).alias("kind"), "offer_id", F.col("offer").alias("value"))
-    head = known.select("mercant_id", F.lit(0).cast("long").alias("fragment"), F.lit(0).alias("kind"),
-                        F.lit("").alias("offer_id"), document_open(generated_at).alias("value"))
-    tail = known.select("mercant_id", (F.col("fragments") - 1).alias("fragment"), F.lit(2).alias("kind"),
-                        F.lit("").alias("offer_id"), F.lit(OFFER_CLOSE).alias("value"))
+    every = known.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fragments") - 1)).alias("fragment"))
+    head = every.select("mercant_id", "fragment", F.lit(0).alias("kind"), F.lit("").alias("offer_id"),
+                        document_open(generated_at).alias("value"))
+    tail = every.select("mercant_id", "fragment", F.lit(2).alias("kind"), F.lit("").alias("offer_id"),
+                        F.lit(OFFER_CLOSE).alias("value"))
     return body.unionByName(head).unionByName(tail)
 
 
 def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
                   generated_at: dt.datetime | None = None, max_offers: int = 200_000) -> None:
-    """Publish one XML document per merchant below ``path``, replacing what is there.
+    """Publish XML documents per merchant below ``path``, replacing what is there.
 
-    A document lies in ``mercant_id=…/fragment=…``. Up to ``max_offers`` offers it is one file. A
-    larger merchant gets as many fragments as it needs, written by as many tasks; its files put
-    together in fragment order are the document. No task holds more than one fragment's rows of a
-    merchant at a time, and none is held in memory as a whole.
+    A file ``mercant_id=…/fragment=…`` is a complete document of about ``max_offers`` offers at
+    most; a merchant has as many as it needs, normally one, written by as many tasks. No task holds
+    more than one fragment's rows of a merchant at a time, and none is held in memory as a whole.
     """
     moment = generated_at or dt.datetime.now()
     offers = catalogue_offers(df, day)
@@ -76,14 +84,16 @@ def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
 
 
 def catalogue_xml_lite(df: DataFrame, path: str, generated_at: dt.datetime | None = None,
-                       order_by: str | None = None) -> bool:
-    """Write the small single document; False and nothing written when there are no products."""
-    document = catalogue_lite(df, generated_at or dt.datetime.now(), order_by).cache()
-    try:
-        if document.isEmpty():
-            logger.warning("no products for %s", path)
-            return False
-        document.coalesce(1).write.mode("overwrite").text(path)
-        return True
-    finally:
-        document.unpersist()
+                       order_by: str | None = None, rows: int | None = None, max_offers: int = 200_000) -> bool:
+    """Write the brief document over all products; False and nothing written when there are none.
+
+    A file ``fragment=…`` is a complete document of about ``max_offers`` products at most. Only with
+    ``rows``, which needs ``order_by``, are there no more products than that.
+    """
+    lines = catalogue_lite(df, generated_at or dt.datetime.now(), order_by, rows, max_offers)
+    if lines is None:
+        logger.warning("no products for %s", path)
+        return False
+    (lines.repartition("fragment").sortWithinPartitions("fragment", "kind", "position").select("fragment", "value")
+     .write.partitionBy("fragment").mode("overwrite").option("partitionOverwriteMode", "static").text(path))
+    return True

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from daybridge.functions.times import as_date
 from daybridge.sinks.files import EmptyExport
-from daybridge.sinks.partitions import REPORT, WriteMismatch, rows_per_period
+from daybridge.sinks.partitions import REPORT, WriteMismatch, observed, rows_per_period
 
 ON_EMPTY = ("skip", "error")
 
@@ -47,10 +47,11 @@ def land(records: DataFrame, path: str, at: dt.datetime | dt.date | str | None =
     landed = landed.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("dt").alias("days"))
     (landed.write.partitionBy("dt").option("partitionOverwriteMode", "dynamic").mode("overwrite")
      .option("compression", "gzip").parquet(path))
-    written = seen.get["rows"]
+    found = observed(seen)
+    written = found.get("rows", 0)
     if written == 0 and on_empty == "error":
         raise EmptyExport(f"no records to land in {path}")
-    held = rows_per_period(spark, path, "dt", LANDED, sorted(seen.get["days"]))
+    held = rows_per_period(spark, path, "dt", LANDED, sorted(found.get("days", [])))
     if sum(held.values()) != written:
         raise WriteMismatch(f"{path}: wrote {written} records, the table holds {sum(held.values())}")
     return spark.createDataFrame([(d, n, "replaced") for d, n in sorted(held.items())], REPORT)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -53,17 +54,39 @@ def _existing(spark: SparkSession, path: str, column: str, schema: T.StructType,
         return {}
 
 
+def observed(seen: Observation) -> dict:
+    """What was observed; nothing where adaptive execution found no rows and left the observing step out."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "toPyRow" not in str(error):
+            raise
+        return {}
+
+
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether anything has been written to the path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop.Path(path))
+
+
 def _clear(spark: SparkSession, path: str, column: str, schema: T.StructType, days: list[dt.date],
            compression: str) -> None:
-    """Replace period folders by one empty file each; tiny independent jobs, so overlapped."""
+    """Replace period folders by one empty file each: one job writes it, the store copies it."""
+    if not days:
+        return
     body = T.StructType([f for f in schema if f.name != column])
-
-    def clear(day: dt.date) -> None:
-        empty = spark.createDataFrame([], body)
-        empty.write.mode("overwrite").option("compression", compression).parquet(_folder(path, column, day))
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        list(pool.map(clear, days))
+    stage = f"{path.rstrip('/')}/_empty-{uuid.uuid4().hex}"
+    spark.createDataFrame([], body).coalesce(1).write.option("compression", compression).parquet(stage)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    store = hadoop.Path(stage).getFileSystem(conf)
+    empty = next(f.getPath() for f in store.listStatus(hadoop.Path(stage)) if f.getPath().getName().endswith(".parquet"))
+    for day in days:
+        folder = hadoop.Path(_folder(path, column, day))
+        store.delete(folder, True)
+        store.mkdirs(folder)
+        hadoop.FileUtil.copy(store, empty, store, hadoop.Path(folder, empty.getName()), False, conf)
+    store.delete(hadoop.Path(stage), True)
 
 
 def _guarded(column: str, periods: list[dt.date] | None) -> Column:
@@ -85,15 +108,15 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     """Write rows into period folders and report rows per period.
 
     ``replace`` swaps exactly the periods written, and with a ``spine`` also every period of it
-    that has no rows: such a folder ends up with one empty file, not with its old content. Each
-    takes a small job, so a long sparse backfill may set ``mark_empty=False``: then only folders
-    that hold old rows are emptied and the others are not made.
+    that has no rows: such a folder ends up with one empty file, not with its old content. One job
+    makes that file for all of them. With ``mark_empty=False`` only folders that hold old rows are
+    emptied and the others are not made.
     ``append`` only adds files and needs the spine of the periods it may add to. After the write
     the rows the table holds (or gained) are checked against the rows the job observed.
 
-    ``layout="clustered"`` (default beyond one period) brings a period's rows together first, so
-    files do not multiply as tasks x periods; it lets Spark cut a large period into several
-    tasks. ``"as_is"`` (default for one period) writes without a shuffle.
+    ``layout="clustered"`` (default) brings a period's rows together first, so files do not
+    multiply as tasks x periods; it lets Spark cut a large period into several tasks. ``"as_is"``
+    writes without a shuffle, a file for each task.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -108,7 +131,7 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
 
     before = _existing(spark, path, column, df.schema, periods) if mode == "append" else {}
     guarded = df.withColumn(column, _guarded(column, periods))
-    if layout == "clustered" or (layout is None and (periods is None or len(periods) > 1)):
+    if layout != "as_is":
         guarded = guarded.hint("rebalance", column)
     # Observed behind the shuffle: only tasks that commit files are counted.
     seen = Observation()
@@ -123,7 +146,8 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
         writer = writer.mode("append")
     writer.parquet(path)
 
-    written = sorted(seen.get["periods"])
+    found = observed(seen)
+    rows, written = found.get("rows", 0), sorted(found.get("periods", []))
     if mode == "replace" and periods is not None:
         empty = sorted(set(periods) - set(written))
         if not mark_empty:
@@ -134,8 +158,8 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     gained = {day: now.get(day, 0) - before.get(day, 0) for day in written}
     # Others may append at the same time, so an appended table may gain more than this job wrote.
     total = sum(gained.values())
-    if total < seen.get["rows"] or (mode == "replace" and total > seen.get["rows"]):
-        raise WriteMismatch(f"{path}: wrote {seen.get['rows']} rows, the table has {total} of them")
+    if total < rows or (mode == "replace" and total > rows):
+        raise WriteMismatch(f"{path}: wrote {rows} rows, the table has {total} of them")
     done = "replaced" if mode == "replace" else "appended"
     report = [(day, gained.get(day, 0), done if day in gained else "empty") for day in periods or written]
     return spark.createDataFrame(report, REPORT)

@@ -21,7 +21,7 @@ LOG_FILES = "*.log.gz"
 PARQUET_FILES = "*.parquet.gz"
 LANDED_FILES = "*.{log,parquet}.gz"
 
-UNREADABLE = ("fail", "reject", "skip")
+UNREADABLE = ("fail", "reject")
 
 # The characters stripped from both ends of a line, Unicode whitespace.
 BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -71,15 +71,14 @@ def read_log_lines(spark: SparkSession, path: str | Sequence[str], pattern: str
 
     ``dt`` is the day folder of the file. A damaged file fails the query, or with ``unreadable``
     as ``"reject"`` gives its lines up to the damage and a row with ``error`` in place of a line;
-    its files are then opened by ``split_log_lines``. ``"skip"`` leaves it to Spark to read what it
-    can, which also passes over read errors that a second try would not meet.
+    its files are then opened by ``split_log_lines``.
     """
     if unreadable not in UNREADABLE:
         raise ValueError(f"unreadable must be one of {UNREADABLE}, not {unreadable!r}")
     if unreadable == "reject":
         lines = split_log_lines(_files(spark, path, pattern))
     else:
-        found = _load(spark, "text", path, pattern, ignoreCorruptFiles=str(unreadable == "skip").lower())
+        found = _load(spark, "text", path, pattern, ignoreCorruptFiles="false")
         if found is None:
             return spark.createDataFrame(
                 [], "source_file string, source_bytes long, dt date, line string, error string")
@@ -150,8 +149,9 @@ def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of gzip-wrapped Parquet files given as ``path`` and ``content``.
 
     Columns are taken by name, missing ones are NULL, types are cast. A file that cannot be read
-    gives one row with only ``source_file``, ``source_bytes`` and ``error`` set, and the others
-    load. Files are decoded one at a time and leave the task in batches.
+    to its end, or has a value its declared type cannot hold, gives one row with only
+    ``source_file``, ``source_bytes`` and ``error`` set and none of its rows, and the others load.
+    A task decodes one whole file before any of its rows leave.
     """
     columns = files.sparkSession.createDataFrame([], schema).toArrow().schema
     out = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
@@ -161,6 +161,7 @@ def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:
         import gzip
 
         import pyarrow as pa
+        import pyarrow.compute as pc
         import pyarrow.parquet as pq
 
         fields = [pa.field(f.name, f.type) for f in columns]
@@ -169,8 +170,8 @@ def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:
         target = pa.schema(fields)
 
         def emit(count, data, path, size, error):
-            arrays = [data[f.name].cast(f.type, safe=False) if f.name in data else pa.nulls(count, f.type)
-                      for f in columns]
+            arrays = [data[f.name].cast(options=pc.CastOptions(f.type, allow_time_truncate=True))
+                      if f.name in data else pa.nulls(count, f.type) for f in columns]
             arrays += [pa.array([path] * count, pa.string()), pa.array([size] * count, pa.int64()),
                        pa.array([error] * count, pa.string())]
             return pa.RecordBatch.from_arrays(arrays, schema=target)
@@ -181,10 +182,11 @@ def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:
                 try:
                     parquet = pq.ParquetFile(pa.BufferReader(gzip.decompress(packed)))
                     present = [f.name for f in columns if f.name in parquet.schema_arrow.names]
-                    for part in parquet.iter_batches(batch_size=10_000, columns=present):
-                        yield emit(part.num_rows, {n: part.column(n) for n in present}, name, packed.size, None)
+                    whole = [emit(part.num_rows, {n: part.column(n) for n in present}, name, packed.size, None)
+                             for part in parquet.iter_batches(batch_size=10_000, columns=present)]
                 except Exception as problem:  # any damage belongs to this file alone
-                    yield emit(1, {}, name, packed.size, f"{type(problem).__name__}: {problem}")
+                    whole = [emit(1, {}, name, packed.size, f"{type(problem).__name__}: {problem}")]
+                yield from whole
 
     return files.select("path", "content").mapInArrow(rows, out)
 

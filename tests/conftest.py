@@ -15,6 +15,7 @@ from daybridge.session import prepare
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("daybridge-tests")
                .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
                .config("spark.driver.memory", "6g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield prepare(session)

@@ -32,16 +32,16 @@ def products(spark):
 
 
 def documents(path):
-    """Merchant -> document put together from its files in fragment order."""
+    """Merchant -> its documents in fragment order; each file is one."""
     found = {}
     for merchant in glob.glob(f"{path}/mercant_id=*"):
         fragments = sorted(glob.glob(f"{merchant}/fragment=*"), key=lambda f: int(f.rsplit("=", 1)[1]))
-        text = ""
+        texts = []
         for fragment in fragments:
             files = glob.glob(f"{fragment}/*.txt")
             assert len(files) == 1
-            text += open(files[0], encoding="utf-8").read()
-        found[unquote(os.path.basename(merchant).split("=", 1)[1])] = (text, len(fragments))
+            texts.append(open(files[0], encoding="utf-8").read())
+        found[unquote(os.path.basename(merchant).split("=", 1)[1])] = texts
     return found
 
 
@@ -104,13 +104,12 @@ def test_a_large_merchant_is_written_by_many_tasks(spark, folder, monkeypatch, b
         F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("product_id"))
     catalogue_xml(rows, f"{folder}/x", generated_at=NOW, max_offers=1000)
     found = documents(f"{folder}/x")
-    text, fragments = found["hot"]
-    assert fragments == 10
-    assert len(ET.fromstring(text).findall("shop/offers/offer")) == 10_000
+    assert len(found["hot"]) == 10 and {ET.fromstring(t).find("shop/company").text for t in found["hot"]} == {"hot"}
+    assert sum(len(ET.fromstring(t).findall("shop/offers/offer")) for t in found["hot"]) == 10_000
     for part in glob.glob(f"{folder}/x/mercant_id=hot/fragment=*/*.txt"):
         assert 900 <= open(part).read().count("<offer id") <= 1100
-    assert {n for m, (_, n) in found.items() if m != "hot"} == {1}
-    assert sum(len(ET.fromstring(t).findall("shop/offers/offer")) for t, _ in found.values()) == 30_000
+    assert {len(texts) for m, texts in found.items() if m != "hot"} == {1}
+    assert sum(len(ET.fromstring(t).findall("shop/offers/offer")) for texts in found.values() for t in texts) == 30_000
 
 
 def test_publishing_again_leaves_no_old_fragments(spark, folder):
@@ -121,8 +120,8 @@ def test_publishing_again_leaves_no_old_fragments(spark, folder):
         catalogue_xml(rows.limit(5), f"{folder}/x", generated_at=NOW, max_offers=10)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    text, fragments = documents(f"{folder}/x")["m"]
-    assert fragments == 1 and len(ET.fromstring(text).findall("shop/offers/offer")) == 5
+    text, = documents(f"{folder}/x")["m"]
+    assert len(ET.fromstring(text).findall("shop/offers/offer")) == 5
 
 
 def test_offer_id_falls_back_only_when_the_column_is_missing(spark):
@@ -144,13 +143,23 @@ def test_lite(spark, folder):
     rows = spark.range(3000).select(
         F.col("id"), F.lit("Ann & Co").alias("mercant_name"), F.lit("m1").alias("mercant_id"),
         F.concat(F.lit("t"), F.col("id")).alias("title"), (F.col("id") + 0.99).alias("price"))
-    found = ET.fromstring(catalogue_lite(rows, NOW, order_by="id").first().document)
-    offers = found.findall("shop/offers/offer")
-    assert [o.get("id") for o in offers] == [str(i) for i in range(1000)]
+    def written(path):
+        return [ET.parse(f).getroot() for f in sorted(glob.glob(f"{path}/fragment=*/*.txt"))]
+
+    assert catalogue_xml_lite(rows, f"{folder}/all", NOW, order_by="id")
+    whole, = written(f"{folder}/all")
+    offers = whole.findall("shop/offers/offer")
+    assert [o.get("id") for o in offers] == [str(i) for i in range(3000)]
     assert offers[7].find("price").text == "7" and [e.tag for e in offers[7]] == ["name", "price"]
-    assert len(ET.fromstring(catalogue_lite(rows, NOW).first().document).findall("shop/offers/offer")) == 1000
-    assert catalogue_xml_lite(rows, f"{folder}/l", NOW)
-    files = glob.glob(f"{folder}/l/*.txt")
-    assert len(files) == 1 and open(files[0]).read().startswith("<?xml version='1.0' encoding='utf-8'?>\n<yml_catalog date=\"2026")
+    assert catalogue_xml_lite(rows, f"{folder}/parts", NOW, max_offers=500)
+    parts = written(f"{folder}/parts")
+    assert len(parts) == 6 and {p.find("shop/name").text for p in parts} == {"Ann & Co"}
+    assert sorted(int(o.get("id")) for p in parts for o in p.iter("offer")) == list(range(3000))
+    assert catalogue_xml_lite(rows, f"{folder}/few", NOW, order_by="id", rows=10)
+    assert [o.get("id") for o in written(f"{folder}/few")[0].iter("offer")] == [str(i) for i in range(10)]
+    with pytest.raises(ValueError, match="order"):
+        catalogue_lite(rows, NOW, rows=10)
+    file, = glob.glob(f"{folder}/all/fragment=0/*.txt")
+    assert open(file).read().startswith("<?xml version='1.0' encoding='utf-8'?>\n<yml_catalog date=\"2026")
     assert not catalogue_xml_lite(rows.limit(0), f"{folder}/none", NOW)
     assert glob.glob(f"{folder}/none*") == []

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybridge.operators import filters, finance
 from daybridge.operators.conform import conform
@@ -154,3 +155,17 @@ def test_partner_events(spark, agent):
     assert found == {n for n, _, wanted in EVENTS if wanted}
     both = filters.partner_events(events, "2026-04-10", agent, "mini", "2026-04-11")
     assert 99 in {r.event_id for r in both.collect()}
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_mean_is_rounded_once(spark, sign):
+    """5,000 cents over 10,001 orders are 0.49995 cents: 0.00, where rounding at six digits first gives 0.01."""
+    rows = spark.range(10_001).select(
+        F.lit(dt.datetime(2026, 1, 5, tzinfo=dt.timezone.utc)).alias("created_at"), F.lit("web").alias("platform"),
+        F.col("id").alias("order_id"), F.col("id").alias("user_id"), F.lit(1).alias("warehouse_id"), F.lit(1).alias("status"),
+        F.when(F.col("id") < 5000, sign * 0.01).otherwise(0).cast("decimal(18,2)").alias("original_price"),
+        *[F.lit(0).cast("decimal(18,2)").alias(c) for c in ("oi_price", "delivery_fee_price", "service_fee_price")],
+        F.lit(1).cast("decimal(18,2)").alias("refund_amount"))
+    assert finance.financial_daily(rows, "2026-01-05", "2026-01-05").first().aov == 0.0
+    more = rows.withColumn("original_price", F.when(F.col("order_id") < 5001, sign * 0.01).otherwise(0).cast("decimal(18,2)"))
+    assert finance.financial_daily(more, "2026-01-05", "2026-01-05").first().aov == sign * 0.01

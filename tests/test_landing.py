@@ -6,7 +6,9 @@ import json
 import os
 from types import SimpleNamespace
 
+import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
@@ -145,7 +147,7 @@ def test_large_files_are_dealt_out(spark, folder, monkeypatch, unreadable):
     log(folder, "a.log.gz", [json.dumps({"id": i, "x": os.urandom(500).hex()}) for i in range(9_000)])
     log(folder, "b.log.gz", ['{"id":9000}'], "2026-01-02")
     wrapped(folder, "c.parquet.gz", pd.DataFrame({"id": range(9_001, 9_100)}), "2026-01-02")
-    monkeypatch.setattr(landing, "LARGE_FILE", 1024 * 1024)
+    monkeypatch.setattr(landing, "PART_BYTES", 1024 * 1024)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     try:
         found = land_days(spark, f"{folder}/in", f"{folder}/t", "2026-01-01", "2026-01-02", unreadable=unreadable)
@@ -186,7 +188,7 @@ def test_damaged_files(spark, folder):
     assert spark.read.parquet(f"{folder}/rejects").first().source_file.endswith("b.parquet.gz")
 
 
-def test_damaged_log_can_be_skipped(spark, folder):
+def test_damaged_log_can_be_rejected(spark, folder):
     log(folder, "a.log.gz", ['{"id":1}'])
     path = log(folder, "b.log.gz", [json.dumps({"id": i, "x": os.urandom(20).hex()}) for i in range(20_000)])
     data = open(path, "rb").read()
@@ -194,9 +196,8 @@ def test_damaged_log_can_be_skipped(spark, folder):
         file.write(data[: len(data) // 2])
     with pytest.raises(Exception):
         read_log_lines(spark, f"{folder}/in").count()
-    kept = read_log_lines(spark, f"{folder}/in", unreadable="skip")
-    assert 1 < kept.count() < 20_001
-    assert kept.where("line = '{\"id\":1}'").count() == 1
+    with pytest.raises(ValueError, match="unreadable"):
+        read_log_lines(spark, f"{folder}/in", unreadable="skip")
     table, rejects = f"{folder}/table", f"{folder}/rejects"
     land_files(spark, f"{folder}/in", table, "2026-01-01", rejects=rejects, unreadable="reject")
     ids = {json.loads(r)["id"] for _, r in landed(spark, table)}
@@ -306,6 +307,33 @@ def test_shared_folder_follows_the_session():
     assert shared_folder(named).startswith("/tmp/somewhere/daybridge-")
     assert shared_folder(named) != shared_folder(named)
     chosen = []
-    bare = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None,
+    bare = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="local[8]", getCheckpointDir=lambda: None,
                                                                  setCheckpointDir=chosen.append))
     assert shared_folder(bare).startswith(f"{chosen[0]}/daybridge-")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        bare.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(bare)
+
+
+def test_wrapped_parquet_is_taken_whole_or_not_at_all(spark, folder):
+    """A file damaged behind its first rows, and one with a value too large for its type, among sound ones."""
+    wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1, 2]}))
+    wrapped(folder, "b.parquet.gz", pd.DataFrame({"id": [3, 2**32 + 5]}))
+    buffer = io.BytesIO()
+    pd.DataFrame({"id": np.random.default_rng(1).integers(0, 1000, 40_000)}).to_parquet(buffer, row_group_size=20_000, compression="none")
+    data = bytearray(buffer.getvalue())
+    middle = pq.ParquetFile(io.BytesIO(bytes(data))).metadata.row_group(1).column(0)
+    start = middle.dictionary_page_offset or middle.data_page_offset
+    data[start:start + 64] = b"\xff" * 64
+    with gzip.open(f"{folder}/in/2026-01-01/c.parquet.gz", "wb") as file:
+        file.write(bytes(data))
+    rows = read_wrapped_parquet(spark, f"{folder}/in", T.StructType([T.StructField("id", T.IntegerType())])).collect()
+    assert sorted(r.id for r in rows if r.error is None) == [1, 2]
+    assert sorted(r.source_file[-12:] for r in rows if r.error) == ["b.parquet.gz", "c.parquet.gz"]
+
+
+def test_rejects_have_a_place_of_their_own(spark, folder):
+    log(folder, "a.log.gz", ['{"id":1}', "not json"])
+    land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01")
+    assert [r.line for r in spark.read.parquet(f"{folder}/t_rejects").collect()] == ["not json"]

@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import os
 
 import pyarrow as pa
 import pytest
@@ -269,3 +270,17 @@ def test_backfill_of_months_exports_each(spark, folder):
     assert [(r.period, r.rows, r.status) for r in found.orderBy("period").collect()] == [
         (D(2026, 1, 1), 1, "replaced"), (D(2026, 2, 1), 0, "empty")]
     assert spark.read.parquet(f"{folder}/t").first().gtv == 12.0
+
+
+def test_empty_periods_take_no_jobs_of_their_own(spark, folder):
+    rows = spark.createDataFrame([(dt.date(2026, 1, 5), 1), (dt.date(2026, 6, 1), 2)], "dt date, v int")
+    spine = day_spine(spark, "2026-01-01", "2026-07-01")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sparse", "")
+    try:
+        report = write_partition(rows, f"{folder}/t", spine=spine).collect()
+        assert len(tracker.getJobIdsForGroup("sparse")) < 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(report) == 182 and sum(r.rows for r in report) == 2
+    assert spark.read.parquet(f"{folder}/t").count() == 2 and len(os.listdir(f"{folder}/t/dt=2026-03-03")) >= 1
