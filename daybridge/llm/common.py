@@ -65,10 +65,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The frame written to the shared folder and read again, so nothing above runs twice."""
     path = f"{shared_folder(df.sparkSession)}/rows"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -288,7 +288,7 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Big
                          "amounts": pa.array([r[3] for r in rows], pa.binary())})
 
     amounts = staged(texts.mapInArrow(count_bigrams, _COUNTED).groupBy("shard")
-                     .applyInArrow(write_bigrams, "part int, kind string, numbers binary, amounts binary"))
+                     .applyInArrow(write_bigrams, "part int, kind string, numbers binary, amounts binary"), "zstd")
     totals = [np.frombuffer(r["numbers"], "<u8") for r in amounts.where("kind = 'counts'").collect()]
     discounts = _discounts(np.sum([t[:4] for t in totals], axis=0).tolist())
     sizes = {int(t[5]): int(t[4]) for t in totals}
