@@ -22,6 +22,9 @@ BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
 # Bits of the filter that narrows one side of a join: 2 MB however large the other side is.
 FILTER_BITS = 1 << 24
 
+# A group is large when it has more than this part of all grouped rows, so there are fewer large groups than this.
+LARGE_GROUPS = 1000
+
 # The bitmap functions of Spark work on pieces of this many bits.
 PIECE_BITS = 32768
 
@@ -126,6 +129,20 @@ def without(df: DataFrame, keys: list[str], unwanted: DataFrame) -> DataFrame:
                              .select(*[f"`{c}`" for c in columns]))
 
 
+def joined_by_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str) -> DataFrame:
+    """``rows`` joined (``left`` or ``left_semi``) with ``groups``, one row per key with its number of rows in ``size``.
+
+    The large groups, fewer than ``LARGE_GROUPS`` whatever the input, are broadcast: their rows stay
+    where they are, and no key brings more than that part of the rows into one task of the shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    is_large = F.col(size) * LARGE_GROUPS > total
+    large = groups.where(is_large)
+    inside = rows.join(F.broadcast(large), keys, "left_semi" if how == "left_semi" else "inner")
+    outside = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(groups.where(~is_large), keys, how)
+    return inside.unionByName(outside)
+
+
 # --- files in the shared folder that workers write and map ------------------------------------------
 
 def _plain_path(path: str) -> str | None:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.common import corpus_session, located, narrowed, staged, utf8
+from daybridge.llm.common import corpus_session, joined_by_group, located, narrowed, staged, utf8
 
 # The characters that equality ignores: [\x20\x09-\x0D].
 IGNORED = b" \t\n\x0b\x0c\r"
@@ -107,23 +107,23 @@ def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text",
     rows = staged(placed.select(*place, F.col(f"`{id}`").alias("doc_id"), _prints(text, fold).alias("p"),
                                 F.coalesce(F.length(F.col(f"`{text}`")), F.lit(0)).alias("points"))
                   .select(*place, "doc_id", "points", "p.*"))
-    repeated = staged(rows.groupBy("print", "size").count().where("count > 1").select("print", "size"))
-    suspects = rows.join(repeated, ["print", "size"], "left_semi").select(*place)
+    repeated = staged(rows.groupBy("print", "size").count().where("count > 1"))
+    suspects = joined_by_group(rows, repeated, ["print", "size"], "count", "left_semi").select(*place)
     pieces = (narrowed(placed, place, suspects).select(_chunks(text, fold).alias("c")).where("c.size > 0")
               .select("c.print", "c.size", F.posexplode("c.chunks").alias("number", "chunk")).distinct())
     unequal = (pieces.groupBy("print", "size", "number").count().where("count > 1").select("print", "size").distinct()
                .withColumn("unequal", F.lit(True)))
-    told = (rows.join(unequal, ["print", "size"], "left")
-            .withColumn("apart", F.when(F.col("unequal"), F.col("sha")).otherwise("")).drop("unequal"))
-    told = staged(told)
+    checked = staged(repeated.join(unequal, ["print", "size"], "left"))
+    told = staged(joined_by_group(rows, checked, ["print", "size"], "count", "left")
+                  .withColumn("apart", F.when(F.col("unequal"), F.col("sha")).otherwise("")).drop("unequal", "count"))
     best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id", *place))
-    # written, so that the join deals rows out anew and can split a group with many copies
     groups = staged(told.groupBy("print", "size", "apart").agg(best.alias("stays"), F.count("*").alias("group_size"))
                     .where("group_size > 1"))
     is_kept = F.lit(True)
     for name in place:
         is_kept = is_kept & (F.col(name) == F.col(f"stays.{name}"))
-    return told.join(groups, ["print", "size", "apart"], "left").select(
+    found = joined_by_group(told, groups, ["print", "size", "apart"], "group_size", "left")
+    return found.select(
         *place, "doc_id",
         F.when(F.col("stays").isNull(), F.col("doc_id")).otherwise(F.col("stays.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
