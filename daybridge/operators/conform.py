@@ -80,11 +80,40 @@ def conform(df: DataFrame, schema: T.StructType, mode: str = "strict", keep: tup
     return df.select(*keep, *_fitted(df, schema, mode))
 
 
+def _losses(value: Column, source: T.DataType, target: T.DataType, where: str) -> list[tuple[str, Column]]:
+    """For each leaf below ``value`` its path and how many of its values one row loses."""
+    if isinstance(target, T.StructType) and isinstance(source, T.StructType):
+        have = {f.name: f.dataType for f in source}
+        return [found for f in target if f.name in have
+                for found in _losses(value.getField(f.name), have[f.name], f.dataType, f"{where}.{f.name}")]
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        def leaves(item: Column) -> list[tuple[str, Column]]:
+            return _losses(item, source.elementType, target.elementType, f"{where}[]")
+
+        def total(number: int) -> Column:
+            return F.aggregate(value, F.lit(0).cast("long"), lambda sum_, item: sum_ + leaves(item)[number][1])
+        return [(path, F.coalesce(total(i), F.lit(0).cast("long"))) for i, (path, _) in enumerate(leaves(F.lit(None)))]
+    if source == target or isinstance(source, T.NullType):
+        return [(where, F.lit(0).cast("long"))]
+    return [(where, (value.isNotNull() & value.try_cast(target).isNull()).cast("long"))]
+
+
+def loss_counts(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """For each leaf that source and schema share, by its path, the aggregate that counts the values
+    a permissive conform turns into NULL: ``a``, ``s.a`` in a struct, ``l[].a`` in the items of a list."""
+    _fitted(df, schema, "permissive")  # raises on shapes that do not go together
+    have = {f.name: f.dataType for f in df.schema}
+    return {path: F.coalesce(F.sum(lost), F.lit(0).cast("long"))
+            for f in sanitize(schema) if f.name in have
+            for path, lost in _losses(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name)}
+
+
 def conform_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per top-level column, how many values a permissive conform turns into NULL."""
-    have = {f.name for f in df.schema}
-    fitted = dict(zip([f.name for f in schema], _fitted(df, schema, "permissive")))
-    names = [n for n in fitted if n in have]
-    counts = df.agg(*[F.count_if(F.col(f"`{n}`").isNotNull() & fitted[n].isNull()).alias(n) for n in names])
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("nulled")) for n in names])
-    return counts.select(F.inline(pairs))
+    """Per leaf, nested ones included, how many values a permissive conform turns into NULL."""
+    counts = loss_counts(df, schema)
+    if not counts:
+        return df.sparkSession.createDataFrame([], "column string, nulled long")
+    row = df.agg(*[count.alias(f"n{i}") for i, count in enumerate(counts.values())])
+    pairs = F.array(*[F.struct(F.lit(path).alias("column"), F.col(f"n{i}").alias("nulled"))
+                      for i, path in enumerate(counts)])
+    return row.select(F.inline(pairs))

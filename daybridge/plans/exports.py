@@ -3,23 +3,47 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybridge.operators import finance
-from daybridge.operators.conform import conform
+from daybridge.operators.conform import conform, loss_counts
 from daybridge.operators.filters import in_days, partner_events
 from daybridge.operators.ranges import day_spine, month_spine
 from daybridge.plans.datasets import DATASETS, Dataset
-from daybridge.sinks.partitions import write_partition, write_split
+from daybridge.sinks.partitions import observed, write_partition, write_split
 from daybridge.sources.scans import snapshot, table_scan
 
 Day = dt.date | str
 
+logger = logging.getLogger(__name__)
 
-def _shape(rows: DataFrame, dataset: Dataset, cast_mode: str, nested_as: str) -> DataFrame:
-    return conform(rows, dataset.schema(nested_as), cast_mode, keep=("dt",))
+
+class _Shaped:
+    """Rows in the declared shape; a permissive cast counts its losses in the job that writes them."""
+
+    def __init__(self, rows: DataFrame, dataset: Dataset, cast_mode: str, nested_as: str = "array"):
+        self.name, self.seen = dataset.name, None
+        schema = dataset.schema(nested_as)
+        counts = loss_counts(rows, schema) if cast_mode == "permissive" else {}
+        if counts:
+            self.seen, self.paths = Observation(), list(counts)
+            rows = rows.observe(self.seen, *[count.alias(f"n{i}") for i, count in enumerate(counts.values())])
+        self.rows = conform(rows, schema, cast_mode, keep=("dt",))
+
+    def report(self, done: DataFrame) -> DataFrame:
+        """The write's report, after a warning that names the leaves with losses.
+
+        Counted before the shuffle of the write, so a task that ran twice may count twice.
+        """
+        found = observed(self.seen) if self.seen else {}
+        lost = {path: found.get(f"n{i}") for i, path in enumerate(self.paths)} if found else {}
+        if any(lost.values()):
+            logger.warning("%s: values that do not fit became NULL: %s", self.name,
+                           ", ".join(f"{path}: {n}" for path, n in lost.items() if n))
+        return done
 
 
 def export_days(source: DataFrame, name: str, path: str, start: Day, end: Day,
@@ -37,8 +61,9 @@ def export_days(source: DataFrame, name: str, path: str, start: Day, end: Day,
     rows = in_days(table_scan(source, predicate), dataset.day_column, start, end)
     rows = rows.withColumn("dt", F.to_date(dataset.day_column))
     spine = day_spine(source.sparkSession, start, end)
-    return write_partition(_shape(rows, dataset, cast_mode, nested_as), path, mode=dataset.mode, spine=spine,
-                           layout=layout, mark_empty=mark_empty)
+    shaped = _Shaped(rows, dataset, cast_mode, nested_as)
+    return shaped.report(write_partition(shaped.rows, path, mode=dataset.mode, spine=spine, layout=layout,
+                                         mark_empty=mark_empty))
 
 
 def export_snapshot(source: DataFrame, name: str, path: str, day: Day, cast_mode: str = "strict") -> DataFrame:
@@ -46,20 +71,21 @@ def export_snapshot(source: DataFrame, name: str, path: str, day: Day, cast_mode
     dataset = DATASETS[name]
     if dataset.day_column is not None:
         raise ValueError(f"{name} is exported by day, use export_days")
-    rows = _shape(snapshot(table_scan(source), day), dataset, cast_mode, "array")
-    return write_partition(rows, path, mode=dataset.mode, spine=day_spine(source.sparkSession, day, day))
+    shaped = _Shaped(snapshot(table_scan(source), day), dataset, cast_mode)
+    return shaped.report(write_partition(shaped.rows, path, mode=dataset.mode,
+                                         spine=day_spine(source.sparkSession, day, day)))
 
 
 def export_partner_events(source: DataFrame, path: str, start: Day, end: Day, agent: str, app: str,
                           max_bytes: int | None = None, cast_mode: str = "strict") -> DataFrame:
     """Write the partner's events of every day; ``max_bytes`` bounds the files."""
     rows = partner_events(source, start, agent, app, end).withColumn("dt", F.to_date("event_time"))
-    rows = _shape(rows, DATASETS["analytics_events"], cast_mode, "array")
+    shaped = _Shaped(rows, DATASETS["analytics_events"], cast_mode)
     spine = day_spine(source.sparkSession, start, end)
     # The filter keeps few rows of many scan tasks, so files are put together even for one day.
     if max_bytes is None:
-        return write_partition(rows, path, spine=spine, layout="clustered")
-    return write_split(rows, path, max_bytes, spine=spine, layout="clustered", staged=True)
+        return shaped.report(write_partition(shaped.rows, path, spine=spine, layout="clustered"))
+    return shaped.report(write_split(shaped.rows, path, max_bytes, spine=spine, layout="clustered", staged=True))
 
 
 _FINANCIAL = {
@@ -74,7 +100,7 @@ def export_financial(source: DataFrame, name: str, path: str, start: Day, end: D
                      cast_mode: str = "strict", layout: str | None = None, mark_empty: bool = True) -> DataFrame:
     """Write one of the financial datasets for every day or month of the range; one job."""
     dataset = DATASETS[name]
-    rows = _shape(_FINANCIAL[name](source, start, end), dataset, cast_mode, "array")
+    shaped = _Shaped(_FINANCIAL[name](source, start, end), dataset, cast_mode)
     spine = month_spine if dataset.step == "month" else day_spine
-    return write_partition(rows, path, spine=spine(source.sparkSession, start, end), layout=layout,
-                           mark_empty=mark_empty)
+    return shaped.report(write_partition(shaped.rows, path, spine=spine(source.sparkSession, start, end),
+                                         layout=layout, mark_empty=mark_empty))

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from daybridge.operators.conform import conform, conform_losses, sanitize
 from daybridge.plans.datasets import DATASETS, spark_schema
+from daybridge.plans.exports import export_days
 
 DDL = T.StructType.fromDDL
 
@@ -118,3 +119,27 @@ def test_untyped_column(spark):
     df = spark.range(1).select(F.lit(None).alias("a"), F.array().alias("b"))
     found = conform(df, sanitize(df.schema))
     assert found.dtypes == [("a", "string"), ("b", "array<string>")]
+
+
+def test_losses_of_nested_values(spark):
+    df = spark.createDataFrame(
+        [([("7", "1.5"), ("bad", "x"), None, ("worse", None)], ("q",), 1), (None, None, None), ([], ("2",), 2)],
+        "cart array<struct<id: string, price: string>>, s struct<a: string>, n int")
+    schema = DDL("cart array<struct<id: long, price: double, missing: long>>, s struct<a: long>, n long, other string")
+    found = {r["column"]: r.nulled for r in conform_losses(df, schema).collect()}
+    assert found == {"cart[].id": 2, "cart[].price": 1, "s.a": 1, "n": 0}
+    assert {r.nulled for r in conform_losses(df.limit(0), schema).collect()} == {0}
+    assert conform_losses(df, DDL("other string")).collect() == []
+    deep = spark.createDataFrame([([["1", "x"], None, ["y"]],)], "l array<array<string>>")
+    assert conform_losses(deep, DDL("l array<array<int>>")).collect() == [("l[][]", 2)]
+
+
+def test_permissive_export_reports_its_losses(spark, folder, caplog):
+    source = spark.createDataFrame(
+        [(dt.datetime(2026, 1, 1, 10, tzinfo=dt.timezone.utc), [("x", 1)], "7"),
+         (dt.datetime(2026, 1, 1, 11, tzinfo=dt.timezone.utc), [("8", 1), ("y", 2)], "no")],
+        "order_creation_time timestamp, cart array<struct<id: string, quantity: int>>, order_id string")
+    with caplog.at_level("WARNING", logger="daybridge.plans.exports"):
+        export_days(source, "cancelled_orders", f"{folder}/t", "2026-01-01", "2026-01-01", cast_mode="permissive")
+    assert "cart[].id: 2" in caplog.text and "order_id: 1" in caplog.text and "quantity" not in caplog.text
+    assert spark.read.parquet(f"{folder}/t").count() == 2
