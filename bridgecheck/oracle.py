@@ -36,15 +36,15 @@ _MEASURES = f"""
 """
 
 
-def _daily(extra: str = "") -> str:
+def _daily(extra: str = "", orders: str = "mart_orders") -> str:
     return with_views(f"""
     SELECT {_day("date_trunc('day', created_at)")} AS dt, platform,
         strftime(max(created_at), '%Y.%m.%d') AS date, {_MEASURES},
         {_double('sum(oi_price)')} AS gmv_disc,
         {_double('sum(original_price - oi_price)')} AS incentives,
         {_double('sum(oi_price) + sum(delivery_fee_price) + sum(service_fee_price)')} AS gtv
-    FROM mart_orders WHERE {_KEPT} {extra}
-    GROUP BY date_trunc('day', created_at), platform""", "mart_orders")
+    FROM {orders} WHERE {_KEPT} {extra}
+    GROUP BY date_trunc('day', created_at), platform""", orders)
 
 
 def _monthly(extra: str = "") -> str:
@@ -269,4 +269,47 @@ ORACLE: dict[str, str] = {
                 || '<price>' || CAST(CAST(trunc(price) AS BIGINT) AS VARCHAR) || '</price></offer>'
         FROM merchant_products
         UNION ALL SELECT 2, '</offers></shop></yml_catalog>' FROM ends""", "merchant_products"),
+    "export_order_days": f"""
+        SELECT {_day('ts')} AS dt, event_id AS order_id, {_second('ts')} AS created_at, props AS address, value AS weight,
+            CASE WHEN has THEN CAST(2 AS BIGINT) END AS n_items, CASE WHEN has THEN CAST(16 AS BIGINT) END AS n_fields,
+            CASE WHEN has THEN CAST(trunc(value) AS BIGINT) END AS item_price, CASE WHEN has THEN user_id END AS item_product,
+            CASE WHEN has THEN event_type END AS item_name, CASE WHEN has THEN {_second('ts')} END AS item_scanned
+        FROM (SELECT *, event_id % 5 > 0 AS has FROM events)""",
+    "export_delivered_days": f"""
+        SELECT {_day('ts')} AS dt, CAST(event_id AS VARCHAR) AS order_id, {_second('ts')} AS order_creation_time,
+            CAST(user_id AS VARCHAR) AS user_id, event_type AS name, event_type AS item_name, event_id AS item_id,
+            CAST(NULL AS BIGINT) AS item_price, CAST(NULL AS BIGINT) AS item_original_price,
+            CAST(trunc(value) AS BIGINT) AS item_quantity
+        FROM events""",
+    "export_batch_days": f"""
+        SELECT {_day('ts')} AS dt, event_id AS id, {_second('ts')} AS created_at, {_second('ts')} AS updated_at,
+            event_type AS batch_type, value AS latitude, user_id AS warehouse_id, CAST(NULL AS VARCHAR) AS launch_id
+        FROM events""",
+    "export_warehouse_products": """
+        SELECT '2026-01-05' AS dt, p_partkey AS id, CAST(trunc(p_retailprice) AS BIGINT) AS price,
+            CAST(p_size AS BIGINT) AS quantity, p_size > 25 AS is_active, p_name AS launch_id FROM part""",
+    "export_warehouse_products_hourly": """
+        SELECT '2026-01-05' AS dt, p_partkey AS id, CAST(p_size AS BIGINT) AS quantity, p_type AS feature_name,
+            unnest(['2026-01-05 10:00:00', '2026-01-05 11:00:00']) AS catalog_updated_at FROM part""",
+    "export_warehouses": """
+        SELECT '2026-01-05' AS dt, s_suppkey AS id, s_name AS name, CAST(s_nationkey AS BIGINT) AS city_id,
+            s_acctbal AS lat, CASE WHEN s_suppkey % 3 > 0 THEN '08:30:00' END AS opens_at, '23:15:00' AS closes_at
+        FROM supplier""",
+    "export_financial_days": _daily(orders="event_orders"),
+    "export_financial_raw": with_views(f"""
+        SELECT {_day('created_at')} AS dt, platform, {_second('created_at')} AS created_at, warehouse_id, user_id, order_id,
+            {_double('original_price')} AS original_price, {_double('oi_price')} AS gmv_disc,
+            {_double('original_price - oi_price')} AS incentives, {_double('delivery_fee_price')} AS delivery_fee_price,
+            {_double('service_fee_price')} AS service_fee_price, status, coalesce(payment_id, '') AS payment_id
+        FROM event_orders""", "event_orders"),
+    "export_refunds_raw": with_views(f"""
+        SELECT {_day('created_at')} AS dt, {_second('created_at')} AS created_at, id AS refund_id, idempotency_key, order_id,
+            {_double('price')} AS price, reference, {_second('refunded_at')} AS refunded_at, response_data, type, uuid
+        FROM event_refunds""", "event_refunds"),
+    "conform_nested_nulled": """
+        SELECT 'cart[].id' AS "column", count(*) + count(*) FILTER (l_linenumber = 2) AS nulled FROM lineitem
+        UNION ALL SELECT 'cart[].quantity', 0 UNION ALL SELECT 'order_creation_time', 0
+        UNION ALL SELECT 'order_id', count(*) FROM lineitem""",
+    "land_log_days": _LOGS.replace("{columns}", f"""{_day('ts')} AS dt, coalesce(record, trim(line)) AS text,
+        CASE WHEN record IS NULL THEN 'not a JSON line' END AS error"""),
 }

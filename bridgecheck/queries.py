@@ -17,7 +17,7 @@ from daybridge.operators.conform import conform, conform_losses, sanitize
 from daybridge.plans.backfill import backfill
 from daybridge.plans.datasets import DATASETS
 from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
-from daybridge.plans.landing import land_rows
+from daybridge.plans.landing import land_days, land_rows
 from daybridge.session import prepare, shared_folder
 from daybridge.sinks.catalogue import catalogue_xml
 from daybridge.sinks.files import write_json
@@ -470,3 +470,131 @@ def catalogue_small_document(spark, sf_dir):
     products = view(spark, sf_dir, "merchant_products")
     lines = catalogue.catalogue_lite(products, dt.datetime(2026, 2, 2, 10, 0), order_by="id", max_offers=1000)
     return lines.select("kind", "value")
+
+
+# --- exports of every dataset -----------------------------------------------------------------
+
+def _exported(spark, sf_dir, name: str, source: DataFrame, *columns: str) -> DataFrame:
+    """The source exported over all its days or as one snapshot, and the columns read back."""
+    path = shared_folder(spark)
+    if DATASETS[name].day_column is None:
+        export_snapshot(source, name, path, "2026-01-05")
+    elif name in ("financial_daily", "financial_raw", "refunds_raw"):
+        export_financial(source, name, path, EVENT_FIRST, EVENT_LAST)
+    else:
+        export_days(source, name, path, EVENT_FIRST, EVENT_LAST)
+    return _text_dates(spark.read.parquet(path).select("dt", *columns))
+
+
+@registered
+def export_order_days(spark, sf_dir):
+    """Orders with their items of sixteen fields, of which the source has five; an item may be NULL."""
+    item = ("named_struct('price', value, 'product_id', user_id, 'product_name', event_type, 'scanned_at', ts, "
+            "'more', event_id)")
+    source = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS order_id", "ts AS created_at", "props AS address", "CAST(value AS STRING) AS weight",
+        f"CASE WHEN event_id % 5 > 0 THEN array({item}, NULL) END AS order_items")
+    done = _exported(spark, sf_dir, "orders", source, "order_id", "created_at", "address", "weight", "order_items")
+    return done.select("dt", "order_id", "created_at", "address", "weight",
+                       F.size("order_items").cast("long").alias("n_items"),
+                       F.size(F.map_keys(F.from_json(F.to_json(F.expr("order_items[0]"), {"ignoreNullFields": "false"}),
+                                                     "map<string, string>"))).cast("long").alias("n_fields"),
+                       F.expr("order_items[0].price").alias("item_price"),
+                       F.expr("order_items[0].product_id").alias("item_product"),
+                       F.expr("order_items[0].product_name").alias("item_name"),
+                       second_text(F.expr("order_items[0].scanned_at")).alias("item_scanned"))
+
+
+@registered
+def export_delivered_days(spark, sf_dir):
+    source = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS order_id", "ts AS order_creation_time", "user_id", "event_type AS name",
+        "array(named_struct('quantity', value, 'name', event_type, 'id', event_id)) AS delivered_products")
+    done = _exported(spark, sf_dir, "delivered_orders", source, "order_id", "order_creation_time", "user_id", "name",
+                     "delivered_products")
+    return done.select("dt", "order_id", "order_creation_time", "user_id", "name", F.inline("delivered_products")) \
+        .toDF("dt", "order_id", "order_creation_time", "user_id", "name", *[f"item_{n}" for n in (
+            "name", "id", "price", "original_price", "quantity")])
+
+
+@registered
+def export_batch_days(spark, sf_dir):
+    source = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id", "ts AS created_at", "ts AS updated_at", "event_type AS batch_type", "value AS latitude",
+        "CAST(user_id AS STRING) AS warehouse_id")
+    return _exported(spark, sf_dir, "batches", source, "id", "created_at", "updated_at", "batch_type", "latitude",
+                     "warehouse_id", "launch_id")
+
+
+@registered
+def export_warehouse_products(spark, sf_dir):
+    source = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id", "p_retailprice AS price", "p_size AS quantity", "p_size > 25 AS is_active", "p_name AS launch_id")
+    return _exported(spark, sf_dir, "warehouse_products", source, "id", "price", "quantity", "is_active", "launch_id")
+
+
+@registered
+def export_warehouse_products_hourly(spark, sf_dir):
+    """Two loads within one day: the second is added to the first."""
+    path = shared_folder(spark)
+    for hour in (10, 11):
+        source = table(spark, sf_dir, "part").selectExpr(
+            "p_partkey AS id", "p_size AS quantity", "p_type AS feature_name",
+            f"make_timestamp(2026, 1, 5, {hour}, 0, 0) AS catalog_updated_at")
+        export_snapshot(source, "warehouse_products_hourly", path, "2026-01-05")
+    return _text_dates(spark.read.parquet(path).select("dt", "id", "quantity", "feature_name", "catalog_updated_at"))
+
+
+@registered
+def export_warehouses(spark, sf_dir):
+    """The warehouse catalogue, whose opening hours are times of day."""
+    source = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS id", "s_name AS name", "s_nationkey AS city_id", "s_acctbal AS lat",
+        "CASE WHEN s_suppkey % 3 > 0 THEN '08:30:00' END AS opens_at", "'23:15:00' AS closes_at")
+    done = _exported(spark, sf_dir, "warehouse_catalogue", source, "id", "name", "city_id", "lat", "opens_at", "closes_at")
+    return done.withColumns({c: F.col(c).cast("string") for c in ("opens_at", "closes_at")})
+
+
+@registered
+def export_financial_days(spark, sf_dir):
+    return _exported(spark, sf_dir, "financial_daily", view(spark, sf_dir, "event_orders"), *[
+        c for c in DATASETS["financial_daily"].schema().names])
+
+
+@registered
+def export_financial_raw(spark, sf_dir):
+    return _exported(spark, sf_dir, "financial_raw", view(spark, sf_dir, "event_orders"),
+                     *DATASETS["financial_raw"].schema().names)
+
+
+@registered
+def export_refunds_raw(spark, sf_dir):
+    return _exported(spark, sf_dir, "refunds_raw", view(spark, sf_dir, "event_refunds"),
+                     *DATASETS["refunds_raw"].schema().names)
+
+
+@registered
+def conform_nested_nulled(spark, sf_dir):
+    """Losses counted for each field of the items."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "array(named_struct('id', CASE WHEN l_linenumber = 2 THEN l_returnflag ELSE CAST(l_partkey AS STRING) END, "
+        "'quantity', l_quantity), NULL, named_struct('id', l_linestatus, 'quantity', NULL)) AS cart",
+        "l_shipdate AS order_creation_time", "l_returnflag AS order_id")
+    return conform_losses(rows, DATASETS["cancelled_orders"].schema())
+
+
+@registered
+def land_log_days(spark, sf_dir):
+    """Every day folder of gzip logs in one job: the table's records and the rejected lines."""
+    logs, path = _write_logs(spark, sf_dir), shared_folder(spark)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(logs).getFileSystem(spark._jsc.hadoopConfiguration())
+    for file in store.globStatus(hadoop.Path(f"{logs}/dt=*/*.txt.gz")):  # Spark cannot choose the suffix
+        old = file.getPath()
+        folder = hadoop.Path(logs, old.getParent().getName().removeprefix("dt="))
+        store.mkdirs(folder)
+        store.rename(old, hadoop.Path(folder, old.getName().replace(".txt.gz", ".log.gz")))
+    land_days(spark, logs, path, EVENT_FIRST, EVENT_LAST)
+    landed = spark.read.parquet(path).select("dt", F.col("raw_data").alias("text"), F.lit(None).cast("string").alias("error"))
+    rejected = spark.read.parquet(f"{path}_rejects").select("dt", F.col("line").alias("text"), "error")
+    return _text_dates(landed.unionByName(rejected))

@@ -110,6 +110,33 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "WHEN 6 THEN '{\"success\":0,\"data\":[{\"id\":1}]}' "
             "ELSE '{\"success\":true,\"data\":[]}' END"),
     }),
+    "event_orders": ("events", {
+        "platform": "event_type",
+        "created_at": "ts",
+        "warehouse_id": "user_id % 25",
+        "user_id": "user_id",
+        "order_id": "event_id",
+        "original_price": "CAST(event_id % 977 AS DECIMAL(18,2))",
+        "oi_price": "CAST(event_id % 977 - event_id % 5 AS DECIMAL(18,2))",
+        "delivery_fee_price": "CAST(event_id % 7 AS DECIMAL(18,2))",
+        "service_fee_price": "CAST(event_id % 3 AS DECIMAL(18,2))",
+        "refund_amount": ("CAST(CASE WHEN event_id % 10 = 1 THEN event_id % 977 - event_id % 5 + event_id % 7 + event_id % 3 "
+                          "ELSE 0 END AS DECIMAL(18,2))"),
+        "status": "CASE WHEN event_type = 'view' AND event_id % 4 = 0 THEN CAST(8 AS BIGINT) ELSE CAST(1 AS BIGINT) END",
+        "payment_id": "CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id AS STRING) END",
+    }),
+    "event_refunds": ("events", {
+        "created_at": "ts",
+        "id": "event_id",
+        "idempotency_key": "'key-' || CAST(event_id AS STRING)",
+        "order_id": "event_id",
+        "price": "CAST(event_id % 977 AS DECIMAL(18,2))",
+        "reference": "user_id",
+        "refunded_at": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE ts END",
+        "response_data": "props",
+        "type": "event_id % 2",
+        "uuid": "'u-' || CAST(user_id AS STRING)",
+    }),
 }
 
 
