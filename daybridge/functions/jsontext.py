@@ -48,6 +48,18 @@ def clean_nulls(text: str | Column) -> Column:
     return F.when(may_hold, F.regexp_replace(text, _NULL_OUTSIDE_STRINGS, '$1""')).otherwise(text)
 
 
+# Fixed value: characters of the longest string that Spark's JSON parser takes; a whole text may have 128 MiB.
+LONGEST_STRING = 20_000_000
+
+
+def not_json(text: Column, what: str) -> Column:
+    """Why a text was not taken as JSON: it is none, or it may be beyond what the parser takes, with its size."""
+    size = F.octet_length(text)
+    too_large = F.concat(F.lit(f"{what} not parsed, not JSON or beyond the parser's limits: "),
+                         size.cast("string"), F.lit(" bytes"))
+    return F.when(size > LONGEST_STRING, too_large).otherwise(F.lit(f"not a JSON {what}"))
+
+
 def is_json(text: Column) -> Column:
     """True when the text is exactly one JSON value.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.functions.jsontext import clean_nulls, is_json
+from daybridge.functions.jsontext import clean_nulls, is_json, not_json
 
 ON_ERROR = ("raise", "reject")
 
@@ -20,7 +20,7 @@ def _error(text: Column, root: Column) -> Column:
     data_is_list = F.schema_of_variant(data).startswith("ARRAY")
     reason = F.coalesce(F.try_variant_get(root, "$.error", "string"), F.lit("success is false"))
     return (
-        F.when(~F.coalesce(is_json(text), F.lit(False)), F.lit("not a JSON response"))
+        F.when(~F.coalesce(is_json(text), F.lit(False)), not_json(text, "response"))
         .when(F.to_json(success).isin(*_FALSE_TEXTS), F.concat(F.lit("request failed: "), reason))
         .when(data_is_list | (data.isNull() & is_list), F.lit(None).cast("string"))
         .when(data.isNotNull(), F.lit("data is not a list"))

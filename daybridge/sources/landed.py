@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybridge.functions.jsontext import clean_nulls, is_json
+from daybridge.functions.jsontext import clean_nulls, is_json, not_json
 from daybridge.functions.times import as_date
 
 logger = logging.getLogger(__name__)
@@ -142,7 +142,7 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     parsed = lines.withColumn("record", F.when(F.is_valid_utf8("line"), cleaned))
     parsed = parsed.withColumn("record", F.when(is_json(F.col("record")), F.col("record")))
     return parsed.withColumn("error", F.when(F.col("record").isNull(),
-                                             F.coalesce("error", F.lit("not a JSON line"))))
+                                             F.coalesce("error", not_json(F.col("line"), "line"))))
 
 
 def unwrap_parquet(files: DataFrame, schema: T.StructType) -> DataFrame:

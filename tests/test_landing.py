@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybridge.plans import landing
@@ -337,3 +338,11 @@ def test_rejects_have_a_place_of_their_own(spark, folder):
     log(folder, "a.log.gz", ['{"id":1}', "not json"])
     land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01")
     assert [r.line for r in spark.read.parquet(f"{folder}/t_rejects").collect()] == ["not json"]
+
+
+def test_what_the_parser_cannot_take_is_not_called_bad_json(spark):
+    long_text = F.concat(F.lit('{"data":["'), F.repeat(F.lit("x"), 21_000_000), F.lit('"]}'))
+    rows = spark.range(1).select(long_text.alias("body")).union(spark.createDataFrame([("{",)], "body string"))
+    errors = sorted(r.error for r in unwrap_envelope(rows, "body", on_error="reject").collect())
+    assert errors == ["not a JSON response",
+                      "response not parsed, not JSON or beyond the parser's limits: 21000013 bytes"]
