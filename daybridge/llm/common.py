@@ -130,7 +130,7 @@ def without(df: DataFrame, keys: list[str], unwanted: DataFrame) -> DataFrame:
 
 
 def joined_by_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str) -> DataFrame:
-    """``rows`` joined (``left`` or ``left_semi``) with ``groups``, one row per key with its number of rows in ``size``.
+    """``rows`` joined (``left``, ``inner`` or ``left_semi``) with ``groups``, one row per key with its number of rows in ``size``.
 
     The large groups, fewer than ``LARGE_GROUPS`` whatever the input, are broadcast: their rows stay
     where they are, and no key brings more than that part of the rows into one task of the shuffle.

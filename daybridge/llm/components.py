@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.common import staged
+from daybridge.llm.common import joined_by_group, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree")))
+    return (joined_by_group(both.where("v > u"), least, ["u"], "degree", "inner")
+            .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,6 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars: each round hangs the neighbours of a node below the smallest
     one, and after a number of rounds that grows with the logarithm of the longest chain every
     component is a star. Rounds are cut by tables in the shared folder. Loops count as no edge.
+    The smallest neighbours of nodes with very many are broadcast, so no hub fills one task.
     """
     stars = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
                    .distinct())

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.common import corpus_session, located, spaced_words, staged, utf8
+from daybridge.llm.common import corpus_session, joined_by_group, located, spaced_words, staged, utf8
 from daybridge.llm.components import components
 from daybridge.llm.golay import fuzzy_keys
 
@@ -193,20 +193,22 @@ def simhash_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     Fingerprints link at ``distance`` or fewer differing bits; a component's id is the smallest id in
     it, and the row with that id stays (of rows with the same id, one). Empty and null texts have
     fingerprint 0 and link like any other; a null id is larger than any. An empty table gives no rows.
-    Texts are read once; equal fingerprints are one node, so copies make no links at all.
+    Texts are read once; equal fingerprints are one node, so copies make no links at all, and neither
+    a fingerprint nor a component with a large part of all rows is brought together in one task.
     """
     corpus_session(docs.sparkSession)
     placed, place = located(docs)
     rows = staged(placed.select(*place, F.col(f"`{id}`").alias("doc_id"),
                                 fingerprints(text, words_per_shingle).alias("fingerprint")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *place))
-    classes = staged(rows.groupBy("fingerprint").agg(first.alias("first")))
+    classes = staged(rows.groupBy("fingerprint").agg(first.alias("first"), F.count("*").alias("members")))
     roots = components(near_links(classes.select("fingerprint"), distance)).withColumnRenamed("node", "fingerprint")
-    rooted = classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    whole = rooted.groupBy("root").agg(F.min("first").alias("stays"))
-    named = rooted.join(whole, "root").select("fingerprint", "stays")
+    rooted = staged(classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+                    .select("fingerprint", "members", "root", "first"))
+    whole = staged(rooted.groupBy("root").agg(F.min("first").alias("stays"), F.count("*").alias("prints")))
+    named = staged(joined_by_group(rooted, whole, ["root"], "prints", "inner").select("fingerprint", "members", "stays"))
     is_kept = F.lit(True)
     for name in place:
         is_kept = is_kept & (F.col(name) == F.col(f"stays.{name}"))
-    return rows.join(named, "fingerprint").select(
+    return joined_by_group(rows, named, ["fingerprint"], "members", "inner").select(
         *place, "doc_id", "fingerprint", F.col("stays.doc_id").alias("component_id"), is_kept.alias("kept")), placed, place
