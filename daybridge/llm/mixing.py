@@ -13,9 +13,6 @@ from daybridge.llm.common import corpus_session, fresh, staged, utf8
 # Weights of the sources in their order, repeating, and how often a document may be taken.
 WEIGHTS, EPOCHS = (5, 2, 1), 3
 
-# Rows whose keys are summed up in one piece.
-PIECE_ROWS = 1000
-
 _NOT_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
 _SPACES = b" \t\n\x0b\x0c\r"
 
@@ -80,32 +77,31 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str =
     agree, and better documents come first more often. A null id has a hash as well; repeated rows
     have equal keys and count one by one; null is a source of its own. An empty table gives no rows.
 
-    Only ids, sources and sizes are shuffled. A source is summed up in pieces of its key range of
-    about a thousand rows, so a source with a third of all rows is spread like any other.
+    Only ids, sources and sizes are shuffled. Rows are cut by ranges of source and key and summed up
+    range by range, so a source with a third of all rows, of whatever quality, is spread like any other.
     """
     corpus_session(docs.sparkSession)
     chance = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 53)) + 0.5) / float(1 << 53)
     rows = staged(docs.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
                               measured(text).alias("m"))
                   .select("doc_id", "source", "m.size", (-F.log(chance) / F.col("m.quality")).alias("key")))
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("members")),
-                      weights, epochs).withColumnRenamed("source", "name")
-    placed = (rows.join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-              .withColumn("pieces", F.ceil(F.col("members") / PIECE_ROWS))
-              .withColumn("piece", F.least(F.col("pieces") - 1,
-                                           F.floor(F.col("pieces") * (1 - F.exp(-F.col("key")))))))
-    piece = ["source", "piece"]
-    ahead = (F.sum("words").over(Window.partitionBy("source").orderBy("piece")
+    # Null is a source of its own: sources are matched by name and by whether they have one.
+    name = [F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name"), F.isnull("source").alias("unnamed")]
+    sources = staged(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
+                     .select(*name, "source_size", "target"))
+    cut = staged(rows.select("*", *name).repartitionByRange("name", "unnamed", "key", "doc_id", "size")
+                 .withColumn("part", F.spark_partition_id()))
+    part = ["name", "unnamed", "part"]
+    ahead = (F.sum("words").over(Window.partitionBy("name", "unnamed").orderBy("part")
                                  .rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = (placed.groupBy(*piece).agg(F.sum("size").alias("words"))
-               .select(F.col("source").alias("of"), F.col("piece").alias("at"), F.coalesce(ahead, F.lit(0)).alias("ahead")))
-    within = F.sum("size").over(Window.partitionBy(*piece).orderBy("key", "doc_id", "size")
+    parts = (cut.groupBy(*part).agg(F.sum("size").alias("words")).join(sources, ["name", "unnamed"])
+             .select(*part, "source_size", "target", F.coalesce(ahead, F.lit(0)).alias("ahead")))
+    within = F.sum("size").over(Window.partitionBy(*part).orderBy("key", "doc_id", "size")
                                 .rowsBetween(Window.unboundedPreceding, -1))
-    summed = (placed.withColumn("within", F.coalesce(within, F.lit(0)))
-              .join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("piece") == F.col("at"))))
+    summed = cut.withColumn("within", F.coalesce(within, F.lit(0))).join(parts, part)
     words = F.round("target").cast("long")
     whole = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0)
     rest = words - whole * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead") - F.col("within")))
+    rest_taken = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead") - F.col("within")))
     return summed.select("doc_id", "source", "size", "source_size", "target",
-                         (whole * F.col("size") + part).cast("long").alias("taken"))
+                         (whole * F.col("size") + rest_taken).cast("long").alias("taken"))

@@ -59,6 +59,14 @@ def test_better_documents_come_first(spark):
     assert share[1] > 1.5 * share[0] > 0
 
 
+def test_source_without_letters(spark):
+    rows = [(i, "a", "12 34 " * (i % 7)) for i in range(3000)] + [(i, None, "words " * (i % 5)) for i in range(3000)]
+    rows += [(i, "", "some more words") for i in range(500)]
+    found = mix(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)).collect()
+    sizes = {s: sum(len(r[2].split()) for r in rows if r[1] == s) for s in ("a", "", None)}
+    _check([(r.source, r.size, r.source_size, r.target, r.taken) for r in found], sizes)
+
+
 def test_numbered(spark):
     df = spark.range(1000).selectExpr("(id * 7919) % 1000 as v").repartition(5)
     assert all(r.place == r.v for r in numbered(df, "place", df.v).collect())
