@@ -195,6 +195,12 @@ ORACLE: dict[str, str] = {
         FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS period) d
         LEFT JOIN (SELECT CAST(ts AS DATE) AS period, count(*) AS n FROM events GROUP BY 1) g ON d.period = g.period""",
     "size_bounded_split": f"SELECT {_EVENT_COLUMNS} FROM events",
+    "split_file_sizes": f"""
+        SELECT {_day('dt')} AS dt, count(*) AS documents, CAST(sum(bytes) AS BIGINT) AS total_bytes,
+            count(*) FILTER (bytes > 32768) AS files_above, CAST(0 AS BIGINT) AS crowded_above
+        FROM (SELECT DATE '2026-01-01' + CAST(coalesce(doc_id % 3, 0) AS INTEGER) AS dt,
+                  13 + coalesce(strlen(text), 0) AS bytes FROM documents)
+        GROUP BY ALL""",
     "json_export": "SELECT * FROM documents",
     "export_partner_day_files": with_views(f"""
         SELECT {_day('event_time')} AS dt, event_id, {_second('event_time')} AS event_time, event_properties,
@@ -226,6 +232,10 @@ ORACLE: dict[str, str] = {
     "wrapped_parquet": """
         SELECT c_name, c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
             CAST(NULL AS VARCHAR) AS c_comment, CAST(NULL AS VARCHAR) AS error FROM customer""",
+    "wrapped_parquet_files": f"""
+        SELECT {_day("DATE '2026-01-01' + CAST(c_custkey % 3 AS INTEGER)")} AS dt, c_name, c_custkey, c_acctbal,
+            false AS is_damaged FROM customer
+        UNION ALL SELECT '2026-01-02', NULL, NULL, NULL, true""",
     "api_envelope": """
         WITH r AS (SELECT c_custkey, c_custkey % 8 AS kind, CAST(c_custkey AS VARCHAR) AS k FROM customer)
         SELECT c_custkey, '{"id":' || k || ',"v":""}' AS record, CAST(NULL AS VARCHAR) AS error FROM r WHERE kind = 0

@@ -22,10 +22,10 @@ from daybridge.session import prepare, shared_folder
 from daybridge.sinks.catalogue import catalogue_xml
 from daybridge.sinks.files import write_json
 from daybridge.sinks.landing import land
-from daybridge.sinks.partitions import write_partition, write_split
+from daybridge.sinks.partitions import row_bytes, write_partition, write_split
 from daybridge.sources.envelope import unwrap_envelope
-from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, split_log_lines,
-                                      unwrap_parquet)
+from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, read_wrapped_parquet,
+                                      split_log_lines, unwrap_parquet)
 from daybridge.sources.scans import snapshot, table_scan
 from bridgecheck.views import AGENT, APP, table, view
 
@@ -289,6 +289,22 @@ def size_bounded_split(spark, sf_dir):
     return _read_back(spark, path)
 
 
+@registered
+def split_file_sizes(spark, sf_dir):
+    """Short and very long texts split into files of 32 KiB: what lies above is one row of that size."""
+    path, limit = shared_folder(spark), 32 * 1024
+    rows = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "text", "date_add(DATE '2026-01-01', CAST(coalesce(pmod(doc_id, 3), 0) AS INT)) AS dt")
+    write_split(rows, path, limit)
+    files = spark.read.parquet(path).select("dt", F.col("_metadata.file_path").alias("file"),
+                                            row_bytes(rows.schema).alias("bytes"))
+    files = files.groupBy("dt", "file").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    return _text_dates(files.groupBy("dt").agg(
+        F.sum("n").alias("documents"), F.sum("bytes").alias("total_bytes"),
+        F.count_if(F.col("bytes") > limit).alias("files_above"),
+        F.count_if((F.col("bytes") > limit) & (F.col("n") > 1)).alias("crowded_above")))
+
+
 @registered
 def json_export(spark, sf_dir):
     path = shared_folder(spark)
@@ -426,6 +442,52 @@ def wrapped_parquet(spark, sf_dir):
     return unwrap_parquet(files, schema).drop("source_file", "source_bytes")
 
 
+def _write_wrapped(rows: DataFrame, path: str, damaged: bool = False) -> None:
+    """Rows as gzip-wrapped Parquet files in the folder of their day, each written by a task."""
+    def write(batches):
+        import gzip
+        import io
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path) if "://" in path else (
+            fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/"))
+        for batch in batches:
+            whole = pa.Table.from_batches([batch])
+            for day in set(whole.column("dt").to_pylist()):
+                part = whole.filter(pc.equal(whole.column("dt"), day)).drop_columns("dt")
+                sink = io.BytesIO()
+                pq.write_table(part, sink)
+                packed = gzip.compress(sink.getvalue(), 1)
+                store.create_dir(f"{root}/{day}", recursive=True)
+                name = uuid.uuid5(uuid.NAMESPACE_OID, sink.getvalue().hex())  # a retried task replaces its file
+                with store.open_output_stream(f"{root}/{day}/{name}.parquet.gz", compression=None) as out:
+                    out.write(packed[:len(packed) // 2] if damaged else packed)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+@registered
+def wrapped_parquet_files(spark, sf_dir):
+    """Day folders of wrapped Parquet: sound files, files with narrower keys, and one that is damaged."""
+    path = shared_folder(spark)
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_name", "c_acctbal", "date_add(DATE '2026-01-01', CAST(c_custkey % 3 AS INT)) AS dt")
+    _write_wrapped(rows.where("c_custkey % 2 = 0"), path)
+    _write_wrapped(rows.where("c_custkey % 2 = 1").withColumn("c_custkey", F.col("c_custkey").cast("int")), path)
+    regions = table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey AS c_custkey", "r_name AS c_name", "0D AS c_acctbal", "DATE '2026-01-02' AS dt")
+    _write_wrapped(regions.coalesce(1), path, damaged=True)
+    schema = T.StructType.fromDDL("c_name STRING, c_custkey BIGINT, c_acctbal DOUBLE")
+    found = read_wrapped_parquet(spark, path, schema)
+    return _text_dates(found.select("dt", "c_name", "c_custkey", "c_acctbal", F.isnotnull("error").alias("is_damaged")))
+
+
 @registered
 def api_envelope(spark, sf_dir):
     return unwrap_envelope(view(spark, sf_dir, "responses"), "body", on_error="reject")

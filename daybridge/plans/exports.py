@@ -85,7 +85,7 @@ def export_partner_events(source: DataFrame, path: str, start: Day, end: Day, ag
     # The filter keeps few rows of many scan tasks, so files are put together even for one day.
     if max_bytes is None:
         return shaped.report(write_partition(shaped.rows, path, spine=spine, layout="clustered"))
-    return shaped.report(write_split(shaped.rows, path, max_bytes, spine=spine, layout="clustered", staged=True))
+    return shaped.report(write_split(shaped.rows, path, max_bytes, spine=spine))
 
 
 _FINANCIAL = {

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybridge.session import shared_folder
 
+logger = logging.getLogger(__name__)
+
 MODES = ("replace", "append")
 LAYOUTS = ("clustered", "as_is")
 
@@ -183,55 +186,73 @@ def arrow_bytes(value: Column, kind: T.DataType) -> Column:
     return validity + F.lit(float(widths.get(type(kind), 8)))
 
 
-def rows_per_file(df: DataFrame, max_bytes: int, column: str = "dt") -> dict[dt.date, int]:
-    """For every period above ``max_bytes`` of Arrow memory, how many of its rows make up that size.
-
-    Measured over all rows; only one line per period reaches the driver.
-    """
-    if max_bytes <= 0:
-        raise ValueError("max_bytes must be positive")
+def row_bytes(schema: T.StructType, column: str = "dt") -> Column:
+    """Size of a row in Arrow memory without its partition column, rounded up."""
     size = F.lit(0.0)
-    for field in df.schema:
+    for field in schema:
         if field.name != column:
             size = size + arrow_bytes(F.col(f"`{field.name}`"), field.dataType)
-    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"))
-    return {r[column]: max(1, int(max_bytes * r["rows"] // r["bytes"]))
-            for r in sizes.where(F.col("bytes") > max_bytes).collect()}
+    return F.ceil(size).cast("long")
+
+
+def _numbered_files(rows: DataFrame, column: str, max_bytes: int) -> tuple[DataFrame, int]:
+    """``rows`` with the number of the ``file`` each goes to, and how many files there are.
+
+    ``rows`` has ``bytes``, ``part`` (its task) and ``place`` (its order). A running total over a
+    period, put together from totals of its parts, is cut at equal steps. Only one line per period
+    reaches the driver.
+    """
+    alone = F.col("bytes") * 2 > max_bytes
+    packed = F.when(alone, 0).otherwise(F.col("bytes"))
+    sums = [F.sum(packed).alias("packed"), F.count_if(alone).alias("alone")]
+    periods = rows.groupBy(column).agg(*sums, F.max(packed).alias("widest"),
+                                       F.count_if(F.col("bytes") > max_bytes).alias("over")).orderBy(column).collect()
+    first, steps = 0, []
+    for period in periods:
+        step = max(1, max_bytes - period["widest"])
+        files = -(-period["packed"] // step) if period["packed"] else int(period["alone"] == 0)
+        steps.append((period[column], step, first, first + files))
+        first += files + period["alone"]
+        if period["over"]:
+            logger.warning("%s: %d rows above %d bytes have files of their own", period[column], period["over"], max_bytes)
+    bounds = rows.sparkSession.createDataFrame(steps, f"{column} date, step long, first long, first_alone long")
+    ahead = Window.partitionBy(column).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (rows.groupBy(column, "part").agg(*sums)
+             .select(column, "part", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"{c}_ahead") for c in ("packed", "alone")])
+             .join(F.broadcast(bounds), column))
+    within = Window.partitionBy(column, "part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(c).over(within), F.lit(0)).alias(name)
+              for c, name in ((packed, "packed_before"), (alone.cast("long"), "alone_before"))]
+    own = F.col("first_alone") + F.col("alone_ahead") + F.col("alone_before")
+    shared = F.col("first") + F.floor((F.col("packed_ahead") + F.col("packed_before")) / F.col("step"))
+    return (rows.select("*", *before).join(parts, [column, "part"])
+            .withColumn("file", F.when(alone, own).otherwise(shared).cast("int"))), first
 
 
 def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", spine: DataFrame | None = None,
-                mode: str = "replace", layout: str | None = None, staged: bool = False) -> DataFrame:
-    """``write_partition`` with files of roughly at most ``max_bytes`` of Arrow memory each.
-
-    Row sizes are measured in a pass of its own. The bound holds on average over a file, as rows
-    differ; a single row above the bound gets a file of its own. Periods whose row sizes are within
-    a factor of two share a write, normally all of them; one of much wider rows gets its own, so it
-    does not cut the files of the others small. ``staged`` first writes the rows to the shared
-    folder, so that an expensive selection runs once, not twice.
+                mode: str = "replace") -> DataFrame:
+    """``write_partition`` with files of at most ``max_bytes`` of Arrow memory each, in one write.
+
+    Every row is measured. Rows of more than half the bound get files of their own, the others are
+    packed by a running total, so that files are filled up to the widest of them. Only a single row
+    above the bound makes a file above it, which is logged. A file is written by one task.
+
+    The rows are first written to the shared folder with their sizes: an expensive selection runs
+    once, and a retried task finds every row at its place.
     """
+    if max_bytes <= 0:
+        raise ValueError("max_bytes must be positive")
     spark = df.sparkSession
-    if staged:
-        stage = shared_folder(spark)
-        df.write.parquet(stage)
-        df = spark.read.schema(df.schema).parquet(stage)
-    limits = rows_per_file(df, max_bytes, column)
-    alike: dict[int, list[dt.date]] = {}
-    for day, rows in limits.items():
-        alike.setdefault(rows.bit_length(), []).append(day)
-    if len(alike) < 2:
-        return write_partition(df, path, column, mode, spine, layout=layout,
-                               max_records_per_file=min(limits.values(), default=None))
-    # The periods of narrow rows take the small and the empty ones along.
-    wide = [days for _, days in sorted(alike.items())[:-1]]
-    apart = [day for days in wide for day in days]
-    narrow = min(limits[day] for day in alike[max(alike)])
-    day_of = F.col(column).cast("date")
-    rest = df.where(~F.coalesce(day_of.isin(apart), F.lit(False)))
-    others = None if spine is None else spine.where(~F.col("period").isin(apart))
-    report = write_partition(rest, path, column, mode, others, layout=layout, max_records_per_file=narrow)
-    for days in wide:
-        own = spark.createDataFrame([(day,) for day in days], "period date")
-        report = report.unionByName(write_partition(
-            df.where(day_of.isin(days)), path, column, mode, own, layout=layout,
-            max_records_per_file=min(limits[day] for day in days)))
-    return report
+    taken = {"bytes", "part", "place", "file", "step", "first", "first_alone", "packed_ahead", "alone_ahead",
+             "packed_before", "alone_before"}
+    names = {c: f"column {i}" if c.lower() in taken else c for i, c in enumerate(df.columns)}
+    stage = shared_folder(spark)
+    (df.withColumn(column, _guarded(column, _periods(spine))).withColumnsRenamed(names)
+     .select("*", row_bytes(T.StructType([T.StructField(names[f.name], f.dataType) for f in df.schema]), column).alias("bytes"),
+             F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")).write.parquet(stage))
+    rows = spark.read.parquet(stage)
+    filed, files = _numbered_files(rows, column, max_bytes)
+    if files:
+        filed = filed.repartitionById(files, "file")
+    result = filed.select(*[F.col(f"`{names[c]}`").alias(c) for c in df.columns])
+    return write_partition(result, path, column, mode, spine, layout="as_is")

@@ -11,7 +11,7 @@ from daybridge.operators.ranges import day_spine, month_spine, range_report
 from daybridge.plans.backfill import RangeFailed, backfill
 from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
 from daybridge.sinks.files import EmptyExport, write_json
-from daybridge.sinks.partitions import arrow_bytes, rows_per_file, write_partition, write_split
+from daybridge.sinks.partitions import arrow_bytes, write_partition, write_split
 
 D = dt.date
 
@@ -137,12 +137,31 @@ def test_split_bounds_files(spark, folder):
     assert spark.read.parquet(f"{folder}/t").distinct().count() == 50_000
 
 
-def test_rows_per_file(spark):
-    rows = spark.createDataFrame([("x" * 1000, D(2026, 1, 1)), ("x", D(2026, 1, 2))], "s string, dt date")
-    assert rows_per_file(rows, 100) == {D(2026, 1, 1): 1}
-    assert rows_per_file(rows, 10_000) == {}
+def test_split_bounds_files_of_mixed_rows(spark, folder, caplog):
+    """Narrow and wide rows of one day: no file above the bound but those of one row."""
+    width = F.when(F.col("id") % 20 == 0, 9_000).when(F.col("id") == 77, 70_000).otherwise(F.col("id") % 90)
+    rows = spark.range(4_000, numPartitions=5).withColumn("w", width.cast("int")).select(
+        F.col("id").alias("part"), F.expr("repeat('x', w)").alias("bytes"), F.lit(D(2026, 1, 1)).alias("dt"))
+    limit = 64 * 1024
+    write_split(rows, f"{folder}/t", limit)
+    import pyarrow.parquet as pq
+    tables = [pq.ParquetFile(f).read() for f in glob.glob(f"{folder}/t/dt=*/*.parquet")]
+    assert [t.num_rows for t in tables if t.nbytes > limit] == [1]
+    total = sum(t.nbytes for t in tables)
+    assert len(tables) <= 2 + total / (limit - 9_100)
+    stored = spark.read.parquet(f"{folder}/t")
+    assert stored.count() == 4_000 and stored.exceptAll(rows.select(*stored.columns)).isEmpty()
+    assert "1 rows above" in caplog.text
+
+
+def test_split_checks_its_arguments(spark, folder):
+    rows = spark.createDataFrame([("x", D(2026, 1, 2))], "s string, dt date")
     with pytest.raises(ValueError, match="positive"):
-        rows_per_file(rows, 0)
+        write_split(rows, f"{folder}/t", 0)
+    with pytest.raises(Exception, match="outside the range"):
+        write_split(rows, f"{folder}/t", 10, spine=day_spine(spark, "2026-01-03", "2026-01-04"))
+    found = write_split(rows.limit(0), f"{folder}/t", 10, spine=day_spine(spark, "2026-01-03", "2026-01-04"))
+    assert [r[2] for r in report(found)] == ["empty", "empty"]
 
 
 @pytest.mark.parametrize("with_spine", [True, False])
