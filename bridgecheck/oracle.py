@@ -219,6 +219,9 @@ ORACLE: dict[str, str] = {
         CASE WHEN record IS NULL THEN 'not a JSON line' END AS error"""),
     "log_records_by_file": _LOGS.replace("{columns}", """record,
         CASE WHEN record IS NULL THEN 'not a JSON line' END AS error"""),
+    "log_records_of_texts": """
+        SELECT doc_id, concat_ws(' null ', text, source) AS text, coalesce(lang, '') AS lang,
+            coalesce(source, '') AS source, CAST(NULL AS VARCHAR) AS error FROM documents""",
     "land_log_records": with_views(f"""
         SELECT {_day('ts')} AS dt, record AS raw_data, {_day('ts')} || ' 00:00:00' AS created_at, true AS has_id
         FROM log_lines WHERE record IS NOT NULL""", "log_lines"),
@@ -244,6 +247,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT c_custkey, NULL, 'response has no data and is not a list' FROM r WHERE kind = 4
         UNION ALL SELECT c_custkey, NULL, 'data is not a list' FROM r WHERE kind = 5
         UNION ALL SELECT c_custkey, NULL, 'request failed: success is false' FROM r WHERE kind = 6""",
+    "api_envelope_of_turns": """
+        SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            CAST(NULL AS VARCHAR) AS error FROM conversations""",
     "land_api_records": """
         WITH r AS (SELECT c_custkey % 8 AS kind, CAST(c_custkey AS VARCHAR) AS k FROM customer)
         SELECT '2026-01-05' AS dt, '{"id":' || k || ',"v":""}' AS raw_data, '2026-01-05 10:30:00' AS created_at

@@ -396,6 +396,18 @@ def log_records_by_file(spark, sf_dir):
     return parsed.select("record", "error")
 
 
+@registered
+def log_records_of_texts(spark, sf_dir):
+    """Log lines that carry whole documents, some with the word null in their text, read back from their records."""
+    path = shared_folder(spark)
+    (table(spark, sf_dir, "documents").selectExpr("doc_id", "concat_ws(' null ', text, source) AS text", "lang", "source")
+     .select(F.to_json(F.struct("doc_id", "text", "lang", "source"), {"ignoreNullFields": "false"}).alias("value"))
+     .write.option("compression", "gzip").text(path))
+    record = parse_log_lines(read_log_lines(spark, path, pattern="*.txt.gz"))
+    return record.select(json_scalar("record", "doc_id").cast("long").alias("doc_id"),
+                         *[json_scalar("record", c).alias(c) for c in ("text", "lang", "source")], "error")
+
+
 @registered
 def land_log_records(spark, sf_dir):
     parsed = parse_log_lines(read_log_lines(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz"))
@@ -493,6 +505,19 @@ def api_envelope(spark, sf_dir):
     return unwrap_envelope(view(spark, sf_dir, "responses"), "body", on_error="reject")
 
 
+@registered
+def api_envelope_of_turns(spark, sf_dir):
+    """Responses with the turns of a conversation as records; some lack the success field, some are bare lists."""
+    turn = F.struct("turn", "role", "text")
+    records = F.to_json(F.sort_array(F.collect_list(turn)), {"ignoreNullFields": "false"})
+    body = (F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit('{"success":true,"data":'), records, F.lit("}")))
+            .when(F.col("conv_id") % 3 == 1, F.concat(F.lit('{"data":'), records, F.lit("}"))).otherwise(records))
+    responses = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(body.alias("body"))
+    found = unwrap_envelope(responses, "body", on_error="reject")
+    return found.select("conv_id", json_scalar("record", "turn").cast("long").alias("turn"),
+                        *[json_scalar("record", c).alias(c) for c in ("role", "text")], "error")
+
+
 @registered
 def land_api_records(spark, sf_dir):
     records = unwrap_envelope(view(spark, sf_dir, "responses"), "body", on_error="reject")
