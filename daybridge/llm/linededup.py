@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.common import fresh, staged
+from daybridge.llm.common import fresh, joined_by_group, staged
 
 # A line goes if more than this share of its site's pages has it, and at least so many pages.
 RATIO, LEAST_PAGES = 0.02, 3
 
-# Lines of this many pieces of sites with many boilerplate lines are broadcast; beyond, sites are joined by a shuffle.
+# So many boilerplate lines of all sites together are broadcast; beyond, only those of sites with many pages.
 BROADCAST_LINES = 200_000
 
 
@@ -26,9 +26,10 @@ def drop_site_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO
 
     Lines are known by 64-bit hashes, and only those of boilerplate are kept, so a clean line would have to
     collide with one of its host's few. Counts are pre-aggregated before the shuffle, by host and line, so
-    a host with a third of all rows is spread over its lines.
+    a host with a third of all rows is spread over its lines, and its texts are not shuffled: its boilerplate,
+    at most 1 / ``ratio`` times the lines of a page, is broadcast.
     """
-    name, site, lines = fresh(pages, "cleaned", "site", "boilerplate")
+    name, site, lines, size = fresh(pages, "cleaned", "site", "boilerplate", "pages")
 
     def key(line):
         return F.xxhash64(F.trim(line))
@@ -42,13 +43,16 @@ def drop_site_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO
              .join(totals, "site").where(F.col("n") > ratio * F.col("pages")).select("site", "line"))
     dropped = staged(often)
     by_site = dropped.groupBy(F.col("site").alias(site)).agg(F.collect_set("line").alias(lines))
+    rows = pages.withColumn(site, of)
     if dropped.count() <= BROADCAST_LINES:
-        by_site = F.broadcast(by_site)
+        joined = rows.join(F.broadcast(by_site), site, "left")
+    else:
+        sized = staged(by_site.join(totals.toDF(site, size), site))
+        joined = joined_by_group(rows, sized, [site], size, "left").drop(size)
     kept = F.filter(split, lambda x: (F.trim(x) == "") | ~F.coalesce(F.array_contains(F.col(lines), key(x)), F.lit(False)))
     count = F.coalesce(F.size(split), F.lit(0))
     count = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(count)
     left = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(kept))
-    return (pages.withColumn(site, of).join(by_site, site, "left")
-            .withColumn(name, F.struct(F.array_join(kept, "\n").alias("text"), count.cast("long").alias("n_lines"),
-                                       (count - left).cast("long").alias("n_dropped")))
-            .drop(site, lines)), name
+    found = F.struct(F.array_join(kept, "\n").alias("text"), count.cast("long").alias("n_lines"),
+                     (count - left).cast("long").alias("n_dropped"))
+    return joined.withColumn(name, found).drop(site, lines), name
