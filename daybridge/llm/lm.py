@@ -1,7 +1,8 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark and memory-mapped for scoring.
+"""Interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark and memory-mapped for scoring.
 
 Words are numbered by their place in the sorted array of their hashes, so a bigram is one 64-bit
-number, exactly. Numbers are scrambled by a bijection before they are sorted: the sorted arrays then
+number, exactly; a trigram is the place of its first two words in the sorted array of bigrams, and a
+word. Numbers are scrambled by a bijection before they are sorted: the sorted arrays then
 part evenly into shards whatever words are frequent, and neither a hot word nor a hot context lands
 in one task.
 """
@@ -85,7 +86,7 @@ class SortedTable:
         return self.maps[number]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the whole array (-1 if absent) and value (0 if absent) of keys in ascending order."""
+        """Place in the whole array (-1 if absent) and value (0 if absent, or not yet written) of keys in ascending order."""
         place, value = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
         if not len(keys):
             return place, value
@@ -98,7 +99,8 @@ class SortedTable:
                 at = np.minimum(np.searchsorted(own, keys[a:b]), len(own) - 1)
                 hit = own[at] == keys[a:b]
                 place[a:b] = np.where(hit, starts[number] + at, -1)
-                value[a:b] = np.where(hit, values[at], 0)
+                if len(values):
+                    value[a:b] = np.where(hit, values[at], 0)
         return place, value
 
 
@@ -151,12 +153,93 @@ def _discounts(n: list[int]) -> list[float]:
     return [0.0, *[min(max(d, 0.0), float(k)) for k, d in enumerate(found, 1)]]
 
 
+def _texts_of(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different words of some texts, each token's place among them, where the texts start, their lengths."""
+    lengths = np.array([len(p) for p in parts])
+    kinds, token = np.unique(np.concatenate(parts), return_inverse=True)
+    return kinds, token, np.cumsum(lengths) - lengths, lengths
+
+
 def _occurring(counts: np.ndarray) -> list[int]:
     return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
 
 
+def _word_amounts(pairs: np.ndarray, counts: np.ndarray, shards: int, types: int) -> list[tuple]:
+    """Rows of what the bigrams of a shard add to the numbers of their words, for each part of these."""
+    ranks = np.minimum(counts, 3)
+    context, at = np.unique(pairs >> np.uint64(32), return_inverse=True)
+    columns = [np.bincount(at, counts, len(context))]
+    columns += [np.bincount(at, ranks == k, len(context)) for k in (1, 2, 3)]
+    word, times = np.unique(pairs & np.uint64(0xFFFFFFFF), return_counts=True)
+    rows = []
+    for kind, numbers, values in (("context", context, columns), ("word", word, [times])):
+        part = numbers.astype(np.int64) * shards // types
+        edges = np.searchsorted(part, np.arange(shards + 1))
+        for p in range(shards):
+            a, b = edges[p], edges[p + 1]
+            if a < b:
+                rows.append((p, kind, numbers[a:b].astype("<u4").tobytes(),
+                             np.stack([v[a:b] for v in values]).astype("<u8" if kind == "context" else "<u4").tobytes()))
+    return rows
+
+
+_AMOUNTS = "part int, kind string, numbers binary, amounts binary"
+
+
+def _amounts(rows: list[tuple]) -> pa.Table:
+    return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "kind": [r[1] for r in rows],
+                     "numbers": pa.array([r[2] for r in rows], pa.binary()),
+                     "amounts": pa.array([r[3] for r in rows], pa.binary())})
+
+
+def _totals(keys: np.ndarray, counts: np.ndarray, shard: int) -> tuple:
+    return -1, "counts", np.array([*_occurring(counts), len(keys), shard], "<u8").tobytes(), b""
+
+
 @dataclass
-class BigramModel:
+class TrigramModel:
+    """What order 3 adds: trigrams, and what is known of each bigram as a context, by its place."""
+
+    trigrams: SortedTable
+    discounts: list[float]
+    types: int
+    starts: np.ndarray    # of the shards of bigrams, and past the last
+    maps: dict = field(default_factory=dict, repr=False)
+
+    def __getstate__(self):
+        return self.__dict__ | {"maps": {}}
+
+    def _context(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often the bigrams in these places are a context, and the share that their discounts leave."""
+        total, rest = np.zeros(len(place)), np.ones(len(place))
+        shard = np.searchsorted(self.starts, place, "right") - 1
+        for s in np.unique(shard).tolist():
+            if s not in self.maps:
+                self.maps[s] = (map_shared(f"{self.trigrams.folder}/context-{s}", "<u4"),
+                                map_shared(f"{self.trigrams.folder}/kinds-{s}", "<f8").reshape(2, -1))
+            own = shard == s
+            codes, kinds = self.maps[s]
+            total[own], rest[own] = kinds[:, codes[place[own] - self.starts[s]]]
+        return total, rest
+
+    def chances(self, place: np.ndarray, number: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities after the bigrams in these places of words by number (-1 if unknown), given those of order 2."""
+        total, rest = self._context(place)
+        times = np.zeros(len(place), np.int64)
+        known = np.flatnonzero(number >= 0)
+        key = trigram_keys(place[known], number[known], self.types)
+        order = np.argsort(key)
+        times[known[order]] = self.trigrams.find(key[order])[1]
+        off = np.array(self.discounts)[np.minimum(times, 3)]
+        return np.maximum(times - off, 0) / np.maximum(total, 1) + rest * lower
+
+
+def trigram_keys(place: np.ndarray, number: np.ndarray, types: int) -> np.ndarray:
+    return scramble(place.astype(np.uint64) * np.uint64(types) + number.astype(np.uint64))
+
+
+@dataclass
+class NgramModel:
     words: SortedTable
     bigrams: SortedTable
     tokens: int
@@ -166,6 +249,7 @@ class BigramModel:
     continuations: int    # different bigrams
     word_rest: float      # share of the words' own distribution that goes to the even one
     parts: int
+    longer: TrigramModel | None = None
     maps: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
@@ -186,10 +270,7 @@ class BigramModel:
         """Of each text the tokens, the known ones, and the log10 probability by base and by model."""
         if not texts:
             return []
-        parts = [word_hashes(t) for t in texts]
-        lengths = np.array([len(p) for p in parts])
-        starts = np.cumsum(lengths) - lengths
-        kinds, token = np.unique(np.concatenate(parts), return_inverse=True)
+        kinds, token, starts, lengths = _texts_of([word_hashes(t) for t in texts])
         number, count = self.words.find(kinds)
         known = number >= 0
         base = np.log10((count + 1) / (self.tokens + self.types + 1))
@@ -208,10 +289,15 @@ class BigramModel:
         both = np.flatnonzero(known[token] & known[before])
         pair = scramble(number[before[both]].astype(np.uint64) << np.uint64(32) | number[token[both]].astype(np.uint64))
         order = np.argsort(pair)
-        times = np.zeros(len(token), np.int64)
-        times[both[order]] = self.bigrams.find(pair[order])[1]
+        times, place = np.zeros(len(token), np.int64), np.full(len(token), -1, np.int64)
+        place[both[order]], times[both[order]] = self.bigrams.find(pair[order])
         off = np.array(self.bigram_discounts)[np.minimum(times, 3)]
         chance = np.maximum(times - off, 0) / np.maximum(total[before], 1) + rest[before] * own[token]
+        if self.longer:
+            context = np.r_[-1, place[:-1]]
+            context[starts] = -1  # the first word has no more than the end before it
+            after = np.flatnonzero(context >= 0)
+            chance[after] = self.longer.chances(context[after], number[token[after]], chance[after])
         return list(zip(lengths.tolist(), np.add.reduceat(known[token].astype(np.int64), starts).tolist(),
                         np.add.reduceat(base[token], starts).tolist(),
                         np.add.reduceat(np.log10(chance), starts).tolist()))
@@ -221,13 +307,17 @@ def _first_number(part: int, parts: int, types: int) -> int:
     return -(-part * types // parts)
 
 
-def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> BigramModel:
+def train(docs: DataFrame, text: str = "text", shards: int | None = None, order: int = 2) -> NgramModel:
     """Count and write the model of all texts; its files lie in the shared folder.
 
     Three passes of pre-aggregated counts: words; bigrams by word numbers; and from the bigrams, for
     each word, how often it is a context, what its discounts leave, and how many words it follows.
+    At order 3 a pass counts trigrams, and a bigram counts as often as different words stand before it
+    in one; those after the end of a text have no such word and count as often as they occur.
     The driver sees a row of totals for each shard.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: the model is of order 2 or 3")
     spark = corpus_session(docs.sparkSession)
     shards = shards or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = shared_folder(spark)
@@ -249,46 +339,32 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Big
     if types >= MOST_WORDS:
         raise ValueError(f"{types} different words; a bigram of word numbers holds {MOST_WORDS}")
     if not types:
-        return BigramModel(words, SortedTable(folder, "bigrams", [0] * shards, "<u4"), 0, 0,
+        return NgramModel(words, SortedTable(folder, "bigrams", [0] * shards, "<u4"), 0, 0,
                            _discounts([0] * 4), _discounts([0] * 4), 1, 1.0, shards)
     shared = spark.sparkContext.broadcast(words)
 
-    def bigrams(parts: list[np.ndarray]) -> list[np.ndarray]:
-        lengths = np.array([len(p) for p in parts])
-        kinds, token = np.unique(np.concatenate(parts), return_inverse=True)
+    def placed(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bigrams, the numbers of their second words, and where texts start."""
+        kinds, token, starts, lengths = _texts_of(parts)
         number = shared.value.find(kinds)[0].astype(np.uint64)[token]
         before = np.r_[number[:1], number[:-1]]
-        ends = np.cumsum(lengths)
-        before[ends - lengths] = number[ends - 1]  # the end, which is every text's last token
-        return [scramble(before << np.uint64(32) | number)]
+        before[starts] = number[starts + lengths - 1]  # the end, which is every text's last token
+        return scramble(before << np.uint64(32) | number), number, starts
 
     def count_bigrams(batches):
-        return _flushed(batches, bigrams, shards)
+        return _flushed(batches, lambda parts: [placed(parts)[0]], shards)
 
     def write_bigrams(table: pa.Table) -> pa.Table:
         shard, keys, counts = _merged(table)
         _write(folder, "bigrams", shard, keys, counts, "<u4")
-        pairs = unscramble(keys)
-        rows = [(-1, "counts", np.array([*_occurring(counts), len(keys), shard], "<u8").tobytes(), b"")]
-        ranks = np.minimum(counts, 3)
-        context, at = np.unique(pairs >> np.uint64(32), return_inverse=True)
-        columns = [np.bincount(at, counts, len(context))]
-        columns += [np.bincount(at, ranks == k, len(context)) for k in (1, 2, 3)]
-        word, times = np.unique(pairs & np.uint64(0xFFFFFFFF), return_counts=True)
-        for kind, numbers, values in (("context", context, columns), ("word", word, [times])):
-            part = numbers.astype(np.int64) * shards // types
-            edges = np.searchsorted(part, np.arange(shards + 1))
-            for p in range(shards):
-                a, b = edges[p], edges[p + 1]
-                if a < b:
-                    rows.append((p, kind, numbers[a:b].astype("<u4").tobytes(),
-                                 np.stack([v[a:b] for v in values]).astype("<u8" if kind == "context" else "<u4").tobytes()))
-        return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "kind": [r[1] for r in rows],
-                         "numbers": pa.array([r[2] for r in rows], pa.binary()),
-                         "amounts": pa.array([r[3] for r in rows], pa.binary())})
-
-    amounts = staged(texts.mapInArrow(count_bigrams, _COUNTED).groupBy("shard")
-                     .applyInArrow(write_bigrams, "part int, kind string, numbers binary, amounts binary"), "zstd")
+        return _amounts([_totals(keys, counts, shard), *_word_amounts(unscramble(keys), counts, shards, types)])
+
+    grouped = texts.mapInArrow(count_bigrams, _COUNTED).groupBy("shard")
+    longer = None
+    if order == 2:
+        amounts = staged(grouped.applyInArrow(write_bigrams, _AMOUNTS), "zstd")
+    else:
+        amounts, longer = _trigrams(texts, grouped, placed, words, types, shards)
     totals = [np.frombuffer(r["numbers"], "<u8") for r in amounts.where("kind = 'counts'").collect()]
     discounts = _discounts(np.sum([t[:4] for t in totals], axis=0).tolist())
     sizes = {int(t[5]): int(t[4]) for t in totals}
@@ -316,12 +392,107 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Big
             .agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "more", "total")]).first())
     own = _discounts([ones["n1"], ones["n2"], ones["n3"], ones["n4"]])
     rest = (own[1] * ones["n1"] + own[2] * ones["n2"] + own[3] * ones["more"]) / ones["total"]
-    return BigramModel(words, SortedTable(folder, "bigrams", [sizes.get(s, 0) for s in range(shards)], "<u4"),
-                       tokens, types, discounts, own, ones["total"], rest, shards)
+    return NgramModel(words, SortedTable(folder, "bigrams", [sizes.get(s, 0) for s in range(shards)], "<u4"),
+                      tokens, types, discounts, own, ones["total"], rest, shards, longer)
+
+
+def _trigrams(texts: DataFrame, grouped, placed, words: SortedTable, types: int,
+              shards: int) -> tuple[DataFrame, TrigramModel]:
+    """Write the tables of bigrams and trigrams; the amounts of words are returned as at order 2.
+
+    Bigrams are first written as keys alone: their places number them, and a shard of them is a part
+    for the amounts that trigrams add to their first two and last two words.
+    """
+    spark, folder = texts.sparkSession, words.folder
+    end = int(words.find(np.array([xxhash.xxh3_64_intdigest(END)], np.uint64))[0][0])
+
+    def write_keys(table: pa.Table) -> pa.Table:
+        shard, keys, counts = _merged(table)
+        first = np.flatnonzero(unscramble(keys) >> np.uint64(32) == end)
+        _write(folder, "bigrams", shard, keys, counts[:0], "<u4")
+        _write(folder, "first", shard, first, counts[first], "<u4")
+        return pa.table({"shard": pa.array([shard], pa.int32()), "size": [len(keys)]})
+
+    sizes = {r["shard"]: r["size"] for r in grouped.applyInArrow(write_keys, "shard int, size bigint").collect()}
+    bigrams = SortedTable(folder, "bigrams", [sizes.get(s, 0) for s in range(shards)], "<u4")
+    starts = np.r_[0, np.cumsum(bigrams.sizes)]
+    if int(starts[-1]) * types >= 1 << 64 or max(sizes.values()) >= 1 << 32:
+        raise ValueError(f"{starts[-1]} different bigrams of {types} words; a trigram is a number below 2^64")
+    shared = spark.sparkContext.broadcast(bigrams)
+
+    def places(keys: np.ndarray) -> np.ndarray:
+        kinds, at = np.unique(keys, return_inverse=True)
+        return shared.value.find(kinds)[0][at]
+
+    def trigrams(parts: list[np.ndarray]) -> list[np.ndarray]:
+        keys, number, begins = placed(parts)
+        inner = np.ones(len(keys), bool)
+        inner[begins] = False
+        inner = np.flatnonzero(inner)
+        return [trigram_keys(places(keys[inner - 1]), number[inner], types)]
+
+    def count_trigrams(batches):
+        return _flushed(batches, trigrams, shards)
+
+    def write_trigrams(table: pa.Table) -> pa.Table:
+        shard, keys, counts = _merged(table)
+        _write(folder, "trigrams", shard, keys, counts, "<u4")
+        found = unscramble(keys)
+        context, at = np.unique((found // np.uint64(types)).astype(np.int64), return_inverse=True)
+        second = np.empty(len(context), np.uint64)
+        edges = np.searchsorted(context, starts)
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            a, b = edges[s], edges[s + 1]
+            own = map_shared(f"{folder}/bigrams-{s}.keys", "<u8")
+            second[a:b] = unscramble(own[context[a:b] - starts[s]]) & np.uint64(0xFFFFFFFF)
+        last, times = np.unique(places(scramble(second[at] << np.uint64(32) | found % np.uint64(types))), return_counts=True)
+        ranks = np.minimum(counts, 3)
+        rows = [_totals(keys, counts, shard)]
+        columns = [np.bincount(at, counts, len(context)), *[np.bincount(at, ranks == k, len(context)) for k in (1, 2, 3)]]
+        for kind, place, values in (("context", context, columns), ("last", last, [times])):
+            edges = np.searchsorted(place, starts)
+            for s in np.flatnonzero(np.diff(edges)).tolist():
+                a, b = edges[s], edges[s + 1]
+                rows.append((s, kind, (place[a:b] - starts[s]).astype("<u4").tobytes(),
+                             np.stack([v[a:b] for v in values]).astype("<u8" if kind == "context" else "<u4").tobytes()))
+        return _amounts(rows)
+
+    amounts = staged(texts.mapInArrow(count_trigrams, _COUNTED).groupBy("shard")
+                     .applyInArrow(write_trigrams, _AMOUNTS), "zstd")
+    totals = [np.frombuffer(r["numbers"], "<u8") for r in amounts.where("kind = 'counts'").collect()]
+    discounts = _discounts(np.sum([t[:4] for t in totals], axis=0).tolist() if totals else [0] * 4)
+    found = {int(t[5]): int(t[4]) for t in totals}
+
+    def write_bigrams(table: pa.Table) -> pa.Table:
+        shard = table["part"][0].as_py()
+        keys = np.asarray(map_shared(f"{folder}/bigrams-{shard}.keys", "<u8"))
+        counts, context = np.zeros(len(keys), np.int64), np.zeros((4, len(keys)), np.int64)
+        for kind, numbers, values in zip(*[table[c].to_pylist() for c in ("kind", "numbers", "amounts")]):
+            at = np.frombuffer(numbers, "<u4")
+            if kind == "context":
+                context[:, at] += np.frombuffer(values, "<u8").astype(np.int64).reshape(4, -1)
+            elif kind == "last":
+                counts[at] += np.frombuffer(values, "<u4")
+        counts[map_shared(f"{folder}/first-{shard}.keys", "<u8").astype(np.int64)] = map_shared(
+            f"{folder}/first-{shard}.values", "<u4")
+        # few contexts differ in their amounts: each has a number for those
+        kinds, codes = np.unique(np.ascontiguousarray(context.T), axis=0, return_inverse=True)
+        left = kinds[:, 1:] @ np.array(discounts[1:])
+        rest = np.where(kinds[:, 0] > 0, left / np.maximum(kinds[:, 0], 1), 1.0)
+        write_shared(f"{folder}/context-{shard}", codes.reshape(-1).astype("<u4").tobytes())
+        write_shared(f"{folder}/kinds-{shard}", np.stack([kinds[:, 0], rest]).astype("<f8").tobytes())
+        write_shared(f"{folder}/bigrams-{shard}.values", counts.astype("<u4").tobytes())
+        return _amounts([_totals(keys, counts, shard), *_word_amounts(unscramble(keys), counts, shards, types)])
+
+    every = spark.createDataFrame([(s, "none", b"", b"") for s in sizes], _AMOUNTS)
+    of_words = staged(amounts.where("kind <> 'counts'").unionByName(every).groupBy("part")
+                      .applyInArrow(write_bigrams, _AMOUNTS), "zstd")
+    return of_words, TrigramModel(SortedTable(folder, "trigrams", [found.get(s, 0) for s in range(shards)], "<u4"),
+                                  discounts, types, starts)
 
 
 def scored(model, text: str) -> Column:
-    """A struct of token counts and log10 probabilities; ``model`` is a broadcast BigramModel."""
+    """A struct of token counts and log10 probabilities; ``model`` is a broadcast NgramModel."""
 
     @F.arrow_udf("struct<n_tokens: bigint, n_known: bigint, base: double, score: double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -344,9 +515,12 @@ def scored(model, text: str) -> Column:
     return run.asNondeterministic()(utf8(text))
 
 
-def lm_scores(docs: DataFrame, learned_from: DataFrame, text: str = "text") -> tuple[DataFrame, str, BigramModel]:
+def lm_scores(docs: DataFrame, learned_from: DataFrame, text: str = "text",
+              order: int = 2) -> tuple[DataFrame, str, NgramModel]:
     """The rows as they are with one more column, its name, and the model trained on ``learned_from``.
 
+    At ``order`` 2 a word is judged by the one before it, at 3 by the two before it.
+
     The column is a struct: ``n_tokens`` (words and one end), ``n_known`` (seen in training), ``base``
     (log10 probability by add-one unigrams), ``score`` (by the model) and ``perplexity``. Null and empty
     texts are one token, the end. Repeated rows count each time in training and get equal scores. With
@@ -355,7 +529,7 @@ def lm_scores(docs: DataFrame, learned_from: DataFrame, text: str = "text") -> t
 
     Rows do not move; a worker maps the sorted arrays and reads the pages its texts ask for.
     """
-    model = train(learned_from, text)
+    model = train(learned_from, text, order=order)
     name, = fresh(docs, "lm")
     found = docs.withColumn(name, scored(docs.sparkSession.sparkContext.broadcast(model), text))
     perplexity = F.pow(F.lit(10.0), -F.col(f"{name}.score") / F.col(f"{name}.n_tokens"))

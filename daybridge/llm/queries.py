@@ -48,6 +48,15 @@ def op1_lm_scoring(spark, sf_dir):
                         F.col(f"{name}.score"))
 
 
+@registered
+def op1_lm_scoring_order3(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found, name, model = lm_scores(docs, docs.where(~_held_out(7)), order=3)
+    return found.select("doc_id", _held_out(7).alias("held_out"), F.col(f"{name}.n_tokens"), F.col(f"{name}.n_known"),
+                        F.lit(model.tokens).cast("long").alias("train_tokens"), F.col(f"{name}.base").alias("base_score"),
+                        F.col(f"{name}.score"))
+
+
 @registered
 def op2_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
