@@ -6,7 +6,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,10 @@ BOILERPLATE_MARKS = frozenset("ad ads adv advert adverts advertisement advertisi
                               "subscribe subscription signup share sharing social related recommended breadcrumb "
                               "breadcrumbs menu nav navbar navigation footer header masthead login search pagination "
                               "pager toolbar hidden".split())
+# Words that may stand beside a mark in one class or id: "advert-box", "left-sidebar".
+BESIDE_MARKS = frozenset("box container wrapper wrap block area section panel list items item bar links link buttons button "
+                         "icons inner outer top bottom left right primary secondary main site global".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Tags with other names share one weight.
 OTHER = "other"
@@ -53,6 +57,7 @@ class Piece:
     text: str
     node: int
     excluded: bool
+    mark: str = ""  # of a tag that opens a marked element
 
 
 @dataclass
@@ -61,6 +66,7 @@ class Page:
     names: list[str]     # of the containers, by number
     parents: list[int]
     inside: list[bool]   # container within an article
+    reasons: list[str]   # why it may be boilerplate: a name, an attribute or a mark
 
     def above(self, node: int) -> list[int]:
         found = []
@@ -70,38 +76,74 @@ class Page:
         return found[::-1]
 
 
-def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
+# Reasons that are not marks.
+_NAME, _ATTRIBUTES = "<name>", "<attributes>"
+
+
+def _mark(value: str) -> str:
+    """The first mark of a class or id, "" if none: one of its tokens is made of marks and words beside them alone."""
+    for token in value.split():
+        parts = [m.lower() for m in _MARK.findall(token)]
+        marks = [m for m in parts if m in BOILERPLATE_MARKS]
+        if marks and all(m in BOILERPLATE_MARKS or m in BESIDE_MARKS or m.isdigit() for m in parts):
+            return marks[0]
+    return ""
+
+
+def _reason(name: str, attributes: str, in_article: bool) -> str:
+    """Why an element may be boilerplate ("" if nothing says so)."""
     if name in BOILERPLATE or name == "header" and not in_article:
-        return True
+        return _NAME
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return ""
+    mark = ""
     for found in _ATTRIBUTE.finditer(attributes):
         key, value = found[1].lower(), (found[2] or "").strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return _ATTRIBUTES
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return _ATTRIBUTES
         if key == "role" and value.lower() in BOILERPLATE_ROLES:
-            return True
-        if key in ("class", "id"):
-            marks = {m.lower() for m in _MARK.findall(value)}
-            if marks & BOILERPLATE_MARKS and not (name == "article" and not in_article):
-                return True
-    return False
+            return _ATTRIBUTES
+        if key == "class" or key == "id" and name not in HEADINGS:
+            mark = mark or _mark(value)
+    return mark
 
 
-def parse(page: str) -> Page:
-    """Tags and texts in order; menus, adverts, forms, scripts, comments and the like are marked excluded."""
+def _kept(page: Page) -> set[int]:
+    """Containers that no reason excludes: they hold the page's article or main, or else most of its words."""
+    names, reasons = page.names, page.reasons
+    words = [0] * len(names)
+    for piece in page.pieces:
+        if not piece.name:
+            words[piece.node] += len(piece.text.split())
+    for node in range(len(names) - 1, 0, -1):  # what menus and the like have is not counted further up
+        if reasons[node] != _NAME or names[node] == "form":
+            words[page.parents[node]] += words[node]
+    articles = [n for n, name in enumerate(names) if name == "article" and not reasons[n]]
+    kept = {a for n, name in enumerate(names) if name == "main" for a in page.above(n)}
+    if articles:
+        return kept.union(page.above(max(articles, key=lambda n: words[n])))
+    kept.update(n for n, name in enumerate(names) if name == "article" and not page.inside[page.parents[n]])
+    return kept.union(n for n, r in enumerate(reasons) if r and (r != _NAME or names[n] == "form") and 2 * words[n] > words[0])
+
+
+def parse(page: str, marks: dict[str, float] | None = None) -> Page:
+    """Tags and texts in order; menus, adverts, forms, scripts, comments and the like are excluded.
+
+    Marked elements are not where ``marks`` gives the mark a positive weight, and no element is that holds
+    the page's article or main, or, without an unmarked article, most of the page's words.
+    """
     pieces: list[Piece] = []
-    names, parents, inside = ["root"], [-1], [False]
-    open_: list[tuple[str, int, bool]] = [("root", 0, False)]  # name, node, excluded
+    names, parents, inside, reasons = ["root"], [-1], [False], [""]
+    open_: list[tuple[str, int]] = [("root", 0)]  # name, node
     at = 0
     while True:
         found = _PIECE.search(page, at)
         text = page[at:found.start() if found else len(page)]
-        _, node, excluded = open_[-1]
+        node = open_[-1][1]
         if text:
-            pieces.append(Piece("", text, node, excluded))
+            pieces.append(Piece("", text, node, False))
         if not found:
             break
         at = found.end()
@@ -112,7 +154,7 @@ def parse(page: str) -> Page:
             if any(o[0] == name for o in open_[1:]):
                 while open_.pop()[0] != name:
                     pass
-            pieces.append(Piece(f"/{name}", "", open_[-1][1], excluded))
+            pieces.append(Piece(f"/{name}", "", open_[-1][1], False))
             continue
         if name in RAW and not found[3].endswith("/"):
             end = _RAW_END[name].search(page, at)
@@ -122,27 +164,39 @@ def parse(page: str) -> Page:
         if name == "body":  # a head left open ends here
             while len(open_) > 1 and open_[-1][0] != "html":
                 open_.pop()
-            _, node, excluded = open_[-1]
-        drops = excluded or _is_boilerplate(name, found[3], inside[node])
-        if name not in VOID and not found[3].endswith("/") and (name in CONTAINERS or drops and not excluded):
+            node = open_[-1][1]
+        reason = _reason(name, found[3], inside[node])
+        if name not in VOID and not found[3].endswith("/") and (name in CONTAINERS or reason):
             names.append(name)
             parents.append(node)
             inside.append(inside[node] or name == "article")
+            reasons.append(reason)
             node = len(names) - 1
-            open_.append((name, node, drops))
-        pieces.append(Piece(name, "", node, drops))
-    return Page(pieces, names, parents, inside)
+            open_.append((name, node))
+            pieces.append(Piece(name, "", node, False, reason if reason in BOILERPLATE_MARKS else ""))
+        else:
+            pieces.append(Piece(name, "", node, False))
+    parsed = Page(pieces, names, parents, inside, reasons)
+    kept, excluded = _kept(parsed) if any(reasons) else set(), [False]
+    for n in range(1, len(names)):
+        drops = reasons[n] and n not in kept and (marks or {}).get(reasons[n], -1.0) < 0
+        excluded.append(excluded[parents[n]] or bool(drops))
+    for piece in pieces:
+        piece.excluded = piece.excluded or excluded[piece.node]
+    return parsed
 
 
 @dataclass
 class Weights:
     word: float
     tags: dict[str, float]
+    marks: dict[str, float] = field(default_factory=dict)  # of those in labelled pages; others exclude
 
     def of(self, piece: Piece) -> float:
         if not piece.name:
             return 0.0 if piece.excluded else self.word * len(piece.text.split())
-        return self.tags.get(piece.name, self.tags[OTHER])
+        score = self.tags.get(piece.name, self.tags[OTHER])
+        return score + self.marks.get(piece.mark, self.tags[OTHER]) if piece.mark and piece.excluded else score
 
 
 def best_stretch(scores: list[float]) -> tuple[int, int]:
@@ -159,7 +213,7 @@ def best_stretch(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: Weights) -> str:
     """The text of the best stretch, widened to the article or innermost container that holds it."""
-    parsed = parse(page)
+    parsed = parse(page, weights.marks)
     pieces = parsed.pieces
     first, past = best_stretch([weights.of(p) for p in pieces])
     texts = [p for p in pieces[first:past] if not p.name and not p.excluded and p.text.strip()]
@@ -201,7 +255,8 @@ def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = SAMP
     """Weights from about ``sample_pages`` labelled pages: those that mark their main text as ``article``.
 
     How much likelier a word or tag is inside the article than outside, as a logarithm: words are kept
-    positive and tags negative. Without labelled pages a word is 1 and a tag -2.
+    positive and tags negative. A mark has the weight of its elements inside and outside, positive where
+    the pages have it within their articles. Without labelled pages a word is 1 and a tag -2.
     """
     labelled = pages.select(F.col(f"`{html}`").alias("html")).where(F.col("html").rlike(r"(?i)<article[\s>]"))
     count = labelled.count()
@@ -218,13 +273,15 @@ def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = SAMP
                     name = p.name if p.name.lstrip("/") in listed or not p.name else OTHER
                     if p.name or not p.excluded:
                         counts[name, parsed.inside[p.node] and not p.excluded] += 1 if p.name else len(p.text.split())
+                    if p.mark:
+                        counts[f"[{p.mark}]", parsed.inside[p.node]] += 1
         yield pa.record_batch([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.bool_()),
                                pa.array(list(counts.values()), pa.int64())], ["name", "inside", "n"])
 
     rows = (sample.mapInArrow(tally, "name string, inside boolean, n bigint")
             .groupBy("name", "inside").agg(F.sum("n").alias("n")).collect())
     n = {(r["name"], r["inside"]): r["n"] for r in rows}
-    totals = {side: sum(v for k, v in n.items() if k[1] is side) for side in (True, False)}
+    totals = {side: sum(v for k, v in n.items() if k[1] is side and not k[0].startswith("[")) for side in (True, False)}
 
     def likelier(name: str) -> float:
         return float(np.log((n.get((name, True), 0) + 0.5) / (totals[True] + 1))
@@ -232,8 +289,9 @@ def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = SAMP
 
     if not totals[True] or not totals[False]:
         return Weights(1.0, {OTHER: -2.0})
-    tags = {name: min(-0.1, likelier(name)) for name in {k[0] for k in n} if name}
-    return Weights(max(0.1, likelier("")), {OTHER: -1.0} | tags)
+    tags = {name: min(-0.1, likelier(name)) for name in {k[0] for k in n} if name and not name.startswith("[")}
+    marks = {name[1:-1]: likelier(name) for name in {k[0] for k in n} if name.startswith("[")}
+    return Weights(max(0.1, likelier("")), {OTHER: -1.0} | tags, marks)
 
 
 def extracted(html: str, weights: Weights) -> Column:
@@ -251,8 +309,9 @@ def extract(pages: DataFrame, html: str = "html", labelled: DataFrame | None = N
 
     Words score positive and tags negative; a linear scan finds the contiguous stretch with the largest
     sum, and the text is that of the article, main or container element around it, without menus,
-    headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments. Character
-    references are decoded, white space inside a block becomes one space, blocks are lines. Null and
+    headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments. A class or id
+    marks such an element by a whole token; an element around the article, the main or, on pages without an
+    unmarked article, most of the words stays. Character references are decoded, white space inside a block becomes one space, blocks are lines. Null and
     empty pages and pages without any such text give an empty text; repeated rows get equal texts; an
     empty table gives no rows. Rows do not move; the weights are one number for each tag name.
     """

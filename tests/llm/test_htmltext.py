@@ -73,3 +73,35 @@ def test_hostile(spark):
     assert extract(df.limit(0))[0].count() == 0
     weights = learn_weights(df)
     assert weights.word > 0 and all(w < 0 for w in weights.tags.values())
+
+
+_WEIGHTS = Weights(1.0, {"other": -1.0})
+_STORY = "<h1>The title</h1><p>" + "Some words of the story. " * 8 + "</p>"
+_STORY_TEXT = "The title\n" + " ".join(["Some words of the story."] * 8)
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<div class="content has-sidebar">', "</div>"), ('<div id="page-no-ads">', "</div>"), ('<div class="sidebar">', "</div>"),
+    ('<div class="ad"><div class="hidden">', "</div></div>"), ('<form id="aspnetForm">', "</form>"),
+    ('<div style="visibility:hidden">', "</div>"),
+])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "{}"])
+def test_wrappers_do_not_empty_a_page(open_, close, inner):
+    page = f"<html><body><nav>Home and more</nav>{open_}{inner.format(_STORY)}{close}<footer>Legal words</footer></body></html>"
+    assert main_text(page, _WEIGHTS) == _STORY_TEXT
+
+
+def test_marks_are_whole_tokens():
+    page = ('<body><article><div class="post-header"><h1>Title of it</h1></div><h2 id="related">Related</h2><h2 id="related-work">Work</h2>'
+            '<p class="social-impact">The social impact of it</p><div class="advert-box">Buy this</div><div class="ad">Buy that</div>'
+            '<div id="leftSidebar">Other stories</div><p>The end of it all</p></article>'
+            '<section class="comments"><article class="comment">' + "I say this. " * 50 + "</article></section></body>")
+    assert main_text(page, _WEIGHTS) == "Title of it\nRelated\nWork\nThe social impact of it\nThe end of it all"
+
+
+def test_marks_within_labelled_articles_stay(spark):
+    page = ('<body><article><p>Words before it here</p><div class="notice">Mind the step</div><p>and after</p></article>'
+            '<div class="ad">Buy this</div></body>')
+    weights = learn_weights(spark.createDataFrame([(page,)] * 5, "html string"))
+    assert weights.marks["notice"] > 0 > weights.marks["ad"]
+    assert main_text(page, weights) == "Words before it here\nMind the step\nand after"
