@@ -27,6 +27,9 @@ END = b"\n"
 # Tokens that a task counts before it hands them on, and tokens scored together.
 COUNT_TOKENS, SCORE_TOKENS = 2_000_000, 1_000_000
 
+# Bytes of text for each shard, which one task merges: some five million tokens.
+SHARD_TEXT = 32 << 20
+
 MOST_WORDS = 1 << 32
 
 
@@ -319,9 +322,11 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None, order:
     if order not in (2, 3):
         raise ValueError(f"order {order}: the model is of order 2 or 3")
     spark = corpus_session(docs.sparkSession)
-    shards = shards or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = shared_folder(spark)
     texts = docs.select(utf8(text).alias("text"))
+    if not shards:
+        size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+        shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_TEXT))
 
     def count_words(batches):
         return _flushed(batches, lambda parts: parts, shards)

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import brute
+from daybridge.llm import lm
 from daybridge.llm.lm import lm_scores, train
 from daybridge.llm.queries import QUERIES
 
@@ -106,3 +107,14 @@ def test_only_empty_texts(spark, empty):
     assert lm_scores(blank, empty, order=3)[2].tokens == 0
     with pytest.raises(ValueError):
         lm_scores(blank, blank, order=4)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_shards_follow_the_text(spark, documents, monkeypatch, order):
+    texts = [(r.text or "").encode() for r in documents.limit(50).collect()]
+    few = train(documents, order=order)
+    size = sum(len((r.text or "").encode()) for r in documents.collect())
+    monkeypatch.setattr(lm, "SHARD_TEXT", size // 300)
+    many = train(documents, order=order)
+    assert len(many.words.sizes) >= 300 > len(few.words.sizes)
+    assert all(_close(a[3], b[3]) for a, b in zip(few.score(texts), many.score(texts)))
