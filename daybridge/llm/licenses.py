@@ -127,6 +127,9 @@ def verify(words: list[bytes], candidates: list[dict], known: list[Template]) ->
             alike = float(tuple(words[first:first + len(template.words)]) == template.words)
             past = first + len(template.words)
         else:
+            alike = sum(w in template.words for w in words[first:past]) / len(template.words)
+            if alike < SIMILARITY:  # no more can be in order
+                continue
             blocks = SequenceMatcher(None, template.words, words[first:past], autojunk=False).get_matching_blocks()
             alike = sum(b.size for b in blocks) / len(template.words)
             if alike >= SIMILARITY:
@@ -166,7 +169,7 @@ def license_spans(docs: DataFrame, id: str = "doc_id", text: str = "text",
     All rolling grams of all texts are joined to the positions of the templates' grams, a fixed broadcast
     table. A match votes for the diagonal, its place in the text minus that in the template; votes are
     summed by document, template and diagonal. Phrases need all votes of one diagonal; for notices
-    neighbouring diagonals are merged. Only the texts of documents with candidates are read again, and
+    neighbouring diagonals are merged and one vote, two words side by side, is enough to be held against it. Only the texts of documents with candidates are read again, and
     the words of each span are held against the template.
     """
     spark = corpus_session(docs.sparkSession)
@@ -190,9 +193,8 @@ def license_spans(docs: DataFrame, id: str = "doc_id", text: str = "text",
     notices = (votes.where(~F.col("exact")).withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
                .withColumn("island", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
                .groupBy(*place, "template", "island", "length")
-               .agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-               # a word that differs costs GRAM votes
-               .where(F.col("votes") >= F.greatest(F.lit(2.0), F.col("length") * (1 - GRAM * (1 - SIMILARITY))))
+               # words that differ cost GRAM votes each and added ones one, up to all but one: any vote is a candidate
+               .agg(F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
                .select(*place, "template", (F.col("low") - SLACK).alias("first"),
                        (F.col("high") + F.col("length") + SLACK).alias("past")))
     candidates = staged(phrases.unionByName(notices).groupBy(*place).agg(F.sort_array(F.collect_list(F.struct(

@@ -48,3 +48,22 @@ def test_verify_is_exact_for_phrases():
     found = verify(words, [{"template": 0, "first": i, "past": i + 2} for i in range(4)], known)
     assert (found["n_base"], found["first_word"], found["last_word"]) == (2, 0, 2)
     assert len(grams([b"one"])) == 0
+
+
+def test_notices_at_the_limit_of_similarity(spark):
+    """As many separate inner words changed as verify() accepts, in every notice that need not be exact."""
+    known = [t for t in templates() if not t.exact]
+    rows, want = [], {}
+    for i, t in enumerate(known):
+        words = [w.decode() for w in t.words]
+        for k in range(int(0.4 * len(words))):
+            words[1 + 2 * k] = f"changed{k}"
+        direct = verify([w.encode() for w in words], [{"template": 0, "first": -3, "past": len(words) + 3}], [t])
+        if not direct["labels"]:  # words that occur twice are matched in another order
+            continue
+        rows.append((i, " ".join(words)))
+        want[i] = direct
+    found = license_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows) and "bsd" in {known[i].label for i in want}
+    for r in found:
+        assert known[r.doc_id].label in r.labels and r.score >= want[r.doc_id]["score"]
