@@ -110,8 +110,11 @@ def _reason(name: str, attributes: str, in_article: bool) -> str:
     return mark
 
 
-def _kept(page: Page) -> set[int]:
-    """Containers that no reason excludes: they hold the page's article or main, or else most of its words."""
+def _kept(page: Page, weights: Weights | None) -> set[int]:
+    """Containers that no reason excludes: they hold the page's article or main, or else most of its words.
+
+    The words that save a marked element have to outweigh its mark.
+    """
     names, reasons = page.names, page.reasons
     words = [0] * len(names)
     for piece in page.pieces:
@@ -125,13 +128,15 @@ def _kept(page: Page) -> set[int]:
     if articles:
         return kept.union(page.above(max(articles, key=lambda n: words[n])))
     kept.update(n for n, name in enumerate(names) if name == "article" and not page.inside[page.parents[n]])
-    return kept.union(n for n, r in enumerate(reasons) if r and (r != _NAME or names[n] == "form") and 2 * words[n] > words[0])
+    word, marks = (weights.word, weights.marks) if weights else (1.0, {})
+    return kept.union(n for n, r in enumerate(reasons) if r and (r != _NAME or names[n] == "form") and 2 * words[n] > words[0]
+                      and word * words[n] + min(0.0, marks.get(r, 0.0)) > 0)
 
 
-def parse(page: str, marks: dict[str, float] | None = None) -> Page:
+def parse(page: str, weights: Weights | None = None) -> Page:
     """Tags and texts in order; menus, adverts, forms, scripts, comments and the like are excluded.
 
-    Marked elements are not where ``marks`` gives the mark a positive weight, and no element is that holds
+    Marked elements are not where ``weights`` give the mark a positive one, and no element is that holds
     the page's article or main, or, without an unmarked article, most of the page's words.
     """
     pieces: list[Piece] = []
@@ -177,9 +182,10 @@ def parse(page: str, marks: dict[str, float] | None = None) -> Page:
         else:
             pieces.append(Piece(name, "", node, False))
     parsed = Page(pieces, names, parents, inside, reasons)
-    kept, excluded = _kept(parsed) if any(reasons) else set(), [False]
+    kept, excluded = _kept(parsed, weights) if any(reasons) else set(), [False]
+    marks = weights.marks if weights else {}
     for n in range(1, len(names)):
-        drops = reasons[n] and n not in kept and (marks or {}).get(reasons[n], -1.0) < 0
+        drops = reasons[n] and n not in kept and marks.get(reasons[n], -1.0) < 0
         excluded.append(excluded[parents[n]] or bool(drops))
     for piece in pieces:
         piece.excluded = piece.excluded or excluded[piece.node]
@@ -213,7 +219,7 @@ def best_stretch(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: Weights) -> str:
     """The text of the best stretch, widened to the article or innermost container that holds it."""
-    parsed = parse(page, weights.marks)
+    parsed = parse(page, weights)
     pieces = parsed.pieces
     first, past = best_stretch([weights.of(p) for p in pieces])
     texts = [p for p in pieces[first:past] if not p.name and not p.excluded and p.text.strip()]
