@@ -10,7 +10,8 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,21 +76,31 @@ def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _reads_rows_once(df: DataFrame) -> bool:
+    """Whether the plan is a scan of files under filters and projections alone, so that each row of a file occurs
+    at most once: not behind a join, an explode or a union, nor if a file is named twice."""
+    try:
+        node = df._jdf.queryExecution().analyzed()
+        while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+            node = node.children().head()
+        roots = node.relation().location().rootPaths() if node.nodeName() == "LogicalRelation" else None
+        paths = sorted(f"{roots.apply(i).toString()}/" for i in range(roots.size())) if roots else []
+    except (AttributeError, Py4JError, PySparkException):  # no such plan: another kind of session or relation
+        return False
+    return bool(paths) and not any(b.startswith(a) for a, b in zip(paths, paths[1:]))
+
+
 def located(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """The frame with two columns that identify a row, equal ones included, on every read.
 
-    Rows of files are known by file and position; any other frame is written to the shared folder first.
+    Rows of files are known by file and position; any other frame is written to the shared folder first, so
+    rows that a join, an explode or a union repeats are told apart.
     """
     names = fresh(df, "row_file", "row_index")
-
-    def placed(frame: DataFrame) -> DataFrame:
-        place = frame.metadataColumn("_metadata")
-        return frame.select("*", F.xxhash64(place["file_path"]).alias(names[0]), place["row_index"].alias(names[1]))
-
-    try:
-        return placed(df), names
-    except AnalysisException:
-        return placed(staged(df)), names
+    if not _reads_rows_once(df):
+        df = staged(df)
+    place = df.metadataColumn("_metadata")
+    return df.select("*", F.xxhash64(place["file_path"]).alias(names[0]), place["row_index"].alias(names[1])), names
 
 
 def _bit(keys: list[str]) -> Column:

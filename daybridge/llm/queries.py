@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybridge.llm.chat import digests, format_conversations
+from daybridge.llm.clustering import cluster
 from daybridge.llm.common import corpus_session
 from daybridge.llm.decontam import decontaminate, is_contaminated
 from daybridge.llm.exactdedup import exact_dedup
+from daybridge.llm.fingerprints import with_next
 from daybridge.llm.htmltext import extract
 from daybridge.llm.langid import identify
 from daybridge.llm.licenses import license_spans
@@ -18,6 +20,7 @@ from daybridge.llm.linededup import drop_site_lines
 from daybridge.llm.lm import lm_scores
 from daybridge.llm.mixing import mix
 from daybridge.llm.simhash import simhash_components
+from daybridge.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,15 +51,6 @@ def op1_lm_scoring(spark, sf_dir):
                         F.col(f"{name}.score"))
 
 
-@registered
-def op1_lm_scoring_order3(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
-    found, name, model = lm_scores(docs, docs.where(~_held_out(7)), order=3)
-    return found.select("doc_id", _held_out(7).alias("held_out"), F.col(f"{name}.n_tokens"), F.col(f"{name}.n_known"),
-                        F.lit(model.tokens).cast("long").alias("train_tokens"), F.col(f"{name}.base").alias("base_score"),
-                        F.col(f"{name}.score"))
-
-
 @registered
 def op2_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
@@ -122,6 +116,37 @@ def op10_benchmark_decontamination(spark, sf_dir):
         is_contaminated(name).alias("contaminated"))
 
 
+@registered
+def op11_centroid_clustering(spark, sf_dir):
+    found, name, clusters = cluster(_table(spark, sf_dir, "embeddings"))
+    kept = found.select("vec_id", F.col(f"{name}.number").alias("cluster"), F.col(f"{name}.distance").alias("distance"))
+    own = spark.createDataFrame([(i, n, clusters.inertia, digest) for i, (n, digest) in
+                                 enumerate(zip(clusters.inertias, clusters.digests()))],
+                                "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return kept.join(F.broadcast(own), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@registered
+def op12_embedding_whitening(spark, sf_dir):
+    found, name, model = whiten(_table(spark, sf_dir, "embeddings"))
+    explained = F.array(*[F.lit(e) for e in model.explained]) if model and model.explained else F.lit(None).cast("array<double>")
+    # a deviation beyond a long, which takes some ten million vectors, is null here and exact in the operator
+    return (found.where(F.col(name).isNotNull())
+            .select("vec_id", F.col(f"{name}.deviation").try_cast("long").alias("deviation"),
+                    F.posexplode(f"{name}.entries").alias("place", "whitened"))
+            .select("vec_id", (F.col("place") + 1).alias("component"), F.lit(model.centre.n if model else 0).cast("long").alias("n"),
+                    "deviation", "whitened", explained[F.col("place")].alias("explained"),
+                    F.lit(model.identity_error if model else 0.0).alias("identity_error")))
+
+
+@registered
+def op13_document_fingerprints(spark, sf_dir):
+    found, _, _ = with_next(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+                        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 # --- the same in SQL: A-Z lowered alone, words and windows as lists ---------------------------------
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -188,3 +213,25 @@ ORACLE: dict[str, str] = {
                coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
         from d left join hit using (doc_id) left join items using (doc_id)""",
 }
+
+# Each row has a number of its own, so that repeated ids stay rows.
+_NEAR = """
+        d{n} as (select r, p.c, sum((i.x - p.x) * (i.x - p.x))::bigint as distance
+                 from entries i join c{n} p using (place) group by r, p.c),
+        a{n} as (select r, c as cluster, distance from d{n} qualify row_number() over (partition by r order by distance, c) = 1),"""
+_MEAN = """
+        m{n} as (select cluster as c, place, sum(x) as s, count(*) as k from a{o} join entries using (r) group by cluster, place),
+        c{n} as (select c, place, coalesce(((s - ((s % k) + k) % k) // k)::bigint, o.x) as x from c{o} o left join m{n} using (c, place)),"""
+ORACLE["op11_centroid_clustering"] = """
+    with kept as (
+        select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+        from embeddings where len(embedding) = 64
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        entries as (select r, unnest(range(1, 65)) as place, unnest(v) as x from kept),
+        c0 as (select c, unnest(range(1, 65)) as place, unnest(v) as x from (
+            select v, row_number() over (order by sha256('1:' || vec_id), v) - 1 as c from kept) where c < 16),""" + "".join(
+    _NEAR.format(n=n) + _MEAN.format(n=n + 1, o=n) for n in range(3)) + _NEAR.format(n=3) + """
+        own as (select cluster, sum(distance)::bigint as cluster_inertia from a3 group by cluster),
+        digests as (select c as cluster, sha256(string_agg(x::varchar, ',' order by place)) as centroid_sha256 from c3 group by c)
+    select vec_id, cluster::integer as cluster, distance, cluster_inertia, (select sum(distance)::bigint from a3) as inertia, centroid_sha256
+    from a3 join kept using (r) join own using (cluster) join digests using (cluster)"""

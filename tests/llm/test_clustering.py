@@ -1,0 +1,107 @@
+import hashlib
+import math
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daybridge.llm.clustering import VantageTree, cluster
+from daybridge.llm.queries import ORACLE, QUERIES
+
+
+def _plain(rows, dimensions, scale, clusters, rounds):
+    """Exact rounds over all pairs of vectors and centroids, in Python integers."""
+    kept = [(i, [math.floor(scale * c) for c in v]) for i, v in rows
+            if v is not None and len(v) == dimensions and all(c is not None and math.isfinite(c) for c in v)]
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] is None, r[1]))
+    centroids = [v for _, v in order[:clusters]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids)) for _, v in kept]
+
+    for _ in range(rounds):
+        near = assign()
+        for n in range(len(centroids)):
+            own = [v for (_, v), (_, m) in zip(kept, near) if m == n]
+            if own:
+                centroids[n] = [sum(c) // len(own) for c in zip(*own)]
+    return [(i, n, d) for (i, _), (d, n) in zip(kept, assign() if centroids else [])], centroids
+
+
+def _found(frame, name):
+    return sorted(((r.vec_id, r[name].number, r[name].distance) for r in frame.where(F.col(name).isNotNull()).collect()), key=str)
+
+
+@pytest.mark.parametrize("leaf", [1, 2, 4, 100])
+def test_tree_against_all_pairs(leaf):
+    """Few different coordinates: many ties, equal points and equidistant halves."""
+    rng = np.random.default_rng(leaf)
+    for n, d, most in [(1, 1, 1), (2, 3, 1), (40, 2, 2), (64, 3, 1), (200, 4, 3), (50, 2, 10**6), (30, 3, 1 << 30)]:
+        points, x = rng.integers(-most, most + 1, (n, d)), rng.integers(-most, most + 1, (300, d))
+        x[:10] = points[rng.integers(0, n, 10)]
+        number, distance = VantageTree(points, leaf).nearest(x)
+        want = [min((sum((int(a) - int(b)) ** 2 for a, b in zip(r, p)), i) for i, p in enumerate(points)) for r in x]
+        assert list(zip(distance.tolist(), number.tolist())) == want
+
+
+def test_tree_prunes():
+    """Of well separated points few are compared."""
+    points = np.array([[1000 * i, 1000 * j] for i in range(32) for j in range(32)])
+    tree, seen = VantageTree(points), []
+    import daybridge.llm.clustering as module
+    plain, module.squared_distances = module.squared_distances, lambda x, p: seen.append(len(x) * len(p)) or plain(x, p)
+    try:
+        number, _ = tree.nearest(points + 3)
+    finally:
+        module.squared_distances = plain
+    assert (number == np.arange(1024)).all() and sum(seen) < 1024 * 1024 / 10
+
+
+HOSTILE = [
+    (1, [0.5, -0.25], "a"), (2, [0.5, -0.25], "b"), (2, [0.5, -0.25], "b"), (3, None, "c"), (4, [], "d"), (5, [1.0], "e"),
+    (6, [1.0, None], "f"), (7, [float("nan"), 0.0], "g"), (8, [float("inf"), 0.0], "h"), (9, [1.0, 2.0, 3.0], "i"),
+    (None, [-0.001, 0.0], "j"), (None, [3.0, 4.0], None), (10, [-7.5, 100.25], "k"), (11, [1e6, -1e6], "l"), (12, [-0.0, 0.0], "m"),
+]
+
+
+@pytest.mark.parametrize("clusters,rounds", [(1, 1), (3, 2), (4, 0), (16, 3)])
+def test_hostile(spark, clusters, rounds):
+    df = spark.createDataFrame([(*r, r[0]) for r in HOSTILE], "vec_id long, embedding array<double>, cluster string, x long").repartition(3)
+    found, name, told = cluster(df, dimensions=2, clusters=clusters, rounds=rounds)
+    assert found.columns == [*df.columns, name] and found.count() == len(HOSTILE)
+    want, centroids = _plain([r[:2] for r in HOSTILE], 2, 64, clusters, rounds)
+    assert _found(found, name) == sorted(want, key=str) and told.centroids == centroids
+    assert told.inertias == [sum(d for _, n, d in want if n == c) for c in range(len(centroids))]
+
+
+def test_hot_vector(spark):
+    """Most rows are one vector: it fills clusters of its own, and sums stay exact."""
+    rows = [(i, [1.5, -2.5, 3.5]) for i in range(900)] + [(1000 + i, [i / 7, -i / 3, i % 5 - 0.1]) for i in range(100)]
+    found, name, told = cluster(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), dimensions=3, clusters=5)
+    want, centroids = _plain([(i, [float(np.float32(c)) for c in v]) for i, v in rows], 3, 64, 5, 3)
+    assert _found(found, name) == sorted(want, key=str) and told.centroids == centroids
+
+
+def test_large_entries(spark):
+    rows = [(1, [1e8, 0.0]), (2, [1e8 + 1, 0.5]), (3, [-3.0, 7.0])]
+    found, name, _ = cluster(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), dimensions=2, clusters=3, rounds=0)
+    assert _found(found, name) == sorted(_plain(rows, 2, 64, 3, 0)[0], key=str)
+    with pytest.raises(Exception, match="does not fit a long"):
+        cluster(spark.createDataFrame([(1, [1e30, 0.0])], "vec_id long, embedding array<double>"), dimensions=2)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    found, name, told = cluster(df)
+    assert found.count() == 0 and told.centroids == [] and told.inertia == 0
+    found, name, told = cluster(spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>"))
+    assert [r[name] for r in found.collect()] == [None]
+
+
+def test_query_against_sql(spark, sf):
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{sf}/embeddings.parquet')")
+    columns = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    want = sorted(con.execute(f"select {','.join(columns)} from ({ORACLE['op11_centroid_clustering']})").fetchall())
+    assert sorted(tuple(r) for r in QUERIES["op11_centroid_clustering"](spark, sf).select(*columns).collect()) == want

@@ -6,7 +6,7 @@ from daybridge.llm.langid import learn
 
 def test_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 11)] and "pipeline" in contract.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 14)] and "pipeline" in contract.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "decontamination", "mixing"]
 
 
