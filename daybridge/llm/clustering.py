@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybridge.llm.common import corpus_session, fresh, staged
-from daybridge.llm.vectors import doubles, fits, integer_rows, integers, largest, matrix_of
+from daybridge.llm.vectors import block_matrices, doubles, fits, integer_blocks, integer_rows, integers, largest
 
 # Centroids of a leaf of the tree, compared all at once.
 LEAF = 4
@@ -142,20 +142,18 @@ def _round(kept: DataFrame, centroids: list[list[int]], dimensions: int) -> Clus
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, sums = shared.value, {}
         for batch in batches:
-            x = matrix_of(batch.column(0), dimensions)
-            number, distance = tree.nearest(x)
-            order = np.argsort(number, kind="stable")
-            edges = np.flatnonzero(np.r_[True, np.diff(number[order]) > 0, True]) if len(order) else [0]
-            for a, b in zip(edges[:-1], edges[1:]):
-                rows = order[a:b]
-                wide = [v.astype(object) for v in (x[rows], distance[rows])]  # no sum overflows
-                own = wide if not fits(len(rows), max(largest(x[rows]), largest(distance[rows]), 1)) else [x[rows], distance[rows]]
-                found = [len(rows), int(own[1].sum()), *map(int, own[0].sum(0))]
-                sums[int(number[rows[0]])] = [s + f for s, f in zip(sums.get(int(number[rows[0]]), [0] * len(found)), found)]
+            for x in block_matrices(batch, dimensions):
+                number, distance = tree.nearest(x)
+                if not fits(len(x), max(largest(x), largest(distance), 1)):
+                    x, distance = x.astype(object), distance.astype(object)  # no sum overflows
+                for n in np.unique(number).tolist():
+                    own = number == n
+                    found = [int(own.sum()), int(distance[own].sum()), *map(int, x[own].sum(0))]
+                    sums[n] = [s + f for s, f in zip(sums.get(n, [0] * len(found)), found)]
         yield pa.record_batch([pa.array(list(sums), pa.int32()),
                                pa.array([list(map(str, s)) for s in sums.values()], pa.list_(pa.string()))], ["cluster", "sums"])
 
-    found = (kept.select("x").mapInArrow(run, "cluster int, sums array<string>")
+    found = (kept.mapInArrow(run, "cluster int, sums array<string>")
              .select("cluster", F.posexplode("sums").alias("place", "part"))
              .groupBy("cluster", "place").agg(F.sum(F.col("part").cast("decimal(38,0)")).alias("sum")).collect())
     shared.unpersist()
@@ -169,14 +167,15 @@ def fit(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", *, di
         clusters: int = 16, rounds: int = 3, salt: str = "1:") -> Clusters:
     """Centroids after ``rounds`` rounds, and the figures of one more assignment.
 
-    The vectors are written once as integers. A round is one pass over them: tasks return a sum for each of
-    their clusters and dimensions, and the driver gets ``clusters * dimensions`` numbers.
+    The vectors are written once, as blocks of integers. A round is one pass over them: tasks return a sum for
+    each of their clusters and dimensions, and the driver gets ``clusters * dimensions`` numbers.
     """
     corpus_session(vectors.sparkSession)
-    kept = staged(integer_rows(vectors.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").alias("vector")),
-                               "vector", dimensions, scale, 0, "id"))
+    named = vectors.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").alias("vector"))
     key = F.sha2(F.concat(F.lit(salt), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
-    first = kept.orderBy(key, F.col("id").isNull(), "x").limit(clusters).collect()
+    first = (integer_rows(named, "vector", dimensions, scale, 0, "id")
+             .orderBy(key, F.col("id").isNull(), "x").limit(clusters).collect())
+    kept = staged(integer_blocks(vectors, vector, dimensions, scale), "zstd") if first else None
     found = Clusters([list(r["x"]) for r in first], [], [])
     for _ in range(rounds if first else 0):
         told = _round(kept, found.centroids, dimensions)

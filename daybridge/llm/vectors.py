@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # Magnitude below which a scaled entry is taken; it has to become a long.
 LONGS = float(1 << 62)
 
+# Entries of a block of vectors, about: half a megabyte in narrow integers.
+BLOCK_ENTRIES = 1 << 18
+
 
 def doubles(vector: str) -> Column:
     """A numeric array column as doubles, which hold any float exactly."""
@@ -55,11 +58,7 @@ def matrix_of(column: pa.Array, dimensions: int) -> np.ndarray:
 
 
 def integer_rows(df: DataFrame, vector: str, dimensions: int, scale: int, offset: int, *beside: str) -> DataFrame:
-    """The rows kept, as columns ``beside`` and ``x``, an array of longs.
-
-    Integers of a narrow range repeat, so Parquet keeps them in a fraction of the bytes of the floats:
-    iterative operators write this once and read it in every pass.
-    """
+    """The rows kept, as columns ``beside`` and ``x``, an array of longs."""
     kept = df.select(*[F.col(f"`{c}`") for c in beside], doubles(vector).alias("x"))
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]], "x array<bigint>"])
 
@@ -72,6 +71,41 @@ def integer_rows(df: DataFrame, vector: str, dimensions: int, scale: int, offset
     return kept.mapInArrow(run, schema)
 
 
+def integer_blocks(df: DataFrame, vector: str, dimensions: int, scale: int) -> DataFrame:
+    """The rows kept as ``floor(scale * entry)``, in blocks of some thousand: ``(width, x)``, the bytes of an entry
+    and the block's entries in the narrowest integers that hold them.
+
+    Iterative operators write this once and read it in every pass: a fraction of the bytes of the vectors, and
+    one value for Spark to hand on where there were thousands of arrays.
+    """
+    most = max(1, BLOCK_ENTRIES // dimensions)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def block() -> pa.RecordBatch:
+            x = np.concatenate(held)
+            width = next(w for w in (1, 2, 4, 8) if largest(x) < 1 << 8 * w - 1)
+            return pa.record_batch([pa.array([width], pa.int32()), pa.array([x.astype(f"<i{width}").tobytes()])], ["width", "x"])
+
+        for batch in batches:
+            held.append(integers(batch.column(0), dimensions, scale, 0)[1])
+            size += len(held[-1])
+            if size >= most:
+                yield block()
+                held, size = [], 0
+        if size:
+            yield block()
+
+    return df.select(doubles(vector).alias("x")).mapInArrow(run, "width int, x binary")
+
+
+def block_matrices(batch: pa.RecordBatch, dimensions: int, offset: int = 0) -> Iterator[np.ndarray]:
+    """The blocks of a batch as matrices of longs."""
+    for width, x in zip(batch.column("width").to_pylist(), batch.column("x")):
+        yield np.frombuffer(x.as_buffer(), f"<i{width}").astype(np.int64).reshape(-1, dimensions) + offset
+
+
 def fits(*factors: float) -> bool:
     """Whether a product of magnitudes is below 2^53, so that doubles hold it and every smaller sum exactly."""
     return float(np.prod([float(f) for f in factors])) < 2.0 ** 53

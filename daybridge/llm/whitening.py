@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybridge.llm.common import corpus_session, fresh, staged
-from daybridge.llm.vectors import doubles, finite_rows, fits, integer_rows, integers, largest, matrix_of
+from daybridge.llm.vectors import block_matrices, doubles, finite_rows, fits, integer_blocks, integers, largest, matrix_of
 
 # Sums of this many tasks are added in one, in the order of the tasks.
 TASKS = 512
@@ -72,33 +72,34 @@ class Whitening:
     passes: int
 
 
-def _centre(kept: DataFrame, dimensions: int) -> Centre:
+def _centre(kept: DataFrame, dimensions: int, offset: int) -> Centre:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sums, squares = 0, [0] * dimensions, [0] * dimensions
         for batch in batches:
-            x = matrix_of(batch.column(0), dimensions)
-            if not fits(len(x), max(1, largest(x)), max(1, largest(x))):
-                x = x.astype(object)
-            n += len(x)
-            sums = [a + int(b) for a, b in zip(sums, x.sum(0))]
-            squares = [a + int(b) for a, b in zip(squares, (x * x).sum(0))]
+            for x in block_matrices(batch, dimensions, offset):
+                if not fits(len(x), max(1, largest(x)), max(1, largest(x))):
+                    x = x.astype(object)
+                n += len(x)
+                sums = [a + int(b) for a, b in zip(sums, x.sum(0))]
+                squares = [a + int(b) for a, b in zip(squares, (x * x).sum(0))]
         yield pa.record_batch([pa.array([list(map(str, [n, *sums, *squares]))], pa.list_(pa.string()))], ["sums"])
 
-    rows = (kept.select("x").mapInArrow(run, "sums array<string>").select(F.posexplode("sums").alias("place", "part"))
+    rows = (kept.mapInArrow(run, "sums array<string>").select(F.posexplode("sums").alias("place", "part"))
             .groupBy("place").agg(F.sum(F.col("part").cast("decimal(38,0)")).alias("sum")).collect())
     found = [int(r["sum"]) for r in sorted(rows)]
     return Centre(found[0], found[1:dimensions + 1], found[dimensions + 1:])
 
 
-def _summed(kept: DataFrame, dimensions: int, of: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """The sum over all rows of what ``of`` gives for a batch of them, ``size`` numbers.
+def _summed(kept: DataFrame, dimensions: int, offset: int, of: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all rows of what ``of`` gives for a block of them, ``size`` numbers.
 
     Rounded sums depend on their order, so tasks are added in the order of their numbers: reruns agree.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
-            total += of(matrix_of(batch.column(0), dimensions))
+            for x in block_matrices(batch, dimensions, offset):
+                total += of(x)
         yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([total.tolist()])], ["task", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
@@ -106,7 +107,7 @@ def _summed(kept: DataFrame, dimensions: int, of: Callable[[np.ndarray], np.ndar
         return pa.table({"task": table["task"][:1], "sums": [matrix_of(table["sums"].combine_chunks(), size).sum(0).tolist()]})
 
     schema = "task bigint, sums array<double>"
-    rows = (kept.select("x").mapInArrow(run, schema).groupBy(F.floor(F.col("task") / TASKS))
+    rows = (kept.mapInArrow(run, schema).groupBy(F.floor(F.col("task") / TASKS))
             .applyInArrow(add, schema).collect())
     return np.sum([r["sums"] for r in sorted(rows)], axis=0) if rows else np.zeros(size)
 
@@ -186,14 +187,14 @@ def fit(vectors: DataFrame, vector: str = "embedding", components: int = 8, scal
     d = _length(vectors, vector)
     if not d:
         return None
-    kept = staged(integer_rows(vectors, vector, d, scale, offset))
-    centre = _centre(kept, d)
+    kept = staged(integer_blocks(vectors, vector, d, scale), "zstd")
+    centre = _centre(kept, d, offset)
 
     def normal(p: np.ndarray) -> np.ndarray:
         def product(x: np.ndarray) -> np.ndarray:
             rows = centre.centred(x)
             return rows.T @ (rows @ p)
-        return _summed(kept, d, product, d)
+        return _summed(kept, d, offset, product, d)
 
     trace = float(centre.trace)
     if not trace:
@@ -209,7 +210,7 @@ def fit(vectors: DataFrame, vector: str = "embedding", components: int = 8, scal
         w = whitened(told, x)
         return np.r_[w.sum(0), (w.T @ w).ravel()]
 
-    sums = _summed(kept, d, moments, k + k * k) / centre.n
+    sums = _summed(kept, d, offset, moments, k + k * k) / centre.n
     covariance = sums[k:].reshape(k, k) - np.outer(sums[:k], sums[:k])
     told.identity_error = float(np.abs(covariance - np.eye(k)).max())
     return told
