@@ -5,7 +5,9 @@ Texts travel to Python as UTF-8 bytes, where splitting and lower-casing A-Z are
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import tempfile
 import uuid
 
@@ -156,12 +158,22 @@ def joined_by_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: s
 
 # --- files in the shared folder that workers write and map ------------------------------------------
 
+# Names under which Spark knows stores that pyarrow calls otherwise.
+_STORES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
 def _plain_path(path: str) -> str | None:
     if path.startswith("file:"):
         return "/" + path[5:].lstrip("/")
     return path if "://" not in path else None
 
 
+def store_path(path: str) -> str:
+    """A path of a store as pyarrow names it."""
+    scheme, rest = path.split("://", 1)
+    return f"{_STORES.get(scheme.lower(), scheme.lower())}://{rest}"
+
+
 def write_shared(path: str, data: bytes) -> None:
     """A whole file or none: a retried task replaces it with the same bytes."""
     local = _plain_path(path)
@@ -174,7 +186,7 @@ def write_shared(path: str, data: bytes) -> None:
         return
     from pyarrow import fs
 
-    store, inner = fs.FileSystem.from_uri(path)
+    store, inner = fs.FileSystem.from_uri(store_path(path))
     store.create_dir(os.path.dirname(inner), recursive=True)
     part = f"{inner}.{uuid.uuid4().hex}"
     with store.open_output_stream(part) as out:
@@ -182,6 +194,15 @@ def write_shared(path: str, data: bytes) -> None:
     store.move(part, inner)
 
 
+def _mapped(file, dtype: str) -> np.ndarray:
+    """The array holds the mapping and no file handle: handles are far fewer than mappings."""
+    size = os.fstat(file.fileno()).st_size
+    if not size:
+        return np.empty(0, dtype)
+    free = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+    return np.frombuffer(mmap.mmap(file.fileno(), size, access=mmap.ACCESS_READ, **free), dtype)
+
+
 def map_shared(path: str, dtype: str) -> np.ndarray:
     """A file of the shared folder as a memory-mapped array.
 
@@ -189,12 +210,13 @@ def map_shared(path: str, dtype: str) -> np.ndarray:
     """
     local = _plain_path(path)
     if local is not None:
-        return np.memmap(local, dtype=dtype, mode="r") if os.path.getsize(local) else np.empty(0, dtype)
+        with open(local, "rb") as file:
+            return _mapped(file, dtype)
     from pyarrow import fs
 
-    store, inner = fs.FileSystem.from_uri(path)
+    store, inner = fs.FileSystem.from_uri(store_path(path))
     with tempfile.NamedTemporaryFile() as copy, store.open_input_stream(inner) as source:
         while block := source.read(1 << 24):
             copy.write(block)
         copy.flush()
-        return np.memmap(copy.name, dtype=dtype, mode="r") if copy.tell() else np.empty(0, dtype)
+        return _mapped(copy, dtype)

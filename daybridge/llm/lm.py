@@ -1,15 +1,18 @@
 """Interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark and memory-mapped for scoring.
 
-Words are numbered by their place in the sorted array of their hashes, so a bigram is one 64-bit
-number, exactly; a trigram is the place of its first two words in the sorted array of bigrams, and a
-word. Numbers are scrambled by a bijection before they are sorted: the sorted arrays then
+Words are numbered by their place in the sorted array of their hashes, so a bigram is one number of twice as
+many bits as a word's, exactly; a trigram is the place of its first two words in the sorted array of bigrams,
+and a word. Numbers are scrambled by a bijection of their bits before they are sorted: the sorted arrays then
 part evenly into shards whatever words are frequent, and neither a hot word nor a hot context lands
 in one task.
+
+Counts travel as Elias-Fano runs and lie in packed tables (``packed``): about four bytes a bigram or trigram
+in the shuffle, and as many in the model.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +21,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.common import corpus_session, fresh, map_shared, spaced_words, staged, utf8, write_shared
+from daybridge.llm.common import corpus_session, fresh, map_shared, spaced_words, utf8, write_shared
+from daybridge.llm.packed import (Maps, ShardedTable, pack_counts, pack_run, range_of, shard_of, unpack_counts,
+                                  unpack_run)
 from daybridge.session import shared_folder
 
 # The end of a text: no word has white space. It also stands before the first word.
@@ -44,22 +49,25 @@ _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _UNMIX = tuple(pow(m, -1, 1 << 64) for m in _MIX)
 
 
-def scramble(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers under which any set of them is spread evenly."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX[0])
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX[1])
-    return x ^ (x >> np.uint64(32))
+def _mixed(x: np.ndarray, factors: tuple[int, int], bits: int) -> np.ndarray:
+    half, mask = np.uint64((bits + 1) // 2), np.uint64((1 << bits) - 1)
+    for factor in factors:
+        x = (x ^ (x >> half)) * np.uint64(factor) & mask
+    return x ^ (x >> half)
+
 
+def scramble(x: np.ndarray, bits: int = 64) -> np.ndarray:
+    """A bijection of the numbers below ``2 ** bits`` under which any set of them is spread evenly."""
+    return _mixed(x, _MIX, bits)
 
-def unscramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(_UNMIX[1])
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(_UNMIX[0])
-    return x ^ (x >> np.uint64(32))
 
+def unscramble(x: np.ndarray, bits: int = 64) -> np.ndarray:
+    return _mixed(x, _UNMIX[::-1], bits)
 
-def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
-    """Equal ranges of the 64-bit numbers, in order."""
-    return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+def bits_of(count: int) -> int:
+    """Bits that number ``count`` things."""
+    return max(1, (count - 1).bit_length())
 
 
 def _sum_equal(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,81 +77,40 @@ def _sum_equal(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys[starts], np.add.reduceat(values, starts) if len(starts) else values
 
 
-@dataclass
-class SortedTable:
-    """A sorted array of keys with an array of values, cut into shards that are files."""
+_COUNTED = "shard int, keys binary, counts binary"
 
-    folder: str
-    name: str
-    sizes: list[int]
-    value_type: str
-    maps: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self):
-        return self.__dict__ | {"maps": {}}
-
-    def shard(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        if number not in self.maps:
-            self.maps[number] = (map_shared(f"{self.folder}/{self.name}-{number}.keys", "<u8"),
-                                 map_shared(f"{self.folder}/{self.name}-{number}.values", self.value_type))
-        return self.maps[number]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the whole array (-1 if absent) and value (0 if absent, or not yet written) of keys in ascending order."""
-        place, value = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        if not len(keys):
-            return place, value
-        starts = np.r_[0, np.cumsum(self.sizes)]
-        shards = shard_of(keys, len(self.sizes))
-        for number in np.unique(shards).tolist():
-            if self.sizes[number]:
-                a, b = np.searchsorted(shards, [number, number + 1])
-                own, values = self.shard(number)
-                at = np.minimum(np.searchsorted(own, keys[a:b]), len(own) - 1)
-                hit = own[at] == keys[a:b]
-                place[a:b] = np.where(hit, starts[number] + at, -1)
-                if len(values):
-                    value[a:b] = np.where(hit, values[at], 0)
-        return place, value
-
-
-def _write(folder: str, name: str, shard: int, keys: np.ndarray, values: np.ndarray, value_type: str) -> None:
-    write_shared(f"{folder}/{name}-{shard}.keys", keys.astype("<u8").tobytes())
-    write_shared(f"{folder}/{name}-{shard}.values", values.astype(value_type).tobytes())
-
-
-def _counted(parts: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
+
+def _counted(parts: list[np.ndarray], shards: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Sorted keys and their counts, one row for each shard they fall in."""
     keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
-    filled = [s for s in range(shards) if edges[s] < edges[s + 1]]
+    edges = np.searchsorted(shard_of(keys, shards, bits), np.arange(shards + 1))
+    filled = np.flatnonzero(np.diff(edges)).tolist()
     yield pa.record_batch([
         pa.array(filled, pa.int32()),
-        pa.array([keys[edges[s]:edges[s + 1]].astype("<u8").tobytes() for s in filled], pa.binary()),
-        pa.array([counts[edges[s]:edges[s + 1]].astype("<u4").tobytes() for s in filled], pa.binary()),
+        pa.array([pack_run(keys[edges[s]:edges[s + 1]], *range_of(s, shards, bits)) for s in filled], pa.binary()),
+        pa.array([pack_counts(counts[edges[s]:edges[s + 1]]) for s in filled], pa.binary()),
     ], ["shard", "keys", "counts"])
 
 
-_COUNTED = "shard int, keys binary, counts binary"
-
-
-def _flushed(batches: Iterator[pa.RecordBatch], per_text, shards: int) -> Iterator[pa.RecordBatch]:
+def _flushed(batches: Iterator[pa.RecordBatch], per_text: Callable, shards: int, bits: int) -> Iterator[pa.RecordBatch]:
     parts, size = [], 0
     for batch in batches:
         for text in batch.column(0).to_pylist():
             parts.append(word_hashes(text))
             size += len(parts[-1])
             if size >= COUNT_TOKENS:
-                yield from _counted(per_text(parts), shards)
+                yield from _counted(per_text(parts), shards, bits)
                 parts, size = [], 0
     if parts:
-        yield from _counted(per_text(parts), shards)
+        yield from _counted(per_text(parts), shards, bits)
 
 
-def _merged(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.frombuffer(k, "<u8") for k in table["keys"].to_pylist()])
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table["counts"].to_pylist()]).astype(np.int64)
-    return table["shard"][0].as_py(), *_sum_equal(keys, counts)
+def _merged(table: pa.Table, shards: int, bits: int) -> tuple[int, np.ndarray, np.ndarray]:
+    shard = table["shard"][0].as_py()
+    first, span = range_of(shard, shards, bits)
+    keys = np.concatenate([unpack_run(k, first, span) for k in table["keys"].to_pylist()])
+    counts = np.concatenate([unpack_counts(c) for c in table["counts"].to_pylist()])
+    return shard, *_sum_equal(keys, counts)
 
 
 def _discounts(n: list[int]) -> list[float]:
@@ -163,110 +130,159 @@ def _texts_of(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return kinds, token, np.cumsum(lengths) - lengths, lengths
 
 
-def _occurring(counts: np.ndarray) -> list[int]:
-    return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+# What a shard's job tells the driver: its number, size and tokens, and how many counts are 1, 2, 3 and 4.
+_TOLD = "shard int, size bigint, tokens bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint"
+
+
+def _told(shard: int, counts: np.ndarray) -> pa.Table:
+    row = [len(counts), int(counts.sum()), *[int((counts == k).sum()) for k in (1, 2, 3, 4)]]
+    return pa.table({"shard": pa.array([shard], pa.int32()), **{c.split(" ")[0]: [v] for c, v in zip(_TOLD.split(", ")[1:], row)}})
 
 
-def _word_amounts(pairs: np.ndarray, counts: np.ndarray, shards: int, types: int) -> list[tuple]:
-    """Rows of what the bigrams of a shard add to the numbers of their words, for each part of these."""
+def _sizes(told: list, shards: int) -> list[int]:
+    sizes = {r["shard"]: r["size"] for r in told}
+    return [sizes.get(s, 0) for s in range(shards)]
+
+
+def _occurring(told: list) -> list[int]:
+    return [sum(r[f"n{k}"] for r in told) for k in (1, 2, 3, 4)]
+
+
+# --- amounts: what the grams of a shard add to their contexts and shorter grams, which other shards hold ---
+
+_AMOUNTS = "part int, kind string, places binary, amounts binary"
+
+
+def _amounts(kind: str, places: np.ndarray, columns: list[np.ndarray], starts: np.ndarray) -> Iterator[tuple]:
+    """A row for each part that some of the ascending places fall in; ``starts`` are the parts' first places."""
+    edges = np.searchsorted(places, starts)
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        a, b = edges[p], edges[p + 1]
+        yield (p, kind, pack_run(places[a:b].astype(np.uint64), int(starts[p]), int(starts[p + 1] - starts[p])),
+               pack_counts(np.concatenate([c[a:b] for c in columns])))
+
+
+def _context_columns(at: np.ndarray, counts: np.ndarray, size: int) -> list[np.ndarray]:
+    """Of each context how often it occurs, and how many words follow it once, twice, and more often."""
     ranks = np.minimum(counts, 3)
-    context, at = np.unique(pairs >> np.uint64(32), return_inverse=True)
-    columns = [np.bincount(at, counts, len(context))]
-    columns += [np.bincount(at, ranks == k, len(context)) for k in (1, 2, 3)]
-    word, times = np.unique(pairs & np.uint64(0xFFFFFFFF), return_counts=True)
-    rows = []
-    for kind, numbers, values in (("context", context, columns), ("word", word, [times])):
-        part = numbers.astype(np.int64) * shards // types
-        edges = np.searchsorted(part, np.arange(shards + 1))
-        for p in range(shards):
-            a, b = edges[p], edges[p + 1]
-            if a < b:
-                rows.append((p, kind, numbers[a:b].astype("<u4").tobytes(),
-                             np.stack([v[a:b] for v in values]).astype("<u8" if kind == "context" else "<u4").tobytes()))
-    return rows
+    return [np.bincount(at, counts, size).astype(np.int64), *[np.bincount(at, ranks == k, size).astype(np.int64) for k in (1, 2, 3)]]
 
 
-_AMOUNTS = "part int, kind string, numbers binary, amounts binary"
+def _spread(spark, shards: int, amounts: Callable[[int], Iterator[tuple]]) -> DataFrame:
+    """The amounts of all shards, each read from its files by a task, and a row for every part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                for row in [(shard, "none", b"", b""), *amounts(shard)]:
+                    yield pa.record_batch([pa.array([row[0]], pa.int32()), pa.array([row[1]]), pa.array([row[2]], pa.binary()),
+                                           pa.array([row[3]], pa.binary())], ["part", "kind", "places", "amounts"])
 
+    return spark.range(0, shards, 1, shards).mapInArrow(run, _AMOUNTS).groupBy("part")
 
-def _amounts(rows: list[tuple]) -> pa.Table:
-    return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "kind": [r[1] for r in rows],
-                     "numbers": pa.array([r[2] for r in rows], pa.binary()),
-                     "amounts": pa.array([r[3] for r in rows], pa.binary())})
 
+def _added(table: pa.Table, first: int, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """A part's number, its contexts' four amounts and how many words go on to each of its grams."""
+    context, continued = np.zeros((4, size), np.int64), np.zeros(size, np.int64)
+    for kind, places, amounts in zip(*[table[c].to_pylist() for c in ("kind", "places", "amounts")]):
+        if kind == "none":
+            continue
+        at = (unpack_run(places, first, size) - np.uint64(first)).astype(np.int64)
+        if kind == "context":
+            context[:, at] += unpack_counts(amounts).reshape(4, -1)
+        else:
+            continued[at] += unpack_counts(amounts)
+    return table["part"][0].as_py(), context, continued
 
-def _totals(keys: np.ndarray, counts: np.ndarray, shard: int) -> tuple:
-    return -1, "counts", np.array([*_occurring(counts), len(keys), shard], "<u8").tobytes(), b""
 
+def _left(context: np.ndarray, discounts: list[float]) -> np.ndarray:
+    """The share of each context that its discounts leave to the shorter ones."""
+    taken = discounts[1] * context[1] + discounts[2] * context[2] + discounts[3] * context[3]
+    return np.where(context[0] > 0, taken / np.maximum(context[0], 1), 1.0)
 
-@dataclass
-class TrigramModel:
-    """What order 3 adds: trigrams, and what is known of each bigram as a context, by its place."""
 
-    trigrams: SortedTable
-    discounts: list[float]
-    types: int
-    starts: np.ndarray    # of the shards of bigrams, and past the last
-    maps: dict = field(default_factory=dict, repr=False)
+@dataclass
+class Contexts:
+    """How often each gram is a context, and the share that its discounts leave, by place in the shorter array.
 
-    def __getstate__(self):
-        return self.__dict__ | {"maps": {}}
+    Few contexts differ in these: a shard's file has the different ones, and a small number for each gram.
+    """
 
-    def _context(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often the bigrams in these places are a context, and the share that their discounts leave."""
+    folder: str
+    name: str
+    starts: np.ndarray    # of the shards, and past the last
+    maps: Maps = field(default_factory=Maps, repr=False)
+
+    def write(self, shard: int, context: np.ndarray, discounts: list[float]) -> None:
+        kinds, codes = np.unique(context, axis=1, return_inverse=True)
+        width = next(w for w in (1, 2, 4) if kinds.shape[1] <= 1 << 8 * w)
+        write_shared(f"{self.folder}/{self.name}-{shard}", b"".join([
+            np.array([kinds.shape[1], width], "<u8").tobytes(), kinds[0].astype("<f8").tobytes(),
+            _left(kinds, discounts).astype("<f8").tobytes(), codes.reshape(-1).astype(f"<u{width}").tobytes()]))
+
+    def _read(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        data = map_shared(f"{self.folder}/{self.name}-{shard}", np.uint8)
+        n, width = data[:16].view("<u8").astype(np.int64).tolist()
+        return data[16:16 + 16 * n].view("<f8").reshape(2, n), data[16 + 16 * n:].view(f"<u{width}")
+
+    def at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total, rest = np.zeros(len(place)), np.ones(len(place))
         shard = np.searchsorted(self.starts, place, "right") - 1
         for s in np.unique(shard).tolist():
-            if s not in self.maps:
-                self.maps[s] = (map_shared(f"{self.trigrams.folder}/context-{s}", "<u4"),
-                                map_shared(f"{self.trigrams.folder}/kinds-{s}", "<f8").reshape(2, -1))
             own = shard == s
-            codes, kinds = self.maps[s]
+            kinds, codes = self.maps.get(s, lambda: self._read(s))
             total[own], rest[own] = kinds[:, codes[place[own] - self.starts[s]]]
         return total, rest
 
+
+@dataclass
+class TrigramModel:
+    """What order 3 adds: trigrams, and what is known of each bigram as a context."""
+
+    trigrams: ShardedTable
+    contexts: Contexts
+    discounts: list[float]
+    word_bits: int
+
     def chances(self, place: np.ndarray, number: np.ndarray, lower: np.ndarray) -> np.ndarray:
         """Probabilities after the bigrams in these places of words by number (-1 if unknown), given those of order 2."""
-        total, rest = self._context(place)
+        order = np.argsort(place, kind="stable")  # so that contexts are read in their order
+        total, rest = np.empty(len(place)), np.empty(len(place))
+        total[order], rest[order] = self.contexts.at(place[order])
         times = np.zeros(len(place), np.int64)
         known = np.flatnonzero(number >= 0)
-        key = trigram_keys(place[known], number[known], self.types)
+        key = _pairs(place[known], number[known], self.word_bits, self.trigrams.bits)
         order = np.argsort(key)
         times[known[order]] = self.trigrams.find(key[order])[1]
         off = np.array(self.discounts)[np.minimum(times, 3)]
         return np.maximum(times - off, 0) / np.maximum(total, 1) + rest * lower
 
 
-def trigram_keys(place: np.ndarray, number: np.ndarray, types: int) -> np.ndarray:
-    return scramble(place.astype(np.uint64) * np.uint64(types) + number.astype(np.uint64))
+def _pairs(left: np.ndarray, number: np.ndarray, word_bits: int, bits: int) -> np.ndarray:
+    """The scrambled number of a place, of a word or bigram, and the number of the word after it."""
+    return scramble(left.astype(np.uint64) << np.uint64(word_bits) | number.astype(np.uint64), bits)
 
 
 @dataclass
 class NgramModel:
-    words: SortedTable
-    bigrams: SortedTable
+    words: ShardedTable
+    bigrams: ShardedTable
+    contexts: Contexts    # of words, by number
+    continued: ShardedTable    # in its files' counts: how many words each word follows
     tokens: int
     types: int
     bigram_discounts: list[float]
     word_discounts: list[float]
     continuations: int    # different bigrams
     word_rest: float      # share of the words' own distribution that goes to the even one
-    parts: int
     longer: TrigramModel | None = None
-    maps: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self):
-        return self.__dict__ | {"maps": {}}
-
-    def _by_number(self, column: str, dtype: str, numbers: np.ndarray) -> np.ndarray:
-        """A value for each known word number, from files that cover equal ranges of numbers."""
-        found = np.zeros(len(numbers), dtype)
-        part = numbers * self.parts // self.types
-        for p in np.unique(part).tolist():
-            if (column, p) not in self.maps:
-                self.maps[column, p] = map_shared(f"{self.words.folder}/{column}-{p}", dtype)
-            own = part == p
-            found[own] = self.maps[column, p][numbers[own] - _first_number(p, self.parts, self.types)]
+
+    def _continued(self, numbers: np.ndarray) -> np.ndarray:
+        """How many words each of these follows; they ascend."""
+        found, starts = np.zeros(len(numbers), np.int64), self.words.starts
+        edges = np.searchsorted(numbers, starts)
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            a, b = edges[s], edges[s + 1]
+            found[a:b] = self.continued.counts(s).at(numbers[a:b] - starts[s])
         return found
 
     def score(self, texts: list[bytes]) -> list[tuple[int, int, float, float]]:
@@ -281,19 +297,19 @@ class NgramModel:
         total, rest = np.zeros(len(kinds)), np.ones(len(kinds))
         if self.types:
             continued = np.zeros(len(kinds), np.int64)
-            continued[known] = self._by_number("continued", "<u4", number[known])
-            total[known] = self._by_number("total", "<u8", number[known])
-            rest[known] = self._by_number("rest", "<f8", number[known])
+            continued[known] = self._continued(number[known])  # the order of hashes is that of numbers
+            total[known], rest[known] = self.contexts.at(number[known])
             off = np.array(self.word_discounts)[np.minimum(continued, 3)]
             own = np.maximum(continued - off, 0) / self.continuations + self.word_rest / (self.types + 1)
         end = int(np.searchsorted(kinds, xxhash.xxh3_64_intdigest(END)))
         before = np.r_[0, token[:-1]]
         before[starts] = end
         both = np.flatnonzero(known[token] & known[before])
-        pair = scramble(number[before[both]].astype(np.uint64) << np.uint64(32) | number[token[both]].astype(np.uint64))
-        order = np.argsort(pair)
         times, place = np.zeros(len(token), np.int64), np.full(len(token), -1, np.int64)
-        place[both[order]], times[both[order]] = self.bigrams.find(pair[order])
+        if len(both):
+            pair = _pairs(number[before[both]], number[token[both]], bits_of(self.types), self.bigrams.bits)
+            order = np.argsort(pair)
+            place[both[order]], times[both[order]] = self.bigrams.find(pair[order])
         off = np.array(self.bigram_discounts)[np.minimum(times, 3)]
         chance = np.maximum(times - off, 0) / np.maximum(total[before], 1) + rest[before] * own[token]
         if self.longer:
@@ -306,18 +322,13 @@ class NgramModel:
                         np.add.reduceat(np.log10(chance), starts).tolist()))
 
 
-def _first_number(part: int, parts: int, types: int) -> int:
-    return -(-part * types // parts)
-
-
 def train(docs: DataFrame, text: str = "text", shards: int | None = None, order: int = 2) -> NgramModel:
     """Count and write the model of all texts; its files lie in the shared folder.
 
-    Three passes of pre-aggregated counts: words; bigrams by word numbers; and from the bigrams, for
-    each word, how often it is a context, what its discounts leave, and how many words it follows.
-    At order 3 a pass counts trigrams, and a bigram counts as often as different words stand before it
-    in one; those after the end of a text have no such word and count as often as they occur.
-    The driver sees a row of totals for each shard.
+    Passes of pre-aggregated counts: words; bigrams by word numbers; at order 3 trigrams by bigram places, where a
+    bigram counts as often as different words stand before it in one, and those after the end of a text, which
+    have no such word, as often as they occur. Then each shard's file is read once, by one task, for what its
+    grams add to contexts and shorter grams. The driver sees a row of totals for each shard.
     """
     if order not in (2, 3):
         raise ValueError(f"order {order}: the model is of order 2 or 3")
@@ -328,172 +339,143 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None, order:
         size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
         shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_TEXT))
 
-    def count_words(batches):
-        return _flushed(batches, lambda parts: parts, shards)
+    def counted(name: str, bits: int, per_text: Callable, kept: Callable) -> tuple[ShardedTable, list]:
+        """A pass over the texts: the sorted table of what ``per_text`` makes of them; ``kept`` writes its counts."""
+        table = ShardedTable(folder, name, bits, [0] * shards)
+
+        def count(batches):
+            return _flushed(batches, per_text, shards, bits)
 
-    def write_words(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _merged(table)
-        _write(folder, "words", shard, keys, counts, "<u8")
-        return pa.table({"shard": pa.array([shard], pa.int32()), "types": [len(keys)], "tokens": [int(counts.sum())]})
+        def write(rows: pa.Table) -> pa.Table:
+            shard, keys, counts = _merged(rows, shards, bits)
+            table.write_keys(shard, keys)
+            kept(table, shard, keys, counts)
+            return _told(shard, counts)
 
-    done = (texts.mapInArrow(count_words, _COUNTED).groupBy("shard")
-            .applyInArrow(write_words, "shard int, types bigint, tokens bigint").collect())
-    sizes = {r["shard"]: r["types"] for r in done}
-    words = SortedTable(folder, "words", [sizes.get(s, 0) for s in range(shards)], "<u8")
-    types, tokens = sum(words.sizes), sum(r["tokens"] for r in done)
+        told = texts.mapInArrow(count, _COUNTED).groupBy("shard").applyInArrow(write, _TOLD).collect()
+        table.sizes = _sizes(told, shards)
+        return table, told
+
+    def with_counts(table, shard, keys, counts):
+        table.write_counts(shard, counts)
+
+    words, told = counted("words", 64, lambda parts: parts, with_counts)
+    types, tokens = sum(words.sizes), sum(r["tokens"] for r in told)
     if types >= MOST_WORDS:
         raise ValueError(f"{types} different words; a bigram of word numbers holds {MOST_WORDS}")
+    contexts, continued = Contexts(folder, "word-contexts", words.starts), ShardedTable(folder, "continued", 64, words.sizes)
     if not types:
-        return NgramModel(words, SortedTable(folder, "bigrams", [0] * shards, "<u4"), 0, 0,
-                           _discounts([0] * 4), _discounts([0] * 4), 1, 1.0, shards)
+        return NgramModel(words, ShardedTable(folder, "bigrams", 2, [0] * shards), contexts, continued, 0, 0,
+                          _discounts([0] * 4), _discounts([0] * 4), 1, 1.0)
     shared = spark.sparkContext.broadcast(words)
+    word_bits = bits_of(types)
+    pair_bits = 2 * word_bits
 
     def placed(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bigrams, the numbers of their second words, and where texts start."""
         kinds, token, starts, lengths = _texts_of(parts)
-        number = shared.value.find(kinds)[0].astype(np.uint64)[token]
+        number = shared.value.find(kinds, counted=False)[0][token]
         before = np.r_[number[:1], number[:-1]]
         before[starts] = number[starts + lengths - 1]  # the end, which is every text's last token
-        return scramble(before << np.uint64(32) | number), number, starts
-
-    def count_bigrams(batches):
-        return _flushed(batches, lambda parts: [placed(parts)[0]], shards)
+        return _pairs(before, number, word_bits, pair_bits), number, starts
 
-    def write_bigrams(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _merged(table)
-        _write(folder, "bigrams", shard, keys, counts, "<u4")
-        return _amounts([_totals(keys, counts, shard), *_word_amounts(unscramble(keys), counts, shards, types)])
-
-    grouped = texts.mapInArrow(count_bigrams, _COUNTED).groupBy("shard")
-    longer = None
     if order == 2:
-        amounts = staged(grouped.applyInArrow(write_bigrams, _AMOUNTS), "zstd")
+        bigrams, told = counted("bigrams", pair_bits, lambda parts: [placed(parts)[0]], with_counts)
+        longer, found = None, _occurring(told)
     else:
-        amounts, longer = _trigrams(texts, grouped, placed, words, types, shards)
-    totals = [np.frombuffer(r["numbers"], "<u8") for r in amounts.where("kind = 'counts'").collect()]
-    discounts = _discounts(np.sum([t[:4] for t in totals], axis=0).tolist())
-    sizes = {int(t[5]): int(t[4]) for t in totals}
-
-    def write_numbers(table: pa.Table) -> pa.Table:
-        part = table["part"][0].as_py()
-        first = _first_number(part, shards, types)
-        size = _first_number(part + 1, shards, types) - first
-        context, continued = np.zeros((4, size)), np.zeros(size, np.int64)
-        for kind, numbers, values in zip(*[table[c].to_pylist() for c in ("kind", "numbers", "amounts")]):
-            at = np.frombuffer(numbers, "<u4").astype(np.int64) - first
-            if kind == "context":
-                context[:, at] += np.frombuffer(values, "<u8").reshape(4, -1)
-            else:
-                continued[at] += np.frombuffer(values, "<u4")
-        left = discounts[1] * context[1] + discounts[2] * context[2] + discounts[3] * context[3]
-        write_shared(f"{folder}/total-{part}", context[0].astype("<u8").tobytes())
-        write_shared(f"{folder}/rest-{part}", (left / np.maximum(context[0], 1)).astype("<f8").tobytes())
-        write_shared(f"{folder}/continued-{part}", continued.astype("<u4").tobytes())
-        return pa.table({k: [v] for k, v in zip(("n1", "n2", "n3", "n4", "more", "total"), (
-            *_occurring(continued), int((continued >= 3).sum()), int(continued.sum())))})
-
-    ones = (amounts.where("kind <> 'counts'").groupBy("part")
-            .applyInArrow(write_numbers, ", ".join(f"{c} bigint" for c in ("n1", "n2", "n3", "n4", "more", "total")))
-            .agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "more", "total")]).first())
-    own = _discounts([ones["n1"], ones["n2"], ones["n3"], ones["n4"]])
-    rest = (own[1] * ones["n1"] + own[2] * ones["n2"] + own[3] * ones["more"]) / ones["total"]
-    return NgramModel(words, SortedTable(folder, "bigrams", [sizes.get(s, 0) for s in range(shards)], "<u4"),
-                      tokens, types, discounts, own, ones["total"], rest, shards, longer)
-
-
-def _trigrams(texts: DataFrame, grouped, placed, words: SortedTable, types: int,
-              shards: int) -> tuple[DataFrame, TrigramModel]:
-    """Write the tables of bigrams and trigrams; the amounts of words are returned as at order 2.
-
-    Bigrams are first written as keys alone: their places number them, and a shard of them is a part
-    for the amounts that trigrams add to their first two and last two words.
+        bigrams, longer, found = _trigrams(spark, counted, placed, words, word_bits)
+    discounts = _discounts(found)
+    starts = words.starts
+
+    def of_bigrams(shard: int) -> Iterator[tuple]:
+        if bigrams.sizes[shard]:
+            pairs = unscramble(bigrams.table(shard).keys(), pair_bits)
+            counts = bigrams.counts(shard).all()
+            context, at = np.unique((pairs >> np.uint64(word_bits)).astype(np.int64), return_inverse=True)
+            yield from _amounts("context", context, _context_columns(at, counts, len(context)), starts)
+            word, times = np.unique((pairs & np.uint64((1 << word_bits) - 1)).astype(np.int64), return_counts=True)
+            yield from _amounts("word", word, [times], starts)
+
+    def write_words(rows: pa.Table) -> pa.Table:
+        part = rows["part"][0].as_py()
+        part, context, follows = _added(rows, int(starts[part]), int(starts[part + 1] - starts[part]))
+        contexts.write(part, context, discounts)
+        continued.write_counts(part, follows)
+        row = _told(part, follows)
+        return row.append_column("more", [[int((follows >= 3).sum())]])
+
+    told = _spread(spark, shards, of_bigrams).applyInArrow(write_words, f"{_TOLD}, more bigint").collect()
+    ones, total = _occurring(told), sum(r["tokens"] for r in told)
+    own = _discounts(ones)
+    rest = (own[1] * ones[0] + own[2] * ones[1] + own[3] * sum(r["more"] for r in told)) / total
+    return NgramModel(words, bigrams, contexts, continued, tokens, types, discounts, own, total, rest, longer)
+
+
+def _trigrams(spark, counted: Callable, placed: Callable, words: ShardedTable,
+              word_bits: int) -> tuple[ShardedTable, TrigramModel, list[int]]:
+    """The tables of bigrams and trigrams, and how many bigrams continue 1, 2, 3 and 4 words.
+
+    Bigrams are first written as keys alone: their places number them. Their counts follow from the trigrams.
     """
-    spark, folder = texts.sparkSession, words.folder
+    folder, shards, pair_bits, mask = words.folder, words.shards, 2 * word_bits, np.uint64((1 << word_bits) - 1)
     end = int(words.find(np.array([xxhash.xxh3_64_intdigest(END)], np.uint64))[0][0])
 
-    def write_keys(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _merged(table)
-        first = np.flatnonzero(unscramble(keys) >> np.uint64(32) == end)
-        _write(folder, "bigrams", shard, keys, counts[:0], "<u4")
-        _write(folder, "first", shard, first, counts[first], "<u4")
-        return pa.table({"shard": pa.array([shard], pa.int32()), "size": [len(keys)]})
-
-    sizes = {r["shard"]: r["size"] for r in grouped.applyInArrow(write_keys, "shard int, size bigint").collect()}
-    bigrams = SortedTable(folder, "bigrams", [sizes.get(s, 0) for s in range(shards)], "<u4")
-    starts = np.r_[0, np.cumsum(bigrams.sizes)]
-    if int(starts[-1]) * types >= 1 << 64 or max(sizes.values()) >= 1 << 32:
-        raise ValueError(f"{starts[-1]} different bigrams of {types} words; a trigram is a number below 2^64")
+    def with_first(table, shard, keys, counts):
+        """Of bigrams that begin a text, places in the shard and counts."""
+        first = np.flatnonzero(unscramble(keys, pair_bits) >> np.uint64(word_bits) == end)
+        write_shared(f"{folder}/first-{shard}", np.r_[first, counts[first]].astype("<i8").tobytes())
+
+    bigrams, _ = counted("bigrams", pair_bits, lambda parts: [placed(parts)[0]], with_first)
+    starts = bigrams.starts
+    bits = bits_of(int(starts[-1])) + word_bits
+    if bits > 64:
+        raise ValueError(f"{starts[-1]} different bigrams of {sum(words.sizes)} words; a trigram is a number of 64 bits")
     shared = spark.sparkContext.broadcast(bigrams)
 
     def places(keys: np.ndarray) -> np.ndarray:
         kinds, at = np.unique(keys, return_inverse=True)
-        return shared.value.find(kinds)[0][at]
+        return shared.value.find(kinds, counted=False)[0][at]
 
     def trigrams(parts: list[np.ndarray]) -> list[np.ndarray]:
         keys, number, begins = placed(parts)
         inner = np.ones(len(keys), bool)
         inner[begins] = False
         inner = np.flatnonzero(inner)
-        return [trigram_keys(places(keys[inner - 1]), number[inner], types)]
+        return [_pairs(places(keys[inner - 1]), number[inner], word_bits, bits)]
+
+    def with_counts(table, shard, keys, counts):
+        table.write_counts(shard, counts)
 
-    def count_trigrams(batches):
-        return _flushed(batches, trigrams, shards)
+    table, told = counted("trigrams", bits, trigrams, with_counts)
+    discounts = _discounts(_occurring(told))
+    contexts = Contexts(folder, "bigram-contexts", starts)
 
-    def write_trigrams(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _merged(table)
-        _write(folder, "trigrams", shard, keys, counts, "<u4")
-        found = unscramble(keys)
-        context, at = np.unique((found // np.uint64(types)).astype(np.int64), return_inverse=True)
+    def of_trigrams(shard: int) -> Iterator[tuple]:
+        if not table.sizes[shard]:
+            return
+        found, counts = unscramble(table.table(shard).keys(), bits), table.counts(shard).all()
+        context, at = np.unique((found >> np.uint64(word_bits)).astype(np.int64), return_inverse=True)
+        yield from _amounts("context", context, _context_columns(at, counts, len(context)), starts)
         second = np.empty(len(context), np.uint64)
         edges = np.searchsorted(context, starts)
         for s in np.flatnonzero(np.diff(edges)).tolist():
             a, b = edges[s], edges[s + 1]
-            own = map_shared(f"{folder}/bigrams-{s}.keys", "<u8")
-            second[a:b] = unscramble(own[context[a:b] - starts[s]]) & np.uint64(0xFFFFFFFF)
-        last, times = np.unique(places(scramble(second[at] << np.uint64(32) | found % np.uint64(types))), return_counts=True)
-        ranks = np.minimum(counts, 3)
-        rows = [_totals(keys, counts, shard)]
-        columns = [np.bincount(at, counts, len(context)), *[np.bincount(at, ranks == k, len(context)) for k in (1, 2, 3)]]
-        for kind, place, values in (("context", context, columns), ("last", last, [times])):
-            edges = np.searchsorted(place, starts)
-            for s in np.flatnonzero(np.diff(edges)).tolist():
-                a, b = edges[s], edges[s + 1]
-                rows.append((s, kind, (place[a:b] - starts[s]).astype("<u4").tobytes(),
-                             np.stack([v[a:b] for v in values]).astype("<u8" if kind == "context" else "<u4").tobytes()))
-        return _amounts(rows)
-
-    amounts = staged(texts.mapInArrow(count_trigrams, _COUNTED).groupBy("shard")
-                     .applyInArrow(write_trigrams, _AMOUNTS), "zstd")
-    totals = [np.frombuffer(r["numbers"], "<u8") for r in amounts.where("kind = 'counts'").collect()]
-    discounts = _discounts(np.sum([t[:4] for t in totals], axis=0).tolist() if totals else [0] * 4)
-    found = {int(t[5]): int(t[4]) for t in totals}
-
-    def write_bigrams(table: pa.Table) -> pa.Table:
-        shard = table["part"][0].as_py()
-        keys = np.asarray(map_shared(f"{folder}/bigrams-{shard}.keys", "<u8"))
-        counts, context = np.zeros(len(keys), np.int64), np.zeros((4, len(keys)), np.int64)
-        for kind, numbers, values in zip(*[table[c].to_pylist() for c in ("kind", "numbers", "amounts")]):
-            at = np.frombuffer(numbers, "<u4")
-            if kind == "context":
-                context[:, at] += np.frombuffer(values, "<u8").astype(np.int64).reshape(4, -1)
-            elif kind == "last":
-                counts[at] += np.frombuffer(values, "<u4")
-        counts[map_shared(f"{folder}/first-{shard}.keys", "<u8").astype(np.int64)] = map_shared(
-            f"{folder}/first-{shard}.values", "<u4")
-        # few contexts differ in their amounts: each has a number for those
-        kinds, codes = np.unique(np.ascontiguousarray(context.T), axis=0, return_inverse=True)
-        left = kinds[:, 1:] @ np.array(discounts[1:])
-        rest = np.where(kinds[:, 0] > 0, left / np.maximum(kinds[:, 0], 1), 1.0)
-        write_shared(f"{folder}/context-{shard}", codes.reshape(-1).astype("<u4").tobytes())
-        write_shared(f"{folder}/kinds-{shard}", np.stack([kinds[:, 0], rest]).astype("<f8").tobytes())
-        write_shared(f"{folder}/bigrams-{shard}.values", counts.astype("<u4").tobytes())
-        return _amounts([_totals(keys, counts, shard), *_word_amounts(unscramble(keys), counts, shards, types)])
-
-    every = spark.createDataFrame([(s, "none", b"", b"") for s in sizes], _AMOUNTS)
-    of_words = staged(amounts.where("kind <> 'counts'").unionByName(every).groupBy("part")
-                      .applyInArrow(write_bigrams, _AMOUNTS), "zstd")
-    return of_words, TrigramModel(SortedTable(folder, "trigrams", [found.get(s, 0) for s in range(shards)], "<u4"),
-                                  discounts, types, starts)
+            second[a:b] = unscramble(shared.value.table(s).keys(context[a:b] - starts[s]), pair_bits) & mask
+        last, times = np.unique(places(_pairs(second[at], found & mask, word_bits, pair_bits)), return_counts=True)
+        yield from _amounts("last", last, [times], starts)
+
+    def write_bigrams(rows: pa.Table) -> pa.Table:
+        part = rows["part"][0].as_py()
+        part, context, counts = _added(rows, int(starts[part]), int(starts[part + 1] - starts[part]))
+        if len(counts):
+            place, times = map_shared(f"{folder}/first-{part}", "<i8").reshape(2, -1)
+            counts[place] = times
+        contexts.write(part, context, discounts)
+        bigrams.write_counts(part, counts)
+        return _told(part, counts)
+
+    told = _spread(spark, shards, of_trigrams).applyInArrow(write_bigrams, _TOLD).collect()
+    return bigrams, TrigramModel(table, contexts, discounts, word_bits), _occurring(told)
 
 
 def scored(model, text: str) -> Column:

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from daybridge.llm.lm import lm_scores, scramble, train, unscramble
@@ -24,11 +25,14 @@ def test_against_brute_force(spark, sf, documents):
     held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 7 == 2 for r in rows}
     want, _ = brute.kneser_ney([r.text for r in rows if not held[r.doc_id]], [r.text for r in rows])
     found = {r.doc_id: r for r in QUERIES["op1_lm_scoring"](spark, sf).collect()}
+    learned = documents.where(F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
+    frame, name, _ = lm_scores(documents, learned, order=2)
+    two = {r.doc_id: r[name] for r in frame.collect()}
     tokens = sum(len(brute.spaced(r.text)) + 1 for r in rows if not held[r.doc_id])
     for r, (n, known, base, score) in zip(rows, want):
         x = found[r.doc_id]
         assert (x.held_out, x.n_tokens, x.n_known, x.train_tokens) == (held[r.doc_id], n, known, tokens)
-        assert _close(x.base_score, base) and _close(x.score, score)
+        assert _close(x.base_score, base) and _close(two[r.doc_id].score, score)
     held_out = [x for x in found.values() if x.held_out]
     assert sum(x.score for x in held_out) > sum(x.base_score for x in held_out)
 
