@@ -213,11 +213,17 @@ class Contexts:
     maps: Maps = field(default_factory=Maps, repr=False)
 
     def write(self, shard: int, context: np.ndarray, discounts: list[float]) -> None:
-        kinds, codes = np.unique(context, axis=1, return_inverse=True)
+        # nearly all amounts are small: four of them are one number to sort by
+        small = (context < 1 << 16).all(0)
+        packed, own = np.unique(sum(context[i, small].astype(np.uint64) << np.uint64(16 * i) for i in range(4)), return_inverse=True)
+        large, others = np.unique(context[:, ~small], axis=1, return_inverse=True)
+        kinds = np.concatenate([np.stack([packed >> np.uint64(16 * i) & np.uint64(0xFFFF) for i in range(4)]).astype(np.int64), large], 1)
+        codes = np.empty(context.shape[1], np.int64)
+        codes[small], codes[~small] = own, others.reshape(-1) + len(packed)
         width = next(w for w in (1, 2, 4) if kinds.shape[1] <= 1 << 8 * w)
         write_shared(f"{self.folder}/{self.name}-{shard}", b"".join([
             np.array([kinds.shape[1], width], "<u8").tobytes(), kinds[0].astype("<f8").tobytes(),
-            _left(kinds, discounts).astype("<f8").tobytes(), codes.reshape(-1).astype(f"<u{width}").tobytes()]))
+            _left(kinds, discounts).astype("<f8").tobytes(), codes.astype(f"<u{width}").tobytes()]))
 
     def _read(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
         data = map_shared(f"{self.folder}/{self.name}-{shard}", np.uint8)

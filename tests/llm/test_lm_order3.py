@@ -123,3 +123,17 @@ def test_shards_follow_the_text(spark, documents, monkeypatch, order):
     many = train(documents, order=order)
     assert len(many.words.sizes) >= 300 > len(few.words.sizes)
     assert all(_close(a[3], b[3]) for a, b in zip(few.score(texts), many.score(texts)))
+
+
+def test_contexts_of_any_amount(folder):
+    """Amounts beyond 16 bits stand beside small ones, and few kinds take a byte each."""
+    import numpy as np
+
+    amounts = np.array([[0, 1, 1, 70000, 0, 1 << 40, 65535, 65536], [0, 1, 1, 5, 0, 70000, 1, 2], [0, 0, 0, 1, 0, 2, 65535, 0],
+                        [0, 0, 0, 9, 0, 70001, 3, 1]])
+    contexts = lm.Contexts(folder, "c", np.array([0, 8]))
+    off = [0.0, 0.5, 1.0, 1.5]
+    contexts.write(0, amounts, off)
+    total, rest = contexts.at(np.arange(8))
+    assert total.tolist() == amounts[0].tolist()
+    assert rest.tolist() == [float(o @ np.array(off[1:])) / t if t else 1.0 for t, o in zip(amounts[0], amounts[1:].T)]
