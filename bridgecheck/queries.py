@@ -505,14 +505,21 @@ def api_envelope(spark, sf_dir):
     return unwrap_envelope(view(spark, sf_dir, "responses"), "body", on_error="reject")
 
 
+TURNS = 50
+
+
 @registered
 def api_envelope_of_turns(spark, sf_dir):
-    """Responses with the turns of a conversation as records; some lack the success field, some are bare lists."""
+    """Responses with some turns of a conversation as records; some lack the success field, some are bare lists.
+
+    A response has at most ``TURNS`` turns, so no conversation makes a response, or a task, of its size.
+    """
     turn = F.struct("turn", "role", "text")
     records = F.to_json(F.sort_array(F.collect_list(turn)), {"ignoreNullFields": "false"})
     body = (F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit('{"success":true,"data":'), records, F.lit("}")))
             .when(F.col("conv_id") % 3 == 1, F.concat(F.lit('{"data":'), records, F.lit("}"))).otherwise(records))
-    responses = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(body.alias("body"))
+    turns = table(spark, sf_dir, "conversations").withColumn("block", F.floor(F.monotonically_increasing_id() / TURNS))
+    responses = turns.groupBy("conv_id", "block").agg(body.alias("body")).drop("block")
     found = unwrap_envelope(responses, "body", on_error="reject")
     return found.select("conv_id", json_scalar("record", "turn").cast("long").alias("turn"),
                         *[json_scalar("record", c).alias(c) for c in ("role", "text")], "error")

@@ -340,9 +340,29 @@ def test_rejects_have_a_place_of_their_own(spark, folder):
     assert [r.line for r in spark.read.parquet(f"{folder}/t_rejects").collect()] == ["not json"]
 
 
-def test_what_the_parser_cannot_take_is_not_called_bad_json(spark):
-    long_text = F.concat(F.lit('{"data":["'), F.repeat(F.lit("x"), 21_000_000), F.lit('"]}'))
-    rows = spark.range(1).select(long_text.alias("body")).union(spark.createDataFrame([("{",)], "body string"))
-    errors = sorted(r.error for r in unwrap_envelope(rows, "body", on_error="reject").collect())
-    assert errors == ["not a JSON response",
-                      "response not parsed, not JSON or beyond the parser's limits: 21000013 bytes"]
+def test_responses_of_any_size(spark, folder):
+    """A record above the parser's usual longest string, and a response above the size of a parsed value: both land
+    record by record, and damage at their ends is found."""
+    long_text = F.concat(F.lit('{"data":["'), F.repeat(F.lit("x"), 22_000_000), F.lit('",{"id":null}]}'))
+    item = F.concat(F.lit('{"k":"'), F.repeat(F.lit("y"), 1_000_000), F.lit('"},'))
+    large = F.concat(F.lit('{"success":true,"data":['), F.repeat(item, 140), F.lit('{"id":9}]}'))
+    bodies = spark.range(1).select(long_text.alias("body")).union(spark.range(1).select(large.alias("body")))
+    rows = unwrap_envelope(bodies, "body").groupBy(F.length("record").alias("n")).count().collect()
+    assert {r["n"]: r["count"] for r in rows} == {22_000_002: 1, 9: 1, 1_000_008: 140, 8: 1}
+    land_responses(bodies, "body", f"{folder}/t", dt.datetime(2026, 1, 5))
+    assert spark.read.parquet(f"{folder}/t").count() == 143
+    torn = bodies.select(F.concat("body", F.lit(",1")).alias("body")).union(bodies.select(F.expr("substring(body, 1, length(body) - 1)")))
+    errors = [r.error for r in unwrap_envelope(torn, "body", on_error="reject").collect()]
+    assert len(errors) == 4 and all(e.startswith("response not parsed, not JSON or beyond the parser's limits: ") for e in errors)
+
+
+@pytest.mark.parametrize("body", ['[1],[2]', '[1]],"x":[[2]', '{"data":[1]},{"mark":5}', '{"data":[1]} {"data":[2]}', '[1],"success":false',
+                                  '{"data":[1]}]', '[1]]', '{"data":[1,{bad}]}', '[1', "", " "])
+def test_texts_that_are_not_one_value(spark, body):
+    df = spark.createDataFrame([(body,)], "body string")
+    assert [(r.record, r.error) for r in unwrap_envelope(df, "body", on_error="reject").collect()] == [(None, "not a JSON response")]
+
+
+def test_blanks_and_repeated_keys(spark):
+    df = spark.createDataFrame([(' \n[ 1 ] ',), ('\t{"data":[1],"data":[2]}\n',), ('{"Data":[7],"data":[8]}',)], "body string")
+    assert sorted(r.record for r in unwrap_envelope(df, "body").collect()) == ["1", "2", "8"]
