@@ -18,6 +18,9 @@ logger = logging.getLogger(__name__)
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# Bytes that a task of the write sorts, about, and that an offer takes: an element of some ten short fields.
+TASK_BYTES, OFFER_BYTES = 128 * 1024 * 1024, 512
+
 
 def _numbered(offers: DataFrame, split: DataFrame) -> DataFrame:
     """Offers with the fragment they go to; only merchants of several fragments need a lookup.
@@ -67,13 +70,15 @@ def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
     offers = catalogue_offers(df, day)
     known = merchants(offers, max_offers).persist()
     try:
-        # A fragment has to stay in one task, so partitions cannot be cut later: where the session's
-        # number would make them hold many full fragments, the counted offers give a larger one.
+        # A fragment has to stay in one task, so partitions cannot be cut later: their number follows the bytes of
+        # the counted offers. Files cost time whatever they hold, so there are also as many as the session has
+        # partitions, or fragments if these are fewer; adaptive execution would put small ones into one task.
         usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        needed = math.ceil(2 * (known.agg(F.sum("offers")).first()[0] or 0) / max_offers)
-        parts = [needed] if needed > usual else []
+        total = known.agg(F.sum("offers").alias("offers"), F.sum("fragments").alias("fragments")).first()
+        by_bytes = math.ceil((total["offers"] or 0) * OFFER_BYTES / TASK_BYTES)
+        parts = max(1, by_bytes, min(usual, total["fragments"] or 0))
         (catalogue_lines(offers, known, moment)
-         .repartition(*parts, "mercant_id", "fragment")
+         .repartition(parts, "mercant_id", "fragment")
          .sortWithinPartitions("mercant_id", "fragment", "kind", "offer_id")
          .select("mercant_id", "fragment", "value")
          # Static whatever the session says: fragments of an earlier, larger document must go.

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from daybridge.functions.times import as_date
 from daybridge.sinks.files import EmptyExport
-from daybridge.sinks.partitions import REPORT, WriteMismatch, observed, rows_per_period
+from daybridge.sinks.partitions import REPORT, counted, drop_staged, observed, publish, staged_path
 
 ON_EMPTY = ("skip", "error")
 
@@ -27,7 +27,8 @@ def land(records: DataFrame, path: str, at: dt.datetime | dt.date | str | None =
 
     ``at`` is the load time of every record; without it each record lands at midnight of its own
     ``dt``, so a range of days lands in one job. No records leaves the table as it was, and with
-    ``on_empty="error"`` raises. Ids are random and drawn in the writing stage.
+    ``on_empty="error"`` raises. Ids are random and drawn in the writing stage. Days are replaced only when
+    the files hold the records that the job observed.
     """
     if on_empty not in ON_EMPTY:
         raise ValueError(f"on_empty must be one of {ON_EMPTY}, not {on_empty!r}")
@@ -45,13 +46,16 @@ def land(records: DataFrame, path: str, at: dt.datetime | dt.date | str | None =
                             created.alias("created_at"))
     seen = Observation()
     landed = landed.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("dt").alias("days"))
-    (landed.write.partitionBy("dt").option("partitionOverwriteMode", "dynamic").mode("overwrite")
-     .option("compression", "gzip").parquet(path))
-    found = observed(seen)
-    written = found.get("rows", 0)
-    if written == 0 and on_empty == "error":
-        raise EmptyExport(f"no records to land in {path}")
-    held = rows_per_period(spark, path, "dt", LANDED, sorted(found.get("days", [])))
-    if sum(held.values()) != written:
-        raise WriteMismatch(f"{path}: wrote {written} records, the table holds {sum(held.values())}")
+    stage = staged_path(path)
+    try:
+        landed.write.partitionBy("dt").option("compression", "gzip").parquet(stage)
+        found = observed(seen)
+        rows, days = found.get("rows", 0), sorted(found.get("days", []))
+        if rows == 0 and on_empty == "error":
+            raise EmptyExport(f"no records to land in {path}")
+        held = counted(spark, stage, path, "dt", LANDED, days, rows)
+    except BaseException:
+        drop_staged(spark, stage)
+        raise
+    publish(spark, stage, path, "dt", days, [])
     return spark.createDataFrame([(d, n, "replaced") for d, n in sorted(held.items())], REPORT)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -73,25 +76,108 @@ def holds_rows(spark: SparkSession, path: str) -> bool:
     return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop.Path(path))
 
 
-def _clear(spark: SparkSession, path: str, column: str, schema: T.StructType, days: list[dt.date],
-           compression: str) -> None:
-    """Replace period folders by one empty file each: one job writes it, the store copies it."""
-    if not days:
-        return
+# --- publishing: what a job wrote is counted in a staged folder before any folder of the table changes ---
+
+# Store calls for different periods that are under way at a time.
+CALLS = 32
+
+# Fixed value: the list of a staged folder's periods, written once its rows are counted.
+MANIFEST = "_manifest"
+
+
+def staged_path(path: str) -> str:
+    """A new folder inside the table, in the same store, that readers pass over."""
+    return f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+
+
+def _store(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop, hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _each(act: Callable[[dt.date], None], days: Iterable[dt.date]) -> None:
+    """One store action per period, many at a time; the first that fails is raised when all have ended."""
+    with ThreadPoolExecutor(CALLS) as pool:
+        for done in [pool.submit(act, day) for day in days]:
+            done.result()
+
+
+def drop_staged(spark: SparkSession, stage: str) -> None:
+    hadoop, store = _store(spark, stage)
+    store.delete(hadoop.Path(stage), True)
+
+
+def _empty_file(spark: SparkSession, stage: str, column: str, schema: T.StructType, compression: str) -> None:
+    """One file without rows below the staged folder, which the store copies to empty periods."""
     body = T.StructType([f for f in schema if f.name != column])
-    stage = f"{path.rstrip('/')}/_empty-{uuid.uuid4().hex}"
-    spark.createDataFrame([], body).coalesce(1).write.option("compression", compression).parquet(stage)
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    store = hadoop.Path(stage).getFileSystem(conf)
-    empty = next(f.getPath() for f in store.listStatus(hadoop.Path(stage)) if f.getPath().getName().endswith(".parquet"))
-    for day in days:
-        folder = hadoop.Path(_folder(path, column, day))
-        store.delete(folder, True)
-        store.mkdirs(folder)
-        hadoop.FileUtil.copy(store, empty, store, hadoop.Path(folder, empty.getName()), False, conf)
+    spark.createDataFrame([], body).coalesce(1).write.option("compression", compression).parquet(f"{stage}/_empty")
+
+
+def publish(spark: SparkSession, stage: str, path: str, column: str, written: list[dt.date], empty: list[dt.date],
+            mode: str = "replace") -> None:
+    """Move the counted periods of a staged folder to their places, all calls for a period after each other,
+    different periods at the same time.
+
+    The list of periods is written first: ``finish_published`` takes up where an interrupted publication stopped.
+    """
+    hadoop, store = _store(spark, stage)
+    manifest = {"column": column, "mode": mode, "written": [d.isoformat() for d in written], "empty": [d.isoformat() for d in empty]}
+    out = store.create(hadoop.Path(stage, MANIFEST), True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    _promote(spark, stage, path, manifest)
+
+
+def _promote(spark: SparkSession, stage: str, path: str, manifest: dict) -> None:
+    hadoop, store = _store(spark, stage)
+    column, replace = manifest["column"], manifest["mode"] == "replace"
+    conf = spark._jsc.hadoopConfiguration()
+    bodies = [f.getPath() for f in store.listStatus(hadoop.Path(f"{stage}/_empty")) if f.getPath().getName().endswith(".parquet")] \
+        if manifest["empty"] else []
+
+    def move(day: dt.date) -> None:
+        source, target = hadoop.Path(_folder(stage, column, day)), hadoop.Path(_folder(path, column, day))
+        if not store.exists(source):
+            return  # moved before an interruption
+        if replace:
+            store.delete(target, True)
+            if not store.rename(source, target):
+                raise OSError(f"cannot move {source} to {target}")
+            return
+        store.mkdirs(target)
+        for file in store.listStatus(source):
+            if not store.rename(file.getPath(), hadoop.Path(target, file.getPath().getName())):
+                raise OSError(f"cannot move {file.getPath()} to {target}")
+
+    def clear(day: dt.date) -> None:
+        target = hadoop.Path(_folder(path, column, day))
+        store.delete(target, True)
+        store.mkdirs(target)
+        hadoop.FileUtil.copy(store, bodies[0], store, hadoop.Path(target, bodies[0].getName()), False, conf)
+
+    _each(move, map(dt.date.fromisoformat, manifest["written"]))
+    _each(clear, map(dt.date.fromisoformat, manifest["empty"]))
     store.delete(hadoop.Path(stage), True)
 
 
+def finish_published(spark: SparkSession, path: str) -> int:
+    """Finish the publications of a table that were interrupted; folders not yet counted are left alone.
+
+    To be called when no other job publishes to the table. Returns how many were finished.
+    """
+    hadoop, store = _store(spark, path)
+    if not store.exists(hadoop.Path(path)):
+        return 0
+    stages = [f.getPath().toString() for f in store.listStatus(hadoop.Path(path)) if f.getPath().getName().startswith("_staged-")]
+    counted = [s for s in stages if store.exists(hadoop.Path(s, MANIFEST))]
+    for stage in counted:
+        file = store.open(hadoop.Path(stage, MANIFEST))
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+        file.close()
+        _promote(spark, stage, path, json.loads(text))
+    return len(counted)
+
+
 def _guarded(column: str, periods: list[dt.date] | None) -> Column:
     """The partition value; a value that is NULL or outside the spine fails the job before commit."""
     day = F.col(column).cast("date")
@@ -114,8 +200,11 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     that has no rows: such a folder ends up with one empty file, not with its old content. One job
     makes that file for all of them. With ``mark_empty=False`` only folders that hold old rows are
     emptied and the others are not made.
-    ``append`` only adds files and needs the spine of the periods it may add to. After the write
-    the rows the table holds (or gained) are checked against the rows the job observed.
+    ``append`` only adds files and needs the spine of the periods it may add to.
+
+    Files are written to a folder of their own and their rows held against those the job observed;
+    only then do they move to their periods. A job that fails, or a count that differs, leaves every
+    period as it was.
 
     ``layout="clustered"`` (default) brings a period's rows together first, so files do not
     multiply as tasks x periods; it lets Spark cut a large period into several tasks. ``"as_is"``
@@ -132,7 +221,7 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     if periods is not None and not periods:
         return spark.createDataFrame([], REPORT)
 
-    before = _existing(spark, path, column, df.schema, periods) if mode == "append" else {}
+    stage = staged_path(path)
     guarded = df.withColumn(column, _guarded(column, periods))
     if layout != "as_is":
         guarded = guarded.hint("rebalance", column)
@@ -143,31 +232,35 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     writer = guarded.write.partitionBy(column).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if mode == "replace":
-        writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
-
-    found = observed(seen)
-    rows, written = found.get("rows", 0), sorted(found.get("periods", []))
-    if mode == "replace" and periods is not None:
-        empty = sorted(set(periods) - set(written))
-        if not mark_empty:
+    try:
+        writer.parquet(stage)
+        found = observed(seen)
+        written = sorted(found.get("periods", []))
+        now = counted(spark, stage, path, column, df.schema, written, found.get("rows", 0))
+        empty = sorted(set(periods or []) - set(written)) if mode == "replace" else []
+        if empty and not mark_empty:
             old = _existing(spark, path, column, df.schema, empty)
             empty = [day for day in empty if old.get(day)]
-        _clear(spark, path, column, df.schema, empty, compression)
-    now = rows_per_period(spark, path, column, df.schema, written)
-    gained = {day: now.get(day, 0) - before.get(day, 0) for day in written}
-    # Others may append at the same time, so an appended table may gain more than this job wrote.
-    total = sum(gained.values())
-    if total < rows or (mode == "replace" and total > rows):
-        raise WriteMismatch(f"{path}: wrote {rows} rows, the table has {total} of them")
+        if empty:
+            _empty_file(spark, stage, column, df.schema, compression)
+    except BaseException:
+        drop_staged(spark, stage)
+        raise
+    publish(spark, stage, path, column, written, empty, mode)
     done = "replaced" if mode == "replace" else "appended"
-    report = [(day, gained.get(day, 0), done if day in gained else "empty") for day in periods or written]
+    report = [(day, now.get(day, 0), done if day in now else "empty") for day in periods or written]
     return spark.createDataFrame(report, REPORT)
 
 
+def counted(spark: SparkSession, stage: str, path: str, column: str, schema: T.StructType, written: list[dt.date],
+            rows: int) -> dict[dt.date, int]:
+    """Rows of each period of a staged folder, from its footers; other than the job observed is an error."""
+    now = rows_per_period(spark, stage, column, schema, written)
+    if sum(now.values()) != rows:
+        raise WriteMismatch(f"{path}: wrote {rows} rows, the files hold {sum(now.values())}; the table is as it was")
+    return now
+
+
 def arrow_bytes(value: Column, kind: T.DataType) -> Column:
     """Size of one value in Arrow memory: fixed width, or offset plus payload, plus validity."""
     validity = F.lit(0.125)

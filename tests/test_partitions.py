@@ -303,3 +303,75 @@ def test_empty_periods_take_no_jobs_of_their_own(spark, folder):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(report) == 182 and sum(r.rows for r in report) == 2
     assert spark.read.parquet(f"{folder}/t").count() == 2 and len(os.listdir(f"{folder}/t/dt=2026-03-03")) >= 1
+
+
+def _days(spark, path):
+    return sorted((r.dt, r.v) for r in spark.read.parquet(path).collect())
+
+
+@pytest.mark.parametrize("mode", ["replace", "append"])
+def test_a_count_that_differs_leaves_the_old_days(spark, folder, monkeypatch, mode):
+    """Rows are counted before anything of the table changes."""
+    from daybridge.sinks import partitions
+
+    spine = day_spine(spark, "2026-01-01", "2026-01-03")
+    old = spark.createDataFrame([(dt.date(2026, 1, d), d) for d in (1, 2, 3)], "dt date, v int")
+    write_partition(old, f"{folder}/t", spine=spine)
+    before = _days(spark, f"{folder}/t")
+    plain = partitions.rows_per_period
+    monkeypatch.setattr(partitions, "rows_per_period", lambda *a: {d: n - 1 for d, n in plain(*a).items()})
+    new = spark.createDataFrame([(dt.date(2026, 1, 2), 9)] * 3, "dt date, v int")
+    with pytest.raises(partitions.WriteMismatch, match="the table is as it was"):
+        write_partition(new, f"{folder}/t", mode=mode, spine=spine)
+    assert _days(spark, f"{folder}/t") == before
+    assert [n for n in os.listdir(f"{folder}/t") if n.startswith("_staged")] == []
+
+
+def test_a_failing_job_leaves_the_old_days(spark, folder):
+    old = spark.createDataFrame([(dt.date(2026, 1, d), d) for d in (1, 2)], "dt date, v int")
+    write_partition(old, f"{folder}/t")
+    bad = old.withColumn("v", F.when(F.col("v") == 2, F.raise_error(F.lit("no"))).otherwise(F.lit(7)).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        write_partition(bad, f"{folder}/t")
+    assert _days(spark, f"{folder}/t") == [(dt.date(2026, 1, 1), 1), (dt.date(2026, 1, 2), 2)]
+    assert [n for n in os.listdir(f"{folder}/t") if n.startswith("_staged")] == []
+
+
+@pytest.mark.parametrize("mode", ["replace", "append"])
+def test_an_interrupted_publication_is_finished(spark, folder, monkeypatch, mode):
+    from daybridge.sinks import partitions
+
+    spine = day_spine(spark, "2026-01-01", "2026-01-04")
+    old = spark.createDataFrame([(dt.date(2026, 1, d), d) for d in (1, 2, 3, 4)], "dt date, v int")
+    write_partition(old, f"{folder}/t", spine=spine)
+    new = spark.createDataFrame([(dt.date(2026, 1, d), 10 * d) for d in (1, 2, 3)], "dt date, v int")
+    each = partitions._each
+
+    def some(act, days):
+        each(act, list(days)[:1])
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(partitions, "_each", some)
+    with pytest.raises(KeyboardInterrupt):
+        write_partition(new, f"{folder}/t", mode=mode, spine=spine)
+    monkeypatch.setattr(partitions, "_each", each)
+    assert _days(spark, f"{folder}/t") != sorted([(dt.date(2026, 1, d), 10 * d) for d in (1, 2, 3)])
+    assert partitions.finish_published(spark, f"{folder}/t") == 1 and partitions.finish_published(spark, f"{folder}/t") == 0
+    added = [(dt.date(2026, 1, d), 10 * d) for d in (1, 2, 3)]
+    kept = [] if mode == "replace" else [(dt.date(2026, 1, d), d) for d in (1, 2, 3, 4)]
+    assert _days(spark, f"{folder}/t") == sorted(added + kept)
+    assert partitions.finish_published(spark, f"{folder}/nowhere") == 0
+
+
+def test_many_empty_days(spark, folder):
+    """Ten years without rows but one day: store calls for different days run at the same time."""
+    import time
+
+    spine = day_spine(spark, "2016-01-01", "2025-12-31")
+    one = spark.createDataFrame([(dt.date(2020, 2, 29), 1)], "dt date, v int")
+    started = time.time()
+    report = write_partition(one, f"{folder}/t", spine=spine)
+    assert time.time() - started < 120
+    assert report.groupBy("status").count().collect().__len__() == 2 and report.count() == 3653
+    assert len([n for n in os.listdir(f"{folder}/t") if n.startswith("dt=")]) == 3653
+    assert _days(spark, f"{folder}/t") == [(dt.date(2020, 2, 29), 1)]
