@@ -57,17 +57,25 @@ def phrases_of(rows: list[tuple[str | None, bytes]], window: int) -> Phrases:
 
 
 def write_phrases(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int) -> list[str]:
-    """The test set as files of phrases in the shared folder, each of about ``block_bytes`` of text."""
+    """The test set as files of phrases in the shared folder, each of about ``block_bytes`` of text.
+
+    Items are dealt to blocks by a hash; a task makes and writes a block, and the driver gets the paths.
+    """
     spark = benchmark.sparkSession
     rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), utf8(text).alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    folder, paths = shared_folder(spark), []
-    for block in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).distinct().collect()
-        paths.append(f"{folder}/phrases-{block}")
-        write_shared(paths[-1], pickle.dumps(phrases_of(sorted((str(r[0]), bytes(r[1])) for r in part), window)))
-    return paths
+    folder = shared_folder(spark)
+
+    def write(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        found = sorted(zip(map(str, table["item"].to_pylist()), table["text"].to_pylist()))
+        write_shared(f"{folder}/phrases-{block}", pickle.dumps(phrases_of(found, window)))
+        return pa.table({"block": pa.array([block], pa.int64())})
+
+    written = (rows.distinct().withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+               .groupBy("block").applyInArrow(write, "block bigint").collect())
+    return [f"{folder}/phrases-{r['block']}" for r in sorted(written)]
 
 
 def search_shard(words: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
