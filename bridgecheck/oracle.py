@@ -297,6 +297,16 @@ ORACLE: dict[str, str] = {
             CAST(NULL AS BIGINT) AS item_price, CAST(NULL AS BIGINT) AS item_original_price,
             CAST(trunc(value) AS BIGINT) AS item_quantity
         FROM events""",
+    "backfill_failing_days": f"""
+        SELECT {_day('d.period')} AS period, CASE WHEN coalesce(g.bad, 0) = 0 THEN coalesce(g.n, 0) END AS rows,
+            CASE WHEN g.bad > 0 THEN 'failed' WHEN g.n > 0 THEN 'replaced' ELSE 'empty' END AS status,
+            CASE WHEN g.bad > 0 THEN 'values that do not fit: quantity' END AS error,
+            nullif(CASE WHEN g.bad > 0 THEN g.views ELSE g.n END, 0) AS held,
+            CASE WHEN g.bad > 0 THEN nullif(g.views, 0) ELSE g.ids END AS quantity
+        FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS period) d
+        LEFT JOIN (SELECT CAST(ts AS DATE) AS period, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids,
+                count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (day(ts) % 5 = 2 AND event_id % 3 = 1) AS bad
+            FROM events GROUP BY 1) g ON d.period = g.period""",
     "export_batch_days": f"""
         SELECT {_day('ts')} AS dt, event_id AS id, {_second('ts')} AS created_at, {_second('ts')} AS updated_at,
             event_type AS batch_type, value AS latitude, user_id AS warehouse_id, CAST(NULL AS VARCHAR) AS launch_id
@@ -329,3 +339,7 @@ ORACLE: dict[str, str] = {
     "land_log_days": _LOGS.replace("{columns}", f"""{_day('ts')} AS dt, coalesce(record, trim(line)) AS text,
         CASE WHEN record IS NULL THEN 'not a JSON line' END AS error"""),
 }
+ORACLE["export_delivered_structs"] = ORACLE["export_delivered_days"]
+ORACLE["catalogue_brief_files"] = f"""
+    SELECT line, count(*) AS n FROM (SELECT unnest(string_split(value, chr(10))) AS line FROM ({ORACLE["catalogue_small_document"]}))
+    GROUP BY line"""

@@ -19,7 +19,7 @@ from daybridge.plans.datasets import DATASETS
 from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
 from daybridge.plans.landing import land_days, land_rows
 from daybridge.session import prepare, shared_folder
-from daybridge.sinks.catalogue import catalogue_xml
+from daybridge.sinks.catalogue import catalogue_xml, catalogue_xml_lite
 from daybridge.sinks.files import write_json
 from daybridge.sinks.landing import land
 from daybridge.sinks.partitions import row_bytes, write_partition, write_split
@@ -335,6 +335,23 @@ def export_day_range(spark, sf_dir):
     return _text_dates(done.select("dt", "id", "created_at", "created_by", "quantity", "launch_id", "is_deleted"))
 
 
+@registered
+def backfill_failing_days(spark, sf_dir):
+    """Every day exported twice, the second time with values that do not fit on some days: those are reported and keep
+    their rows of the first time, the others have the new ones. Per day the report and what the table holds."""
+    path = shared_folder(spark)
+    events = table(spark, sf_dir, "events")
+    source = events.selectExpr(
+        "event_id AS id", "ts AS created_at", "user_id AS created_by", "event_type AS launch_id",
+        "CASE WHEN day(ts) % 5 = 2 AND event_id % 3 = 1 THEN 'many' ELSE CAST(event_id AS STRING) END AS quantity")
+    export_days(source.where("launch_id = 'view'").withColumn("quantity", F.lit(1)), "operations", path, EVENT_FIRST, EVENT_LAST)
+    done = backfill(spark, lambda a, b: export_days(source, "operations", path, a, b, cast_mode="isolate"),
+                    EVENT_FIRST, EVENT_LAST, raise_on_failure=False)
+    held = spark.read.parquet(path).groupBy(F.col("dt").alias("period")).agg(
+        F.count("*").alias("held"), F.sum("quantity").alias("quantity"))
+    return _text_dates(done.join(held, "period", "left").select("period", "rows", "status", "error", "held", "quantity"))
+
+
 @registered
 def export_catalogue_snapshot(spark, sf_dir):
     path = shared_folder(spark)
@@ -566,6 +583,15 @@ def catalogue_small_document(spark, sf_dir):
     return lines.select("kind", "value")
 
 
+@registered
+def catalogue_brief_files(spark, sf_dir):
+    """The brief document of all products written as files, and every line of them read back."""
+    path = shared_folder(spark)
+    catalogue_xml_lite(view(spark, sf_dir, "merchant_products"), path, dt.datetime(2026, 2, 2, 10, 0), order_by="id",
+                       max_offers=1000)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 # --- exports of every dataset -----------------------------------------------------------------
 
 def _exported(spark, sf_dir, name: str, source: DataFrame, *columns: str) -> DataFrame:
@@ -611,6 +637,18 @@ def export_delivered_days(spark, sf_dir):
             "name", "id", "price", "original_price", "quantity")])
 
 
+@registered
+def export_delivered_structs(spark, sf_dir):
+    """The same export with single nested items: selected, conformed, written by day and read back."""
+    source = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS order_id", "ts AS order_creation_time", "user_id", "event_type AS name",
+        "named_struct('quantity', value, 'name', event_type, 'id', event_id) AS delivered_products")
+    path = shared_folder(spark)
+    export_days(source, "delivered_orders", path, EVENT_FIRST, EVENT_LAST, nested_as="struct")
+    items = [F.col(f"delivered_products.{n}").alias(f"item_{n}") for n in ("name", "id", "price", "original_price", "quantity")]
+    return _text_dates(spark.read.parquet(path).select("dt", "order_id", "order_creation_time", "user_id", "name", *items))
+
+
 @registered
 def export_batch_days(spark, sf_dir):
     source = table(spark, sf_dir, "events").selectExpr(

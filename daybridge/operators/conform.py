@@ -108,6 +108,16 @@ def loss_counts(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
             for path, lost in _losses(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name)}
 
 
+def lost_leaf(df: DataFrame, schema: T.StructType) -> Column:
+    """The path of the first leaf, in the order of the schema, of which a permissive conform of the row makes
+    a value NULL; NULL where all values fit."""
+    _fitted(df, schema, "permissive")  # raises on shapes that do not go together
+    have = {f.name: f.dataType for f in df.schema}
+    lost = [F.when(count > 0, F.lit(path)) for f in sanitize(schema) if f.name in have
+            for path, count in _losses(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name)]
+    return F.coalesce(*lost, F.lit(None).cast("string"))
+
+
 def conform_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per leaf, nested ones included, how many values a permissive conform turns into NULL."""
     counts = loss_counts(df, schema)

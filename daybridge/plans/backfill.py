@@ -34,7 +34,8 @@ def backfill(spark: SparkSession, run: Callable[[dt.date, dt.date], DataFrame],
 
     ``run`` does its range in one job and returns rows per period, as ``write_partition`` does.
     When it fails, the range is halved and both halves run again, down to single periods: good
-    periods are done, bad ones are named. ``raise_on_failure`` raises at the end if any failed.
+    periods are done, bad ones are named. A ``run`` that reports periods as failed itself, as exports
+    with ``cast_mode="isolate"`` do, is not called again. ``raise_on_failure`` raises at the end if any failed.
     Reversed bounds do nothing. Without an end the range ends today in UTC, without a start it
     begins two days before its end.
     """
@@ -47,7 +48,7 @@ def backfill(spark: SparkSession, run: Callable[[dt.date, dt.date], DataFrame],
     while waiting:
         part = waiting.pop()
         try:
-            outcome += [(r["period"], r["rows"], r["status"], None) for r in run(part[0], part[-1]).collect()]
+            outcome += [(r["period"], r["rows"], r["status"], r.asDict().get("error")) for r in run(part[0], part[-1]).collect()]
         except Exception as error:  # whatever went wrong belongs in the report
             if len(part) == 1:
                 logger.error("period %s failed: %s", part[0], error)

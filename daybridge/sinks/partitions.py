@@ -23,6 +23,7 @@ MODES = ("replace", "append")
 LAYOUTS = ("clustered", "as_is")
 
 REPORT = "period date, rows long, status string"
+FAILING_REPORT = f"{REPORT}, error string"
 
 
 class WriteMismatch(RuntimeError):
@@ -107,6 +108,14 @@ def drop_staged(spark: SparkSession, stage: str) -> None:
     store.delete(hadoop.Path(stage), True)
 
 
+def replace_folder(spark: SparkSession, stage: str, path: str) -> None:
+    """Put a finished folder in the place of another, in the same store."""
+    hadoop, store = _store(spark, path)
+    store.delete(hadoop.Path(path), True)
+    if not store.rename(hadoop.Path(stage), hadoop.Path(path)):
+        raise OSError(f"cannot move {stage} to {path}")
+
+
 def _empty_file(spark: SparkSession, stage: str, column: str, schema: T.StructType, compression: str) -> None:
     """One file without rows below the staged folder, which the store copies to empty periods."""
     body = T.StructType([f for f in schema if f.name != column])
@@ -193,7 +202,8 @@ def _guarded(column: str, periods: list[dt.date] | None) -> Column:
 
 def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "replace",
                     spine: DataFrame | None = None, layout: str | None = None, compression: str = "gzip",
-                    max_records_per_file: int | None = None, mark_empty: bool = True) -> DataFrame:
+                    max_records_per_file: int | None = None, mark_empty: bool = True,
+                    failing: str | None = None) -> DataFrame:
     """Write rows into period folders and report rows per period.
 
     ``replace`` swaps exactly the periods written, and with a ``spine`` also every period of it
@@ -209,6 +219,10 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     ``layout="clustered"`` (default) brings a period's rows together first, so files do not
     multiply as tasks x periods; it lets Spark cut a large period into several tasks. ``"as_is"``
     writes without a shuffle, a file for each task.
+
+    ``failing`` names a text column that says why a row fails its period, NULL for sound rows. It is
+    observed in the job that writes, and not written: periods with such rows stay as they were and are reported
+    as ``failed`` with an ``error``, in a column of its own, and the others are published.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -219,15 +233,22 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     spark = df.sparkSession
     periods = _periods(spine)
     if periods is not None and not periods:
-        return spark.createDataFrame([], REPORT)
+        return spark.createDataFrame([], REPORT if failing is None else FAILING_REPORT)
 
     stage = staged_path(path)
     guarded = df.withColumn(column, _guarded(column, periods))
+    schema = df.schema if failing is None else T.StructType([f for f in df.schema if f.name != failing])
     if layout != "as_is":
         guarded = guarded.hint("rebalance", column)
     # Observed behind the shuffle: only tasks that commit files are counted.
     seen = Observation()
-    guarded = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(column).alias("periods"))
+    sums = [F.count(F.lit(1)).alias("rows"), F.collect_set(column).alias("periods")]
+    if failing is not None:  # at most as many as there are periods times reasons
+        sums.append(F.collect_set(F.when(F.col(failing).isNotNull(), F.struct(F.col(column).alias("period"), F.col(failing).alias("why"))))
+                    .alias("failing"))
+    guarded = guarded.observe(seen, *sums)
+    if failing is not None:
+        guarded = guarded.drop(failing)
 
     writer = guarded.write.partitionBy(column).option("compression", compression)
     if max_records_per_file:
@@ -236,20 +257,29 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
         writer.parquet(stage)
         found = observed(seen)
         written = sorted(found.get("periods", []))
-        now = counted(spark, stage, path, column, df.schema, written, found.get("rows", 0))
+        now = counted(spark, stage, path, column, schema, written, found.get("rows", 0))
+        failed: dict[dt.date, list[str]] = {}
+        for row in found.get("failing", []):
+            failed.setdefault(row["period"], []).append(row["why"])
         empty = sorted(set(periods or []) - set(written)) if mode == "replace" else []
         if empty and not mark_empty:
-            old = _existing(spark, path, column, df.schema, empty)
+            old = _existing(spark, path, column, schema, empty)
             empty = [day for day in empty if old.get(day)]
         if empty:
-            _empty_file(spark, stage, column, df.schema, compression)
+            _empty_file(spark, stage, column, schema, compression)
     except BaseException:
         drop_staged(spark, stage)
         raise
-    publish(spark, stage, path, column, written, empty, mode)
+    publish(spark, stage, path, column, [day for day in written if day not in failed], empty, mode)
     done = "replaced" if mode == "replace" else "appended"
-    report = [(day, now.get(day, 0), done if day in now else "empty") for day in periods or written]
-    return spark.createDataFrame(report, REPORT)
+    if failing is None:
+        report = [(day, now.get(day, 0), done if day in now else "empty") for day in periods or written]
+        return spark.createDataFrame(report, REPORT)
+    for day, reasons in sorted(failed.items()):
+        logger.error("%s: %s is as it was: %s", path, day, "; ".join(sorted(reasons)))
+    return spark.createDataFrame(
+        [(day, None, "failed", "; ".join(sorted(failed[day]))) if day in failed
+         else (day, now.get(day, 0), done if day in now else "empty", None) for day in periods or written], FAILING_REPORT)
 
 
 def counted(spark: SparkSession, stage: str, path: str, column: str, schema: T.StructType, written: list[dt.date],
@@ -323,7 +353,7 @@ def _numbered_files(rows: DataFrame, column: str, max_bytes: int) -> tuple[DataF
 
 
 def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", spine: DataFrame | None = None,
-                mode: str = "replace") -> DataFrame:
+                mode: str = "replace", failing: str | None = None) -> DataFrame:
     """``write_partition`` with files of at most ``max_bytes`` of Arrow memory each, in one write.
 
     Every row is measured. Rows of more than half the bound get files of their own, the others are
@@ -341,11 +371,12 @@ def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", sp
     names = {c: f"column {i}" if c.lower() in taken else c for i, c in enumerate(df.columns)}
     stage = shared_folder(spark)
     (df.withColumn(column, _guarded(column, _periods(spine))).withColumnsRenamed(names)
-     .select("*", row_bytes(T.StructType([T.StructField(names[f.name], f.dataType) for f in df.schema]), column).alias("bytes"),
+     .select("*", row_bytes(T.StructType([T.StructField(names[f.name], f.dataType) for f in df.schema if f.name != failing]), column)
+             .alias("bytes"),
              F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")).write.parquet(stage))
     rows = spark.read.parquet(stage)
     filed, files = _numbered_files(rows, column, max_bytes)
     if files:
         filed = filed.repartitionById(files, "file")
     result = filed.select(*[F.col(f"`{names[c]}`").alias(c) for c in df.columns])
-    return write_partition(result, path, column, mode, spine, layout="as_is")
+    return write_partition(result, path, column, mode, spine, layout="as_is", failing=failing)

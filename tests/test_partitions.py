@@ -189,6 +189,26 @@ def test_write_json(spark, folder):
     assert glob.glob(f"{folder}/none*") == []
 
 
+def test_write_json_runs_its_input_once_and_keeps_the_old_files(spark, folder):
+    ran = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        ran.add(1)
+        return n
+
+    rows = spark.range(100, numPartitions=1).select(counted.asNondeterministic()("id").alias("id"))
+    write_json(rows.groupBy("id").count(), f"{folder}/j")
+    assert ran.value == 100 and spark.read.json(f"{folder}/j").count() == 100
+    with pytest.raises(EmptyExport):
+        write_json(rows.where("id < 0"), f"{folder}/j")
+    with pytest.raises(Exception, match="no way"):
+        write_json(spark.range(5).select(F.raise_error(F.lit("no way")).alias("x")), f"{folder}/j")
+    assert spark.read.json(f"{folder}/j").count() == 100
+    write_json(spark.range(3), f"{folder}/j")
+    assert spark.read.json(f"{folder}/j").count() == 3 and glob.glob(f"{folder}/j_*") == []
+
+
 def at(text):
     return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
 
@@ -263,6 +283,52 @@ def test_backfill_names_the_bad_days_and_does_the_others(spark):
     assert caught.value.outcome.count() == 10
 
 
+@pytest.mark.parametrize("mode", ["replace", "append"])
+def test_failing_rows_fail_their_period_alone(spark, folder, mode):
+    spine = day_spine(spark, "2026-01-01", "2026-01-04")
+    old = spark.sql("SELECT explode(sequence(DATE '2026-01-01', DATE '2026-01-04')) AS dt, 0L AS v")
+    write_partition(old, f"{folder}/t", spine=spine)
+    new = spark.createDataFrame([(D(2026, 1, 1), 1, None), (D(2026, 1, 2), 2, None), (D(2026, 1, 2), 3, "too large"),
+                                 (D(2026, 1, 2), 4, "too small"), (D(2026, 1, 3), 5, "too large")], "dt date, v long, why string")
+    found = write_partition(new, f"{folder}/t", mode=mode, spine=spine, failing="why")
+    done = "replaced" if mode == "replace" else "appended"
+    assert [tuple(r) for r in found.orderBy("period").collect()] == [
+        (D(2026, 1, 1), 1, done, None), (D(2026, 1, 2), None, "failed", "too large; too small"),
+        (D(2026, 1, 3), None, "failed", "too large"), (D(2026, 1, 4), 0, "empty", None)]
+    table = spark.read.parquet(f"{folder}/t")
+    assert table.columns == ["v", "dt"]
+    kept = [(D(2026, 1, 2), 0), (D(2026, 1, 3), 0)]
+    assert sorted((r.dt, r.v) for r in table.collect()) == sorted(
+        kept + ([(D(2026, 1, 1), 1)] if mode == "replace" else [(D(2026, 1, 1), 0), (D(2026, 1, 1), 1), (D(2026, 1, 4), 0)]))
+    assert glob.glob(f"{folder}/t/_staged*") == []
+
+
+def test_one_bad_day_of_a_year_is_one_call(spark, folder):
+    source = spark.sql("SELECT id, timestamp '2026-01-01 10:00:00' + make_dt_interval(CAST(id AS INT)) AS created_at, "
+                       "if(id = 100, 'many', CAST(id AS STRING)) AS quantity FROM range(365)")
+    calls = []
+
+    def run(first, last):
+        calls.append((first, last))
+        return export_days(source, "operations", f"{folder}/t", first, last, cast_mode="isolate")
+
+    with pytest.raises(RangeFailed, match="2026-04-11") as caught:
+        backfill(spark, run, "2026-01-01", "2026-12-31")
+    assert len(calls) == 1 and caught.value.failed == [D(2026, 4, 11)]
+    assert caught.value.outcome.where("status = 'failed'").first().error == "values that do not fit: quantity"
+    assert spark.read.parquet(f"{folder}/t").count() == 364
+
+
+def test_split_files_of_failing_days_are_not_published(spark, folder):
+    source = spark.createDataFrame([(i, at(f"2026-01-0{1 + i % 2} 10:00:00"), '{"user_agent":"partnerapp"}', "x" if i == 41 else "1")
+                                    for i in range(100)],
+                                   "event_id long, event_time timestamp, event_properties string, adid string")
+    found = export_partner_events(source, f"{folder}/t", "2026-01-01", "2026-01-02", "partnerapp", "mini", 4096, "isolate")
+    assert [(r.period, r.rows, r.status) for r in found.orderBy("period").collect()] == [
+        (D(2026, 1, 1), 50, "replaced"), (D(2026, 1, 2), None, "failed")]
+    assert spark.read.parquet(f"{folder}/t").count() == 50
+
+
 def test_backfill_of_reversed_bounds(spark):
     calls = []
     assert backfill(spark, _runner(spark, calls, []), "2026-01-02", "2026-01-01").count() == 0
