@@ -200,10 +200,27 @@ def _guarded(column: str, periods: list[dt.date] | None) -> Column:
     return F.when(F.coalesce(allowed, F.lit(False)), day).otherwise(F.raise_error(message).cast("date"))
 
 
+def _lift_files(spark: SparkSession, stage: str, column: str, days: list[dt.date]) -> None:
+    """Files of the numbered folders inside staged periods are put right below the period, the number in their names."""
+    hadoop, store = _store(spark, stage)
+
+    def lift(day: dt.date) -> None:
+        period = hadoop.Path(_folder(stage, column, day))
+        for folder in store.listStatus(period):
+            number = int(folder.getPath().getName().rsplit("=", 1)[1])
+            for file in store.listStatus(folder.getPath()):
+                name = f"part-{number:07d}-{file.getPath().getName().removeprefix('part-')}"
+                if not store.rename(file.getPath(), hadoop.Path(period, name)):
+                    raise OSError(f"cannot move {file.getPath()} to {period}")
+            store.delete(folder.getPath(), True)
+
+    _each(lift, days)
+
+
 def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "replace",
                     spine: DataFrame | None = None, layout: str | None = None, compression: str = "gzip",
                     max_records_per_file: int | None = None, mark_empty: bool = True,
-                    failing: str | None = None) -> DataFrame:
+                    failing: str | None = None, file_number: str | None = None) -> DataFrame:
     """Write rows into period folders and report rows per period.
 
     ``replace`` swaps exactly the periods written, and with a ``spine`` also every period of it
@@ -223,6 +240,9 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     ``failing`` names a text column that says why a row fails its period, NULL for sound rows. It is
     observed in the job that writes, and not written: periods with such rows stay as they were and are reported
     as ``failed`` with an ``error``, in a column of its own, and the others are published.
+
+    ``file_number`` names an integer column, not written either: each task sorts its rows by it and starts a
+    new file where it changes.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -237,7 +257,7 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
 
     stage = staged_path(path)
     guarded = df.withColumn(column, _guarded(column, periods))
-    schema = df.schema if failing is None else T.StructType([f for f in df.schema if f.name != failing])
+    schema = T.StructType([f for f in df.schema if f.name not in (failing, file_number)])
     if layout != "as_is":
         guarded = guarded.hint("rebalance", column)
     # Observed behind the shuffle: only tasks that commit files are counted.
@@ -250,13 +270,15 @@ def write_partition(df: DataFrame, path: str, column: str = "dt", mode: str = "r
     if failing is not None:
         guarded = guarded.drop(failing)
 
-    writer = guarded.write.partitionBy(column).option("compression", compression)
+    writer = guarded.write.partitionBy(*filter(None, (column, file_number))).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     try:
         writer.parquet(stage)
         found = observed(seen)
         written = sorted(found.get("periods", []))
+        if file_number is not None:
+            _lift_files(spark, stage, column, written)
         now = counted(spark, stage, path, column, schema, written, found.get("rows", 0))
         failed: dict[dt.date, list[str]] = {}
         for row in found.get("failing", []):
@@ -352,13 +374,18 @@ def _numbered_files(rows: DataFrame, column: str, max_bytes: int) -> tuple[DataF
             .withColumn("file", F.when(alone, own).otherwise(shared).cast("int"))), first
 
 
+# Tasks that a split is written by at most.
+SPLIT_TASKS = 4096
+
+
 def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", spine: DataFrame | None = None,
-                mode: str = "replace", failing: str | None = None) -> DataFrame:
+                mode: str = "replace", failing: str | None = None, max_tasks: int = SPLIT_TASKS) -> DataFrame:
     """``write_partition`` with files of at most ``max_bytes`` of Arrow memory each, in one write.
 
     Every row is measured. Rows of more than half the bound get files of their own, the others are
     packed by a running total, so that files are filled up to the widest of them. Only a single row
-    above the bound makes a file above it, which is logged. A file is written by one task.
+    above the bound makes a file above it, which is logged. A file is written by one task, and more files than
+    ``max_tasks`` several by each, one after the other: the files are the same.
 
     The rows are first written to the shared folder with their sizes: an expensive selection runs
     once, and a retried task finds every row at its place.
@@ -376,7 +403,12 @@ def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", sp
              F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")).write.parquet(stage))
     rows = spark.read.parquet(stage)
     filed, files = _numbered_files(rows, column, max_bytes)
+    each = -(-files // max_tasks)
     if files:
-        filed = filed.repartitionById(files, "file")
-    result = filed.select(*[F.col(f"`{names[c]}`").alias(c) for c in df.columns])
-    return write_partition(result, path, column, mode, spine, layout="as_is", failing=failing)
+        filed = filed.repartitionById(-(-files // each), F.floor(F.col("file") / each).cast("int"))
+    columns = [F.col(f"`{names[c]}`").alias(c) for c in df.columns]
+    if each <= 1:
+        return write_partition(filed.select(*columns), path, column, mode, spine, layout="as_is", failing=failing)
+    number = f"file-{uuid.uuid4().hex}"
+    return write_partition(filed.select(*columns, F.col("file").alias(number)), path, column, mode, spine, layout="as_is",
+                           failing=failing, file_number=number)

@@ -319,6 +319,24 @@ def test_one_bad_day_of_a_year_is_one_call(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 364
 
 
+def test_split_by_a_few_tasks_makes_the_same_files(spark, folder):
+    rows = spark.range(3000, numPartitions=3).selectExpr("id", "repeat('x', CAST(id % 50 AS INT)) AS file",
+                                                         "date_add(DATE '2026-01-01', CAST(id % 3 AS INT)) AS dt")
+    files = []
+    for tasks in (4096, 2, 7):
+        path = f"{folder}/t{tasks}"
+        for _ in range(2):
+            report_ = write_split(rows, path, 2048, spine=day_spine(spark, "2026-01-01", "2026-01-04"), max_tasks=tasks)
+        assert report(report_) == [(D(2026, 1, d), 1000 if d < 4 else 0, "replaced" if d < 4 else "empty") for d in (1, 2, 3, 4)]
+        table = spark.read.parquet(path)
+        assert table.columns == ["id", "file", "dt"] and table.select("id").distinct().count() == table.count() == 3000
+        files.append(sorted((r.dt, tuple(sorted(r.ids))) for r in table.groupBy("dt", F.input_file_name().alias("f"))
+                            .agg(F.collect_list("id").alias("ids")).collect()))
+        assert sorted(os.path.basename(p) for p in glob.glob(f"{path}/*")) == sorted(
+            ["_SUCCESS"] * os.path.exists(f"{path}/_SUCCESS") + [f"dt=2026-01-0{d}" for d in (1, 2, 3, 4)])
+    assert files[0] == files[1] == files[2] and len(files[0]) > 50
+
+
 def test_split_files_of_failing_days_are_not_published(spark, folder):
     source = spark.createDataFrame([(i, at(f"2026-01-0{1 + i % 2} 10:00:00"), '{"user_agent":"partnerapp"}', "x" if i == 41 else "1")
                                     for i in range(100)],
