@@ -33,6 +33,25 @@ def _same_shape(source: T.DataType, target: T.DataType) -> bool:
     return not isinstance(source, nested) and not isinstance(target, nested)
 
 
+def _flat(kind: T.DataType) -> bool:
+    """A struct of plain values."""
+    return isinstance(kind, T.StructType) and not any(
+        isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType, T.NullType)) for f in kind)
+
+
+def _fit_items(value: Column, source: T.StructType, target: T.StructType, item_by_item: Column) -> Column:
+    """A list of flat structs with its fields in another order or number, put together from lists of each field.
+
+    That is generated code, which ``item_by_item`` is not, but it would make NULL items structs of NULLs. A search
+    for such a struct finds one, or tells by its NULL that there are NULL items: those lists go item by item.
+    """
+    have = {f.name: f.dataType for f in source}
+    nulls = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in source])
+    lists = [value.getField(f.name).cast(T.ArrayType(f.dataType)) if f.name in have
+             else F.array_repeat(F.lit(None).cast(f.dataType), F.size(value)) for f in target]
+    return F.when(~F.array_contains(value, nulls), F.arrays_zip(*lists).cast(T.ArrayType(target))).otherwise(item_by_item)
+
+
 def _fit(value: Column, source: T.DataType, target: T.DataType, mode: str, where: str) -> Column:
     """``value`` as ``target``; struct fields pair by name at every depth."""
     if source == target:
@@ -49,7 +68,11 @@ def _fit(value: Column, source: T.DataType, target: T.DataType, mode: str, where
         ]
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
-        return F.transform(value, lambda item: _fit(item, source.elementType, target.elementType, mode, f"{where}[]"))
+        fitted = F.transform(value, lambda item: _fit(item, source.elementType, target.elementType, mode, f"{where}[]"))
+        if mode == "strict" and _flat(source.elementType) and _flat(target.elementType) \
+                and set(source.elementType.names) & set(target.elementType.names):
+            return _fit_items(value, source.elementType, target.elementType, fitted)
+        return fitted
     nested = (T.StructType, T.ArrayType, T.MapType)
     if isinstance(source, nested) or isinstance(target, nested):
         if not isinstance(source, T.NullType):

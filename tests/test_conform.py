@@ -143,3 +143,22 @@ def test_permissive_export_reports_its_losses(spark, folder, caplog):
         export_days(source, "cancelled_orders", f"{folder}/t", "2026-01-01", "2026-01-01", cast_mode="permissive")
     assert "cart[].id: 2" in caplog.text and "order_id: 1" in caplog.text and "quantity" not in caplog.text
     assert spark.read.parquet(f"{folder}/t").count() == 2
+
+
+def test_reordered_items_are_the_same_by_list_and_by_item(spark):
+    """Lists of flat items are put together from their fields; NULL lists, NULL items and items of NULLs stay what they are."""
+    source = spark.createDataFrame(
+        [(1, [(1.0, "a", 7), (2.0, None, 8)]), (2, []), (3, None), (4, [None]), (5, [(3.0, "c", 9), None]),
+         (6, [(None, None, None)]), (7, [(None, None, None), None, (4.0, "d", None)])],
+        "id long, cart array<struct<price double, name string, extra int>>")
+    schema = T.StructType.fromDDL("id long, cart array<struct<name string, id long, price long>>")
+    found = {r.id: r.cart if r.cart is None else [i and tuple(i) for i in r.cart] for r in conform(source, schema).collect()}
+    assert found == {1: [("a", None, 1), (None, None, 2)], 2: [], 3: None, 4: [None], 5: [("c", None, 3), None],
+                     6: [(None, None, None)], 7: [(None, None, None), None, ("d", None, 4)]}
+    assert conform(source, schema).schema["cart"].dataType == schema["cart"].dataType
+    tight = spark.sql("SELECT 1L AS id, array(named_struct('price', 1D, 'name', 'a')) AS cart")
+    assert [tuple(i) for i in conform(tight, schema).first().cart] == [("a", None, 1)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(spark.sql("SELECT 1L AS id, array(named_struct('price', 'many', 'name', 'a')) AS cart"), schema).collect()
+    assert conform(spark.sql("SELECT 1L AS id, array(named_struct('price', 'many', 'name', 'a')) AS cart"), schema,
+                   "permissive").first().cart[0].price is None
