@@ -1,8 +1,11 @@
+import itertools
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 
-from daybridge.llm.langid import LanguageModel, identify, learn, trigrams
+from daybridge.llm.langid import PENALTY, LanguageModel, identify, learn, trigrams
 from daybridge.llm.queries import QUERIES
 
 
@@ -30,6 +33,44 @@ def test_proportions_of_a_mixed_text(spark, documents):
     assert [model.languages[m] for m in members] == ["es"]
 
 
+def _plain_mixture(chances, counts, languages, penalty):
+    """The best set of all sets by penalised likelihood: proportions by expectation-maximisation in plain Python."""
+    size, best = sum(counts.values()), None
+    for members in itertools.chain(*(itertools.combinations(range(languages), k) for k in range(1, languages + 1))):
+        share = [1 / len(members)] * len(members)
+        for _ in range(150 if len(members) > 1 else 1):
+            given = [0.0] * len(members)
+            for gram, times in counts.items():
+                parts = [s * chances[gram][m] for s, m in zip(share, members)]
+                whole = sum(parts)
+                for i, part in enumerate(parts):
+                    given[i] += times * part / whole
+            share = [g / size for g in given]
+        likelihood = sum(times * math.log(sum(s * chances[gram][m] for s, m in zip(share, members))) for gram, times in counts.items())
+        score = likelihood - penalty * math.log(size + 1) * (len(members) - 1)
+        if best is None or score > best[0]:
+            best = score, dict(zip(members, share))
+    return best[1]
+
+
+def test_mixtures_against_every_set_of_languages(documents):
+    model = learn(documents)
+    texts = {name: " ".join(r.text for r in documents.where(f"lang = '{name}'").limit(6).collect()) for name in model.languages}
+    first, second, third, fourth = model.languages
+    mixed = [texts[first][:900], texts[second][:400] + " " + texts[third][:700], texts[fourth][:500] + " " + texts[first][:1200],
+             texts[first][:600] + " " + texts[second][:600] + " " + texts[third][:600], texts[third][:40], texts[second][:1500] + texts[fourth][:60]]
+    for text in mixed:
+        grams = trigrams(text.encode())
+        counts = Counter(grams.tolist())
+        wanted = _plain_mixture({g: model.probability[g].astype(float).tolist() for g in counts}, counts, 4, PENALTY)
+        start = int(np.log(model.probability[grams].astype(float)).sum(0).argmax())
+        members, share = model.mixture(grams, start)
+        assert set(members) == set(wanted)
+        assert all(abs(s - wanted[m]) < 0.02 for m, s in zip(members, share))
+        top, _ = model.predict([text.encode()])
+        assert wanted[top[0]] > max(wanted.values()) - 0.02
+
+
 def test_skipping_is_exact(documents):
     """The gradient bound: where no mixture can pay the penalty, forward selection adds none."""
     model = learn(documents)
