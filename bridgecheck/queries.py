@@ -24,8 +24,7 @@ from daybridge.sinks.files import write_json
 from daybridge.sinks.landing import land
 from daybridge.sinks.partitions import row_bytes, write_partition, write_split
 from daybridge.sources.envelope import unwrap_envelope
-from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, read_wrapped_parquet,
-                                      split_log_lines, unwrap_parquet)
+from daybridge.sources.landed import landed_files, parse_log_lines, read_log_lines, read_wrapped_parquet
 from daybridge.sources.scans import snapshot, table_scan
 from bridgecheck.views import AGENT, APP, table, view
 
@@ -390,27 +389,11 @@ def log_records(spark, sf_dir):
     return _text_dates(parsed.select("dt", "record", "error"))
 
 
-def _gzipped(lines: DataFrame) -> DataFrame:
-    """Lines as gzip files held in a column, one per batch of a task."""
-    def files(batches):
-        import gzip
-
-        import pyarrow as pa
-
-        for batch in batches:
-            if batch.num_rows:
-                text = "\n".join(line or "" for line in batch.column("line").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"lines-{batch.num_rows}"]), pa.array([gzip.compress(text.encode(), 1)], pa.binary())],
-                    names=["path", "content"])
-    return lines.select("line").mapInArrow(files, "path string, content binary")
-
-
 @registered
 def log_records_by_file(spark, sf_dir):
-    lines = split_log_lines(_gzipped(view(spark, sf_dir, "log_lines")))
-    parsed = parse_log_lines(lines.withColumn("line", F.btrim("line")).where("line <> ''"))
-    return parsed.select("record", "error")
+    """Log files of which damaged ones would be rejected by themselves."""
+    lines = read_log_lines(spark, _write_logs(spark, sf_dir), pattern="*.txt.gz", unreadable="reject")
+    return parse_log_lines(lines).select("record", "error")
 
 
 @registered
@@ -444,33 +427,6 @@ def land_table_rows(spark, sf_dir):
     return _text_dates(spark.read.parquet(path).select("dt", "raw_data", "created_at"))
 
 
-def _wrap(rows: DataFrame) -> DataFrame:
-    """Rows as gzip-wrapped Parquet files held in a column, one per batch of a task."""
-    def files(batches):
-        import gzip
-        import io
-
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            if batch.num_rows:
-                sink = io.BytesIO()
-                pq.write_table(pa.Table.from_batches([batch]), sink)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"rows-{batch.num_rows}"]), pa.array([gzip.compress(sink.getvalue(), 1)], pa.binary())],
-                    names=["path", "content"])
-    return rows.mapInArrow(files, "path string, content binary")
-
-
-@registered
-def wrapped_parquet(spark, sf_dir):
-    files = _wrap(table(spark, sf_dir, "customer"))
-    schema = T.StructType.fromDDL(
-        "c_name STRING, c_custkey BIGINT, c_nationkey BIGINT, c_acctbal DOUBLE, c_comment STRING")
-    return unwrap_parquet(files, schema).drop("source_file", "source_bytes")
-
-
 def _write_wrapped(rows: DataFrame, path: str, damaged: bool = False) -> None:
     """Rows as gzip-wrapped Parquet files in the folder of their day, each written by a task."""
     def write(batches):
@@ -501,6 +457,15 @@ def _write_wrapped(rows: DataFrame, path: str, damaged: bool = False) -> None:
     rows.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
 
 
+@registered
+def wrapped_parquet(spark, sf_dir):
+    path = shared_folder(spark)
+    _write_wrapped(table(spark, sf_dir, "customer").withColumn("dt", F.lit(dt.date(2026, 1, 1))), path)
+    schema = T.StructType.fromDDL(
+        "c_name STRING, c_custkey BIGINT, c_nationkey BIGINT, c_acctbal DOUBLE, c_comment STRING")
+    return read_wrapped_parquet(spark, path, schema).drop("source_file", "source_bytes", "dt")
+
+
 @registered
 def wrapped_parquet_files(spark, sf_dir):
     """Day folders of wrapped Parquet: sound files, files with narrower keys, and one that is damaged."""

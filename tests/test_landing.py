@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybridge.functions.stores import store_of
 from daybridge.plans import landing
 from daybridge.plans.landing import file_records, land_days, land_files, land_responses, land_rows
 from daybridge.plans.datasets import DATASETS
@@ -20,6 +21,7 @@ from daybridge.session import shared_folder
 from daybridge.sinks.files import EmptyExport
 from daybridge.sinks.landing import land
 from daybridge.sources.envelope import unwrap_envelope
+from daybridge.sources import landed as landed_module
 from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, read_wrapped_parquet,
                                       wrapped_schema)
 
@@ -334,6 +336,30 @@ def test_wrapped_parquet_is_taken_whole_or_not_at_all(spark, folder):
     assert sorted(r.source_file[-12:] for r in rows if r.error) == ["b.parquet.gz", "c.parquet.gz"]
 
 
+def test_wrapped_parquet_is_read_as_plain_parquet(spark, folder, monkeypatch):
+    """Columns and filters reach the scan of the unpacked files, names may hold any character, and nothing else stays."""
+    wrapped(folder, "a b%20#é.parquet.gz", pd.DataFrame({"id": range(50_000), "x": ["y" * 20] * 50_000}))
+    wrapped(folder, "empty.parquet.gz", pd.DataFrame({"id": pd.Series([], dtype="int64")}))
+    root = f"{folder}/work"
+    monkeypatch.setattr(landed_module, "shared_folder", lambda session: root)
+    rows = read_wrapped_parquet(spark, f"{folder}/in", T.StructType.fromDDL("x string, id long, source_bytes_of long"))
+    assert rows.where("error IS NOT NULL").count() == 0 and rows.count() == 50_000
+    few = rows.where("id >= 49999").select("id", "source_file")
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,49999)" in plan and "x#" not in plan
+    assert [(r.id, r.source_file.endswith("a b%20#é.parquet.gz")) for r in few.collect()] == [(49_999, True)]
+    held = [os.path.basename(p) for p in glob.glob(f"{root}/**/_*", recursive=True)]
+    assert set(held) <= {"_SUCCESS"}
+
+
+def test_stores_by_the_names_spark_gives_them(tmp_path):
+    for path in (f"file:{tmp_path}/a b#c", f"file://{tmp_path}/a b#c", f"{tmp_path}/a b#c"):
+        store, name = store_of(path)
+        assert store.type_name == "local" and name == f"{tmp_path}/a b#c"
+    store, name = store_of("mock://host/folder/a b.gz")
+    assert store.type_name == "mock" and name.lstrip("/").endswith("folder/a b.gz")
+
+
 def test_rejects_have_a_place_of_their_own(spark, folder):
     log(folder, "a.log.gz", ['{"id":1}', "not json"])
     land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01")
