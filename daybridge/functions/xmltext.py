@@ -19,11 +19,15 @@ def number_text(value: Column, kind: T.DataType) -> Column:
     # enough for their shortest form.
     digits = F.rtrim(value.try_cast("decimal(30,10)").cast("string"), F.lit("0"))
     wide = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    # From 1e16 on all digits stand before the exponent's end: fill up with zeros.
+    far = [F.regexp_extract(plain, r"^(-?)(\d)\.(\d+)E(\d+)$", i) for i in range(1, 5)]
+    huge = F.concat(far[0], far[1], F.rpad(F.rtrim(far[2], F.lit("0")), far[3].try_cast("int"), F.lit("0")), F.lit(".0"))
     # Below 1e-3 the shortest digits stand before an exponent: put the zeros before them instead.
     part = [F.regexp_extract(plain, r"^(-?)(\d)\.(\d+)E-(\d+)$", i) for i in range(1, 5)]
     zeros = F.repeat(F.lit("0"), part[3].try_cast("int") - 1)
     small = F.concat(part[0], F.lit("0."), zeros, part[1], F.rtrim(part[2], F.lit("0")))
     return (F.when((F.abs(value) >= 1e7) & (F.abs(value) < 1e16), wide)
+            .when((F.abs(value) >= 1e16) & plain.contains("E"), huge)
             .when(plain.contains("E-"), small).when(~F.isnan(value), plain))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from daybridge.functions.jsontext import row_record
 from daybridge.functions.times import as_date
 from daybridge.operators.ranges import day_spine
+from daybridge.session import work_folder
 from daybridge.sinks.landing import land
 from daybridge.sinks.partitions import REPORT, holds_rows, observed, write_partition
 from daybridge.sources.envelope import unwrap_envelope
@@ -97,7 +98,8 @@ def land_files(spark: SparkSession, source: str, table: str, day: dt.date | str,
     No files or no records leaves the table as it was. Lines that are not JSON and files that are
     not Parquet go to ``rejects``, by default the table's path with ``_rejects``, while the others load.
     """
-    return _land_files(source, table, day_spine(spark, day, day), as_date(day), schema, rejects, unreadable)
+    with work_folder(spark):
+        return _land_files(source, table, day_spine(spark, day, day), as_date(day), schema, rejects, unreadable)
 
 
 def land_days(spark: SparkSession, root: str, table: str, start: dt.date | str, end: dt.date | str,
@@ -111,7 +113,8 @@ def land_days(spark: SparkSession, root: str, table: str, start: dt.date | str,
     days = [r.period for r in spine.collect()]
     if not days:
         return spark.createDataFrame([], REPORT)
-    report = _land_files(day_folders(root, days), table, spine, None, schema, rejects, unreadable)
+    with work_folder(spark):
+        report = _land_files(day_folders(root, days), table, spine, None, schema, rejects, unreadable)
     return spine.join(report, "period", "left").select(
         "period", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("status", F.lit("untouched")).alias("status"))
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -33,16 +36,53 @@ def require(spark: SparkSession, *keys: str) -> None:
             raise ValueError(f"{key} is {found!r}, needs {wanted!r}: call daybridge.session.prepare(spark)")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new, unused folder below the one the cluster names in ``spark.checkpoint.dir``.
+# The folder of the innermost ``work_folder`` block, and for each root the one of this application.
+_BLOCK: ContextVar[str | None] = ContextVar("work_folder", default=None)
+_OWN: dict[str, str] = {}
 
-    Only where that is unset and all tasks run in this process, as in tests, is a temporary folder
-    made and set; on a cluster, where each machine would have its own, that is an error.
-    """
+
+def _store(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="daybridge-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/daybridge-{uuid.uuid4().hex}"
+    root = root.rstrip("/")
+    if root not in _OWN:
+        own = f"{root}/daybridge-{uuid.uuid4().hex}"
+        if isinstance(spark, SparkSession):
+            store, place = _store(spark, own)
+            store.mkdirs(place)
+            store.deleteOnExit(place)
+        _OWN[root] = own
+    return _OWN[root]
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new, unused folder below the one the cluster names in ``spark.checkpoint.dir``.
+
+    What lies there is removed when the ``work_folder`` block ends in which it was asked for, else when the
+    driver ends: frames read from it are good that long. Only where the setting is missing and all tasks run in this
+    process, as in tests, is a temporary folder made and set; on a cluster, where each machine would have
+    its own, that is an error.
+    """
+    return f"{_BLOCK.get() or _root(spark)}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[None]:
+    """A block whose shared folders are removed at its end, for work whose results are by then written elsewhere."""
+    folder = shared_folder(spark)
+    outer = _BLOCK.set(folder)
+    try:
+        yield
+    finally:
+        _BLOCK.reset(outer)
+        store, place = _store(spark, folder)
+        store.delete(place, True)

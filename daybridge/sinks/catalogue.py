@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from daybridge.operators.catalogue import (OFFER_CLOSE, catalogue_lite, catalogue_offers,
                                            document_open, merchants)
-from daybridge.session import shared_folder
+from daybridge.session import shared_folder, work_folder
 
 logger = logging.getLogger(__name__)
 
@@ -77,13 +77,14 @@ def catalogue_xml(df: DataFrame, path: str, day: dt.date | str | None = None,
         total = known.agg(F.sum("offers").alias("offers"), F.sum("fragments").alias("fragments")).first()
         by_bytes = math.ceil((total["offers"] or 0) * OFFER_BYTES / TASK_BYTES)
         parts = max(1, by_bytes, min(usual, total["fragments"] or 0))
-        (catalogue_lines(offers, known, moment)
-         .repartition(parts, "mercant_id", "fragment")
-         .sortWithinPartitions("mercant_id", "fragment", "kind", "offer_id")
-         .select("mercant_id", "fragment", "value")
-         # Static whatever the session says: fragments of an earlier, larger document must go.
-         .write.partitionBy("mercant_id", "fragment").mode("overwrite")
-         .option("partitionOverwriteMode", "static").text(path))
+        with work_folder(df.sparkSession):
+            (catalogue_lines(offers, known, moment)
+             .repartition(parts, "mercant_id", "fragment")
+             .sortWithinPartitions("mercant_id", "fragment", "kind", "offer_id")
+             .select("mercant_id", "fragment", "value")
+             # Static whatever the session says: fragments of an earlier, larger document must go.
+             .write.partitionBy("mercant_id", "fragment").mode("overwrite")
+             .option("partitionOverwriteMode", "static").text(path))
     finally:
         known.unpersist()
 

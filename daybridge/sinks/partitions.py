@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybridge.session import shared_folder
+from daybridge.session import shared_folder, work_folder
 
 logger = logging.getLogger(__name__)
 
@@ -396,19 +396,20 @@ def write_split(df: DataFrame, path: str, max_bytes: int, column: str = "dt", sp
     taken = {"bytes", "part", "place", "file", "step", "first", "first_alone", "packed_ahead", "alone_ahead",
              "packed_before", "alone_before"}
     names = {c: f"column {i}" if c.lower() in taken else c for i, c in enumerate(df.columns)}
-    stage = shared_folder(spark)
-    (df.withColumn(column, _guarded(column, _periods(spine))).withColumnsRenamed(names)
-     .select("*", row_bytes(T.StructType([T.StructField(names[f.name], f.dataType) for f in df.schema if f.name != failing]), column)
-             .alias("bytes"),
-             F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")).write.parquet(stage))
-    rows = spark.read.parquet(stage)
-    filed, files = _numbered_files(rows, column, max_bytes)
-    each = -(-files // max_tasks)
-    if files:
-        filed = filed.repartitionById(-(-files // each), F.floor(F.col("file") / each).cast("int"))
-    columns = [F.col(f"`{names[c]}`").alias(c) for c in df.columns]
-    if each <= 1:
-        return write_partition(filed.select(*columns), path, column, mode, spine, layout="as_is", failing=failing)
-    number = f"file-{uuid.uuid4().hex}"
-    return write_partition(filed.select(*columns, F.col("file").alias(number)), path, column, mode, spine, layout="as_is",
-                           failing=failing, file_number=number)
+    with work_folder(spark):
+        stage = shared_folder(spark)
+        (df.withColumn(column, _guarded(column, _periods(spine))).withColumnsRenamed(names)
+         .select("*", row_bytes(T.StructType([T.StructField(names[f.name], f.dataType) for f in df.schema if f.name != failing]), column)
+                 .alias("bytes"),
+                 F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")).write.parquet(stage))
+        rows = spark.read.parquet(stage)
+        filed, files = _numbered_files(rows, column, max_bytes)
+        each = -(-files // max_tasks)
+        if files:
+            filed = filed.repartitionById(-(-files // each), F.floor(F.col("file") / each).cast("int"))
+        columns = [F.col(f"`{names[c]}`").alias(c) for c in df.columns]
+        if each <= 1:
+            return write_partition(filed.select(*columns), path, column, mode, spine, layout="as_is", failing=failing)
+        number = f"file-{uuid.uuid4().hex}"
+        return write_partition(filed.select(*columns, F.col("file").alias(number)), path, column, mode, spine, layout="as_is",
+                               failing=failing, file_number=number)

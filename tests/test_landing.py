@@ -4,6 +4,9 @@ import gzip
 import io
 import json
 import os
+import subprocess
+import sys
+import time
 from types import SimpleNamespace
 
 import numpy as np
@@ -17,9 +20,10 @@ from daybridge.functions.stores import store_of
 from daybridge.plans import landing
 from daybridge.plans.landing import file_records, land_days, land_files, land_responses, land_rows
 from daybridge.plans.datasets import DATASETS
-from daybridge.session import shared_folder
+from daybridge.session import shared_folder, work_folder
 from daybridge.sinks.files import EmptyExport
 from daybridge.sinks.landing import land
+from daybridge.sinks.partitions import write_split
 from daybridge.sources.envelope import unwrap_envelope
 from daybridge.sources import landed as landed_module
 from daybridge.sources.landed import (landed_files, parse_log_lines, read_log_lines, read_wrapped_parquet,
@@ -319,6 +323,48 @@ def test_shared_folder_follows_the_session():
             shared_folder(bare)
 
 
+def test_work_folders_are_removed(spark, folder):
+    outside = shared_folder(spark)
+    spark.range(3).write.parquet(outside)
+    with pytest.raises(RuntimeError), work_folder(spark):
+        inside = shared_folder(spark)
+        spark.range(3).write.parquet(inside)
+        with work_folder(spark):
+            innermost = shared_folder(spark)
+            spark.range(3).write.parquet(innermost)
+        assert not os.path.exists(innermost) and spark.read.parquet(inside).count() == 3
+        raise RuntimeError
+    assert not os.path.exists(inside) and spark.read.parquet(outside).count() == 3
+    root = os.path.dirname(outside)
+    before = set(os.listdir(root))
+    wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1]}))
+    assert [r.rows for r in land_files(spark, f"{folder}/in", f"{folder}/t", "2026-01-01").collect()] == [1]
+    rows = spark.range(100).selectExpr("id", "DATE '2026-01-01' AS dt")
+    assert [r.rows for r in write_split(rows, f"{folder}/s", 100).collect()] == [100]
+    assert set(os.listdir(root)) == before
+
+
+def test_work_of_an_application_is_removed_when_it_ends(folder):
+    script = f"""
+from pyspark.sql import SparkSession
+from daybridge.session import shared_folder, work_folder
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", "{folder}/work").getOrCreate())
+path = shared_folder(spark)
+spark.range(3).write.parquet(path)
+import os
+print("left" if os.path.exists(path) else "lost", spark.read.parquet(path).count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=120,
+                          cwd=os.path.dirname(os.path.dirname(__file__)))
+    assert done.stdout.strip().endswith("left 3"), done.stderr
+    for _ in range(100):  # the JVM ends after the process that started it
+        if not glob.glob(f"{folder}/work/daybridge-*"):
+            break
+        time.sleep(0.1)
+    assert not glob.glob(f"{folder}/work/daybridge-*")
+
+
 def test_wrapped_parquet_is_taken_whole_or_not_at_all(spark, folder):
     """A file damaged behind its first rows, and one with a value too large for its type, among sound ones."""
     wrapped(folder, "a.parquet.gz", pd.DataFrame({"id": [1, 2]}))
