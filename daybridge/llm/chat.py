@@ -21,8 +21,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 CONTROL = ("<|", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 
-# A conversation is rendered and encoded whole up to so many code points; a longer one at the turn that
-# passes it goes on in another piece. Marks part the encoding, so pieces give the same tokens.
+# The encoder gets a conversation in pieces of whole turns of about so many code points, and rows leave a task when
+# they hold as many. Marks part the encoding, so it is the same as of the whole text.
 PIECE_CHARS = 1 << 20
 
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
@@ -97,44 +97,59 @@ def _tokenizer(path: str) -> Tokenizer:
     return found
 
 
-FORMATTED = ("conv_id bigint, piece int, text string, tokens array<int>, mask array<boolean>, "
-             "loss_spans array<struct<first: int, past: int>>")
+FORMATTED = "conv_id bigint, text string, tokens array<int>, mask array<boolean>, loss_spans array<struct<first: int, past: int>>"
 _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))
 
 
-def _encoded(pieces: list[tuple[int | None, int, list[tuple[str, str]]]], tokenizer: str,
-             learned: frozenset[str]) -> pa.RecordBatch:
-    rendered = [render(turns) for _, _, turns in pieces]
+def _pieces(text: str, spans: list[tuple[int, int]], piece_chars: int) -> list[tuple[int, int]]:
+    """Begin and end of the encoder's pieces of a rendered text: cuts lie behind turns."""
+    cuts = [0]
+    for _, past in spans:
+        if past - cuts[-1] >= piece_chars:
+            cuts.append(past + len(END) + 1)
+    return list(zip(cuts, [*cuts[1:], len(text)]))
+
+
+def _encoded(conversations: list[tuple[int | None, list[tuple[str, str]]]], tokenizer: str,
+             learned: frozenset[str], piece_chars: int) -> pa.RecordBatch:
+    rendered = [render(turns) for _, turns in conversations]
+    pieces = [_pieces(text, spans, piece_chars) for text, spans in rendered]
+    encodings = iter(_tokenizer(tokenizer).encode_batch(
+        [text[a:b] for (text, _), cuts in zip(rendered, pieces) for a, b in cuts], add_special_tokens=False))
     tokens, masks, losses = [], [], []
-    for (_, _, turns), (_, spans), encoding in zip(pieces, rendered, _tokenizer(tokenizer).encode_batch(
-            [text for text, _ in rendered], add_special_tokens=False)):
-        offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+    for (_, turns), (_, spans), cuts in zip(conversations, rendered, pieces):
+        ids, offsets = [], []
+        for (a, _), encoding in zip(cuts, encodings):
+            ids.append(np.array(encoding.ids, np.int32))
+            offsets.append(np.array(encoding.offsets, np.int64).reshape(-1, 2) + a)
+        ids, offsets = np.concatenate(ids), np.concatenate(offsets)
         wanted = np.array([s for s, (role, _) in zip(spans, turns) if role in learned], np.int64).reshape(-1, 2)
         index, parts = token_mask(wanted, offsets)
         mask = np.zeros(len(offsets), bool)
         mask[index] = True
-        tokens.append(encoding.ids)
+        tokens.append(ids)
         masks.append(mask)
         losses.append([{"first": a, "past": b} for a, b in merged(parts[parts[:, 1] > parts[:, 0]]).tolist()])
-    return pa.record_batch([pa.array([p[0] for p in pieces], pa.int64()), pa.array([p[1] for p in pieces], pa.int32()),
+    return pa.record_batch([pa.array([c[0] for c in conversations], pa.int64()),
                             pa.array([text for text, _ in rendered], pa.string()),
                             pa.array(tokens, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_())),
                             pa.array(losses, _SPANS)],
-                           ["conv_id", "piece", "text", "tokens", "mask", "loss_spans"])
+                           ["conv_id", "text", "tokens", "mask", "loss_spans"])
 
 
 def format_conversations(turns: DataFrame, tokenizer: str = TOKENIZER, learned: tuple[str, ...] = ("assistant",),
                          conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                          text: str = "text", piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """A row for each conversation: ``conv_id, piece, text, tokens, mask, loss_spans``.
+    """A row for each conversation: ``conv_id, text, tokens, mask, loss_spans``.
 
     ``text`` renders all turns, ``tokens`` encodes it once, ``mask`` marks tokens that reach into a text of a
     ``learned`` role, and ``loss_spans`` are the code points of those texts that tokens cover, merged.
     Turns go by number, then role, then text, null first; null roles and texts are empty; repeated rows are
-    turns of their own; a null conv_id is one conversation; an empty table gives no rows. A conversation of
-    over ``piece_chars`` goes on in further pieces, next to one another and in order within a partition.
+    turns of their own; a null conv_id is one conversation; an empty table gives no rows. A conversation is
+    one row whatever its length, so it has to be below the 2 GB of a value; a longer one is an error.
 
-    Rows are dealt out by conversation and sorted; a task streams them and holds one piece at a time.
+    Rows are dealt out by conversation and sorted; a task streams them and holds one conversation at a time, or
+    several that have about ``piece_chars`` code points together.
     """
     corpus_session(turns.sparkSession)
     rows = (turns.select(F.col(f"`{conv_id}`").cast("long").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),
@@ -143,62 +158,47 @@ def format_conversations(turns: DataFrame, tokenizer: str = TOKENIZER, learned:
     roles = frozenset(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done, waiting = [], 0
-        current, number, turns_, size = None, 0, [], 0
+        done, waiting, current, turns_ = [], 0, None, []
         for batch in batches:
             for conv, role_, text_ in zip(*[c.to_pylist() for c in batch.columns]):
-                if turns_ and (conv != current or size >= piece_chars):
-                    done.append((current, number, turns_))
-                    waiting += size
-                    number = number + 1 if conv == current else 0
-                    turns_, size = [], 0
+                if turns_ and conv != current:
+                    done.append((current, turns_))
+                    turns_ = []
                     if waiting >= piece_chars:
-                        yield _encoded(done, tokenizer, roles)
+                        yield _encoded(done, tokenizer, roles, piece_chars)
                         done, waiting = [], 0
                 current = conv
                 turns_.append((role_, text_))
-                size += len(text_)
+                waiting += len(text_)
         if turns_:
-            done.append((current, number, turns_))
+            done.append((current, turns_))
         if done:
-            yield _encoded(done, tokenizer, roles)
+            yield _encoded(done, tokenizer, roles, piece_chars)
 
     return rows.mapInArrow(run, FORMATTED)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted conversations say when they are read back, one row each.
+    """What the formatted conversations say when they are read back, a row for each, in whatever order they come.
 
     ``n_turns``; ``turns_sha256`` over role, \\n, text, \\n of each turn; ``loss_chars`` and ``loss_sha256`` of
-    all text under the mask, unescaped; ``formatted_chars``. Pieces are read in the order they come.
+    all text under the mask, unescaped; ``formatted_chars``.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, rows = None, []
-
-        def closed():
-            conv, n, turns, chars, loss, total = state
-            return conv, n, turns.hexdigest(), chars, loss.hexdigest(), total
+    def read(conv: int | None, text: str, spans: list[dict]) -> tuple:
+        turns = read_back(text)
+        loss = [unescape(text[span["first"]:span["past"]]) for span in spans]
+        told = hashlib.sha256()
+        for role, said in turns:
+            told.update(f"{role}\n{said}\n".encode())
+        return (conv, len(turns), told.hexdigest(), sum(map(len, loss)),
+                hashlib.sha256("".join(loss).encode()).hexdigest(), len(text))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for conv, piece, text, spans in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "piece", "text", "loss_spans")]):
-                if piece == 0:
-                    if state:
-                        rows.append(closed())
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                turns = read_back(text)
-                state[1] += len(turns)
-                state[2].update("".join(f"{r}\n{t}\n" for r, t in turns).encode())
-                for span in spans:
-                    part = unescape(text[span["first"]:span["past"]])
-                    state[3] += len(part)
-                    state[4].update(part.encode())
-                state[5] += len(text)
-            yield _digest_rows(rows)
-            rows = []
-        yield _digest_rows([closed()] if state else [])
-
-    return formatted.select("conv_id", "piece", "text", "loss_spans").mapInArrow(
+            yield _digest_rows([read(*row) for row in zip(*[c.to_pylist() for c in batch.columns])])
+
+    return formatted.select("conv_id", "text", "loss_spans").mapInArrow(
         run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 

@@ -61,17 +61,28 @@ def test_hostile(spark, hostile, piece_chars):
     assert sorted(got, key=str) == _expected(rows)
     for r in formatted.collect():
         assert len(r.tokens) == len(r["mask"])
-    if piece_chars > 50:
-        assert formatted.count() == 5
+    assert formatted.count() == 5
+    assert sorted((tuple(r)[0:1] + tuple(r)[3:5] for r in digests(formatted.repartition(7)).collect()), key=str) == [
+        (r[0], r[3], r[4]) for r in _expected(rows)]
 
 
 def test_pieces_encode_alike(spark):
+    """The encoder's pieces show nowhere: one row, the same tokens, mask and spans."""
     rows = [(1, i, "assistant" if i % 2 else "user", f"text number {i} <b>  with   spaces\n") for i in range(40)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     whole = format_conversations(df).collect()
-    parts = sorted(format_conversations(df, piece_chars=100).collect(), key=lambda r: r.piece)
-    assert len(whole) == 1 < len(parts)
-    assert whole[0].tokens == [t for p in parts for t in p.tokens] and whole[0]["mask"] == [m for p in parts for m in p["mask"]]
+    assert len(whole) == 1 and len(whole[0].tokens) == len(whole[0]["mask"]) > 400
+    for chars in (1, 100, 700):
+        assert format_conversations(df, piece_chars=chars).collect() == whole
+
+
+def test_long_conversation_is_one_row(spark):
+    """Above the piece size, in turns of all lengths."""
+    rows = [(5, i, "assistant" if i % 2 else "user", f"turn {i} says é " * 4_000) for i in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    formatted = format_conversations(df)
+    assert formatted.count() == 1
+    assert [(r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in digests(formatted).collect()] == _expected(rows)
 
 
 def test_empty(spark):
