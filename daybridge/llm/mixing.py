@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,21 +49,29 @@ def targets(sources: DataFrame, weights: tuple[float, ...], epochs: int) -> Data
 
     Sources weigh ``weights`` in turn, ordered by code point with null last. What a source cannot take
     goes to the others by weight: all not at their limit have the same target for each unit of weight.
-    That level is found by raising it until no further source is above its limit.
+    That level is where, by rising limit for each unit of weight, what the sources before leave of the total first
+    is no more for each unit of the weight left than a source's limit: one sum over the sources in that order.
     """
     turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("turn") % len(weights)).cast("int") + 1)
-    weighed = staged(numbered(sources, "turn", F.col("source").isNull(), F.col("source"))
-                     .withColumn("weight", turn).drop("turn")
-                     .withColumn("most", F.col("source_size") * float(epochs)))
-    total, level = float(weighed.agg(F.sum("source_size")).first()[0] or 0), 0.0
-    while True:
-        full = F.col("most") <= F.col("weight") * level
-        spent, open_ = weighed.agg(F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("weight")))).first()
-        raised = (total - (spent or 0.0)) / open_ if open_ else level
-        if raised <= level:
-            break
-        level = raised
-    return weighed.withColumn("target", F.least("most", F.col("weight") * level)).drop("most", "weight")
+    weighed = (numbered(sources, "turn", F.col("source").isNull(), F.col("source"))
+               .withColumn("weight", turn).drop("turn")
+               .withColumn("most", F.col("source_size") * float(epochs))
+               .withColumn("limit", F.coalesce(F.try_divide("most", "weight"), F.lit(float("inf")))))
+    weighed = staged(weighed.repartitionByRange("limit", "source").withColumn("part", F.spark_partition_id()))
+    total = F.sum("source_size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.orderBy("part").rowsBetween(1, Window.unboundedFollowing)
+    parts = weighed.groupBy("part").agg(*[F.sum(c).alias(c) for c in ("source_size", "most", "weight")]).select(
+        "part", total.alias("total"), F.coalesce(F.sum("most").over(before), F.lit(0.0)).alias("given"),
+        F.coalesce(F.sum("weight").over(after), F.lit(0.0)).alias("behind"))
+    order = Window.partitionBy("part").orderBy("limit", "source")
+    given = F.col("given") + F.coalesce(F.sum("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    left = F.col("behind") + F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
+    level = (weighed.join(parts, "part").select("limit", "source", F.try_divide(F.col("total") - given, left).alias("level"))
+             .where("level <= limit").agg(F.min_by("level", F.struct("limit", "source"))).first()[0])
+    level = sys.float_info.max if level is None else level
+    return (weighed.withColumn("target", F.least(F.col("most"), F.col("weight") * F.lit(level)))
+            .drop("most", "weight", "limit", "part"))
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",

@@ -1,9 +1,11 @@
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import brute
-from daybridge.llm.mixing import WEIGHTS, mix, numbered
+from daybridge.llm.mixing import WEIGHTS, mix, numbered, targets
 from daybridge.llm.queries import QUERIES
 
 
@@ -67,6 +69,15 @@ def test_source_without_letters(spark):
     _check([(r.source, r.size, r.source_size, r.target, r.taken) for r in found], sizes)
 
 
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=25), st.integers(1, 4))
+@settings(max_examples=8, deadline=None)
+def test_levels_of_many_sources(spark, sizes, epochs):
+    sizes = {f"s{i:02}": n * n for i, n in enumerate(sizes)}
+    found = targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(3), WEIGHTS, epochs)
+    want = brute.targets(sizes, {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(sizes)}, epochs)
+    assert {r.source: r.target for r in found.collect()} == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
 def test_numbered(spark):
     df = spark.range(1000).selectExpr("(id * 7919) % 1000 as v").repartition(5)
     assert all(r.place == r.v for r in numbered(df, "place", df.v).collect())
