@@ -75,6 +75,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{_BLOCK.get() or _root(spark)}/{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a shared folder that nothing reads any more."""
+    store, place = _store(spark, folder)
+    store.delete(place, True)
+
+
 @contextmanager
 def work_folder(spark: SparkSession) -> Iterator[None]:
     """A block whose shared folders are removed at its end, for work whose results are by then written elsewhere."""
@@ -84,5 +90,4 @@ def work_folder(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _BLOCK.reset(outer)
-        store, place = _store(spark, folder)
-        store.delete(place, True)
+        drop_folder(spark, folder)
