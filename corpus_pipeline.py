@@ -11,6 +11,7 @@ from daybridge.llm.exactdedup import exact_dedup
 from daybridge.llm.langid import identify
 from daybridge.llm.mixing import mix
 from daybridge.llm.simhash import simhash_components
+from daybridge.session import drop_folder, shared_folder, work_folder
 
 # A document goes when no language has this share of it.
 LEAST_SHARE = 0.4
@@ -61,8 +62,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each one's result written and read again."""
-    docs = corpus_session(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each one's result written and read again.
+
+    What a stage left in the work folder goes when its result is written, and so does the result before.
+    """
+    docs, last = corpus_session(spark).read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+        path = shared_folder(spark)
+        with work_folder(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+        if last:
+            drop_folder(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
