@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -121,7 +122,7 @@ def _encoded(conversations: list[tuple[int | None, list[tuple[str, str]]]], toke
         ids, offsets = [], []
         for (a, _), encoding in zip(cuts, encodings):
             ids.append(np.array(encoding.ids, np.int32))
-            offsets.append(np.array(encoding.offsets, np.int64).reshape(-1, 2) + a)
+            offsets.append(np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(encoding)).reshape(-1, 2) + a)
         ids, offsets = np.concatenate(ids), np.concatenate(offsets)
         wanted = np.array([s for s, (role, _) in zip(spans, turns) if role in learned], np.int64).reshape(-1, 2)
         index, parts = token_mask(wanted, offsets)
