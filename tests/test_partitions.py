@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+import re
 
 import pyarrow as pa
 import pytest
@@ -11,7 +12,7 @@ from daybridge.operators.ranges import day_spine, month_spine, range_report
 from daybridge.plans.backfill import RangeFailed, backfill
 from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
 from daybridge.sinks.files import EmptyExport, write_json
-from daybridge.sinks.partitions import arrow_bytes, write_partition, write_split
+from daybridge.sinks.partitions import arrow_bytes, row_bytes, write_partition, write_split
 
 D = dt.date
 
@@ -337,6 +338,26 @@ def test_split_by_a_few_tasks_makes_the_same_files(spark, folder):
     assert files[0] == files[1] == files[2] and len(files[0]) > 50
 
 
+@pytest.mark.parametrize("root", ["{}", "viewfs://split/out"])
+def test_many_small_files_are_written_by_few_tasks(spark, folder, root):
+    """Each task costs more than a small file; also in a store whose files the driver cannot move itself."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.split.link./out", f"file://{folder}")
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(60 * usual).selectExpr("id", "repeat('x', if(id % 100 = 0, 3000, 300)) AS text",
+                                              "date_add(DATE '2026-01-01', CAST(id % 2 AS INT)) AS dt")
+    path = f"{root.format(folder)}/t"
+    write_split(rows, path, 1024)
+    names = [os.path.basename(f) for f in glob.glob(f"{folder}/t/dt=*/*.parquet")]
+    tasks = {re.fullmatch(r"part-\d{7}-(\d+)-.*", name).group(1) for name in names}
+    assert len(names) > 10 * usual >= 10 * len(tasks) and len(set(names)) == len(names)
+    assert sorted(os.path.basename(f)[1:-4] for f in glob.glob(f"{folder}/t/dt=*/.*.crc")) == sorted(names)
+    assert sorted(d for d in os.listdir(f"{folder}/t") if not d.endswith("_SUCCESS")) == ["dt=2026-01-01", "dt=2026-01-02"]
+    table = spark.read.parquet(path)
+    assert table.columns == ["id", "text", "dt"] and table.select("id").distinct().count() == table.count() == 60 * usual
+    files = table.groupBy(F.input_file_name()).agg(F.count("*").alias("n"), F.sum(row_bytes(rows.schema)).alias("bytes"))
+    assert files.where("bytes > 1024 AND n > 1").count() == 0
+
+
 def test_split_files_of_failing_days_are_not_published(spark, folder):
     source = spark.createDataFrame([(i, at(f"2026-01-0{1 + i % 2} 10:00:00"), '{"user_agent":"partnerapp"}', "x" if i == 41 else "1")
                                     for i in range(100)],
