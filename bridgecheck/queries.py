@@ -18,7 +18,7 @@ from daybridge.plans.backfill import backfill
 from daybridge.plans.datasets import DATASETS
 from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
 from daybridge.plans.landing import land_days, land_rows
-from daybridge.session import prepare, shared_folder
+from daybridge.session import few_listing_tasks, prepare, shared_folder
 from daybridge.sinks.catalogue import catalogue_xml, catalogue_xml_lite
 from daybridge.sinks.files import write_json
 from daybridge.sinks.landing import land
@@ -528,7 +528,8 @@ def catalogue_documents(spark, sf_dir):
     path = shared_folder(spark)
     catalogue_xml(view(spark, sf_dir, "merchant_products"), path, generated_at=dt.datetime(2026, 2, 2, 10, 0),
                   max_offers=20)
-    lines = spark.read.option("basePath", path).text(path)
+    with few_listing_tasks(spark):
+        lines = spark.read.option("basePath", path).text(path)
     return lines.groupBy("mercant_id", F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 

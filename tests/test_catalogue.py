@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybridge.operators.catalogue import catalogue_lite, catalogue_offers
+from daybridge.session import few_listing_tasks
 from daybridge.sinks import catalogue as sink
 from daybridge.sinks.catalogue import catalogue_xml, catalogue_xml_lite
 
@@ -163,3 +164,22 @@ def test_lite(spark, folder):
     assert open(file).read().startswith("<?xml version='1.0' encoding='utf-8'?>\n<yml_catalog date=\"2026")
     assert not catalogue_xml_lite(rows.limit(0), f"{folder}/none", NOW)
     assert glob.glob(f"{folder}/none*") == []
+
+
+def test_listing_the_fragments_takes_few_tasks(spark, folder):
+    """Not a task for each of a merchant's folders."""
+    rows = spark.range(200).select(F.lit("m").alias("mercant_id"), F.col("id").alias("product_id"))
+    catalogue_xml(rows, f"{folder}/x", generated_at=NOW, max_offers=1)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, context = spark.conf.get(key), spark.sparkContext
+    context.setJobGroup(folder, "listing")
+    try:
+        with few_listing_tasks(spark):
+            lines = spark.read.option("basePath", f"{folder}/x").text(f"{folder}/x")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(folder) for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(key) == before and lines.select("fragment").distinct().count() == 200
