@@ -5,12 +5,14 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybridge.operators.ranges import day_spine, month_spine, range_report
 from daybridge.plans.backfill import RangeFailed, backfill
 from daybridge.plans.exports import export_days, export_financial, export_partner_events, export_snapshot
+from daybridge.session import many_files
 from daybridge.sinks.files import EmptyExport, write_json
 from daybridge.sinks.partitions import arrow_bytes, row_bytes, write_partition, write_split
 
@@ -358,6 +360,101 @@ def test_many_small_files_are_written_by_few_tasks(spark, folder, root):
     assert files.where("bytes > 1024 AND n > 1").count() == 0
 
 
+def test_the_driver_knows_so_many_files_of_a_split_at_a_time(spark, folder, monkeypatch):
+    """Written, counted and read: each job has at most FILES_AT_ONCE files, with the sums that all files together have."""
+    from bridgecheck.queries import QUERIES
+    from daybridge.sinks import partitions
+
+    docs = spark.range(260, numPartitions=3).selectExpr(
+        "id AS doc_id", "repeat('x', CASE WHEN id % 130 = 0 THEN 40000 WHEN id % 2 = 0 THEN 20000 ELSE 3000 END) AS text")
+    docs.union(spark.sql("SELECT CAST(NULL AS BIGINT), CAST(NULL AS STRING)")).write.parquet(f"{folder}/documents.parquet")
+    known, lift, read = [], partitions._lift_files, DataFrameReader.parquet
+
+    def lifted(spark, numbered, *a):
+        known.append(len(glob.glob(f"{numbered}/dt=*/*")))
+        return lift(spark, numbered, *a)
+
+    def scanned(self, *paths, **options):
+        found = read(self, *paths, **options)
+        known.append(len([f for f in found.inputFiles() if "/dt=" in f]))
+        return found
+
+    monkeypatch.setattr(partitions, "FILES_AT_ONCE", 32, raising=False)
+    monkeypatch.setattr(partitions, "_lift_files", lifted)
+    monkeypatch.setattr(DataFrameReader, "parquet", scanned)
+    found = QUERIES["split_file_sizes"](spark, folder)
+    assert found.dtypes == [("dt", "string")] + [(c, "bigint") for c in ("documents", "total_bytes", "files_above", "crowded_above")]
+    expected = docs.selectExpr("date_add(DATE '2026-01-01', CAST(doc_id % 3 AS INT)) AS dt", "13 + length(text) AS bytes")
+    expected = {r.dt.isoformat(): (r.n, r.bytes, r.above) for r in expected.groupBy("dt").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.count_if(F.col("bytes") > 32768).alias("above")).collect()}
+    n, size, above = expected["2026-01-01"]
+    expected["2026-01-01"] = (n + 1, size + 13, above)
+    assert {r.dt: (r.documents, r.total_bytes, r.files_above) for r in found.collect()} == expected
+    assert found.where("crowded_above > 0").count() == 0
+    assert 16 < max(known) <= 32 and sum(known) > 2 * 130
+
+
+@pytest.mark.parametrize("mode", ["replace", "append"])
+@pytest.mark.parametrize("root", ["{}", "viewfs://waves/out"])
+def test_split_in_several_jobs_makes_the_same_files(spark, folder, root, mode):
+    from daybridge.sinks.partitions import file_batches
+
+    root = root.replace("waves", f"waves{mode}")
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.waves{mode}.link./out", f"file://{folder}")
+    rows = spark.range(300, numPartitions=3).selectExpr(
+        "id", "repeat('x', if(id % 10 = 0, 900, 100)) AS wave", "date_add(DATE '2026-01-01', CAST(id % 2 AS INT)) AS dt",
+        "if(id = 299, 'too large', NULL) AS why")
+    spine = day_spine(spark, "2026-01-01", "2026-01-03")
+    files = []
+    for at_once in (1000, 20):
+        path = f"{root.format(folder)}/t{at_once}"
+        write_split(rows.where("id < 2"), path, 1024, spine=spine, failing="why")
+        found = write_split(rows, path, 1024, spine=spine, mode=mode, failing="why", files_at_once=at_once)
+        assert [tuple(r) for r in found.orderBy("period").collect()] == [
+            (D(2026, 1, 1), 150, f"{mode.removesuffix('e')}ed", None), (D(2026, 1, 2), None, "failed", "too large"),
+            (D(2026, 1, 3), 0, "empty", None)]
+        table = spark.read.parquet(path)
+        assert table.columns == ["id", "wave", "dt"] and table.count() == 151 + (mode == "append")
+        files.append(sorted((r.dt, tuple(sorted(r.ids))) for r in table.groupBy("dt", F.input_file_name().alias("f"))
+                            .agg(F.collect_list("id").alias("ids")).collect()))
+        batches = list(file_batches(spark, path, 4))
+        assert {len(b) for b in batches[:-1]} == {4}
+        assert sorted(f.partition(f"/t{at_once}/")[2] for b in batches for f in b) == sorted(
+            os.path.relpath(f, f"{folder}/t{at_once}") for f in glob.glob(f"{folder}/t{at_once}/dt=*/*.parquet"))
+        assert glob.glob(f"{folder}/t{at_once}/_staged*") == []
+    assert files[0] == files[1] and len(files[0]) > 20
+
+
+def test_a_count_that_differs_in_a_later_job_leaves_the_old_days(spark, folder, monkeypatch):
+    from daybridge.sinks import partitions
+
+    rows = spark.range(100, numPartitions=3).selectExpr("id", "repeat('x', 700) AS text", "DATE '2026-01-01' AS dt")
+    write_split(rows.where("id < 5"), f"{folder}/t", 1024)
+    before, calls = sorted(r.id for r in spark.read.parquet(f"{folder}/t").collect()), []
+    plain = partitions.rows_per_period
+
+    def one_less(*a):
+        calls.append(a)
+        return {d: n - (len(calls) == 3) for d, n in plain(*a).items()}
+
+    monkeypatch.setattr(partitions, "rows_per_period", one_less)
+    with pytest.raises(partitions.WriteMismatch, match="the table is as it was"):
+        write_split(rows, f"{folder}/t", 1024, files_at_once=30)
+    assert len(calls) == 3 and sorted(r.id for r in spark.read.parquet(f"{folder}/t").collect()) == before == [0, 1, 2, 3, 4]
+    assert glob.glob(f"{folder}/t/_staged*") == []
+
+
+def test_settings_for_many_files_last_as_long_as_their_block(spark):
+    keys = ["spark.sql.files.maxPartitionNum", "spark.sql.hive.filesourcePartitionFileCacheSize",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism"]
+    before = [spark.conf.get(key, None) for key in keys]
+    with pytest.raises(KeyError), many_files(spark):
+        assert [spark.conf.get(key) for key in keys] == [spark.conf.get("spark.sql.shuffle.partitions"), "0",
+                                                         spark.conf.get("spark.sql.shuffle.partitions")]
+        raise KeyError
+    assert [spark.conf.get(key, None) for key in keys] == before
+
+
 def test_split_files_of_failing_days_are_not_published(spark, folder):
     source = spark.createDataFrame([(i, at(f"2026-01-0{1 + i % 2} 10:00:00"), '{"user_agent":"partnerapp"}', "x" if i == 41 else "1")
                                     for i in range(100)],
